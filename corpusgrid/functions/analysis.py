@@ -87,6 +87,15 @@ def _each(fn: TextFn) -> TextFn:
     return lambda tokens: F.transform(tokens, fn)
 
 
+def _let(value: Column, fn: TextFn) -> Column:
+    """``fn(value)`` with the value computed once.
+
+    An expression used inside a lambda is evaluated again for every element;
+    as a lambda variable it is not.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def _fan_out(fn: TextFn) -> TextFn:
     """Per-token function that yields an array; gaps yield nothing."""
     return lambda tokens: F.flatten(F.transform(terms(tokens), fn))
@@ -136,25 +145,30 @@ def tok_pattern(pattern: str = r"\W+", flags: str = "", group: int = -1) -> Text
     return lambda text: F.filter(F.split(text, regex, -1), lambda t: t != "")
 
 
+NO_TOKENS = "array<string>"
+
+
 def _grams(text: Column, low: int, high: int) -> Column:
-    size = F.length(text)
+    def cut(s: Column) -> Column:
+        size = F.length(s)
 
-    def starting_at(i: Column) -> Column:
-        longest = F.least(F.lit(high), size - i + 1)
-        return F.when(longest >= low, F.transform(
-            F.sequence(F.lit(low), longest), lambda n: F.substring(text, i, n)
-        )).otherwise(F.array().cast("array<string>"))
+        def starting_at(i: Column) -> Column:
+            return F.transform(F.sequence(F.lit(low), F.least(F.lit(high), size - i + 1)),
+                               lambda n: F.substring(s, i, n))
 
-    return F.when(size >= low, F.flatten(
-        F.transform(F.sequence(F.lit(1), size - low + 1), starting_at)
-    )).otherwise(F.array().cast("array<string>"))
+        return F.when(size >= low, F.flatten(
+            F.transform(F.sequence(F.lit(1), size - low + 1), starting_at)
+        )).otherwise(F.array().cast(NO_TOKENS))
+    return _let(text, cut)
 
 
 def _edge_grams(text: Column, low: int, high: int) -> Column:
-    longest = F.least(F.lit(high), F.length(text))
-    return F.when(longest >= low, F.transform(
-        F.sequence(F.lit(low), longest), lambda n: F.substring(text, F.lit(1), n)
-    )).otherwise(F.array().cast("array<string>"))
+    def cut(s: Column) -> Column:
+        longest = F.least(F.lit(high), F.length(s))
+        return F.when(longest >= low, F.transform(
+            F.sequence(F.lit(low), longest), lambda n: F.substring(s, F.lit(1), n)
+        )).otherwise(F.array().cast(NO_TOKENS))
+    return _let(text, cut)
 
 
 def tok_ngram(low: int = 1, high: int = 2) -> TextFn:
@@ -166,19 +180,17 @@ def tok_edge_ngram(low: int = 1, high: int = 1) -> TextFn:
 
 
 def tok_path_hierarchy(delimiter: str = "/") -> TextFn:
-    def apply(text: Column) -> Column:
-        parts = F.split(text, re.escape(delimiter), -1)
-        levels = F.transform(F.sequence(F.lit(1), F.size(parts)),
-                             lambda n: F.array_join(F.slice(parts, F.lit(1), n), delimiter))
-        return F.filter(levels, lambda t: t != "")
-    return apply
+    def levels(parts: Column) -> Column:
+        paths = F.transform(parts, lambda _p, i: F.array_join(F.slice(parts, F.lit(1), i + 1), delimiter))
+        return F.filter(paths, lambda t: t != "")
+    return lambda text: _let(F.split(text, re.escape(delimiter), -1), levels)
 
 
 # --- token filters ----------------------------------------------------------
 
 tf_lowercase = _each(F.lower)
 tf_reverse = _each(F.reverse)
-tf_trim = _each(F.trim)
+tf_trim = _each(lambda t: F.regexp_replace(t, r"^\s+|\s+$", ""))
 
 
 def tf_stop(words: Iterable[str]) -> TextFn:
@@ -209,13 +221,12 @@ def tf_edge_ngram(low: int = 1, high: int = 1) -> TextFn:
 
 
 def tf_shingle(n: int = 2, separator: str = " ") -> TextFn:
-    def apply(tokens: Column) -> Column:
-        t = terms(tokens)
+    def pairs(t: Column) -> Column:
         return F.when(F.size(t) >= n, F.transform(
             F.sequence(F.lit(1), F.size(t) - n + 1),
-            lambda i: F.array_join(F.slice(t, i, n), separator),
-        )).otherwise(F.array().cast("array<string>"))
-    return apply
+            lambda i: F.array_join(F.slice(t, i, F.lit(n)), separator),
+        )).otherwise(F.array().cast(NO_TOKENS))
+    return lambda tokens: _let(terms(tokens), pairs)
 
 
 def tf_light_stem(language: str) -> TextFn:
@@ -238,14 +249,23 @@ def tf_synonym(mapping: Mapping[str, Sequence[str]]) -> TextFn:
 
     For rule sets too long for a literal use ``operators.index.join_synonyms``.
     """
-    pairs = [F.lit(x) for k, v in mapping.items() for x in (k, "\x00".join(v))]
-    table = F.create_map(*pairs)
-    return _fan_out(lambda t: F.split(F.coalesce(F.try_element_at(table, t), t), "\x00"))
+    def expand(t: Column) -> Column:
+        out = F.array(t)
+        for word, synonyms in mapping.items():
+            out = F.when(t == word, F.array(*[F.lit(s) for s in synonyms])).otherwise(out)
+        return out
+    return _fan_out(expand)
+
+
+# A part ends where lower case turns to upper, letters to digits, or at any mark.
+WORD_PARTS = r"\p{Lu}*\p{Ll}+|\p{Lu}+|\p{N}+|\p{Lo}+"
+
+
+def _word_parts(t: Column) -> Column:
+    return F.regexp_extract_all(F.regexp_replace(t, "['’]s$", ""), F.lit(WORD_PARTS), F.lit(0))
 
 
-tf_word_delimiter = _fan_out(
-    lambda t: F.regexp_extract_all(t, F.lit(r"\p{Lu}+(?!\p{Ll})|\p{Lu}?\p{Ll}+|\p{N}+|[\p{Lo}\p{Lm}]+"), F.lit(0))
-)
+tf_word_delimiter = _fan_out(_word_parts)
 
 
 def tf_elision(articles: Iterable[str] = tuple(ELISION_ARTICLES)) -> TextFn:

@@ -56,6 +56,10 @@ not_exists, not_missing = missing, exists
 
 # --- exact values -----------------------------------------------------------
 
+def _equals(value) -> Predicate:
+    return lambda x: x == F.lit(value)
+
+
 def term(field, value, many: bool = False) -> Column:
     return terms(field, value, many=many)
 
@@ -69,8 +73,7 @@ def terms(field, values, execution: str = "or", many: bool = False) -> Column:
     present = [v for v in wanted if v is not None]
     tests = []
     if execution == "and":
-        tests = [reduce(operator.and_, [_any(field, lambda x, v=v: x == F.lit(v), many) for v in present])] \
-            if present else []
+        tests = [_any(field, _equals(v), many) for v in present]
     elif present:
         tests = [_any(field, lambda x: x.isin(present), many)]
     if len(present) < len(wanted) or not wanted:
@@ -100,6 +103,10 @@ BOUNDS = {"gt": operator.gt, ">": operator.gt, "gte": operator.ge, ">=": operato
           "lt": operator.lt, "<": operator.lt, "lte": operator.le, "<=": operator.le}
 
 
+def _meets(op: Callable, value: Column) -> Predicate:
+    return lambda x: op(x, value)
+
+
 def _bounds(pairs: Sequence[tuple[str, object]]) -> list[tuple[Callable, Column]]:
     seen, out = set(), []
     for name, value in pairs:
@@ -123,7 +130,7 @@ def range_(field, *pairs: tuple[str, object], many: bool = False, flat: bool = F
     """
     bounds = _bounds([*pairs, *named.items()])
     if many and flat:
-        return reduce(operator.and_, [_any(field, lambda x, o=o, v=v: o(x, v), True) for o, v in bounds])
+        return reduce(operator.and_, [_any(field, _meets(o, v), True) for o, v in bounds])
     return _any(field, lambda x: reduce(operator.and_, [o(x, v) for o, v in bounds]), many)
 
 

@@ -11,6 +11,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The suffix tables of the published Porter algorithm (1980).
 STEP2 = {
@@ -84,12 +85,12 @@ def porter(word: str) -> str:
     return word
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(porter, na_action="ignore")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def tf_porter_stem(tokens: pd.Series) -> pd.Series:
     """Stem whole token arrays; each distinct word of a batch is stemmed once."""
     known: dict[str, str] = {}
@@ -103,7 +104,7 @@ def tf_porter_stem(tokens: pd.Series) -> pd.Series:
 
 
 def unicode_normalise(form: str = "NFKC", casefold: bool = True):
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def normalise(words: pd.Series) -> pd.Series:
         out = words.map(lambda w: unicodedata.normalize(form, w), na_action="ignore")
         return out.str.casefold() if casefold else out

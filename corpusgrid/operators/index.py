@@ -18,11 +18,18 @@ from pyspark.sql import functions as F
 from corpusgrid.functions import analysis as A
 from corpusgrid.session import spread, table_path
 
-N_BUCKETS = 64
 
+def term_bucket(term: Column, n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
 
-def term_bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(N_BUCKETS)).cast("int")
+
+def token_rows(df: DataFrame, tokens: Column, name: str, *keep: str) -> DataFrame:
+    """One row per token.
+
+    The outer form keeps the optimizer from adding a non-empty check, which it
+    would push below the tokenizer and so run that twice.
+    """
+    return df.select(*keep, F.explode_outer(tokens).alias(name)).filter(F.col(name).isNotNull())
 
 
 def _field_postings(df: DataFrame, key: str, field: str, tokens: Column) -> DataFrame:
@@ -31,20 +38,20 @@ def _field_postings(df: DataFrame, key: str, field: str, tokens: Column) -> Data
         key,
         F.size(A.terms(F.col("tokens"))).alias("field_len"),
         # gaps keep their place in the numbering and are dropped here
-        F.array_sort(F.filter(
+        F.sort_array(F.filter(
             F.transform("tokens", lambda t, i: F.struct(t.alias("t"), i.alias("p"))),
-            lambda x: x["t"].isNotNull())).alias("s"),
-    ).filter("size(s) > 0")
+            lambda x: x["t"].isNotNull())).alias("s"))
     runs = ordered.select("*", F.expr(
-        "filter(sequence(1, size(s)), i -> i = 1 or s[i-1].t <> s[i-2].t)").alias("starts"))
-    sliced = runs.select(key, "field_len", F.explode(F.expr("""
+        "filter(sequence(1, greatest(size(s), 1)), i -> i <= size(s) and (i = 1 or s[i-1].t <> s[i-2].t))").alias("starts"))
+    cut = runs.select(key, "field_len", F.expr("""
         transform(starts, (b, k) -> struct(
             s[b-1].t as term,
             coalesce(get(starts, k+1), size(s)+1) - b as tf,
             transform(slice(s, b, coalesce(get(starts, k+1), size(s)+1) - b), x -> x.p) as positions))
-        """)).alias("x"))
-    return sliced.select(F.lit(field).alias("field"), F.col("x.term").alias("term"), key,
-                         F.col("x.tf").alias("tf"), "field_len", F.col("x.positions").alias("positions"))
+        """).alias("entries"))
+    # outer for the reason given in ``token_rows``
+    out = cut.select(key, "field_len", F.inline_outer("entries")).filter("term is not null")
+    return out.select(F.lit(field).alias("field"), "term", key, "tf", "field_len", "positions")
 
 
 def build_postings(df: DataFrame, key: str, fields: dict) -> DataFrame:
@@ -86,6 +93,7 @@ class TextIndex:
     postings: DataFrame
     vocab: DataFrame
     n_docs: int
+    n_buckets: int
     analyzers: dict
     docs: DataFrame
 
@@ -100,35 +108,36 @@ class TextIndex:
         out = table.filter(F.col("field") == field)
         if terms is None:
             return out
-        buckets = self.postings.sparkSession.createDataFrame(
-            [(t,) for t in terms], "term string").select(term_bucket(F.col("term")))
-        wanted = sorted({r[0] for r in buckets.collect()})  # one value per query term
-        return out.filter(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
+        # literals on both sides: folded before the scan is planned
+        buckets = [term_bucket(F.lit(t), self.n_buckets) for t in terms]
+        return out.filter(F.col("bucket").isin(buckets) & F.col("term").isin(terms))
 
 
-def write_index(df: DataFrame, key: str, fields: dict, path: str) -> None:
+def write_index(df: DataFrame, key: str, fields: dict, path: str, n_buckets: int | None = None) -> None:
     """Build and store the index.
 
-    Rows are placed by (bucket, salt of the document), so the postings of a term
-    found in every document are spread over many tasks and files.
+    Rows are rebalanced by term bucket: AQE splits a bucket that outgrows the
+    advisory size (a term found in every document) and merges small ones.
     """
     spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    salts = max(1, tasks // N_BUCKETS, 4)
-    postings = build_postings(spread(df), key, fields).withColumn("bucket", term_bucket(F.col("term")))
-    (postings.repartition(tasks, "bucket", F.pmod(F.xxhash64(key), F.lit(salts)))
-        .sortWithinPartitions("bucket", "field", "term")
+    if n_buckets is None:
+        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    postings = build_postings(spread(df), key, fields).withColumn("bucket", term_bucket(F.col("term"), n_buckets))
+    (postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "field", "term")
         .write.partitionBy("bucket").parquet(f"{path}/postings"))
     stored = spark.read.parquet(f"{path}/postings")
     (stored.groupBy("bucket", "field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-        .repartition("bucket").sortWithinPartitions("bucket", "field", "term")
+        .hint("rebalance", "bucket").sortWithinPartitions("bucket", "field", "term")
         .write.partitionBy("bucket").parquet(f"{path}/vocab"))
+    (df.agg(F.count(F.lit(1)).alias("n_docs")).withColumn("n_buckets", F.lit(n_buckets))
+        .write.parquet(f"{path}/meta"))
 
 
 def open_index(df: DataFrame, key: str, fields: dict, path: str) -> TextIndex:
     spark = df.sparkSession
+    meta = spark.read.parquet(f"{path}/meta").first()  # one row
     return TextIndex(key, spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/vocab"),
-                     df.count(), fields, df)
+                     meta["n_docs"], meta["n_buckets"], fields, df)
 
 
 def build_index(df: DataFrame, key: str, fields: dict, name: str = "index") -> TextIndex:
@@ -159,7 +168,8 @@ def term_vector(df: DataFrame, key: str, text: str, pattern: str = A.STANDARD) -
             {"term": m.group().lower(), "pos": i, "start": m.start(), "end": m.end()}
             for i, m in enumerate(compiled.finditer(t))], na_action="ignore")
 
-    return df.select(key, F.explode(spans(text)).alias("t")).select(key, "t.*")
+    return (df.select(key, spans(text).alias("t")).select(key, F.inline_outer("t"))
+            .filter("term is not null"))
 
 
 # --- work on the vocabulary instead of the text -----------------------------
@@ -191,5 +201,5 @@ def decompound(vocab: DataFrame, words: DataFrame, min_word: int = 5, min_part:
     """
     long_terms = vocab.select("term").distinct().filter(F.length("term") >= min_word)
     grams = A._grams(F.col("term"), min_part, max_part)
-    parts = long_terms.select("term", F.explode(F.array_distinct(grams)).alias("part"))
+    parts = token_rows(long_terms, F.array_distinct(grams), "part", "term")
     return parts.filter(F.col("part") != F.col("term")).join(words.select(F.col("word").alias("part")), "part", "left_semi")

@@ -72,7 +72,8 @@ def analyse_query(index: TextIndex, field: str, text: str, analyzer=None) -> lis
 def query_terms(index: TextIndex, field: str, texts: DataFrame, analyzer=None) -> DataFrame:
     """``(qid, ord, term)`` for a table of queries ``(qid, text)``."""
     chain = A.pick_analyzer("search", query=analyzer, index=index.analyzers[field])
-    return texts.select("qid", F.posexplode(A.terms(chain(F.col("text")))).alias("ord", "term"))
+    return (texts.select("qid", F.posexplode_outer(A.terms(chain(F.col("text")))).alias("ord", "term"))
+            .filter("term is not null"))
 
 
 def _literal_terms(index: TextIndex, terms: list[str], boosts: list[float] | None = None) -> DataFrame:

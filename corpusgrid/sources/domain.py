@@ -88,13 +88,10 @@ def write_index(df: DataFrame, path: str, n_shards: int = N_SHARDS, mode: str =
     """Store a collection in shards by hash of routing (or id).
 
     A shard may be far bigger than the rest (one tenant with a third of all
-    rows), so rows are dealt to several tasks per shard.
+    rows); the rebalance splits it over several tasks and files.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), cores)
     sharded = df.withColumn("_shard", shard_of(F.coalesce("_routing", "_id"), n_shards))
-    salt = F.pmod(F.xxhash64("_id"), F.lit(max(1, tasks // n_shards)))
-    (sharded.repartition(tasks, "_type", "_shard", salt)
+    (sharded.hint("rebalance", "_type", "_shard")
         .write.mode(mode).partitionBy("_type", "_shard").parquet(path))
 
 
@@ -104,9 +101,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def write_periods(df: DataFrame, path: str, field: str, period: str = "month") -> None:
     """One time-based index per period, as partitions of one dataset."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    dated = by_period(df, field, period)
-    (dated.repartition(tasks, "_period", F.pmod(F.xxhash64(*df.columns[:1]), F.lit(4)))
+    (by_period(df, field, period).hint("rebalance", "_period")
         .write.partitionBy("_period").parquet(path))
 
 
