@@ -1,6 +1,6 @@
 """Registered queries: every operator on the driver tables, with its oracle SQL."""
 
-from catalog import analysis, filters  # noqa: F401
+from catalog import analysis, filters, scored  # noqa: F401
 from catalog.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -342,22 +342,27 @@ def fuzzy_like_this(index: TextIndex, field: str, seeds: DataFrame, min_similari
                     prefix_length: int = 1, max_query_terms: int = 25, ignore_tf: bool = False,
                     boost: float = 1.0) -> Clause:
     """The seed's best terms, each widened to vocabulary terms within the edit
-    distance. ``prefix_length`` of at least 1 makes the widening an equi-join."""
+    distance.
+
+    Widening runs once per distinct seed term, as an equi-join on the shared
+    prefix and the admissible lengths.
+    """
     if prefix_length < 1:
         raise ValueError("fuzzy_like_this needs prefix_length >= 1")
     picked = pick_like_terms(index, field, seeds, min_term_freq=1, min_doc_freq=1,
                              max_query_terms=max_query_terms)
-    head = F.substring("term", 1, prefix_length)
-    wanted = picked.select("qid", F.col("term").alias("seed"), "tf", head.alias("head"))
-    words = index.words(field).select("term", head.alias("head"))
-    edits = F.levenshtein(F.col("term"), F.col("seed"))
-    allowed = (F.floor((1 - F.lit(min_similarity)) * F.length("seed")) if min_similarity < 1
-               else F.lit(int(min_similarity)))
-    length_ok = F.abs(F.length("term") - F.length("seed")) <= allowed
-    near = (wanted.join(words, "head").filter(length_ok).withColumn("edits", edits)
-            .filter(F.col("edits") <= allowed))
+    size = F.length("seed")
+    allowed = (F.floor((1 - F.lit(min_similarity)) * size) if min_similarity < 1
+               else F.lit(int(min_similarity))).cast("int")
+    wanted = (picked.select(F.col("term").alias("seed")).distinct().withColumn("allowed", allowed)
+              .withColumn("head", F.substring("seed", 1, prefix_length))
+              .withColumn("len", F.explode(F.sequence(F.greatest(size - F.col("allowed"), F.lit(1)), size + F.col("allowed")))))
+    words = index.words(field).select("term", F.substring("term", 1, prefix_length).alias("head"), F.length("term").alias("len"))
+    near = (wanted.join(words, ["head", "len"]).withColumn("edits", F.levenshtein("term", "seed"))
+            .filter(F.col("edits") <= F.col("allowed")).select("seed", "term", "edits"))
     strength = (1 - F.col("edits") / F.length("seed")) * (F.lit(1.0) if ignore_tf else F.sqrt("tf")) * boost
-    widened = near.groupBy("qid", "term").agg(F.max(strength).alias("boost"))
+    widened = (picked.select("qid", F.col("term").alias("seed"), "tf").join(near, "seed")
+               .groupBy("qid", "term").agg(F.max(strength).alias("boost")))
     return _term_clause(index, field, widened, None, F.lit(1), coord=False)
 
 
