@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusgrid.operators import queries as Q
 from corpusgrid.operators.queries import Clause
+from corpusgrid.session import materialise
 
 
 @dataclass(frozen=True)
@@ -180,18 +181,19 @@ class View:
 
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """Global 1-based rank without a single-partition window."""
-    ordered = df.orderBy(*order).withColumn("_mono", F.monotonically_increasing_id())
-    # The id is (partition << 33) + position; partition totals turn it into a rank.
-    part = F.shiftrightunsigned("_mono", 33)
-    placed = ordered.withColumn("_part", part).withColumn(
-        "_pos", F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1)))
-    totals = placed.groupBy("_part").agg(F.max("_pos").alias("_n"))  # one row per partition
-    before = totals.withColumn("_before", F.coalesce(
-        F.sum(F.col("_n") + 1).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (placed.join(F.broadcast(before.select("_part", "_before")), "_part")
-            .withColumn(name, F.col("_before") + F.col("_pos") + 1)
-            .drop("_mono", "_part", "_pos", "_before"))
+    """Global 1-based rank without a single-partition window.
+
+    The range-partitioned sort is written once, so that the row positions seen by
+    the totals and by the ranks are the same.
+    """
+    numbered = materialise(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    # the id is (partition << 33) + position inside the partition
+    part, position = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    totals = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # a row per partition
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    return (numbered.withColumn("_part", part).join(F.broadcast(before), "_part")
+            .withColumn(name, F.col("_before") + position + 1).drop("_at", "_part", "_before"))
 
 
 def combine(docs: DataFrame, key: str, query: Clause | None, filter_: Column | None) -> Clause:
