@@ -165,8 +165,8 @@ def save(current: DataFrame, batch: DataFrame) -> WriteResult:
     return write(current, batch)
 
 
-def overwrite(current: DataFrame, batch: DataFrame) -> DataFrame:
-    """Write whatever is stored; the new snapshot.
+def overwritten(current: DataFrame, batch: DataFrame) -> DataFrame:
+    """Final rows of a batch of overwrites.
 
     Every action succeeds, so an id's version grows by its number of actions and
     its last action is what stays: one partial aggregation.
@@ -175,8 +175,13 @@ def overwrite(current: DataFrame, batch: DataFrame) -> DataFrame:
     body = [c for c in batch.columns if c not in (*KEY, "_seq", "_version")]
     last = batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"),
                                    F.max_by(F.struct(*body), "_seq").alias("r"))
-    rows = last.join(_versions(current), KEY, "left").select(
+    return last.join(_versions(current), KEY, "left").select(
         *KEY, (F.coalesce("_stored", F.lit(0)) + F.col("_n")).cast("long").alias("_version"), "r.*")
+
+
+def overwrite(current: DataFrame, batch: DataFrame) -> DataFrame:
+    """Write whatever is stored; the new snapshot."""
+    rows = overwritten(current, batch)
     return current.join(rows.select(*KEY), KEY, "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
@@ -205,7 +210,8 @@ def delete(current: DataFrame, batch: DataFrame, ignore_missing: bool = False) -
 
 def resolve(result: WriteResult, resolver: Callable[[DataFrame], DataFrame]) -> WriteResult:
     """Apply a caller's resolution: it turns conflicts into a new batch."""
-    return write(result.snapshot, resolver(result.conflicts))
+    batch = materialise(resolver(result.conflicts), "resolved")
+    return write(materialise(result.snapshot, "snapshot"), batch)
 
 
 # --- change detection -------------------------------------------------------
@@ -297,13 +303,12 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
         rows = verdict.groupBy("_seq").agg(
             F.bool_or(lost).alias("lost"),
             F.bool_and((F.col("_seq") == F.col("first")) & ~waiting).alias("ready"))
-        settled = materialise(rows.select("_seq", "lost", (F.col("ready") & ~F.col("lost")).alias("win")), "unique-round")
+        settled = rows.select("_seq", "lost", (F.col("ready") & ~F.col("lost")).alias("win"))
         winners = settled.filter("win").select("_seq")
         taken = open_.join(winners, "_seq", "left_semi").select(*pair).distinct()
-        losers = (open_.join(taken, pair, "left_semi").select("_seq")
-                  .unionByName(settled.filter("lost").select("_seq")).distinct()
-                  .join(winners, "_seq", "left_anti"))
-        new = materialise(winners.withColumn("ok", F.lit(True)).unionByName(losers.withColumn("ok", F.lit(False))), "unique-new")
+        robbed = open_.join(taken, pair, "left_semi").select("_seq", F.lit(False).alias("win"), F.lit(True).alias("lost"))
+        # a winner is among those that hold a taken key, and stays a winner
+        new = materialise(settled.filter("win or lost").unionByName(robbed).groupBy("_seq").agg(F.bool_or("win").alias("ok")), "unique-new")
         if new.isEmpty():
             break
         accepted = accepted.unionByName(new.filter("ok").select("_seq"))

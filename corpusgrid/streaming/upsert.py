@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corpusgrid.operators import writes
 from corpusgrid.operators.writes import KEY
@@ -28,11 +29,11 @@ def latest(deltas: DataFrame) -> DataFrame:
 def _read_deltas(spark: SparkSession, path: str, schema: StructType, before: int) -> DataFrame:
     """Deltas of earlier batches; the batch number prunes the listing."""
     try:
-        deltas = spark.read.schema(schema.add("_batch", "long")).parquet(f"{path}/rows")
-    except Exception as error:  # nothing written yet
-        if "PATH_NOT_FOUND" not in str(error):
+        deltas = spark.read.schema(StructType([*schema.fields, StructField("_batch", LongType())])).parquet(f"{path}/rows")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema)  # nothing written yet
     return deltas.filter(F.col("_batch") < before).drop("_batch")
 
 
@@ -54,14 +55,16 @@ def stream_upsert(stream: DataFrame, path: str, checkpoint: str, mode: str = "sa
         earlier = _read_deltas(spark, path, StructType(list(fields)), batch_id)
         current = latest(earlier.join(batch.select(*KEY).distinct(), KEY, "left_semi"))
         if mode == "overwrite":
-            batch = batch.withColumn("_version", F.lit(0).cast("long"))
-        result = writes.create(current, batch) if mode == "create" else writes.write(current, batch)
-        (result.success.select(*schema.names).write.mode("overwrite")
-            .parquet(f"{path}/rows/_batch={batch_id}"))
-        (result.conflicts.select(*KEY, "_seq", "error").write.mode("overwrite")
-            .parquet(f"{path}/conflicts/_batch={batch_id}"))
-        if conflicts is not None:
-            conflicts(result.conflicts, batch_id)
+            rows, failed = writes.overwritten(current, batch), None
+        else:
+            result = writes.create(current, batch) if mode == "create" else writes.write(current, batch)
+            rows, failed = result.success, result.conflicts
+        rows.select(*schema.names).write.mode("overwrite").parquet(f"{path}/rows/_batch={batch_id}")
+        if failed is not None:
+            (failed.select(*KEY, "_seq", "error").write.mode("overwrite")
+                .parquet(f"{path}/conflicts/_batch={batch_id}"))
+            if conflicts is not None:
+                conflicts(failed, batch_id)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
