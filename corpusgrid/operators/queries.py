@@ -1,17 +1,20 @@
 """Scored queries over the index tables.
 
-A ``Clause`` answers any number of queries at once: rows carry a query id
-``qid``, and a single query is the case with ``qid`` 0. Scores are classic
-TF-IDF in doubles:
+Scores are classic TF-IDF in doubles:
 
     idf = 1 + ln(N / (df + 1))        clause = sqrt(tf) * idf^2 * boost / sqrt(len)
     query norm = 1 / sqrt(sum((idf * boost)^2)), applied once, outermost
     coord = matched clauses / all clauses
 
-``weights`` are the (idf * boost)^2 parts that enter the query norm (none for
-constant scores); ``hits`` turns the norm table ``(qid, qnorm)`` into scored
-rows ``(qid, key, score)``. The norm meets only the few query-term rows, and
-these meet the postings, so no scored row is ever joined for normalisation.
+A ``Clause`` answers one query, or a whole table of queries ``(qid, text)`` in
+one job. For one query the document frequencies of its terms are looked up when
+the clause is made (as many rows as the query has terms, from their buckets), so
+that scoring is a single pass over the matching postings without any join. For a
+table of queries the weights stay a DataFrame that is joined to the postings.
+
+``ssw`` is what the clause adds to the query norm: a number, or ``(qid, ssw)``
+rows; ``hits`` turns the norm (a number, or ``(qid, qnorm)`` rows) into scored
+rows ``(qid, key, score)``.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import math
 import operator
 import re
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -29,44 +33,48 @@ from pyspark.sql import functions as F
 from corpusgrid.functions import analysis as A
 from corpusgrid.functions import filters as flt
 from corpusgrid.operators.index import TextIndex
+from corpusgrid.session import literal_rows
 
 
 @dataclass(frozen=True)
 class Clause:
     key: str
-    hits: Callable[[DataFrame | None], DataFrame]
-    weights: DataFrame | None = None
+    hits: Callable[[float | DataFrame], DataFrame]
+    ssw: float | DataFrame = 0.0
 
     def raw(self) -> DataFrame:
         """Scored rows with the query norm applied, full precision."""
-        if self.weights is None:
-            return self.hits(None)
-        norm = self.weights.groupBy("qid").agg((1 / F.sqrt(F.sum("ssw"))).alias("qnorm"))
-        return self.hits(norm)
+        if isinstance(self.ssw, DataFrame):
+            return self.hits(self.ssw.groupBy("qid").agg((1 / F.sqrt(F.sum("ssw"))).alias("qnorm")))
+        return self.hits(1 / math.sqrt(self.ssw) if self.ssw else 1.0)
 
     def scores(self) -> DataFrame:
         """``(qid, key, score)``, rounded so that summing order cannot show."""
         return self.raw().select("qid", self.key, F.round("score", 6).alias("score"))
 
 
-def _scaled(weights: DataFrame | None, factor: float) -> DataFrame | None:
-    return None if weights is None else weights.select("qid", (F.col("ssw") * (factor * factor)).alias("ssw"))
+def _union(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def _union(frames) -> DataFrame | None:
-    frames = [f for f in frames if f is not None]
-    return reduce(DataFrame.unionByName, frames) if frames else None
+def _total_ssw(clauses: list[Clause], factor: float = 1.0) -> float | DataFrame:
+    tables = [c.ssw for c in clauses if isinstance(c.ssw, DataFrame)]
+    if not tables:
+        return factor * factor * sum(c.ssw for c in clauses)
+    if any(c.ssw for c in clauses if not isinstance(c.ssw, DataFrame)):
+        raise ValueError("one query and a table of queries cannot be combined")
+    return _union(tables).select("qid", (F.col("ssw") * (factor * factor)).alias("ssw"))
 
 
 # --- query terms ------------------------------------------------------------
 
 def analyse_query(index: TextIndex, field: str, text: str, analyzer=None) -> list[str]:
-    """Terms of one query text (a one-row expression, folded by the optimizer)."""
+    """Terms of one query text; the optimizer folds the one-row plan, no job runs."""
     if text is None:
         raise ValueError("a query needs a value")
     chain = A.pick_analyzer("search", query=analyzer, index=index.analyzers[field])
-    one = index.docs.sparkSession.range(1).select(A.terms(chain(F.lit(text))).alias("t"))
-    return one.first()["t"]
+    one = literal_rows(index.docs.sparkSession, text=[text])
+    return one.select(A.terms(chain(F.col("text"))).alias("t")).first()["t"]
 
 
 def query_terms(index: TextIndex, field: str, texts: DataFrame, analyzer=None) -> DataFrame:
@@ -76,62 +84,92 @@ def query_terms(index: TextIndex, field: str, texts: DataFrame, analyzer=None) -
             .filter("term is not null"))
 
 
-def _literal_terms(index: TextIndex, terms: list[str], boosts: list[float] | None = None) -> DataFrame:
-    rows = [(0, i, t, float(b)) for i, (t, b) in enumerate(zip(terms, boosts or [1.0] * len(terms)))]
-    return index.docs.sparkSession.createDataFrame(rows, "qid int, ord int, term string, boost double")
-
-
 def _idf(index: TextIndex, df: Column) -> Column:
     return 1 + F.log(F.lit(float(index.n_docs)) / (F.coalesce(df, F.lit(0)) + 1))
 
 
-def _weigh(index: TextIndex, field: str, qterms: DataFrame, terms: list[str] | None) -> DataFrame:
-    """Query terms with idf; a term absent from the vocabulary keeps df 0."""
-    vocab = index.words(field, terms).select("term", "df")
-    weighted = (qterms.join(vocab, "term", "left")
-                .withColumn("idf", _idf(index, F.col("df")))
-                .withColumn("ssw", (F.col("idf") * F.col("boost")) ** 2))
-    # Terms given on the driver are few; a table of queries is left to the optimizer.
-    return weighted if terms is None else F.broadcast(weighted)
+def _idfs(index: TextIndex, field: str, terms: list[str]) -> dict[str, float]:
+    """idf of the terms of one query; a term absent from the vocabulary has df 0."""
+    found = index.words(field, sorted(set(terms))).select("term", "df").collect()
+    df = {r["term"]: r["df"] for r in found}
+    return {t: 1 + math.log(index.n_docs / (df.get(t, 0) + 1)) for t in terms}
+
+
+def _by_term(values: dict[str, float]) -> Column:
+    """Number that belongs to the row's term."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("term"))
+
 
+def _one_query(index: TextIndex, field: str, terms: list[str], boosts: list[float],
+               need: int = 1, coord: bool = True) -> Clause:
+    """Sum of term scores for one query; at least ``need`` clauses must match."""
+    idf = _idfs(index, field, terms)
+    ssw = sum((idf[t] * b) ** 2 for t, b in zip(terms, boosts))
+    uses = Counter(terms)
 
-def _with_norm(weighted: DataFrame, norm: DataFrame) -> DataFrame:
-    return weighted.join(norm, "qid")
+    def hits(qnorm: float) -> DataFrame:
+        coef: dict[str, float] = dict.fromkeys(uses, 0.0)
+        for t, b in zip(terms, boosts):
+            coef[t] += idf[t] ** 2 * b * qnorm
+        part = F.sqrt("tf") / F.sqrt("field_len") * _by_term(coef)
+        rows = index.lookup(field, list(uses))
+        if len(uses) == 1:
+            # one posting per document: nothing to add up
+            kept = rows.filter(F.lit(need <= len(terms)))
+            return kept.select(F.lit(0).alias("qid"), index.key, part.alias("score"))
+        matched = F.count(F.lit(1)) if len(uses) == len(terms) else F.sum(_by_term(dict(uses)))
+        sums = rows.groupBy(index.key).agg(F.sum(part).alias("score"), matched.alias("matched"))
+        score = F.col("score") * F.col("matched") / len(terms) if coord else F.col("score")
+        return sums.filter(F.col("matched") >= need).select(F.lit(0).alias("qid"), index.key, score.alias("score"))
 
+    return Clause(index.key, hits, ssw)
 
-def _term_clause(index: TextIndex, field: str, qterms: DataFrame, terms: list[str] | None,
-                 need: Column, coord: bool = True) -> Clause:
-    """Sum of term scores; ``need`` is the least number of matched clauses,
-    an expression over ``n_terms``."""
+
+def _many_queries(index: TextIndex, field: str, qterms: DataFrame, need: Column, coord: bool = True) -> Clause:
+    """The same for rows ``(qid, term, boost)``; ``need`` is over ``n_terms``.
+
+    Only the query side is weighed and normalised; it then meets the postings
+    once. A frequent term is a skewed join key, which AQE splits.
+    """
     totals = qterms.groupBy("qid").agg(F.count(F.lit(1)).alias("n_terms"))
-    weighted = _weigh(index, field, qterms, terms)
+    vocab = index.words(field).select("term", "df")
+    weighted = (qterms.join(vocab, "term", "left").withColumn("idf", _idf(index, F.col("df")))
+                .withColumn("ssw", (F.col("idf") * F.col("boost")) ** 2))
 
     def hits(norm: DataFrame) -> DataFrame:
-        w = (_with_norm(weighted, norm).join(totals, "qid").select(
-            "qid", "term", "n_terms",
-            (F.col("idf") ** 2 * F.col("boost") * F.col("qnorm")).alias("coef")))
-        if terms is not None:
-            w = F.broadcast(w)
-        matched = index.lookup(field, terms).join(w, "term").groupBy("qid", index.key).agg(
+        w = weighted.join(norm, "qid").join(totals, "qid").select(
+            "qid", "term", "n_terms", (F.col("idf") ** 2 * F.col("boost") * F.col("qnorm")).alias("coef"))
+        sums = index.lookup(field).join(w, "term").groupBy("qid", index.key).agg(
             F.sum(F.sqrt("tf") / F.sqrt("field_len") * F.col("coef")).alias("score"),
             F.count(F.lit(1)).alias("matched"), F.first("n_terms").alias("n_terms"))
         score = F.col("score") * F.col("matched") / F.col("n_terms") if coord else F.col("score")
-        return matched.filter(F.col("matched") >= need).select("qid", index.key, score.alias("score"))
+        return sums.filter(F.col("matched") >= need).select("qid", index.key, score.alias("score"))
 
     return Clause(index.key, hits, weighted.select("qid", "ssw"))
 
 
-def _required(operator_: str, minimum_should_match) -> Column:
+def required(n_terms: int, operator_: str, minimum_should_match) -> int:
     """Least number of clauses: a count, a negative count, or a percentage."""
     if operator_ == "and":
-        return F.col("n_terms")
+        return n_terms
     m = minimum_should_match
     if isinstance(m, str) and m.endswith("%"):
         share = int(m[:-1])
-        part = F.floor(F.col("n_terms") * abs(share) / 100)
-        return F.greatest(part if share >= 0 else F.col("n_terms") - part, F.lit(1))
-    m = int(m)
-    return F.lit(max(m, 1)) if m >= 0 else F.greatest(F.col("n_terms") + m, F.lit(1))
+        part = math.floor(n_terms * abs(share) / 100)
+        return max(part if share >= 0 else n_terms - part, 1)
+    return max(int(m) if int(m) >= 0 else n_terms + int(m), 1)
+
+
+def _required(operator_: str, minimum_should_match) -> Column:
+    """The same as an expression over ``n_terms``."""
+    n = F.col("n_terms")
+    if operator_ == "and":
+        return n
+    m = minimum_should_match
+    if isinstance(m, str) and m.endswith("%"):
+        part = F.floor(n * abs(int(m[:-1])) / 100)
+        return F.greatest(part if int(m[:-1]) >= 0 else n - part, F.lit(1))
+    return F.greatest(F.lit(int(m)) if int(m) >= 0 else n + int(m), F.lit(1))
 
 
 # --- full text --------------------------------------------------------------
@@ -140,18 +178,17 @@ def match(index: TextIndex, field: str, text: str | DataFrame, operator: str = "
           minimum_should_match=1, boost: float = 1.0, analyzer=None, fuzziness=None,
           prefix_length: int = 0, max_expansions: int = 50) -> Clause:
     """Analysed full-text match of one text, or of a table ``(qid, text)``."""
-    need = _required(operator, minimum_should_match)
     if isinstance(text, DataFrame):
         qterms = query_terms(index, field, text, analyzer).withColumn("boost", F.lit(float(boost)))
-        return _term_clause(index, field, qterms, None, need)
-    terms = analyse_query(index, field, text, analyzer)
-    if not terms:
+        return _many_queries(index, field, qterms, _required(operator, minimum_should_match))
+    words = analyse_query(index, field, text, analyzer)
+    if not words:
         raise ValueError("the query text has no terms")
+    need = required(len(words), operator, minimum_should_match)
     if fuzziness is not None:
-        parts = [fuzzy(index, field, t, fuzziness, prefix_length, max_expansions, boost) for t in terms]
-        least = len(parts) if operator == "and" else int(minimum_should_match)
-        return bool_(should=parts, minimum_should_match=least)
-    return _term_clause(index, field, _literal_terms(index, terms, [boost] * len(terms)), terms, need)
+        parts = [fuzzy(index, field, w, fuzziness, prefix_length, max_expansions, boost) for w in words]
+        return bool_(should=parts, minimum_should_match=need)
+    return _one_query(index, field, words, [float(boost)] * len(words), need)
 
 
 def term(index: TextIndex, field: str, value: str, boost: float = 1.0) -> Clause:
@@ -162,8 +199,8 @@ def term(index: TextIndex, field: str, value: str, boost: float = 1.0) -> Clause
 def terms(index: TextIndex, field: str, values: list[str], minimum_match=1, boost: float = 1.0) -> Clause:
     if not values or any(v is None for v in values):
         raise ValueError("a term query needs values")
-    return _term_clause(index, field, _literal_terms(index, values, [boost] * len(values)), list(values),
-                        _required("or", minimum_match))
+    return _one_query(index, field, list(values), [float(boost)] * len(values),
+                      required(len(values), "or", minimum_match))
 
 
 def multi_match(index: TextIndex, fields: list[str], text: str, use_dis_max: bool = True,
@@ -186,24 +223,24 @@ def multi_match(index: TextIndex, fields: list[str], text: str, use_dis_max: boo
 
 def _phrase(index: TextIndex, field: str, groups: list[list[str]], slop: int, boost: float) -> Clause:
     """Terms in order; each place of the phrase is a group of alternatives."""
-    all_terms = sorted({t for g in groups for t in g})
-    spark = index.docs.sparkSession
-    places = spark.createDataFrame([(i, t) for i, g in enumerate(groups) for t in g], "ord int, term string")
-    slots = _literal_terms(index, [t for g in groups for t in g])
-    weight = (_weigh(index, field, slots, all_terms).groupBy("qid")
-              .agg(F.sum("idf").alias("idf"))
-              .withColumn("ssw", (F.col("idf") * boost) ** 2))
+    slots = [(i, t) for i, g in enumerate(groups) for t in g]
+    idf = _idfs(index, field, [t for _, t in slots])
+    weight = sum(idf[t] for _, t in slots)
     n = len(groups)
+    # places of a term in the phrase, as offsets to take off its positions
+    places = {t: F.array(*[F.lit(i) for i, u in slots if u == t]) for t in idf}
 
-    def hits(norm: DataFrame) -> DataFrame:
+    def hits(qnorm: float) -> DataFrame:
+        offsets = F.element_at(F.create_map(*[x for t, p in places.items() for x in (F.lit(t), p)]), F.col("term"))
         # start = where the phrase would begin if this occurrence is its ord-th word
-        occurrences = (index.lookup(field, all_terms).join(F.broadcast(places), "term")
-                       .withColumn("starts", F.transform("positions", lambda p: p - F.col("ord"))))
-        per_place = occurrences.groupBy(index.key, "ord").agg(
-            F.flatten(F.collect_list("starts")).alias("starts"), F.first("field_len").alias("field_len"))
-        docs = (per_place.groupBy(index.key).agg(
-            F.collect_list("starts").alias("starts"), F.first("field_len").alias("field_len"))
-            .filter(F.size("starts") == n))
+        placed = (index.lookup(field, list(idf)).select(index.key, "field_len", "positions", F.explode(offsets).alias("ord"))
+                  .select(index.key, "field_len", "ord", F.transform("positions", lambda p: p - F.col("ord")).alias("starts")))
+        if any(len(g) > 1 for g in groups):
+            placed = placed.groupBy(index.key, "ord").agg(
+                F.flatten(F.collect_list("starts")).alias("starts"), F.first("field_len").alias("field_len"))
+        # at most one row per place of the phrase meets in a document
+        docs = placed.groupBy(index.key).agg(
+            F.collect_list("starts").alias("starts"), F.first("field_len").alias("field_len")).filter(F.size("starts") == n)
         if slop == 0:
             freq = F.size(F.reduce("starts", F.col("starts")[0], F.array_intersect)).cast("double")
         else:
@@ -213,13 +250,11 @@ def _phrase(index: TextIndex, field: str, groups: list[list[str]], slop: int, bo
                     F.array_min(F.filter(a, lambda x: x >= s)), s + F.lit(slop + 1)))) - s)
             freq = F.aggregate(F.filter(spreads, lambda d: d <= slop), F.lit(0.0),
                                lambda acc, d: acc + 1 / (1 + d))
-        w = F.broadcast(weight.join(norm, "qid").select(
-            "qid", (F.col("idf") ** 2 * boost * F.col("qnorm")).alias("coef"), F.lit(True).alias("hit")))
         found = docs.select(index.key, "field_len", freq.alias("freq")).filter("freq > 0")
-        return found.withColumn("hit", F.lit(True)).join(w, "hit").select(
-            "qid", index.key, (F.sqrt("freq") * F.col("coef") / F.sqrt("field_len")).alias("score"))
+        score = F.sqrt("freq") * (weight ** 2 * boost * qnorm) / F.sqrt("field_len")
+        return found.select(F.lit(0).alias("qid"), index.key, score.alias("score"))
 
-    return Clause(index.key, hits, weight.select("qid", "ssw"))
+    return Clause(index.key, hits, (weight * boost) ** 2)
 
 
 def match_phrase(index: TextIndex, field: str, text: str, slop: int = 0, boost: float = 1.0,
@@ -298,7 +333,7 @@ def fuzzy(index: TextIndex, field: str, value: str, min_similarity: float = 0.5,
     if not found:
         return _constant(index.key, index.docs.select(index.key).filter(F.lit(False)), boost)
     boosts = [boost * (1 - r["edits"] / max(len(value), 1)) for r in near]
-    return _term_clause(index, field, _literal_terms(index, found, boosts), found, F.lit(1), coord=False)
+    return _one_query(index, field, found, boosts, coord=False)
 
 
 # --- like this --------------------------------------------------------------
@@ -335,7 +370,7 @@ def more_like_this(index: TextIndex, field: str, seeds: DataFrame, percent_terms
     else:
         picked = picked.withColumn("boost", F.lit(float(boost)))
     need = F.greatest(F.floor(F.col("n_terms") * percent_terms_to_match), F.lit(1))
-    return _term_clause(index, field, picked.select("qid", "term", "boost"), None, need)
+    return _many_queries(index, field, picked.select("qid", "term", "boost"), need)
 
 
 def fuzzy_like_this(index: TextIndex, field: str, seeds: DataFrame, min_similarity: float = 0.5,
@@ -363,7 +398,7 @@ def fuzzy_like_this(index: TextIndex, field: str, seeds: DataFrame, min_similari
     strength = (1 - F.col("edits") / F.length("seed")) * (F.lit(1.0) if ignore_tf else F.sqrt("tf")) * boost
     widened = (picked.select("qid", F.col("term").alias("seed"), "tf").join(near, "seed")
                .groupBy("qid", "term").agg(F.max(strength).alias("boost")))
-    return _term_clause(index, field, widened, None, F.lit(1), coord=False)
+    return _many_queries(index, field, widened, F.lit(1), coord=False)
 
 
 # --- constant-score clauses -------------------------------------------------
@@ -436,17 +471,15 @@ def nested(docs: DataFrame, key: str, path: str, score: Callable[[Column], Colum
 
 def boost(clause: Clause, factor: float) -> Clause:
     """Weigh a clause inside a larger query."""
-    def hits(norm):
-        return clause.hits(norm).withColumn("score", F.col("score") * float(factor))
-    return Clause(clause.key, hits, _scaled(clause.weights, factor))
+    return Clause(clause.key, lambda norm: _times(clause.hits(norm), factor), _total_ssw([clause], factor))
+
 
+def _times(rows: DataFrame, factor: float) -> DataFrame:
+    return rows.withColumn("score", F.col("score") * float(factor))
 
-def _tagged(parts: list[tuple[str, Clause]], norm) -> DataFrame:
-    frames = []
-    for role, c in parts:
-        part_norm = norm if c.weights is not None else None
-        frames.append(c.hits(part_norm).select("qid", c.key, "score", F.lit(role).alias("role")))
-    return _union(frames)
+
+def _tagged(rows: DataFrame, key: str, role: str) -> DataFrame:
+    return rows.select("qid", key, "score", F.lit(role).alias("role"))
 
 
 def bool_(must=(), should=(), must_not=(), minimum_should_match: int | None = None,
@@ -464,13 +497,12 @@ def bool_(must=(), should=(), must_not=(), minimum_should_match: int | None = No
     key = (must + should)[0].key
     total = len(must) + len(should)
     least = minimum_should_match if minimum_should_match is not None else (0 if must else 1)
-    parts = [("must", c) for c in must] + [("should", c) for c in should] + [("not", c) for c in must_not]
-    weights = _scaled(_union(c.weights for c in must + should), factor)
 
     def hits(norm):
         # an excluded clause never scores, so it is normalised by itself
-        rows = _union([_tagged(parts[:total], norm),
-                       *[c.raw().select("qid", key, "score", F.lit("not").alias("role")) for c in must_not]])
+        rows = _union([*[_tagged(c.hits(norm), key, "must") for c in must],
+                       *[_tagged(c.hits(norm), key, "should") for c in should],
+                       *[_tagged(c.raw(), key, "not") for c in must_not]])
         scoring = F.col("role") != "not"
         folded = rows.groupBy("qid", key).agg(
             F.sum(F.when(scoring, F.col("score"))).alias("score"),
@@ -482,7 +514,7 @@ def bool_(must=(), should=(), must_not=(), minimum_should_match: int | None = No
         coord = F.lit(1.0) if disable_coord else F.col("matched") / total
         return kept.select("qid", key, (F.col("score") * coord * float(factor)).alias("score"))
 
-    return Clause(key, hits, weights)
+    return Clause(key, hits, _total_ssw(must + should, factor))
 
 
 def not_(clause: Clause, docs: DataFrame) -> Clause:
@@ -494,15 +526,14 @@ def not_(clause: Clause, docs: DataFrame) -> Clause:
 def dis_max(clauses: list[Clause], tie_breaker: float = 0.0, factor: float = 1.0) -> Clause:
     """Best clause score plus a share of the others."""
     key = clauses[0].key
-    weights = _scaled(_union(c.weights for c in clauses), factor)
 
     def hits(norm):
-        best = _tagged([("any", c) for c in clauses], norm).groupBy("qid", key).agg(
+        best = _union([c.hits(norm).select("qid", key, "score") for c in clauses]).groupBy("qid", key).agg(
             F.max("score").alias("best"), F.sum("score").alias("total"))
         score = F.col("best") + (F.col("total") - F.col("best")) * float(tie_breaker)
         return best.select("qid", key, (score * float(factor)).alias("score"))
 
-    return Clause(key, hits, weights)
+    return Clause(key, hits, _total_ssw(clauses, factor))
 
 
 def boosting(positive: Clause, negative: Clause, negative_boost: float) -> Clause:
@@ -512,14 +543,12 @@ def boosting(positive: Clause, negative: Clause, negative_boost: float) -> Claus
         return positive.hits(norm).join(bad, ["qid", positive.key], "left").select(
             "qid", positive.key,
             (F.col("score") * F.when(F.col("bad"), F.lit(float(negative_boost))).otherwise(1.0)).alias("score"))
-    return Clause(positive.key, hits, positive.weights)
+    return replace(positive, hits=hits)
 
 
 def custom_boost(clause: Clause, factor: float) -> Clause:
     """Multiply the final score (not part of the query norm)."""
-    def hits(norm):
-        return clause.hits(norm).withColumn("score", F.col("score") * float(factor))
-    return replace(clause, hits=hits)
+    return replace(clause, hits=lambda norm: _times(clause.hits(norm), factor))
 
 
 def custom_score(clause: Clause, docs: DataFrame, expression, **params) -> Clause:

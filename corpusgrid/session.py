@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,3 +49,8 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
+
+
+def literal_rows(spark: SparkSession, **columns: list) -> DataFrame:
+    """A few rows given by the caller, as a local relation of known size."""
+    return spark.createDataFrame(pa.table(columns))
