@@ -32,44 +32,46 @@ def token_rows(df: DataFrame, tokens: Column, name: str, *keep: str) -> DataFram
     return df.select(*keep, F.explode_outer(tokens).alias(name)).filter(F.col(name).isNotNull())
 
 
-def _field_postings(df: DataFrame, key: str, field: str, tokens: Column) -> DataFrame:
-    tokenised = df.select(key, tokens.alias("tokens"))
-    ordered = tokenised.select(
-        key,
-        F.size(A.terms(F.col("tokens"))).alias("field_len"),
-        # gaps keep their place in the numbering and are dropped here
-        F.sort_array(F.filter(
-            F.transform("tokens", lambda t, i: F.struct(t.alias("t"), i.alias("p"))),
-            lambda x: x["t"].isNotNull())).alias("s"))
-    runs = ordered.select("*", F.expr(
-        "filter(sequence(1, greatest(size(s), 1)), i -> i <= size(s) and (i = 1 or s[i-1].t <> s[i-2].t))").alias("starts"))
-    cut = runs.select(key, "field_len", F.expr("""
-        transform(starts, (b, k) -> struct(
-            s[b-1].t as term,
-            coalesce(get(starts, k+1), size(s)+1) - b as tf,
-            transform(slice(s, b, coalesce(get(starts, k+1), size(s)+1) - b), x -> x.p) as positions))
-        """).alias("entries"))
-    # outer for the reason given in ``token_rows``
-    out = cut.select(key, "field_len", F.inline_outer("entries")).filter("term is not null")
-    return out.select(F.lit(field).alias("field"), "term", key, "tf", "field_len", "positions")
+def _runs(s: str) -> str:
+    """Positions (from 1) in the sorted array ``s`` where a new term begins."""
+    return f"filter(sequence(1, greatest(size({s}), 1)), i -> i <= size({s}) and (i = 1 or {s}[i-1].t <> {s}[i-2].t))"
+
+
+def _entries(field: str, s: str, b: str) -> str:
+    """One struct per run: the slice of the sorted array up to the next run."""
+    length = f"coalesce(get({b}, k+1), size({s})+1) - b"
+    return f"""transform({b}, (b, k) -> struct('{field}' as field, {s}[b-1].t as term, {length} as tf,
+        size({s}) as field_len, transform(slice({s}, b, {length}), x -> x.p) as positions))"""
 
 
 def build_postings(df: DataFrame, key: str, fields: dict) -> DataFrame:
-    """Postings of several fields.
+    """Postings of several fields, in one pass over the documents.
 
     ``fields`` maps a column to its analyzer, to ``"exact"`` for one untouched
     term per value, or to ``None`` for a field that is not searchable.
     """
-    parts = []
-    for field, analyzer in fields.items():
-        if analyzer is None:
-            continue
-        value = F.col(field).cast("string")
-        tokens = A.tok_keyword(value) if analyzer == "exact" else analyzer(value)
-        parts.append(_field_postings(df, key, field, tokens))
-    if not parts:
+    searched = {f: a for f, a in fields.items() if a is not None}
+    if not searched:
         raise ValueError("no searchable field")
-    return reduce(DataFrame.unionByName, parts)
+    names = {f: f"_f{i}" for i, f in enumerate(searched)}
+
+    def tokens(field: str) -> Column:
+        value = F.col(field).cast("string")
+        out = A.tok_keyword(value) if searched[field] == "exact" else searched[field](value)
+        return F.coalesce(out, F.array().cast("array<string>")).alias(names[field])
+
+    def ordered(field: str) -> Column:
+        # gaps keep their place in the numbering and are dropped here
+        placed = F.transform(names[field], lambda t, i: F.struct(t.alias("t"), i.alias("p")))
+        return F.sort_array(F.filter(placed, lambda x: x["t"].isNotNull())).alias(names[field])
+
+    out = (df.select(key, *[tokens(f) for f in searched])
+           .select(key, *[ordered(f) for f in searched])
+           .select("*", *[F.expr(_runs(n)).alias(f"{n}_b") for n in names.values()])
+           .select(key, F.concat(*[F.expr(_entries(f, n, f"{n}_b")) for f, n in names.items()]).alias("entries"))
+           # outer for the reason given in ``token_rows``
+           .select(key, F.inline_outer("entries")).filter("term is not null"))
+    return out.select("field", "term", key, "tf", "field_len", "positions")
 
 
 def term_stats(postings: DataFrame) -> DataFrame:

@@ -294,7 +294,7 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
     # rows with nothing to check are in
     accepted = materialise(batch.select("_seq").join(open_.select("_seq"), "_seq", "left_anti"), "unique-ok")
     decided = accepted.withColumn("ok", F.lit(True))
-    while True:
+    while not open_.isEmpty():
         first = open_.groupBy(*pair).agg(F.min("_seq").alias("first"))
         verdict = open_.join(decided, open_["wait_for"] == decided["_seq"], "left").select(
             open_["_seq"], *pair, "wait_for", "lost", "ok").join(first, pair)
@@ -309,8 +309,6 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
         robbed = open_.join(taken, pair, "left_semi").select("_seq", F.lit(False).alias("win"), F.lit(True).alias("lost"))
         # a winner is among those that hold a taken key, and stays a winner
         new = materialise(settled.filter("win or lost").unionByName(robbed).groupBy("_seq").agg(F.bool_or("win").alias("ok")), "unique-new")
-        if new.isEmpty():
-            break
         accepted = accepted.unionByName(new.filter("ok").select("_seq"))
         decided = decided.unionByName(new)
         open_ = materialise(open_.join(new, "_seq", "left_anti"), "unique-open")
