@@ -8,6 +8,7 @@ from corpusgrid.functions import filters as flt
 from corpusgrid.functions import geo
 from corpusgrid.operators import highlight as H
 from corpusgrid.operators import queries as Q
+from corpusgrid.operators.index import term_vector
 from corpusgrid.plans.search import View, combine, search
 from corpusgrid.session import table_path
 from corpusgrid.sources import domain as D
@@ -146,22 +147,37 @@ def _(t):
     return scored(v.index_boosts({"en": 2, "de": 0.5}).matches())
 
 
-@query("r09_highlight", rf"""WITH {POST}, w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+')) AS word FROM documents)
-    SELECT doc_id, count(*) AS tags FROM w WHERE lower(word) IN ('hand', 'only') AND doc_id IN (SELECT doc_id FROM post WHERE term IN ('hand', 'only')) GROUP BY doc_id""")
+def marked_sql(token: str) -> str:
+    """Whole texts with the words hand and only tagged, cut at every token."""
+    return rf"""WITH parts AS (SELECT doc_id, text, unnest(spans) AS span, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM (
+        SELECT doc_id, text, regexp_extract_all(text, '(?s)(.*?)({token})') AS spans, regexp_extract_all(text, '{token}') AS words FROM documents))
+    SELECT doc_id, string_agg(CASE WHEN lower(word) IN ('hand', 'only') THEN left(span, length(span) - length(word)) || '<em>' || word || '</em>' ELSE span END, '' ORDER BY pos)
+        || substr(any_value(text), (sum(length(span)) + 1)::BIGINT) AS body
+    FROM parts GROUP BY doc_id HAVING bool_or(lower(word) IN ('hand', 'only'))"""
+
+
+@query("r09_highlight", marked_sql(r"[\p{L}\p{N}]+"))
 def _(t):
-    """Whole-field highlights; the number of tags is compared."""
-    i = t.text_index()
-    hits = View(i.docs, "doc_id").matching(Q.match(i, "text", "hand only")).matches()
+    """Whole-field highlights, also of words glued to others by a mark."""
+    hits = t.docs.filter(F.col("text").rlike(r"(?i)hand|only"))
     out = H.highlight(hits, ["hand", "only"], {"text": {"number_of_fragments": 0}})
-    body = F.try_element_at("highlight", F.lit("text"))[0]
-    return out.select("doc_id", F.size(F.regexp_extract_all(body, F.lit("(?i)<em>(hand|only)</em>"))).cast("long").alias("tags"))
+    return out.select("doc_id", F.try_element_at("highlight", F.lit("text"))[0].alias("body")).filter("body is not null")
+
+
+@query("r09_highlight_offsets", marked_sql(r"[\p{L}\p{N}]+(?:[.''][\p{L}\p{N}]+)*"))
+def _(t):
+    """The same from stored token offsets."""
+    places = (term_vector(t.docs, "doc_id", "text").filter(F.col("term").isin("hand", "only")).groupBy("doc_id")
+              .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    return t.docs.join(places, "doc_id").select("doc_id", H.wrap_offsets(F.col("text"), F.col("spans")).alias("body"))
 
 
 @query("r09_highlight_fragments")
 def _(t):
     i = t.text_index()
     v = View(i.docs, "doc_id").matching(Q.match(i, "text", "hand only")).page(0, 50)
-    out = H.highlight(v.hits(), ["hand", "only"], {"text": None, "title": {"number_of_fragments": 0}}, pre_tag="<b>", post_tag="</b>", encoder="html")
+    out = H.highlight(v.hits(), ["hand", "only"], {"text": None, "title": {"number_of_fragments": 0}},
+                      {"pre_tag": "<b>", "post_tag": "</b>", "encoder": "html"})
     return out.select("doc_id", F.array_join(F.try_element_at("highlight", F.lit("text")), " ... ").alias("text"))
 
 

@@ -2,8 +2,9 @@
 
 Conventions. An array of operands means OR. A null operand means "missing". On a
 multi-valued field (``many=True``) a predicate holds when any element satisfies
-it. A ``not_`` form also accepts rows without a value, so the inner predicate is
-coalesced to false before it is negated.
+it. Positive filters are plain comparisons, which the Parquet scan can use to skip
+row groups; they may be null on rows without a value, which a filter drops. A
+``not_`` form accepts such rows, so ``negate`` takes null as false first.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def _col(field: str | Column) -> Column:
 
 def _any(field: str | Column, predicate: Predicate, many: bool) -> Column:
     c = _col(field)
-    return F.coalesce(F.exists(c, predicate) if many else predicate(c), F.lit(False))
+    return F.exists(c, predicate) if many else predicate(c)
 
 
 def _as_list(values) -> list:
@@ -323,8 +324,8 @@ def ref_is(field, uids) -> Column:
     wanted = _as_list(uids)
     if not wanted:
         return missing(field)
-    return F.coalesce(reduce(operator.or_, [
-        missing(field) if u is None else _uid_equals(_col(field), u) for u in wanted]), F.lit(False))
+    return reduce(operator.or_, [
+        missing(field) if u is None else _uid_equals(_col(field), u) for u in wanted])
 
 
 def not_ref(field, uids) -> Column:

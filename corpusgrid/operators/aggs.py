@@ -26,22 +26,20 @@ def terms_facet(df: DataFrame, field: str, size: int = 10, many: bool = False) -
     """One row: ``total`` values, rows ``missing`` the field, values in ``other``
     terms, and the top ``terms`` as an array. Rolls up the term counts, so the
     input is read once."""
-    per_row = F.col(field) if many else F.array(field)
-    counted = (df.select(F.explode_outer(F.when(F.size(F.array_compact(per_row)) > 0,
-                                                F.array_distinct(F.array_compact(per_row)))).alias("term"))
+    per_row = F.array_compact(F.col(field) if many else F.array(field))
+    counted = (df.select(F.explode_outer(F.array_distinct(per_row)).alias("term"))
                .groupBy("term").agg(F.count(F.lit(1)).alias("count")))
-    top = (counted.filter("term is not null").orderBy(F.desc("count"), "term").limit(size)
-           .agg(F.sum("count").alias("in_top"),
-                F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("neg"), "term"))).alias("terms"))
-           .withColumn("one", F.lit(1)))
+    top = counted.filter("term is not null").orderBy(F.desc("count"), "term").limit(size)
+    # at most ``size`` terms, sorted by count down and term up
+    listed = top.agg(F.transform(
+        F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("neg"), "term"))),
+        lambda t: F.struct(t["term"].alias("term"), (-t["neg"]).alias("count")))).scalar()
     sums = counted.agg(
         F.coalesce(F.sum(F.when(F.col("term").isNotNull(), F.col("count"))), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(F.col("term").isNull(), F.col("count"))), F.lit(0)).alias("missing"),
-    ).withColumn("one", F.lit(1))
-    # both sides are single rows
-    return sums.join(top, "one").select(
-        "total", "missing", (F.col("total") - F.coalesce("in_top", F.lit(0))).alias("other"),
-        F.transform("terms", lambda t: F.struct(t["term"].alias("term"), (-t["neg"]).alias("count"))).alias("terms"))
+        F.coalesce(F.sum(F.when(F.col("term").isNull(), F.col("count"))), F.lit(0)).alias("missing"))
+    in_top = F.aggregate("terms", F.lit(0).cast("long"), lambda acc, t: acc + t["count"])
+    return sums.withColumn("terms", listed).select(
+        "total", "missing", (F.col("total") - in_top).alias("other"), "terms")
 
 
 def filter_bucket(df: DataFrame, predicate: Column, **metrics: Column) -> DataFrame:

@@ -26,37 +26,58 @@ def _encode(text: Column) -> Column:
     return text
 
 
+def _pattern(terms: list[str]) -> str:
+    words = "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True))
+    return f"(?iu)(?<!{WORD})({words})(?!{WORD})"
+
+
 def wrap_terms(text: Column, terms: list[str], options: HighlightOptions = HighlightOptions()) -> Column:
     """Whole text with every matched word tagged, found without regard to case."""
     if options.encoder == "html":
         text = _encode(text)
-    words = "|".join(re.escape(t) for t in sorted(terms, key=len, reverse=True))
-    pattern = f"(?iu)(?<!{WORD})({words})(?!{WORD})"
     tagged = options.pre_tag.replace("$", r"\$") + "$1" + options.post_tag.replace("$", r"\$")
-    return F.regexp_replace(text, pattern, tagged)
+    return F.regexp_replace(text, _pattern(terms), tagged)
+
+
+def wrap_offsets(text: Column, spans: Column, options: HighlightOptions = HighlightOptions()) -> Column:
+    """Whole text with stored ``array<struct<start,end>>`` places tagged, for
+    fields that were analysed beforehand."""
+    encode = _encode if options.encoder == "html" else (lambda c: c)
+
+    def cut(start: Column, end: Column) -> Column:
+        return encode(F.substring(text, start + 1, end - start))
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    done = F.aggregate(F.array_sort(spans), start, lambda acc, s: F.struct(
+        F.concat(acc["out"], cut(acc["at"], s["start"]), F.lit(options.pre_tag), cut(s["start"], s["end"]),
+                 F.lit(options.post_tag)).alias("out"), s["end"].alias("at")))
+    return F.concat(done["out"], cut(done["at"], F.length(text)))
 
 
 def fragments(text: Column, terms: list[str], options: HighlightOptions = HighlightOptions()) -> Column:
     """Array of tagged fragments: runs of words that hold a match, in text order.
 
-    No fragment count (0) means the whole field as one fragment.
+    A fragment count of 0 means the whole field as one fragment.
     """
-    whole = wrap_terms(text, terms, options)
     if options.number_of_fragments == 0:
-        return F.when(whole.contains(options.pre_tag), F.array(whole)).otherwise(F.array().cast("array<string>"))
-    pieces = F.regexp_extract_all(text, F.lit(r"(?:\S+\s*){1,%d}" % options.fragment_words), F.lit(0))
-    tagged = F.transform(pieces, lambda p: wrap_terms(F.trim(p), terms, options))
-    return F.slice(F.filter(tagged, lambda p: p.contains(options.pre_tag)), 1, options.number_of_fragments)
+        pieces = F.array(text)
+    else:
+        pieces = F.regexp_extract_all(text, F.lit(r"(?:\S+\s*){1,%d}" % options.fragment_words), F.lit(0))
+        pieces = F.transform(pieces, F.trim)
+    found = F.filter(pieces, lambda p: p.rlike(_pattern(terms)))
+    if options.number_of_fragments:
+        found = F.slice(found, 1, options.number_of_fragments)
+    return F.transform(found, lambda p: wrap_terms(p, terms, options))
 
 
-def highlight(hits: DataFrame, terms: list[str], fields: dict, **settings) -> DataFrame:
+def highlight(hits: DataFrame, terms: list[str], fields: dict, settings: dict | None = None) -> DataFrame:
     """Add ``highlight: map<field, array<string>>``.
 
     ``fields`` maps a field to its own settings, which override the global ones.
     """
-    if "fields" in settings:
+    if settings and "fields" in settings:
         raise ValueError("the field list is not a global setting")
-    base = HighlightOptions(**settings)
+    base = HighlightOptions(**(settings or {}))
     entries = []
     for name, own in fields.items():
         entries += [F.lit(name), fragments(F.col(name), terms, replace(base, **(own or {})))]

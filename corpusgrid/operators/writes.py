@@ -132,13 +132,15 @@ def write(current: DataFrame, batch: DataFrame) -> WriteResult:
 
 
 def _assemble(current: DataFrame, batch: DataFrame, docs: list[str], outcome: DataFrame) -> WriteResult:
-    decided = batch.join(outcome, [*KEY, "_seq"])
-    success = decided.filter("_new is not null").select(*docs, F.col("_new").alias("_version"), "_seq")
-    # at most one row per id survives the partial aggregation of each task
-    last = (success.groupBy(*KEY).agg(F.max_by(F.struct(*[c for c in success.columns if c not in KEY]), "_seq").alias("r"))
-            .select(*KEY, "r.*").drop("_seq"))
-    snapshot = current.join(last.select(*KEY), KEY, "left_anti").unionByName(last, allowMissingColumns=True)
-    failed = decided.filter("_new is null")
+    """Outputs from the narrow ``(key, _seq, _new)`` outcomes; a document of the
+    batch is moved once, for the output that asks for it."""
+    won = outcome.filter("_new is not null")
+    success = batch.join(won, [*KEY, "_seq"]).select(*docs, F.col("_new").alias("_version"), "_seq")
+    # versions grow with the order, so both maxima belong to the last action
+    last = won.groupBy(*KEY).agg(F.max("_seq").alias("_seq"), F.max("_new").alias("_new"))
+    rows = batch.join(last, [*KEY, "_seq"]).select(*docs, F.col("_new").alias("_version"))
+    snapshot = current.join(last.select(*KEY), KEY, "left_anti").unionByName(rows, allowMissingColumns=True)
+    failed = batch.join(outcome.filter("_new is null").drop("_new"), [*KEY, "_seq"])
     stored = current.select(*KEY, F.struct(*current.columns).alias("current"))
     conflicts = failed.select(*KEY, "_seq", F.struct(*batch.columns).alias("attempted"),
                               F.when(F.col("_version").isNull(), F.lit("document exists"))

@@ -63,22 +63,23 @@ class View:
         return replace(self, columns=columns)
 
     # -- results
+    def scope(self) -> DataFrame:
+        """Documents left by routing and filter, before any query."""
+        docs = self.docs
+        if self.routing_:
+            docs = docs.filter(F.col("_routing").isin(list(self.routing_)))
+        return docs if self.filter_ is None else docs.filter(self.filter_)
+
     def base(self) -> DataFrame:
         """Documents in scope that match query and filter, with ``_score``.
 
         No query and no filter matches all; a filter alone scores 1; a query
         with a filter keeps the query's scores.
         """
-        docs = self.docs
-        if self.routing_:
-            docs = docs.filter(F.col("_routing").isin(list(self.routing_)))
-        if self.filter_ is not None:
-            docs = docs.filter(self.filter_)
         if self.query is None:
-            scored = docs.withColumn("_score", F.lit(1.0))
+            scored = self.scope().withColumn("_score", F.lit(1.0))
         else:
-            scores = self.query.scores().select(self.key, F.col("score").alias("_score"))
-            scored = docs.join(scores, self.key)
+            scored = self.scope().join(self._scores(), self.key)
         if self.index_boosts_:
             factor = F.lit(1.0)
             for name, b in self.index_boosts_.items():
@@ -88,6 +89,9 @@ class View:
             scored = scored.filter(F.col("_score") >= self.min_score_)
         return scored
 
+    def _scores(self) -> DataFrame:
+        return self.query.scores().select(self.key, F.col("score").alias("_score"))
+
     def matches(self) -> DataFrame:
         """The base after ``post_filter``: what hits are taken from."""
         base = self.base()
@@ -107,15 +111,35 @@ class View:
                 keys.append(F.col(k).asc_nulls_last())
         return [*keys, F.col(self.key)]
 
+    def _page(self, df: DataFrame) -> DataFrame:
+        out = df.orderBy(*self.order())
+        return out.offset(self.from__).limit(self.size_) if self.from__ else out.limit(self.size_)
+
     def hits(self) -> DataFrame:
         """One page, in order. Spark keeps the top ``from + size`` of each task
         and merges these, so no full sort runs."""
-        out = self.matches().orderBy(*self.order())
-        out = out.offset(self.from__).limit(self.size_) if self.from__ else out.limit(self.size_)
+        if self.query is not None and not self.sort_ and not self.index_boosts_:
+            out = self._query_then_fetch()
+        else:
+            out = self._page(self.matches())
         if self.sort_ and "_score" not in [k for k in self.sort_ if isinstance(k, str)] and not self.track_scores_:
             out = out.withColumn("_score", F.lit(None).cast("double"))
         return out.select(self.key, "_score", *self.columns) if self.columns is not None else out
 
+    def _query_then_fetch(self) -> DataFrame:
+        """The page is found on ids and scores alone; only its documents are
+        fetched. The page is broadcast: it has at most ``size`` rows."""
+        scores = self._scores()
+        if self.min_score_ is not None:
+            scores = scores.filter(F.col("_score") >= self.min_score_)
+        kept = self.scope() if self.post_filter_ is None else self.scope().filter(self.post_filter_)
+        if self.routing_ or self.filter_ is not None or self.post_filter_ is not None:
+            scores = scores.join(kept.select(self.key), self.key, "left_semi")
+        page = self._page(scores)
+        if self.columns == ():
+            return page
+        return self.docs.join(F.broadcast(page), self.key).orderBy(*self.order())
+
     def first(self) -> DataFrame:
         return replace(self, size_=1).hits()
 
@@ -169,14 +193,19 @@ class View:
         return kept, doomed.groupBy(*by_index).agg(F.count(F.lit(1)).alias("deleted"))
 
     def explain_scores(self, parts: list[tuple[str, Clause]]) -> DataFrame:
-        """Hits with ``explanation``: the score and one detail per given clause."""
+        """Hits with ``explanation``: the score and one detail per given clause.
+
+        Details are kept for the page only (at most ``size`` rows, broadcast).
+        """
+        page = self.hits()
+        ids = F.broadcast(page.select(self.key))
         rows = None
         for name, clause in parts:
-            part = clause.scores().select(self.key, F.struct(
+            part = clause.scores().join(ids, self.key, "left_semi").select(self.key, F.struct(
                 F.lit(name).alias("description"), F.col("score").alias("value")).alias("detail"))
             rows = part if rows is None else rows.unionByName(part)
         details = rows.groupBy(self.key).agg(F.array_sort(F.collect_list("detail")).alias("details"))
-        return self.hits().join(details, self.key, "left").withColumn("explanation", F.struct(
+        return page.join(details, self.key, "left").withColumn("explanation", F.struct(
             F.lit("sum of:").alias("description"), F.col("_score").alias("value"), "details")).drop("details")
 
 

@@ -118,5 +118,5 @@ def get(docs: DataFrame, ids: DataFrame, on: list[str], strict: bool = True) ->
 
 def exists(docs: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     """One boolean per asked id."""
-    known = docs.select(*on).distinct().withColumn("_found", F.lit(True))
-    return ids.join(known, on, "left").select(*on, F.col("_found").isNotNull().alias("exists"))
+    found = ids.select(*on).distinct().join(docs.select(*on), on, "left_semi").withColumn("_found", F.lit(True))
+    return ids.join(found, on, "left").select(*on, F.col("_found").isNotNull().alias("exists"))

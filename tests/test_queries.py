@@ -192,4 +192,4 @@ def test_highlight(spark):
     assert html["name"] == ["Aardwolf eats &lt;<b>ants</b>&gt;. Not aardwolfs."]
     assert H.highlight(hit, ["zebra"], {"name": None}).first()["highlight"] == {}
     with pytest.raises(ValueError):
-        H.highlight(hit, ["a"], {"name": None}, fields=["name"])
+        H.highlight(hit, ["a"], {"name": None}, {"fields": ["name"]})
