@@ -69,7 +69,7 @@ def _(t):
     return refs.groupBy("doc_id", "lang").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("x03_repoint_external", "SELECT CAST(o_orderkey AS VARCHAR) AS _id, CASE WHEN o_custkey % 3 < 2 THEN 'new' ELSE 'two' END AS ref, CASE WHEN o_custkey % 3 < 2 THEN 2 ELSE 1 END AS _version FROM orders")
+@query("x03_repoint_external", "SELECT CAST(o_orderkey AS VARCHAR) AS _id, CASE WHEN o_custkey % 3 < 2 THEN 'new' ELSE 'two' END AS ref, CASE WHEN o_custkey % 3 < 2 THEN 2 ELSE 1 END::BIGINT AS _version FROM orders")
 def _(t):
     """Posts of another index follow their users; changed posts get a new version."""
     moved = X.reindex(users(t, "one", [0, 1]), "new")[1]
@@ -84,7 +84,7 @@ def _(t):
 
 
 @query("x03_repoint_external_array", """SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN 'new' ELSE 'two' END AS a, CASE WHEN (p_partkey + 1) % 3 < 2 THEN 'new' ELSE 'two' END AS b,
-    CASE WHEN p_partkey % 3 < 2 OR (p_partkey + 1) % 3 < 2 THEN 2 ELSE 1 END AS _version FROM part WHERE p_partkey + 1 < (SELECT count(*) FROM part)""")
+    CASE WHEN p_partkey % 3 < 2 OR (p_partkey + 1) % 3 < 2 THEN 2 ELSE 1 END::BIGINT AS _version FROM part WHERE p_partkey + 1 < (SELECT count(*) FROM part)""")
 def _(t):
     """Two references per part, to itself and its successor, in an array."""
     def ref(k):

@@ -264,7 +264,7 @@ def _(t):
 def _(t):
     hits = F.filter("lines", lambda e: (e["chars"] > 60) & (e["last"] == "."))
     return t.lines().select("doc_id", hits.alias("h")).filter("size(h) > 0").select(
-        "doc_id", F.size("h").cast("long").alias("matching"), F.array_max("h.words").alias("best"))
+        "doc_id", F.size("h").cast("long").alias("matching"), F.array_max("h.words").cast("long").alias("best"))
 
 
 @query("q28_ids", f"SELECT _id, 1.5::DOUBLE AS score FROM {PEOPLE_SQL} WHERE _id IN ('3', '7') AND _type = 'supplier'")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from corpusgrid.functions import analysis as A
 from corpusgrid.functions import filters as flt
 from corpusgrid.operators.index import TextIndex
-from corpusgrid.session import literal_rows
+from corpusgrid.session import literal_rows, materialise
 
 
 @dataclass(frozen=True)
@@ -128,13 +128,15 @@ def _one_query(index: TextIndex, field: str, terms: list[str], boosts: list[floa
 def _many_queries(index: TextIndex, field: str, qterms: DataFrame, need: Column, coord: bool = True) -> Clause:
     """The same for rows ``(qid, term, boost)``; ``need`` is over ``n_terms``.
 
-    Only the query side is weighed and normalised; it then meets the postings
-    once. A frequent term is a skewed join key, which AQE splits.
+    The weighed query terms are written once, so the texts are analysed once and
+    the join with the postings is planned on their real size. A frequent term is
+    a skewed join key, which AQE splits.
     """
-    totals = qterms.groupBy("qid").agg(F.count(F.lit(1)).alias("n_terms"))
     vocab = index.words(field).select("term", "df")
-    weighted = (qterms.join(vocab, "term", "left").withColumn("idf", _idf(index, F.col("df")))
-                .withColumn("ssw", (F.col("idf") * F.col("boost")) ** 2))
+    weighted = materialise(
+        qterms.select("qid", "term", "boost").join(vocab, "term", "left").withColumn("idf", _idf(index, F.col("df")))
+        .withColumn("ssw", (F.col("idf") * F.col("boost")) ** 2).drop("df"), "query-terms")
+    totals = weighted.groupBy("qid").agg(F.count(F.lit(1)).alias("n_terms"))
 
     def hits(norm: DataFrame) -> DataFrame:
         w = weighted.join(norm, "qid").join(totals, "qid").select(

@@ -132,8 +132,12 @@ def write(current: DataFrame, batch: DataFrame) -> WriteResult:
 
 
 def _assemble(current: DataFrame, batch: DataFrame, docs: list[str], outcome: DataFrame) -> WriteResult:
-    """Outputs from the narrow ``(key, _seq, _new)`` outcomes; a document of the
-    batch is moved once, for the output that asks for it."""
+    """Outputs from the narrow ``(key, _seq, _new)`` outcomes.
+
+    The outcomes are written once, as every output needs them; a document of the
+    batch is moved once, for the output that asks for it.
+    """
+    outcome = materialise(outcome, "outcome")
     won = outcome.filter("_new is not null")
     success = batch.join(won, [*KEY, "_seq"]).select(*docs, F.col("_new").alias("_version"), "_seq")
     # versions grow with the order, so both maxima belong to the last action

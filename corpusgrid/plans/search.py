@@ -138,7 +138,7 @@ class View:
         page = self._page(scores)
         if self.columns == ():
             return page
-        return self.docs.join(F.broadcast(page), self.key).orderBy(*self.order())
+        return self.docs.join(F.broadcast(page), self.key).orderBy(*self.order()).limit(self.size_)
 
     def first(self) -> DataFrame:
         return replace(self, size_=1).hits()
