@@ -169,6 +169,12 @@ def _(t):
     return words.withColumn("norm", unicode_normalise()("term")).groupBy("norm").agg(F.sum("df").alias("df"))
 
 
+@query("a27_tf_unicode_nfc", f"""WITH {postings_sql()} SELECT nfc_normalize(term) AS norm, sum(df)::BIGINT AS df FROM vocab GROUP BY 1""")
+def _(t):
+    words = t.text_index().words("text").select("term", "df")
+    return words.withColumn("norm", unicode_normalise("NFC", casefold=False)("term")).groupBy("norm").agg(F.sum("df").alias("df"))
+
+
 @query("a27_tf_icu_collation", f"""SELECT {FOLDED.replace('(t,', '(lower(t),')} AS term, sum(df)::BIGINT AS uses FROM (
     SELECT term AS t, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest({STD}) AS term FROM documents)
     WHERE regexp_matches(term, '^[A-Za-zàâçéèêëîïôùûüñáíóúäö]+$') GROUP BY 1) GROUP BY 1""")
@@ -249,7 +255,7 @@ def _(t):
 
 @query("a34_term_stats", f"WITH {postings_sql()} SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM post GROUP BY term")
 def _(t):
-    return I.term_stats(I.build_postings(t.docs, "doc_id", {"text": TEXT})).select("term", "df", "cf")
+    return I.term_stats(I.build_postings(t.docs, "doc_id", {"text": TEXT}, positions=False)).select("term", "df", "cf")
 
 
 @query("a34_field_stats", f"""WITH {postings_sql()} SELECT 'text' AS field, count(DISTINCT doc_id) AS n_docs, sum(tf)::BIGINT AS n_tokens,

@@ -137,8 +137,15 @@ def user_keys():
     return {"key_name": F.col("name"), "key_account": F.col("account")}
 
 
-@query("w07_unique")
-def _(t):
+@query("w07_unique", """WITH RECURSIVE s AS (SELECT c_custkey AS id, row_number() OVER (ORDER BY c_custkey) AS n, 'u' || c_custkey % 700 AS name,
+        CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment || ':' || c_custkey % 311 END AS account FROM customer),
+    k AS (SELECT *, CASE WHEN account IS NULL THEN [name] ELSE [name, account] END AS keys FROM s),
+    r AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS used, false AS ok
+        UNION ALL SELECT k.n, CASE WHEN list_has_any(r.used, k.keys) THEN r.used ELSE list_concat(r.used, k.keys) END, NOT list_has_any(r.used, k.keys)
+        FROM r JOIN k ON k.n = r.n + 1)
+    SELECT CAST(id AS VARCHAR) AS _id, name, account FROM r JOIN k USING (n) WHERE ok""")
+def _(t):
+    """Two keys per user, greedy in order."""
     return W.enforce_unique(sign_ups(t), user_keys()).accepted.select("_id", "name", "account")
 
 

@@ -8,12 +8,15 @@ bucket of the term, so a query with known terms reads only their buckets.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusgrid.functions import analysis as A
 from corpusgrid.session import spread, table_path
@@ -32,28 +35,31 @@ def token_rows(df: DataFrame, tokens: Column, name: str, *keep: str) -> DataFram
     return df.select(*keep, F.explode_outer(tokens).alias(name)).filter(F.col(name).isNotNull())
 
 
-def _runs(s: str) -> str:
-    """Positions (from 1) in the sorted array ``s`` where a new term begins."""
-    return f"filter(sequence(1, greatest(size({s}), 1)), i -> i <= size({s}) and (i = 1 or {s}[i-1].t <> {s}[i-2].t))"
+def _runs(s: str, term: str) -> str:
+    """Places (from 1) in the sorted array ``s`` where a new term begins."""
+    return f"filter(sequence(1, greatest(size({s}), 1)), i -> i <= size({s}) and (i = 1 or {s}[i-1]{term} <> {s}[i-2]{term}))"
 
 
-def _entries(field: str, s: str, b: str) -> str:
+def _entries(field: str, s: str, b: str, term: str) -> str:
     """One struct per run: the slice of the sorted array up to the next run."""
     length = f"coalesce(get({b}, k+1), size({s})+1) - b"
-    return f"""transform({b}, (b, k) -> struct('{field}' as field, {s}[b-1].t as term, {length} as tf,
-        size({s}) as field_len, transform(slice({s}, b, {length}), x -> x.p) as positions))"""
+    places = f", transform(slice({s}, b, {length}), x -> x.p) as positions" if term else ""
+    return f"""transform({b}, (b, k) -> struct('{field}' as field, {s}[b-1]{term} as term, {length} as tf,
+        size({s}) as field_len{places}))"""
 
 
-def build_postings(df: DataFrame, key: str, fields: dict) -> DataFrame:
+def build_postings(df: DataFrame, key: str, fields: dict, positions: bool = True) -> DataFrame:
     """Postings of several fields, in one pass over the documents.
 
     ``fields`` maps a column to its analyzer, to ``"exact"`` for one untouched
-    term per value, or to ``None`` for a field that is not searchable.
+    term per value, or to ``None`` for a field that is not searchable. Without
+    ``positions`` only plain terms are sorted.
     """
     searched = {f: a for f, a in fields.items() if a is not None}
     if not searched:
         raise ValueError("no searchable field")
     names = {f: f"_f{i}" for i, f in enumerate(searched)}
+    term = ".t" if positions else ""
 
     def tokens(field: str) -> Column:
         value = F.col(field).cast("string")
@@ -61,17 +67,19 @@ def build_postings(df: DataFrame, key: str, fields: dict) -> DataFrame:
         return F.coalesce(out, F.array().cast("array<string>")).alias(names[field])
 
     def ordered(field: str) -> Column:
+        if not positions:
+            return F.sort_array(A.terms(F.col(names[field]))).alias(names[field])
         # gaps keep their place in the numbering and are dropped here
         placed = F.transform(names[field], lambda t, i: F.struct(t.alias("t"), i.alias("p")))
         return F.sort_array(F.filter(placed, lambda x: x["t"].isNotNull())).alias(names[field])
 
     out = (df.select(key, *[tokens(f) for f in searched])
            .select(key, *[ordered(f) for f in searched])
-           .select("*", *[F.expr(_runs(n)).alias(f"{n}_b") for n in names.values()])
-           .select(key, F.concat(*[F.expr(_entries(f, n, f"{n}_b")) for f, n in names.items()]).alias("entries"))
+           .select("*", *[F.expr(_runs(n, term)).alias(f"{n}_b") for n in names.values()])
+           .select(key, F.concat(*[F.expr(_entries(f, n, f"{n}_b", term)) for f, n in names.items()]).alias("entries"))
            # outer for the reason given in ``token_rows``
            .select(key, F.inline_outer("entries")).filter("term is not null"))
-    return out.select("field", "term", key, "tf", "field_len", "positions")
+    return out.select("field", "term", key, "tf", "field_len", *(["positions"] if positions else []))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -157,21 +165,32 @@ def terms_indexed(index: TextIndex, field: str, doc_ids: list, size: int = 20) -
 
 
 def term_vector(df: DataFrame, key: str, text: str, pattern: str = A.STANDARD) -> DataFrame:
-    """Per document: terms with position and character offsets on the raw text."""
-    import re as _re
+    """Per document: terms with position and character offsets on the raw text.
 
-    # The letter and digit classes in the spelling of the Python engine.
+    Spark's regular expressions return no offsets, so the text is cut in an Arrow
+    map that emits flat columns.
+    """
+    # the letter and digit classes in the spelling of the Python engine
     regex = pattern.replace(r"[\p{L}\p{N}]", r"[^\W_]")
 
-    @F.pandas_udf("array<struct<term:string,pos:int,start:int,end:int>>")
-    def spans(texts: pd.Series) -> pd.Series:
-        compiled = _re.compile(regex)
-        return texts.map(lambda t: [
-            {"term": m.group().lower(), "pos": i, "start": m.start(), "end": m.end()}
-            for i, m in enumerate(compiled.finditer(t))], na_action="ignore")
-
-    return (df.select(key, spans(text).alias("t")).select(key, F.inline_outer("t"))
-            .filter("term is not null"))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = re.compile(regex).finditer
+        for batch in batches:
+            rows, terms, places, spans = [], [], [], []
+            for row, value in enumerate(batch.column(1).to_pylist()):
+                found = [(m.group(), m.span()) for m in find(value or "")]
+                rows += [row] * len(found)
+                terms += [t for t, _ in found]
+                spans += [s for _, s in found]
+                places += range(len(found))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(rows, pa.int64())), pc.utf8_lower(pa.array(terms, pa.string())),
+                pa.array(places, pa.int32()), pa.array([s for s, _ in spans], pa.int32()),
+                pa.array([e for _, e in spans], pa.int32())], names=[key, "term", "pos", "start", "end"])
+
+    schema = T.StructType([df.schema[key], T.StructField("term", T.StringType()),
+                           *[T.StructField(c, T.IntegerType()) for c in ("pos", "start", "end")]])
+    return df.select(key, text).mapInArrow(cut, schema)
 
 
 # --- work on the vocabulary instead of the text -----------------------------

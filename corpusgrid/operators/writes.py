@@ -281,9 +281,9 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
     rows that lost one, until nothing is open. A round is a partial minimum per
     key, so a key shared by a third of all rows is settled at once.
     """
-    spark = batch.sparkSession
+    waits = held is not None
     if held is None:
-        held = spark.createDataFrame([], "key_name string, value string, _type string, _id string")
+        held = batch.sparkSession.createDataFrame([], "key_name string, value string, _type string, _id string")
     pair = ["key_name", "value"]
     wanted = unique_keys(batch, keys)
     # own unchanged keys need no check
@@ -302,19 +302,23 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
     decided = accepted.withColumn("ok", F.lit(True))
     while not open_.isEmpty():
         first = open_.groupBy(*pair).agg(F.min("_seq").alias("first"))
-        verdict = open_.join(decided, open_["wait_for"] == decided["_seq"], "left").select(
-            open_["_seq"], *pair, "wait_for", "lost", "ok").join(first, pair)
+        verdict = open_.join(first, pair)
+        if waits:
+            verdict = verdict.join(decided.withColumnRenamed("_seq", "wait_for"), "wait_for", "left")
+        else:
+            verdict = verdict.withColumn("ok", F.lit(None).cast("boolean"))
         waiting = F.col("wait_for").isNotNull() & F.col("ok").isNull()
         lost = F.col("lost") | F.coalesce(~F.col("ok"), F.lit(False))
-        rows = verdict.groupBy("_seq").agg(
+        settled = verdict.groupBy("_seq").agg(
             F.bool_or(lost).alias("lost"),
-            F.bool_and((F.col("_seq") == F.col("first")) & ~waiting).alias("ready"))
-        settled = rows.select("_seq", "lost", (F.col("ready") & ~F.col("lost")).alias("win"))
-        winners = settled.filter("win").select("_seq")
-        taken = open_.join(winners, "_seq", "left_semi").select(*pair).distinct()
-        robbed = open_.join(taken, pair, "left_semi").select("_seq", F.lit(False).alias("win"), F.lit(True).alias("lost"))
-        # a winner is among those that hold a taken key, and stays a winner
-        new = materialise(settled.filter("win or lost").unionByName(robbed).groupBy("_seq").agg(F.bool_or("win").alias("ok")), "unique-new")
+            F.bool_and((F.col("_seq") == F.col("first")) & ~waiting).alias("ready")).select(
+            "_seq", "lost", (F.col("ready") & ~F.col("lost")).alias("win"))
+        # a row whose key goes to a winner is out
+        winners = settled.filter("win").select(F.col("_seq").alias("first"))
+        robbed = (verdict.filter("first <> _seq").join(winners, "first", "left_semi")
+                  .select("_seq", F.lit(True).alias("lost"), F.lit(False).alias("win")))
+        new = materialise(settled.filter("win or lost").unionByName(robbed)
+                          .groupBy("_seq").agg(F.bool_or("win").alias("ok")), "unique-new")
         accepted = accepted.unionByName(new.filter("ok").select("_seq"))
         decided = decided.unionByName(new)
         open_ = materialise(open_.join(new, "_seq", "left_anti"), "unique-open")

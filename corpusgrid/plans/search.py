@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgrid.operators import queries as Q
+from corpusgrid.operators import schema
+from corpusgrid.operators.highlight import highlight
 from corpusgrid.operators.queries import Clause
 from corpusgrid.session import materialise
 
@@ -140,6 +142,31 @@ class View:
             return page
         return self.docs.join(F.broadcast(page), self.key).orderBy(*self.order()).limit(self.size_)
 
+    def fetch(self) -> DataFrame:
+        """The same page, found now: its ids (at most ``size``) go into the scan as
+        a filter, so that only row groups holding them are read."""
+        page = replace(self, columns=()).hits().collect()
+        ids = [r[self.key] for r in page]
+        scores = F.create_map(*[F.lit(x) for r in page for x in (r[self.key], r["_score"])]) if page else None
+        docs = self.docs.filter(F.col(self.key).isin(ids))
+        out = docs.withColumn("_score", scores[F.col(self.key)] if page else F.lit(None).cast("double"))
+        out = out.orderBy(F.array_position(F.array(*[F.lit(i) for i in ids]), F.col(self.key))) if page else out
+        return out.select(self.key, "_score", *self.columns) if self.columns else out
+
+    def highlight(self, terms: list[str], fields: dict, settings: dict | None = None) -> DataFrame:
+        return highlight(self.hits(), terms, fields, settings)
+
+    def fields(self, *names: str) -> DataFrame:
+        """Hits with a list of fields, every value as an array."""
+        return schema.fields(self.hits(), list(names), self.key)
+
+    def script_fields(self, scripts: dict, **params) -> DataFrame:
+        return schema.script_fields(self.hits(), scripts, **params)
+
+    def source(self, include: list[str] = ("*",), exclude: list[str] = ()) -> DataFrame:
+        """Partial hits: nested fields chosen by wildcard paths."""
+        return schema.source_filter(self.hits(), include, exclude)
+
     def first(self) -> DataFrame:
         return replace(self, size_=1).hits()
 
@@ -161,8 +188,7 @@ class View:
         """Everything, in no order, with score 0."""
         if self.sort_:
             raise ValueError("a scan cannot be sorted")
-        docs = self.matches() if self.query is not None else replace(self, query=None).matches()
-        return docs.withColumn("_score", F.lit(0.0))
+        return self.matches().withColumn("_score", F.lit(0.0))
 
     def scroll(self, size: int) -> DataFrame:
         """The full result in sort order with its rank and tranche number.

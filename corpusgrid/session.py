@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -19,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="corpusgrid-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="corpusgrid-")
+    return _LOCAL_DIRS[app]
 
 
 def table_path(spark: SparkSession, name: str) -> str:

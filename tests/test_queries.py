@@ -166,6 +166,20 @@ def test_setters_copy(view):
     assert view.size_ == 10 and view.filter_ is None and listed(other.hits()) == [21]
 
 
+def test_fetch_is_the_page(view, index):
+    assert [r["id"] for r in view.page(3, 4).fetch().collect()] == [3, 4, 5, 6]
+    best = View(index.docs, "id").matching(Q.match(index, "text", "quick fox")).page(0, 3)
+    assert [r["id"] for r in best.fetch().collect()] == [r["id"] for r in best.hits().collect()]
+    assert view.where(F.col("id") < 0).fetch().count() == 0
+
+
+def test_shapes_of_hits(view):
+    assert view.page(0, 1).fields("k").first()["k"] == [0]
+    assert view.page(0, 1).script_fields({"twice": "k * :n"}, n=2).first()["twice"] == 0
+    partial = view.page(0, 1).source(["k"]).first().asDict()
+    assert partial == {"_index": "i0", "k": 0, "is_partial": True}
+
+
 def test_scroll_tranches(view):
     rows = {r["id"]: (r["rank"], r["tranche"]) for r in view.sort("-id").scroll(10).collect()}
     assert rows[24] == (1, 0) and rows[14] == (11, 1) and rows[0] == (25, 2)
