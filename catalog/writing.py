@@ -94,13 +94,21 @@ def _(t):
     return rows(W.delete(stored(t), stale_batch(t)).snapshot)
 
 
-@query("w04_delete_missing", f"SELECT id, min(seq) AS seq FROM {ORDERS} WHERE id NOT IN (SELECT id FROM {STORED}) GROUP BY id, seq")
+@query("w04_delete_missing", f"""SELECT id, seq FROM {ORDERS} WHERE id NOT IN (SELECT id FROM {STORED})
+    UNION ALL SELECT id, seq FROM {ORDERS} WHERE id IN (SELECT id FROM {STORED}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq) > 1""")
 def _(t):
     """Deletes of ids that were never there, or went with an earlier action."""
-    errors = W.delete(stored(t), order_batch(t, F.lit(0)).filter("cast(_id AS long) >= 1000000")).errors
+    errors = W.delete(stored(t), order_batch(t, F.lit(0))).errors
     return errors.select(F.col("_id").cast("long").alias("id"), F.col("_seq").alias("seq"))
 
 
+@query("w04_try_delete", f"SELECT id, version, balance FROM {STORED} WHERE NOT (version = 2 AND id IN (SELECT id FROM {ORDERS}))")
+def _(t):
+    """Deletes of version 2; other versions stay, missing ids are ignored."""
+    result = W.delete(stored(t), order_batch(t, F.lit(2)), ignore_missing=True)
+    return rows(result.snapshot.join(result.errors, ["_type", "_id"], "left_anti"))
+
+
 @query("w05_conflicts", f"SELECT id, balance + 100 AS attempted, balance AS current, version FROM {STORED} WHERE id % 5 = 0 AND version <> 1")
 def _(t):
     c = W.save(stored(t), stale_batch(t)).conflicts
@@ -163,19 +171,31 @@ def _(t):
 
 
 def held_keys(t: Tables):
+    """Each name is held by the lowest customer that wants it."""
+    k = F.col("c_custkey")
+    holders = t.customer.groupBy((k % 700).alias("name")).agg(F.min("c_custkey").alias("id"))
+    return holders.select(F.lit("key_name").alias("key_name"), F.concat(F.lit("u"), F.col("name").cast("string")).alias("value"),
+                          F.lit("customer").alias("_type"), F.col("id").cast("string").alias("_id"))
+
+
+def renamed(t: Tables):
+    """Holders in debt take another name, which frees theirs for the next customer."""
     k = F.col("c_custkey")
-    return t.customer.filter(k < 100).select(F.lit("key_name").alias("key_name"), F.concat(F.lit("u"), k.cast("string")).alias("value"),
-                                             F.lit("customer").alias("_type"), k.cast("string").alias("_id"))
+    debtors = t.customer.filter("c_acctbal < 2000").select(k.cast("string").alias("_id"), F.concat(F.lit("v"), k.cast("string")).alias("other"))
+    first = held_keys(t).select("_id").join(debtors, "_id")
+    return sign_ups(t).join(first, "_id", "left").withColumn("name", F.coalesce("other", "name")).drop("other")
 
 
-@query("w08_unique_update", """SELECT 'u' || c_custkey % 700 AS value, min(c_custkey) AS id FROM customer WHERE c_custkey % 700 >= 100 OR c_custkey < 100 GROUP BY 1""")
+@query("w08_unique_update", """WITH c AS (SELECT c_custkey AS id, c_custkey % 700 AS name, row_number() OVER (PARTITION BY c_custkey % 700 ORDER BY c_custkey) AS n,
+        first_value(c_acctbal < 2000) OVER (PARTITION BY c_custkey % 700 ORDER BY c_custkey) AS moved FROM customer)
+    SELECT 'u' || name AS value, id FROM c WHERE n = CASE WHEN moved THEN 2 ELSE 1 END UNION ALL SELECT 'v' || id, id FROM c WHERE n = 1 AND moved""")
 def _(t):
-    """Stored users keep their names; the key table after the batch."""
-    keys = W.enforce_unique(sign_ups(t), {"key_name": F.col("name")}, held_keys(t)).keys
+    """The key table after holders kept or changed their names."""
+    keys = W.enforce_unique(renamed(t), {"key_name": F.col("name")}, held_keys(t)).keys
     return keys.select("value", F.col("_id").cast("long").alias("id"))
 
 
-@query("w08_release_keys", "SELECT 'u' || c_custkey AS value FROM customer WHERE c_custkey < 100 AND c_custkey % 5 <> 0")
+@query("w08_release_keys", "SELECT 'u' || c_custkey % 700 AS value FROM customer GROUP BY c_custkey % 700 HAVING min(c_custkey) % 5 <> 0")
 def _(t):
     gone = W.delete(stored(t), stale_batch(t).withColumn("_version", F.lit(0).cast("long"))).success
     return W.release_keys(held_keys(t), gone).select("value")
