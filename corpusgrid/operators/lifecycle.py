@@ -102,19 +102,20 @@ def repoint_external_array(df: DataFrame, array: str, uid: str, moved: DataFrame
 
 def reindex(source: DataFrame, dest: str, existing: DataFrame | None = None,
             transform: Callable[[DataFrame], DataFrame] | None = None,
-            repoint: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+            repoint: bool = True, old_indices: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Copy documents into the index ``dest``: ``(rows, moved uids, conflicts)``.
 
     The transform runs first. Versions are kept; where the destination already
     has the document, the higher version stays and an equal or lower source
-    version is a conflict. Old index names are read from the data.
+    version is a conflict. Old index names are read from the data when not given.
     """
     moved = source.select(F.col("_index").alias("index"), F.col("_type").alias("type"), F.col("_id").alias("id"))
     rows = source.transform(transform) if transform is not None else source
     if repoint:
-        # index names are a handful by nature: one directory each
-        old = [r[0] for r in source.select("_index").distinct().collect()]
-        rows = repoint_internal(rows, old, dest)
+        if old_indices is None:
+            # a handful by nature: one directory each
+            old_indices = [r[0] for r in source.select("_index").distinct().collect()]
+        rows = repoint_internal(rows, old_indices, dest)
     rows = rows.withColumn("_index", F.lit(dest))
     if existing is None:
         none = rows.select(*KEY, F.col("_version").alias("source_version"), F.col("_version").alias("dest_version"))

@@ -82,8 +82,10 @@ def assign_ids(df: DataFrame) -> DataFrame:
     return df.withColumn("_id", F.coalesce("_id", F.substring(F.sha2(rest, 256), 1, 22)))
 
 
-def _versions(current: DataFrame) -> DataFrame:
-    return current.select(*KEY, F.col("_version").alias("_stored"))
+def _versions(current: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored versions of the given ids. The semi join comes first: with a small
+    batch its ids are broadcast, and the collection is scanned but not shuffled."""
+    return current.select(*KEY, F.col("_version").alias("_stored")).join(ids.select(*KEY), KEY, "left_semi")
 
 
 def _fold(rows: DataFrame) -> DataFrame:
@@ -119,7 +121,7 @@ def write(current: DataFrame, batch: DataFrame) -> WriteResult:
     asked = batch.select(*KEY, "_seq", F.col("_version").alias("_wanted"))
     per_id = asked.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
     # ids joined once with the stored version, then with the batch
-    known = per_id.join(_versions(current), KEY, "left")
+    known = per_id.join(_versions(current, per_id), KEY, "left")
     narrow = asked.join(known, KEY)
     stored, wanted = F.coalesce("_stored", F.lit(0)), F.col("_wanted")
     fits = F.when(wanted.isNull(), stored == 0).when(wanted == 0, True).otherwise(
@@ -159,7 +161,7 @@ def create(current: DataFrame, batch: DataFrame) -> WriteResult:
     _reject_partial(batch)
     batch = batch.drop("_version").withColumn("_version", F.lit(None).cast("long"))
     first = batch.groupBy(*KEY).agg(F.min("_seq").alias("_first"))
-    fresh = first.join(_versions(current), KEY, "left")
+    fresh = first.join(_versions(current, first), KEY, "left")
     outcome = batch.select(*KEY, "_seq").join(fresh, KEY).select(
         *KEY, "_seq", F.when(F.col("_stored").isNull() & (F.col("_seq") == F.col("_first")), F.lit(1))
         .cast("long").alias("_new"))
@@ -181,7 +183,7 @@ def overwritten(current: DataFrame, batch: DataFrame) -> DataFrame:
     body = [c for c in batch.columns if c not in (*KEY, "_seq", "_version")]
     last = batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"),
                                    F.max_by(F.struct(*body), "_seq").alias("r"))
-    return last.join(_versions(current), KEY, "left").select(
+    return last.join(_versions(current, last), KEY, "left").select(
         *KEY, (F.coalesce("_stored", F.lit(0)) + F.col("_n")).cast("long").alias("_version"), "r.*")
 
 
@@ -197,7 +199,7 @@ def delete(current: DataFrame, batch: DataFrame, ignore_missing: bool = False) -
     A missing document is an error, or ignored (``try_delete``).
     """
     asked = batch.select(*KEY, "_seq", F.coalesce("_version", F.lit(0)).alias("_wanted"))
-    narrow = asked.join(_versions(current), KEY, "left")
+    narrow = asked.join(_versions(current, asked), KEY, "left")
     fits = F.col("_stored").isNotNull() & (F.col("_wanted").isin(0) | (F.col("_wanted") == F.col("_stored")))
     winner = narrow.filter(fits).groupBy(*KEY).agg(F.min("_seq").alias("_won"))
     seen = narrow.join(winner, KEY, "left")
@@ -216,8 +218,7 @@ def delete(current: DataFrame, batch: DataFrame, ignore_missing: bool = False) -
 
 def resolve(result: WriteResult, resolver: Callable[[DataFrame], DataFrame]) -> WriteResult:
     """Apply a caller's resolution: it turns conflicts into a new batch."""
-    batch = materialise(resolver(result.conflicts), "resolved")
-    return write(materialise(result.snapshot, "snapshot"), batch)
+    return write(result.snapshot, materialise(resolver(result.conflicts), "resolved"))
 
 
 # --- change detection -------------------------------------------------------
