@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusgrid.llm.chat import format_conversations, read_back
 from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
 
@@ -23,3 +24,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
 FROM marked GROUP BY doc_id""")
 def line_dedup(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ESCAPES = r"(length({0}) - length(replace({0}, '\', '')) + len(regexp_extract_all({0}, '<\||</?s>|<</?SYS>>|\[/?INST\]')))"
+
+
+@query("op10_chat_formatting", "conversations", rf"""
+WITH rows_ AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    parts AS (SELECT *, length(role) + {ESCAPES.format('role')} + length(text) + {ESCAPES.format('text')} + 24 AS chars FROM rows_)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars
+FROM parts GROUP BY conv_id""")
+def chat_formatting(turns: DataFrame) -> DataFrame:
+    same = "</s>[INST] ok [/INST]"
+    extra = turns.sparkSession.createDataFrame(
+        [(-1, 0, "user", same), (-1, 1, "assistant", same)], "conv_id long, turn long, role string, text string")
+    return read_back(format_conversations(turns.select("conv_id", "turn", "role", "text").unionByName(extra)))
