@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 
 from corpusgrid.llm.chat import format_conversations, read_back
 from corpusgrid.llm.line_dedup import dedup_lines
+from corpusgrid.llm.packing import pack
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@query("op2_best_fit_packing", "documents")
+def best_fit_packing(docs: DataFrame) -> DataFrame:
+    return pack(docs)
+
+
 @query("op4_line_dedup", "documents", r"""
 WITH lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
