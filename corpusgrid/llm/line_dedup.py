@@ -9,7 +9,8 @@ The method: the 128-bit hashes of the keys are range-partitioned and sorted by
 (hash, document, position), documents descending. A hash held by a third of all
 rows spans many ranges, since documents are part of the range key. One streaming
 pass over a range folds the places of a key inside one document, and one partial
-aggregation finds the number of documents and the first occurrence of each key.
+aggregation finds the number of documents and the first occurrence of each key. The
+shared keys are written, so the join back has plain exchanges that Spark can split.
 What goes back to the documents is a run-length coded bitmap: the runs of lines
 that stay. Texts are never shuffled by line.
 
@@ -59,8 +60,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     ranged = found.repartitionByRange(*order).sortWithinPartitions(*order, "tag", "pos")
     streamed = materialise(ranged.groupBy("h1", "h2", "doc_id").agg(
         F.collect_list(F.struct("tag", "pos")).alias("places")), "line-ranges")
-    keys = (streamed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("first"))
-            .where(F.col("n") >= min_docs).select("h1", "h2", "first"))
+    keys = materialise(streamed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("first"))
+                       .where(F.col("n") >= min_docs).select("h1", "h2", "first"), "shared-lines")
     lost = (streamed.join(keys, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("first")))
             .select("doc_id", F.explode("places").alias("place")).select("doc_id", "place.tag", "place.pos"))
     return lost.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
