@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgrid.llm.chat import format_conversations, read_back
+from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.packing import pack
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
@@ -13,6 +14,12 @@ from corpusgrid.llm.registry import ORACLE, QUERIES, query
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@query("op1_language_id", "documents")
+def language_id(docs: DataFrame) -> DataFrame:
+    return identify(docs.select("doc_id", "text", "lang")).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op2_best_fit_packing", "documents")
 def best_fit_packing(docs: DataFrame) -> DataFrame:
     return pack(docs)
