@@ -10,6 +10,7 @@ from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.packing import pack
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
+from corpusgrid.llm.sentencepiece import decode, encode
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -56,3 +57,10 @@ def chat_formatting(turns: DataFrame) -> DataFrame:
     extra = turns.sparkSession.createDataFrame(
         [(-1, 0, "user", same), (-1, 1, "assistant", same)], "conv_id long, turn long, role string, text string")
     return read_back(format_conversations(turns.select("conv_id", "turn", "role", "text").unionByName(extra)))
+
+
+@query("op5_sentencepiece", "documents")
+def sentencepiece(docs: DataFrame) -> DataFrame:
+    """Ids of every whole text, decoded again; ``decoded_sha256`` equals the digest of the text."""
+    encoded = encode(docs).withColumn("n_ids", F.size("ids").cast("long"))
+    return decode(encoded).select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
