@@ -35,7 +35,7 @@ def code(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points in rows padded with zeros, and lengths; the space mark comes first."""
     lengths = np.array([len(w) + 1 for w in words])
     codes = np.zeros((len(words), int(lengths.max(initial=1))), np.uint64)
-    flat = np.frombuffer("".join(SPACE + w for w in words).encode("utf-32-le", "replace"), np.uint32)
+    flat = np.frombuffer("".join(SPACE + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
     row = np.repeat(np.arange(len(words)), lengths)
     column = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     codes[row, column] = flat

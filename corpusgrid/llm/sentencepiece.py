@@ -29,10 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from corpusgrid.llm.lattice import SPACE, load_pieces
-from corpusgrid.llm.tokens import blocks
+from corpusgrid.llm.lattice import SPACE, Lattice, code, load_pieces
+from corpusgrid.llm.tokens import ChunkIds, blocks
 
-CACHE_LIMIT = 300_000
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]*", re.S)
 HELD = "\udc00"  # stands for a mark of the text itself while encoding; no valid text holds it
 
@@ -55,8 +54,7 @@ class Vocabulary:
                 if not re.search(f"[^{SPACE}]{SPACE}", p):
                     self.ids[p], self.scores[p] = i, -math.log(i - 258 + 2.7)
         self.longest = max(map(len, self.ids))
-        self.prefixes: dict[str, float | None] = {p[:k]: None for p in self.ids for k in range(1, len(p))}
-        self.prefixes.update(self.scores)
+        self.piece_scores, self.piece_ids = np.array(list(self.scores.values())), np.array(list(self.ids.values()))
         self.byte_score = -math.log(len(pieces)) * 2
 
     def fallback(self, char: str) -> list[int]:
@@ -123,70 +121,99 @@ class StreamingViterbi:
         return self.out
 
 
-def short_path(v: Vocabulary, text: str) -> list[int]:
-    """The same search for a stretch within the window, extending pieces from each start."""
-    n, get = len(text), v.prefixes.get
-    score, back = [-math.inf] * (n + 1), [0] * (n + 1)
+def short_paths(v: Vocabulary, lattice: Lattice, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The same search for many stretches that fit in the window; each follows one mark.
+
+    Returns the ids one stretch after another, and their counts.
+    """
+    codes, lengths = code(words)
+    n, width = len(words), codes.shape[1]
+    score, back = np.full((width + 1, n), -np.inf), np.zeros((width + 1, n), np.int8)
+    used = np.full((width + 1, n), len(lattice.pieces), np.int32)
     score[0] = 0.0
-    for start in range(n):
-        here = score[start]
-        for end in range(start + 1, n + 1):
-            s = get(text[start:end], 0.0)
-            if s is None:
-                continue
-            if s == 0.0:
-                break
-            if here + s > score[end]:
-                score[end], back[end] = here + s, end - start
-        other = here + v.byte_score * (3 if text[start] == HELD else len(text[start].encode()))
-        if other > score[start + 1]:
-            score[start + 1], back[start + 1] = other, 0
-    ids: list[int] = []
-    at = n
-    while at:
-        size = back[at]
-        if size:
-            ids.append(v.ids[text[at - size:at]])
+    scores = np.append(v.piece_scores, -np.inf)
+    for end, size, rows, piece in lattice.edges(codes, lengths):
+        here = score[end - size, rows]
+        if size == 1:
+            char = codes[rows, end - 1]
+            octets = 1 + (char >= 0x80).astype(int) + (char >= 0x800) + (char >= 0x10000)
+            plain, own = here + v.byte_score * octets, here + scores[piece]
+            piece = np.where(own > plain, piece, len(lattice.pieces))
+            here = np.maximum(own, plain)
         else:
-            ids += reversed(v.fallback(text[at - 1]))
-        at -= size or 1
-    return ids[::-1]
+            here = here + scores[piece]
+        better = here >= score[end, rows]
+        rows = rows[better]
+        score[end, rows], back[end, rows], used[end, rows] = here[better], size, piece[better]
+    at, live, steps = lengths.copy(), np.arange(n), []
+    while len(live):
+        steps.append((live, used[at[live], live], at[live]))
+        at[live] -= back[at[live], live]
+        live = live[at[live] > 0]
+    row, piece, end = (np.concatenate([s[k] for s in reversed(steps)]) for k in range(3))
+    order = np.argsort(row, kind="stable")
+    row, piece, end = row[order], piece[order], end[order]
+    ids = np.append(v.piece_ids, 0)[piece]
+    sizes = np.bincount(row, minlength=n)
+    bare = np.flatnonzero(piece == len(lattice.pieces))
+    if len(bare):  # characters that become several byte pieces
+        octets = [v.fallback((SPACE + words[r])[e - 1]) for r, e in zip(row[bare].tolist(), end[bare].tolist())]
+        repeat = np.ones(len(ids), np.int64)
+        repeat[bare] = [len(o) for o in octets]
+        sizes = np.bincount(row, repeat, minlength=n).astype(np.int64)
+        wide, is_byte = np.repeat(ids, repeat), np.repeat(piece == len(lattice.pieces), repeat)
+        wide[is_byte] = np.concatenate(octets)
+        ids = wide
+    return ids.astype(np.uint32), sizes
 
 
 class Encoder:
     def __init__(self, path: str | None = None):
         self.v = Vocabulary(path)
-        self.cache: dict[str, np.ndarray] = {}
-
-    def stretch(self, text: str) -> np.ndarray:
-        found = self.cache.get(text)
-        if found is None:
-            if len(text) <= 4 * self.v.longest:
-                found = np.array(short_path(self.v, text), np.int32)
-                if len(self.cache) >= CACHE_LIMIT:
-                    self.cache.clear()
-                self.cache[text] = found
-            else:
-                search = StreamingViterbi(self.v)
-                search.feed(text)
-                found = np.array(search.finish(), np.int32)
-        return found
-
-    def ids(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        if SPACE in text:
-            text = text.replace(SPACE, HELD)
-        if "  " not in text and text[0] != " ":  # every mark starts a stretch of its own
-            parts = [SPACE + p for p in text.split(" ")]
-        else:
-            parts = [p for p in STRETCH.findall(SPACE + text.replace(" ", SPACE)) if p]
-        return np.concatenate([self.stretch(p) for p in parts])
+        self.lattice = Lattice(list(self.v.ids))
+        self.stretches = ChunkIds(self.encode)
+
+    def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Stretches without their first mark; long ones go through the streaming search."""
+        sizes, count = np.array([len(s) for s in stretches]), np.zeros(len(stretches), np.int64)
+        order, flat = [], []
+        for low, high in ((-1, 4), (4, 7), (7, 10), (10, 16), (16, 4 * self.v.longest)):
+            group = np.flatnonzero((sizes > low) & (sizes <= high))
+            for a in range(0, len(group), 8192):
+                some = group[a:a + 8192]
+                ids, count[some] = short_paths(self.v, self.lattice, [stretches[i] for i in some.tolist()])
+                order.append(some)
+                flat.append(ids)
+        for i in np.flatnonzero(sizes > 4 * self.v.longest):
+            search = StreamingViterbi(self.v)
+            search.feed(SPACE + stretches[i])
+            flat.append(np.array(search.finish(), np.uint32))
+            order.append(np.array([i]))
+            count[i] = len(flat[-1])
+        placed, ids = np.concatenate(order), np.concatenate(flat)
+        start = np.zeros(len(stretches), np.int64)
+        start[placed] = np.cumsum(count[placed]) - count[placed]
+        before = np.cumsum(count) - count
+        return ids[np.repeat(start - before, count) + np.arange(len(ids))], count
+
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        return self.stretches.gather([cut(t) for t in texts])
 
     def text(self, ids: np.ndarray) -> str:
         return b"".join(map(self.v.text.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
 
 
+def cut(text: str) -> list[str]:
+    """Stretches of a text, each without its first mark."""
+    if not text:
+        return []
+    if SPACE in text:
+        text = text.replace(SPACE, HELD)
+    if "  " not in text and text[0] != " ":  # every mark starts a stretch of its own
+        return text.split(" ")
+    return [p[1:] for p in STRETCH.findall(SPACE + text.replace(" ", SPACE)) if p]
+
+
 _ENCODERS: dict[str | None, Encoder] = {}
 
 
@@ -204,10 +231,10 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         tool = encoder(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in blocks(texts, 4_000_000):
-                found = [tool.ids(t or "") for t in texts[a:b]]
+            for a, b in blocks(texts):
+                found = tool.many([t or "" for t in texts[a:b]])
                 ends = np.cumsum([0, *map(len, found)])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).astype(np.int32)))
                 sums = [zlib.crc32(f.astype("<u4").tobytes()) for f in found]
                 yield pa.record_batch([batch.column(0).slice(a, b - a), ids, pa.array(sums, pa.int64())],
                                       names=["doc_id", "ids", "ids_crc32"])

@@ -9,11 +9,13 @@ are encoded whole by the ``tokenizers`` library, which defines the ids.
 from __future__ import annotations
 
 import base64
+import itertools
 import re
+from collections.abc import Callable
 
 import numpy as np
 
-CACHE_LIMIT = 400_000
+CACHE_LIMIT = 600_000
 UNSAFE = re.compile(r"\s (?:\s|\Z)|<\|endoftext\|>")
 
 
@@ -22,8 +24,62 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class ChunkIds:
+    """Ids of chunks of text, each encoded once while it is kept; the number kept is bounded.
+
+    ``encode`` takes new chunks and returns their ids one after another, and their counts.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = CACHE_LIMIT):
+        self.encode, self.limit = encode, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def learn(self, chunks: list[str]) -> None:
+        ids, sizes = self.encode(chunks)
+        n, need = len(self.place), self.used + len(ids)
+        self.flat = grown(self.flat, need)
+        self.starts, self.sizes = grown(self.starts, n + len(chunks)), grown(self.sizes, n + len(chunks))
+        self.flat[self.used:need] = ids
+        self.sizes[n:n + len(chunks)] = sizes
+        self.starts[n:n + len(chunks)] = self.used + np.cumsum(sizes) - sizes
+        self.place.update(zip(chunks, range(n, n + len(chunks))))
+        self.used = need
+
+    def gather(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each list of chunks; new chunks of all lists are encoded first."""
+        met: set[str] = set()
+        for chunks in texts:
+            met.update(chunks)
+        fresh = met.difference(self.place)
+        if len(self.place) + len(fresh) > self.limit:
+            self.forget()
+            fresh = met
+        if fresh:
+            self.learn(sorted(fresh))
+        out = []
+        for chunks in texts:
+            at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+            size = self.sizes[at]
+            before = np.cumsum(size) - size
+            out.append(self.flat[np.repeat(self.starts[at] - before, size) + np.arange(int(size.sum()))])
+        return out
+
+
+def grown(a: np.ndarray, need: int) -> np.ndarray:
+    if need <= len(a):
+        return a
+    out = np.zeros(max(need, 2 * len(a)), a.dtype)
+    out[:len(a)] = a
+    return out
+
+
 class ByteBpe:
-    """``ids(text)`` equals the library's encoding without added special tokens."""
+    """``many(texts)`` equals the library's encoding without added special tokens."""
 
     def __init__(self, json_path: str | None = None, ranks_path: str | None = None):
         import public_tokenizers
@@ -33,55 +89,18 @@ class ByteBpe:
         with open(ranks_path or vocabulary_path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.starts, self.sizes, self.used = np.zeros(1 << 16, np.uint32), [], [], 0
+        self.chunks = ChunkIds(self.encode)
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.place) + len(chunks) > CACHE_LIMIT:
-            self.forget()
-        found = [(c, self.words.encode_ordinary(c)) for c in chunks]
-        need = self.used + sum(len(i) for _, i in found)
-        while need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        for chunk, ids in found:
-            self.place[chunk] = len(self.starts)
-            self.starts.append(self.used)
-            self.sizes.append(len(ids))
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-        self._starts, self._sizes = np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
-
-    def ids(self, text: str) -> np.ndarray:
-        if UNSAFE.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.many([text])[0]
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.words.encode_ordinary(c) for c in chunks]
+        sizes = np.array([len(f) for f in found], np.int64)
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of several texts; new chunks of all of them are encoded first."""
-        safe = [i for i, t in enumerate(texts) if t and not UNSAFE.search(t)]
-        cut = {i: chunks_of(texts[i]) for i in safe}
-        unseen = set()
-        for chunks in cut.values():
-            unseen.update(chunks)
-        fresh = unseen.difference(self.place)
-        if fresh:
-            if len(self.place) + len(fresh) > CACHE_LIMIT:
-                fresh = unseen
-                self.forget()
-            self.learn(fresh)
-        out = [np.zeros(0, np.uint32)] * len(texts)
-        for i, t in enumerate(texts):
-            if i in cut:
-                at = np.fromiter(map(self.place.__getitem__, cut[i]), np.int64, len(cut[i]))
-                size = self._sizes[at]
-                before = np.cumsum(size) - size
-                out[i] = self.flat[np.repeat(self._starts[at] - before, size) + np.arange(int(size.sum()))]
-            elif t:
-                out[i] = np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32)
-        return out
+        whole = [bool(UNSAFE.search(t)) for t in texts]
+        cut = iter(self.chunks.gather([chunks_of(t) for t, w in zip(texts, whole) if not w]))
+        return [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) if w else next(cut)
+                for t, w in zip(texts, whole)]
 
 
 def chunks_of(text: str) -> list[str]:
