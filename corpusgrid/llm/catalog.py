@@ -9,6 +9,7 @@ from corpusgrid.llm.chat import format_conversations, read_back
 from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.packing import pack
+from corpusgrid.llm.pii import KINDS, find
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
 from corpusgrid.llm.sentencepiece import decode, encode
 
@@ -64,3 +65,11 @@ def sentencepiece(docs: DataFrame) -> DataFrame:
     """Ids of every whole text, decoded again; ``decoded_sha256`` equals the digest of the text."""
     encoded = encode(docs).withColumn("n_ids", F.size("ids").cast("long"))
     return decode(encoded).select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op7_pii", "documents")
+def pii(docs: DataFrame) -> DataFrame:
+    found = find(docs.select("doc_id", "text"))
+    written = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
