@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusgrid.llm.chat import format_conversations, read_back
 from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
+from corpusgrid.llm.minhash import near_duplicates
 from corpusgrid.llm.packing import pack
 from corpusgrid.llm.pii import KINDS, find
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
@@ -73,3 +74,8 @@ def pii(docs: DataFrame) -> DataFrame:
     written = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+@query("op6_minhash_near_dedup", "documents")
+def minhash_near_dedup(docs: DataFrame) -> DataFrame:
+    return near_duplicates(docs).select("doc_id", "class_id", "kept")
