@@ -2,7 +2,7 @@
 
 ``reply_paths`` takes messages ``tree, id, parent, role, text, score`` and enumerates
 root-to-leaf paths by iterative self-joins that double their reach each round, so a
-chain of n replies takes log2(n) rounds. Branches are ranked by mean score (ties: the
+chain of n replies takes log2(n) rounds; nodes that have reached their root rest. Branches are ranked by mean score (ties: the
 longer one, then the smaller leaf id). ``format_paths`` turns each path into one text.
 
 The template is ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts each
@@ -80,14 +80,15 @@ def reply_paths(messages: DataFrame, best: int | None = None) -> DataFrame:
     reach = materialise(a.join(b, F.col("a.parent") == F.col("b.id"), "left").select(
         "a.id", F.col("b.id").alias("jump"), F.col("a.score").alias("total"), F.lit(1).alias("depth")), "reach")
     jumps = []
-    while not (step := reach.where("jump IS NOT NULL").select("id", "jump")).isEmpty():
+    while not (live := reach.where("jump IS NOT NULL")).isEmpty():
         if len(jumps) == MAX_ROUNDS:
             raise ValueError("replies form a circle")
-        jumps.append(step)
-        a, b = reach.alias("a"), reach.alias("b")
-        reach = materialise(a.join(b, F.col("a.jump") == F.col("b.id"), "left").select(
-            "a.id", "b.jump", (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
-            (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth")), "reach")
+        jumps.append(live.select("id", "jump"))
+        a, b = live.alias("a"), reach.alias("b")
+        further = materialise(a.join(b, F.col("a.jump") == F.col("b.id")).select(
+            "a.id", "b.jump", (F.col("a.total") + F.col("b.total")).alias("total"),
+            (F.col("a.depth") + F.col("b.depth")).alias("depth")), "reach")
+        reach = reach.where("jump IS NULL").unionByName(further)  # nodes that reached a root rest
     inner = jumps[0].select(F.col("jump").alias("id")) if jumps else nodes.select("id").limit(0)
     leaves = (nodes.select("tree", "id").join(inner, "id", "left_anti").join(reach.drop("jump"), "id")
               .withColumn("mean", F.col("total") / F.col("depth")))
