@@ -16,8 +16,7 @@ connected components.
 3. Nodes that share a band key meet in blocks of at most ``2 * BLOCK`` members. Of each
    block the maximum spanning forest by agreeing samples is proposed: a number of pairs
    linear in the members, which connects what is similar. Proposals with less than
-   ``AGREE`` of ``SAMPLES`` agreeing are left out (at 0.8 that loses 0.3 % of the pairs
-   of one band; a class hangs together by many).
+   ``AGREE`` of ``SAMPLES`` agreeing are left out (four standard deviations below 0.8).
 4. Proposed pairs are verified on their texts, and components of the links found.
 5. The exact rest: pairs that share a band and agree, but ended in different components,
    are all verified, in blocks that hold the texts; so no link is lost to step 3.
@@ -46,7 +45,7 @@ THRESHOLD, SAMPLES, ROWS = 0.8, 64, 4
 BANDS = SAMPLES // ROWS
 DF_BITS, POOL_BITS, GRID = 18, 16, 8
 LOW_LEVEL, HIGH_LEVEL = -2 * GRID, 30 * GRID
-BLOCK, AGREE = 1024, 42
+BLOCK, AGREE = 1024, 38
 
 
 # -- weights
