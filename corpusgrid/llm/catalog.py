@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgrid.llm.chat import format_conversations, read_back
+from corpusgrid.llm.fingerprints import fingerprint, neighbours
 from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.minhash import near_duplicates
@@ -79,3 +80,11 @@ def pii(docs: DataFrame) -> DataFrame:
 @query("op6_minhash_near_dedup", "documents")
 def minhash_near_dedup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "class_id", "kept")
+
+
+@query("op8_fingerprints", "documents")
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """Fingerprints and likenesses; ``near_doc_id`` is the least document found alike through the bands."""
+    marked = fingerprint(docs)
+    return marked.join(neighbours(marked.select("doc_id", "fingerprint")), "fingerprint", "left").select(
+        *marked.columns, "near_doc_id")
