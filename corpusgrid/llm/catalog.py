@@ -10,6 +10,7 @@ from corpusgrid.llm.fingerprints import fingerprint, neighbours
 from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.minhash import near_duplicates
+from corpusgrid.llm.neighbors import search
 from corpusgrid.llm.packing import pack
 from corpusgrid.llm.pii import KINDS, find
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
@@ -88,3 +89,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     marked = fingerprint(docs)
     return marked.join(neighbours(marked.select("doc_id", "fingerprint")), "fingerprint", "left").select(
         *marked.columns, "near_doc_id")
+
+
+@query("op9_nearest_neighbors", "embeddings")
+def nearest_neighbors(embeddings: DataFrame) -> DataFrame:
+    return search(embeddings)
