@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusgrid.llm.chat import format_conversations, read_back
 from corpusgrid.llm.fingerprints import fingerprint, neighbours
+from corpusgrid.llm.html_extract import extract
 from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.minhash import near_duplicates
@@ -94,3 +95,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 @query("op9_nearest_neighbors", "embeddings")
 def nearest_neighbors(embeddings: DataFrame) -> DataFrame:
     return search(embeddings)
+
+
+@query("op3_html_extraction", "pages")
+def html_extraction(pages: DataFrame) -> DataFrame:
+    return extract(pages.select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
