@@ -78,15 +78,14 @@ def keep_runs(dropped: Column, n_lines: Column) -> Column:
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped``, the bitmap ``keep`` (null: all) and ``kept_text``."""
     bitmaps = keep_bitmaps(docs.select("doc_id", "text"), min_chars, min_docs)
-    clash = [c for c in docs.columns if c in ("tag", "dropped", "lines", "n_lines", "n_dropped", "keep", "kept_text")]
-    rows, maps = docs.drop(*clash).alias("d"), bitmaps.alias("b")
+    rows, maps = docs.drop("_dropped", "n_lines", "n_dropped", "keep", "kept_text").alias("d"), bitmaps.alias("b")
     joined = rows.join(maps, F.col("d.doc_id").eqNullSafe(F.col("b.doc_id"))
-                       & (F.xxhash64("d.text") == F.col("b.tag")), "left").select("d.*", "b.dropped")
+                       & (F.xxhash64("d.text") == F.col("b.tag")), "left").select("d.*", F.col("b.dropped").alias("_dropped"))
     text = F.coalesce(F.col("text"), F.lit(""))
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1
     lines = lines_of(F.col("text"))
     counted = joined.withColumns({"n_lines": n_lines.cast("long"),
-                                  "n_dropped": F.coalesce(F.size("dropped"), F.lit(0)).cast("long")})
-    kept = counted.withColumn("keep", F.when(F.col("dropped").isNotNull(), keep_runs(F.col("dropped"), F.col("n_lines"))))
+                                  "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long")})
+    kept = counted.withColumn("keep", F.when(F.col("_dropped").isNotNull(), keep_runs(F.col("_dropped"), F.col("n_lines"))))
     return kept.withColumn("kept_text", F.when(F.col("keep").isNull(), text).otherwise(F.array_join(F.flatten(
-        F.transform("keep", lambda r: F.slice(lines, r["start"] + 1, r["len"]))), "\n"))).drop("dropped")
+        F.transform("keep", lambda r: F.slice(lines, r["start"] + 1, r["len"]))), "\n"))).drop("_dropped")
