@@ -21,6 +21,7 @@ connected components.
 5. The exact rest: pairs that share a band and agree, but ended in different components,
    are all verified, in blocks that hold the texts; so no link is lost to step 3.
 
+The texts of proposed nodes are joined by a plain shuffle at every size: once the corpus.
 A key held by n members makes (n / BLOCK)^2 / 2 block tasks; nothing emits all pairs.
 
 Defined results: a text without words (null and empty ones too) is a class of its own.
@@ -332,7 +333,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     involved = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     wanted = materialise(nodes.join(involved, "node").select("node", "h1", "h2", "rep"), "involved")
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
-    texts = keyed.join(wanted, ["h1", "h2"]).where(F.col("doc_id").eqNullSafe(F.col("rep")))
+    texts = keyed.join(wanted.hint("merge"), ["h1", "h2"]).where(F.col("doc_id").eqNullSafe(F.col("rep")))
     texts = materialise(texts.select("node", "text"), "texts").dropDuplicates(["node"])
     links = materialise(verify(pairs, texts, weights), "links")
     first = materialise(components(links), "components")
