@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructType
 
-PAGES, ROUNDS, RATE = 300, 60, 0.5
+PAGES, ROUNDS, RATE, RIDGE = 300, 60, 0.5, 0.0003
 
 #: Names of HTML elements by their role in the page.
 SKIPPED = {"head", "title", "script", "style", "template", "noscript", "iframe", "svg", "math", "object", "canvas", "audio", "video"}
@@ -43,6 +43,9 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption
          "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
          "hgroup", "html", "label", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "search", "section",
          "select", "summary", "table", "tbody", "td", "textarea", "tfoot", "th", "thead", "tr", "ul"}
+#: Boxes that say nothing without a name, and names that say nothing.
+PLAIN = {"div", "center", "tbody"}
+NEUTRAL_NAMES = {"wrapper", "wrap", "container", "row", "col", "column", "inner", "outer", "site", "layout", "grid", "box", "block", "root", "app"}
 #: Opening one of these ends an open element of the listed names, up to the given border.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -79,7 +82,7 @@ def names_of(attributes: str) -> tuple:
 def parse(page: str) -> list[Node]:
     """Nodes in page order; text leaves have the tag ``#text``. The first node is the body."""
     nodes = [Node("body", -1)]
-    stack = [0]  # open block elements
+    stack = [("body", 0)]  # open block elements, and the node each one's text and children go to
     links, skipped = 0, []
     run: list[str] = []
     run_links = 0
@@ -89,7 +92,7 @@ def parse(page: str) -> list[Node]:
         if run:
             text = " ".join("".join(run).split())
             if text:
-                leaf = Node("#text", stack[-1])
+                leaf = Node("#text", stack[-1][1])
                 leaf.text, leaf.size, leaf.linked = text, len(text), min(run_links, len(text))
                 nodes.append(leaf)
             run, run_links = [], 0
@@ -124,8 +127,8 @@ def parse(page: str) -> list[Node]:
             at = shut.end() if shut else end
             if tag == "textarea" and not skipped:
                 flush()
-                nodes.append(Node(tag, stack[-1], names_of(found[3])))
-                stack.append(len(nodes) - 1)
+                nodes.append(Node(tag, stack[-1][1], names_of(found[3])))
+                stack.append((tag, len(nodes) - 1))
                 say(inner)
                 close(len(stack) - 1)
             continue
@@ -152,7 +155,7 @@ def parse(page: str) -> list[Node]:
                 nodes[0].names = nodes[0].names or (() if closing else names_of(found[3]))
             elif closing:
                 for depth in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[depth]].tag == tag:
+                    if stack[depth][0] == tag:
                         close(depth)
                         break
                 links = 0 if tag != "label" else links
@@ -160,15 +163,19 @@ def parse(page: str) -> list[Node]:
                 flush()
                 ends, border = ENDS.get(tag, (set(), set()))
                 for depth in range(len(stack) - 1, 0, -1):
-                    open_tag = nodes[stack[depth]].tag
+                    open_tag = stack[depth][0]
                     if open_tag in ends or open_tag == "p":
                         close(depth)
                         if open_tag in ends and tag != "tr":
                             break
                     elif open_tag in border or not ends:
                         break
-                nodes.append(Node(tag, stack[-1], names_of(found[3])))
-                stack.append(len(nodes) - 1)
+                names = tuple(w for w in names_of(found[3]) if w not in NEUTRAL_NAMES)
+                if tag in PLAIN and not names:  # a box of the layout alone
+                    stack.append((tag, stack[-1][1]))
+                else:
+                    nodes.append(Node(tag, stack[-1][1], names))
+                    stack.append((tag, len(nodes) - 1))
         elif tag not in VOID and not closing and not found[3]:
             pass  # plain inline markup is part of the run
     flush()
@@ -282,7 +289,7 @@ def train(pages: list[tuple[str, set]], rounds: int = ROUNDS, rate: float = RATE
     seen_w, seen_t = np.full(weights.shape, 1e-6), np.full(ties.shape, 1e-6)
     ones = np.eye(STATES)
     for _ in range(rounds):
-        grad_w, grad_t = -0.002 * len(parsed) * weights, -0.002 * len(parsed) * ties
+        grad_w, grad_t = -RIDGE * len(parsed) * weights, -RIDGE * len(parsed) * ties
         model, factors = Model({}, ties), np.exp(ties)
         for nodes, state, rows in parsed:
             unary = [potentials(n, weights[r].sum(0).tolist()) for n, r in zip(nodes, rows)]
@@ -344,9 +351,14 @@ def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, set]]:
     def junk(plain: bool = False) -> str:
         kind = pick(list(OTHER_NAMES))
         semantic = kind in ("nav", "header", "footer", "aside", "form") and (plain or rng.random() < 0.6)
-        tag = kind if semantic else pick(["div", "div", "section", kind if kind not in ("p", "ul") else "div"])
+        tag = kind if semantic else pick(["div", "div", "section", kind, "ul" if kind in ("nav", "ul") else "div"])
         named = "" if semantic and rng.random() < 0.7 else f' {pick(["class", "id", "class"])}="{pick(OTHER_NAMES[kind])}"'
-        return f"<{tag}{named}>{junk_inner(kind)}</{tag}>"
+        if tag == "ul":
+            inner = "".join(f"<li>{pick(['<a href=x>%s</a>', '%s', '<p>%s</p>']) % sentence(rng.random() < 0.5)}</li>"
+                            for _ in range(int(rng.integers(1, 5))))
+        else:
+            inner = sentence() if tag == "p" else junk_inner(kind)
+        return f"<{tag}{named}>{inner}</{tag}>"
 
     out = []
     for _ in range(n):
@@ -364,7 +376,7 @@ def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, set]]:
         inner = []
         for _ in range(int(rng.integers(1, 12))):
             inner.append(block())
-            if rng.random() < 0.18:
+            if rng.random() < 0.25:
                 inner.append(junk())
         tag = pick(["article", "article", "main", "div", "section", "div"])
         named = f' class="{pick(CONTENT_NAMES)}"' if tag in ("div", "section") and rng.random() < 0.85 or rng.random() < 0.3 else ""
