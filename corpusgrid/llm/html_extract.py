@@ -51,6 +51,21 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
         "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"})}
 
+#: Words that sites put into class, id and role, by what they mark.
+CONTENT_NAMES = ["content", "article", "post", "entry", "story", "main", "text", "body", "page", "detail", "news", "blog", "prose"]
+OTHER_NAMES = {
+    "nav": ["nav", "menu", "navbar", "navigation", "breadcrumb", "breadcrumbs", "toc", "tabs", "links", "pagination", "pager"],
+    "header": ["header", "masthead", "topbar", "banner", "branding", "logo", "hero"],
+    "footer": ["footer", "bottom", "copyright", "legal", "colophon", "imprint", "contact"],
+    "aside": ["sidebar", "aside", "widget", "related", "recommended", "popular", "trending", "more", "teaser", "rail"],
+    "div": ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "promotion", "adsense", "outbrain", "taboola"],
+    "section": ["notice", "cookie", "cookies", "consent", "gdpr", "alert", "popup", "modal", "overlay", "banner", "message", "warning"],
+    "form": ["form", "login", "signup", "newsletter", "subscribe", "subscription", "search", "register", "feedback", "poll"],
+    "ul": ["comments", "comment", "reply", "replies", "discussion", "disqus", "respond", "reviews", "commentlist", "thread"],
+    "p": ["share", "social", "follow", "tags", "meta", "byline", "caption", "print", "skip", "hidden", "toolbar"],
+}
+OTHERS = {w for words in OTHER_NAMES.values() for w in words}
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -186,6 +201,11 @@ def parse(page: str) -> list[Node]:
     return nodes
 
 
+def says(names: tuple) -> list[str]:
+    """What kinds of part the names speak of."""
+    return ["says other"] * any(w in OTHERS for w in names) + ["says content"] * any(w in CONTENT_NAMES for w in names)
+
+
 def features(nodes: list[Node]) -> list[list[str]]:
     out = []
     for n in nodes:
@@ -193,8 +213,10 @@ def features(nodes: list[Node]) -> list[list[str]]:
         found = ["one", f"tag {n.tag}", f"links {0 if share == 0 else 1 if share < 0.4 else 2 if share < 0.9 else 3}",
                  f"size {min(4, n.size // 80 if n.size < 160 else 2 + n.size // 400)}"]
         found += [f"name {w}" for w in n.names]
+        found += says(n.names)
         if n.parent >= 0 and n.tag != "#text":
             found += [f"in {nodes[n.parent].tag}", *(f"in {w}" for w in nodes[n.parent].names)]
+            found += [f"in {w}" for w in says(nodes[n.parent].names)]
         if n.tag == "#text":
             found.append("stop" if n.text[-1] in ".!?:;\"'”’»)" else "no stop")
         out.append(found)
@@ -311,21 +333,6 @@ def train(pages: list[tuple[str, set]], rounds: int = ROUNDS, rate: float = RATE
     return Model({f: weights[i].tolist() for f, i in names.items()}, ties)
 
 
-#: Words that sites put into class, id and role, by what they mark.
-CONTENT_NAMES = ["content", "article", "post", "entry", "story", "main", "text", "body", "page", "detail", "news", "blog", "prose"]
-OTHER_NAMES = {
-    "nav": ["nav", "menu", "navbar", "navigation", "breadcrumb", "breadcrumbs", "toc", "tabs", "links", "pagination", "pager"],
-    "header": ["header", "masthead", "topbar", "banner", "branding", "logo", "hero"],
-    "footer": ["footer", "bottom", "copyright", "legal", "colophon", "imprint", "contact"],
-    "aside": ["sidebar", "aside", "widget", "related", "recommended", "popular", "trending", "more", "teaser", "rail"],
-    "div": ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "promotion", "adsense", "outbrain", "taboola"],
-    "section": ["notice", "cookie", "cookies", "consent", "gdpr", "alert", "popup", "modal", "overlay", "banner", "message", "warning"],
-    "form": ["form", "login", "signup", "newsletter", "subscribe", "subscription", "search", "register", "feedback", "poll"],
-    "ul": ["comments", "comment", "reply", "replies", "discussion", "disqus", "respond", "reviews", "commentlist", "thread"],
-    "p": ["share", "social", "follow", "tags", "meta", "byline", "caption", "print", "skip", "hidden", "toolbar"],
-}
-
-
 def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, set]]:
     """Made pages of many layouts with the texts of their articles."""
     rng = np.random.default_rng(seed)

@@ -187,12 +187,12 @@ def test_extraction_of_the_given_pages(spark, extractor):
 def test_extraction_of_odd_pages(spark, extractor):
     pages = [None, "", "   ", "<", "a < b & c &amp; d. This is plain text.", "<div>" * 8 + "<p>Deep text stands here.</p>" + "</div>" * 8, "<script>var a='<p>x</p>'",
              "<p>one<p>two &eacute;&#x1F600;<br>three</p></p></div>", "<article><p>Body  of\n the text.</p><p>More of it.</p><ul class='comments'><li>Nice one.</li></ul></article>",
-             "<html><head><title>t</title><body><article><p>x &lt;b&gt; y.</p><aside>More.</aside></article>"]
+             "<html><head><title>t</title><body><article><p>x &lt;b&gt; y.</p><p>And z.</p><aside>More.</aside></article>"]
     rows = [(i, "u", p, 5) for i, p in enumerate(pages)] + [(None, None, pages[-1], 5)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
     out = {r.page_id: r.text for r in html_extract.extract(df, extractor).collect()}
     assert out[0] == out[1] == out[2] == out[6] == "" and out[5] == "Deep text stands here."
-    assert out[7] == "one\n\ntwo é😀 three" and out[8] == "Body of the text.\n\nMore of it." and out[9] == out[None] == "x <b> y."
+    assert out[7] == "one\n\ntwo é😀 three" and out[8] == "Body of the text.\n\nMore of it." and out[9] == out[None] == "x <b> y.\n\nAnd z."
     assert html_extract.extract(df.limit(0), extractor).collect() == []
     assert hashlib.sha256(out[4].encode()).hexdigest() == hashlib.sha256(b"a < b & c & d. This is plain text.").hexdigest()
     assert isinstance(extractor.text("<div>" * 20_000 + "x" + "<p>" * 20_000), str)
