@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import (LINES_SQL, N_SQL, TITLE_SQL, Tables, leaf_sql, norm_sql, postings_sql, query)
+from catalog.base import (LINES_SQL, N_SQL, TEXT, TITLE_SQL, Tables, leaf_sql, norm_sql, postings_sql, query)
 from catalog.filters import PEOPLE_SQL, customer_refs, failed_orders
+from corpusgrid.functions import analysis as A
 from corpusgrid.functions import filters as flt
 from corpusgrid.operators import queries as Q
 
@@ -40,13 +41,42 @@ BATCH = f"""{POST},
     n AS (SELECT item_id, count(*) AS n_terms, 1 / sqrt(sum(idf * idf)) AS qnorm FROM w GROUP BY item_id)"""
 
 
-@query("q01_match_batch", f"""WITH {BATCH} SELECT w.item_id, p.doc_id,
+SCORED = """SELECT w.item_id, p.doc_id,
     round(sum(sqrt(p.tf) / sqrt(p.field_len) * w.idf * w.idf) * any_value(n.qnorm) * count(*) / any_value(n.n_terms), 6) AS score
-    FROM post p JOIN w ON w.term = p.term JOIN n ON n.item_id = w.item_id GROUP BY w.item_id, p.doc_id""")
+    FROM post p JOIN w ON w.term = p.term JOIN n ON n.item_id = w.item_id GROUP BY w.item_id, p.doc_id"""
+PAGE = "QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10"
+
+
+def asked(t: Tables):
+    """Every benchmark text as a query."""
+    return t.benchmark.select(F.col("item_id").alias("qid"), "text")
+
+
+def page(clause: Q.Clause):
+    """The ten best documents of each query of a table."""
+    return clause.best(10).drop("rank").withColumnRenamed("qid", "item_id")
+
+
+@query("q01_match_batch", f"WITH {BATCH} SELECT * FROM ({SCORED}) {PAGE}")
+def _(t):
+    return page(Q.match(t.text_index(), "text", asked(t)))
+
+
+@query("q15_bool_batch", f"""WITH {BATCH}, m AS ({SCORED.replace('round(', '(').replace(', 6)', ')')}), x AS (SELECT DISTINCT doc_id FROM post WHERE term LIKE 'thaned%'),
+    y AS (SELECT DISTINCT doc_id FROM post WHERE term = 'tionsh')
+    SELECT * FROM (SELECT item_id, doc_id, round((score + 1) * 2 / 2, 6) AS score FROM m WHERE doc_id IN (FROM x) AND doc_id NOT IN (FROM y)) {PAGE}""")
+def _(t):
+    """A table of queries beside clauses that hold for all of them."""
+    i = t.text_index()
+    return page(Q.bool_(must=[Q.match(i, "text", asked(t)), Q.prefix(i, "text", "thaned")], must_not=[Q.term(i, "text", "tionsh")]))
+
+
+@query("q17_boosting_batch", f"""WITH {BATCH}, m AS ({SCORED.replace('round(', '(').replace(', 6)', ')')})
+    SELECT * FROM (SELECT item_id, doc_id, round(score * CASE WHEN doc_id IN (SELECT doc_id FROM post WHERE term = 'the') THEN 0.2::DOUBLE ELSE 1 END, 6) AS score
+        FROM m) {PAGE}""")
 def _(t):
-    """Every benchmark text as a query, answered in one job."""
-    asked = t.benchmark.select(F.col("item_id").alias("qid"), "text")
-    return Q.match(t.text_index(), "text", asked).scores().withColumnRenamed("qid", "item_id")
+    i = t.text_index()
+    return page(Q.boosting(Q.match(i, "text", asked(t)), Q.term(i, "text", "the"), 0.2))
 
 
 def not_sql(*terms: str) -> str:
@@ -66,17 +96,21 @@ text("q03_multi_match_sum", f"{TWO} SELECT doc_id, round(sum(s) * count(*) / 2,
 
 
 # --- phrases
-def phrase_ctes(n: int, words: list[str], slop: int = 0, tail: str | None = None) -> str:
-    """CTE ``c<n>`` (doc_id, s) and ``w<n>`` of a phrase; ``tail`` is a prefix."""
-    rows = [f"SELECT {i} AS ord, '{w}' AS term" for i, w in enumerate(words)]
+def phrase_ctes(n: int, words: list, slop: int = 0, tail: str | None = None, name: str = "") -> str:
+    """CTE ``c<n>`` (doc_id, s) and ``w<n>`` of a phrase; ``tail`` is a prefix.
+
+    A word is at the next place, or a pair (place, word).
+    """
+    slots = [w if isinstance(w, tuple) else (i, w) for i, w in enumerate(words)]
+    rows = [f"SELECT {i} AS ord, '{w}' AS term" for i, w in slots]
     if tail is not None:
-        rows.append(f"SELECT {len(words)} AS ord, term FROM (SELECT term FROM vocab WHERE term LIKE '{tail}%' ORDER BY term LIMIT 50)")
-    k = len(rows)
+        rows.append(f"SELECT {len(words)} AS ord, term FROM vocab{name} WHERE term LIKE '{tail}%'")
+    k = len({i for i, _ in slots}) + (tail is not None)
     return f"""
     g{n} AS ({' UNION ALL '.join(rows)}),
-    i{n} AS (SELECT sum(1 + ln({N_SQL} / (coalesce(df, 0) + 1))) AS idf FROM g{n} LEFT JOIN vocab v ON v.term = g{n}.term),
+    i{n} AS (SELECT sum(1 + ln({N_SQL} / (coalesce(df, 0) + 1))) AS idf FROM g{n} LEFT JOIN vocab{name} v ON v.term = g{n}.term),
     w{n} AS (SELECT idf, 1.0 AS boost FROM i{n}),
-    s{n} AS (SELECT DISTINCT doc_id, ord, pos - ord AS start, field_len FROM tok JOIN g{n} ON tok.term = g{n}.term),
+    s{n} AS (SELECT DISTINCT doc_id, ord, pos - ord AS start, field_len FROM tok{name} JOIN g{n} ON tok{name}.term = g{n}.term),
     a{n} AS (SELECT DISTINCT doc_id, start FROM s{n}),
     m{n} AS (SELECT a.doc_id, a.start, s.ord, min(s.start) AS reach, any_value(field_len) AS field_len FROM a{n} a JOIN s{n} s
         ON s.doc_id = a.doc_id AND s.start BETWEEN a.start AND a.start + {slop} GROUP BY ALL),
@@ -94,6 +128,40 @@ text("q04_not_phrase", simple("SELECT doc_id, 1.0::DOUBLE AS score FROM document
      lambda i: Q.not_(Q.match_phrase(i, "text", "of the"), i.docs))
 text("q05_phrase_prefix", phrase_sql(["of"], 0, "th"), lambda i: Q.match_phrase_prefix(i, "text", "of th"))
 
+STOPPED = f"""{POST}, tok_s AS (SELECT doc_id, term, pos, count(*) OVER (PARTITION BY doc_id) AS field_len FROM tok
+        WHERE term NOT IN ({", ".join(f"'{w}'" for w in A.ENGLISH_STOP)})),
+    vocab_s AS (SELECT term, count(DISTINCT doc_id) AS df FROM tok_s GROUP BY term)"""
+SYNONYMS = {"the": ["the", "le"], "of": ["of", "palm", "fist"]}
+WIDENED = f"""{POST}, more AS (SELECT * FROM (VALUES ('the', 'le'), ('of', 'palm'), ('of', 'fist')) m(term, other)),
+    all_y AS (SELECT doc_id, term, pos FROM tok UNION ALL SELECT doc_id, other, pos FROM tok JOIN more USING (term)),
+    tok_y AS (SELECT doc_id, term, pos, count(*) OVER (PARTITION BY doc_id) AS field_len FROM all_y),
+    vocab_y AS (SELECT term, count(DISTINCT doc_id) AS df FROM tok_y GROUP BY term)"""
+
+
+def phrase_over(name: str, ctes: str, words: list, suffix: str, phrase: str, analyzer, slop: int = 0) -> None:
+    """A phrase over the text indexed with another analyzer."""
+    @query(name, f"WITH {ctes}, {phrase_ctes(1, words, slop, name=suffix)} SELECT doc_id, round(s * {norm_sql(1)}, 6) AS score FROM c1")
+    def _(t):
+        index = t._index(f"documents{suffix}", lambda: t.documents.select("doc_id", "text"), "doc_id", {"text": analyzer})
+        return scores(Q.match_phrase(index, "text", phrase, slop))
+
+
+phrase_over("q04_phrase_removed_words", STOPPED, [(0, "er"), (2, "en")], "_s", "er of en", A.analyzer("standard"))
+phrase_over("q04_phrase_removed_words_slop", STOPPED, [(0, "er"), (3, "en")], "_s", "er of the en", A.analyzer("standard"), 2)
+phrase_over("q04_phrase_synonyms", WIDENED, [(0, "of"), (0, "palm"), (0, "fist"), (1, "the"), (1, "le")], "_y", "of the",
+            A.custom_analyzer("standard", filters=["lowercase", ("synonym", SYNONYMS)]))
+phrase_over("q04_phrase_quote_analyzer", WIDENED, [(0, "palm"), (1, "le")], "_y", "PALM le", {
+    "index": A.custom_analyzer("standard", filters=["lowercase", ("synonym", SYNONYMS)]), "quote": TEXT, "search": A.tok_whitespace})
+
+
+@query("q04_phrase_of_removed_words", f"""WITH {STOPPED}, w AS (SELECT 1 + ln({N_SQL} / (df + 1)) AS idf FROM vocab_s WHERE term = 'er')
+    SELECT doc_id, round(sqrt(count(*)) / sqrt(any_value(field_len)) * any_value(idf) / 3, 6) AS score FROM tok_s, w WHERE term = 'er' GROUP BY doc_id""")
+def _(t):
+    """Texts of removed words alone find nothing, but count as clauses."""
+    index = t._index("documents_s", lambda: t.documents.select("doc_id", "text"), "doc_id", {"text": A.analyzer("standard")})
+    return scores(Q.bool_(should=[Q.match(index, "text", "er"), Q.match(index, "text", "of the"), Q.match_phrase(index, "text", "to the")]))
+
+
 # --- terms
 text("q06_term", match_sql(["hand"], boosts=[3]), lambda i: Q.term(i, "text", "hand", boost=3))
 text("q06_not_term", not_sql("hand"), lambda i: Q.not_(Q.term(i, "text", "hand"), i.docs))
@@ -108,10 +176,14 @@ any_term("q08_prefix", "term LIKE 'thaned%'", lambda i: Q.prefix(i, "text", "tha
 any_term("q09_wildcard", "regexp_matches(term, '^th.n.*e$')", lambda i: Q.wildcard(i, "text", "th?n*e"))
 
 EDITS = "levenshtein('attion', regexp_replace(term, '[^\\x00-\\x7f]', '#', 'g'))"
-text("q10_fuzzy", f"""WITH {POST}, near AS (SELECT term, {EDITS} AS edits FROM vocab WHERE term LIKE 'a%' AND {EDITS} <= 2 ORDER BY edits, term LIMIT 50),
+text("q10_fuzzy", f"""WITH {POST}, near AS (SELECT term, {EDITS} AS edits FROM vocab WHERE {EDITS} <= 2),
     w1 AS (SELECT near.term, 1 - edits / 6.0::DOUBLE AS boost, 1 + ln({N_SQL} / (df + 1)) AS idf FROM near JOIN vocab v ON v.term = near.term)
     SELECT doc_id, round(sum(sqrt(tf) / sqrt(field_len) * idf * idf * boost) * {norm_sql(1)}, 6) AS score
-    FROM post JOIN w1 ON w1.term = post.term GROUP BY doc_id""", lambda i: Q.fuzzy(i, "text", "attion", 2, prefix_length=1))
+    FROM post JOIN w1 ON w1.term = post.term GROUP BY doc_id""", lambda i: Q.fuzzy(i, "text", "attion", 2))
+text("q10_fuzzy_prefix", f"""WITH {POST}, near AS (SELECT term, {EDITS} AS edits FROM vocab WHERE term LIKE 'a%' AND {EDITS} <= 2 ORDER BY edits, term LIMIT 20),
+    w1 AS (SELECT near.term, 1 - edits / 6.0::DOUBLE AS boost, 1 + ln({N_SQL} / (df + 1)) AS idf FROM near JOIN vocab v ON v.term = near.term)
+    SELECT doc_id, round(sum(sqrt(tf) / sqrt(field_len) * idf * idf * boost) * {norm_sql(1)}, 6) AS score
+    FROM post JOIN w1 ON w1.term = post.term GROUP BY doc_id""", lambda i: Q.fuzzy(i, "text", "attion", 2, prefix_length=1, max_expansions=20))
 
 
 @query("q11_range", "SELECT o_orderkey, 2.0::DOUBLE AS score FROM orders WHERE o_totalprice >= 100000 AND o_totalprice < 200000")
@@ -129,30 +201,38 @@ LIKE = f"""{POST},
 def like_sql(picked: str, need: str, coord: str) -> str:
     return f"""WITH {LIKE}, {picked},
     n AS (SELECT item_id, count(*) AS n_terms, 1 / sqrt(sum((idf * boost) * (idf * boost))) AS qnorm FROM w GROUP BY item_id)
-    SELECT w.item_id, p.doc_id, round(sum(sqrt(p.tf) / sqrt(p.field_len) * w.idf * w.idf * w.boost) * any_value(n.qnorm) {coord}, 6) AS score
-    FROM post p JOIN w ON w.term = p.term JOIN n ON n.item_id = w.item_id GROUP BY w.item_id, p.doc_id HAVING count(*) >= {need}"""
+    SELECT * FROM (SELECT w.item_id, p.doc_id, round(sum(sqrt(p.tf) / sqrt(p.field_len) * w.idf * w.idf * w.boost) * any_value(n.qnorm) {coord}, 6) AS score
+    FROM post p JOIN w ON w.term = p.term JOIN n ON n.item_id = w.item_id GROUP BY w.item_id, p.doc_id HAVING count(*) >= {need}) {PAGE}"""
 
 
-@query("q12_more_like_this", like_sql("""w AS (SELECT item_id, term, idf, 1.0::DOUBLE AS boost FROM rated WHERE df >= 5 AND tf >= 1 AND length(term) >= 3
+@query("q12_more_like_this", like_sql("w AS (SELECT item_id, term, idf, 1.0::DOUBLE AS boost FROM rated)",
+    "greatest(floor(any_value(n.n_terms) * 0.3::DOUBLE), 1)", "* count(*) / any_value(n.n_terms)"))
+def _(t):
+    return page(Q.more_like_this(t.text_index(), "text", asked(t), 0.3))
+
+
+@query("q12_more_like_this_selected", like_sql("""w AS (SELECT item_id, term, idf, 1.0::DOUBLE AS boost FROM rated WHERE df >= 5 AND length(term) >= 3
     QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(tf * idf, 6) DESC, term) <= 25)""",
     "greatest(floor(any_value(n.n_terms) * 0.3::DOUBLE), 1)", "* count(*) / any_value(n.n_terms)"))
 def _(t):
-    seeds = t.benchmark.select(F.col("item_id").alias("qid"), "text")
-    return Q.more_like_this(t.text_index(), "text", seeds, 0.3, min_term_freq=1, min_word_len=3).scores().withColumnRenamed("qid", "item_id")
+    """The request narrows the terms."""
+    return page(Q.more_like_this(t.text_index(), "text", asked(t), 0.3, min_word_len=3, min_doc_freq=5, max_query_terms=25))
 
 
 # One byte per letter, so that the byte-wise distance counts letters.
 LETTERS, BYTES = "àâäáçéèêëîïíôöóùûüúñßœæ", "ABCDEFGHIJKLMNOPQRSTUVW"
-NEAR = f"levenshtein(translate(b.seed, '{LETTERS}', '{BYTES}'), translate(v.term, '{LETTERS}', '{BYTES}'))"
+def plain_sql(c: str) -> str:
+    return f"translate({c}, '{LETTERS}', '{BYTES}')"
 
 
-@query("q13_fuzzy_like_this", like_sql(f"""b AS (SELECT item_id, term AS seed, tf FROM rated
-    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(tf * idf, 6) DESC, term) <= 10),
-    w AS (SELECT item_id, v.term, 1 + ln({N_SQL} / (any_value(df) + 1)) AS idf, max((1 - {NEAR} / length(b.seed)::DOUBLE) * sqrt(tf)) AS boost
-    FROM b JOIN vocab v ON v.term[1:2] = b.seed[1:2] AND {NEAR} <= 1 GROUP BY item_id, v.term)""", "1", ""))
+@query("q13_fuzzy_like_this", like_sql(f"""b AS (SELECT DISTINCT term AS seed, {plain_sql('term')} AS sl, length(term) AS n FROM rated),
+    v2 AS (SELECT term, df, {plain_sql('term')} AS tl, length(term) AS n FROM vocab),
+    near AS (SELECT seed, term, df, 1 - levenshtein(sl, tl) / b.n::DOUBLE AS share FROM b JOIN (SELECT *, unnest([n - 1, n, n + 1]) AS m FROM v2) v
+        ON v.m = b.n AND levenshtein(sl, tl) <= 1),
+    w AS (SELECT item_id, near.term, 1 + ln({N_SQL} / (any_value(near.df) + 1)) AS idf, max(share * sqrt(tf)) AS boost
+    FROM rated JOIN near ON near.seed = rated.term GROUP BY item_id, near.term)""", "1", ""))
 def _(t):
-    seeds = t.benchmark.select(F.col("item_id").alias("qid"), "text")
-    return Q.fuzzy_like_this(t.text_index(), "text", seeds, 1, prefix_length=2, max_query_terms=10).scores().withColumnRenamed("qid", "item_id")
+    return page(Q.fuzzy_like_this(t.text_index(), "text", asked(t), 1))
 
 
 # --- combinations
@@ -221,11 +301,17 @@ text("q21_constant_score", "SELECT doc_id, 1.5::DOUBLE AS score FROM documents W
 one("q22_filtered", f"round({NORMED}, 6)", lambda i: Q.filtered(the(i), i.docs, F.col("lang") == "en"), " WHERE lang = 'en'")
 text("f22_query_as_filter", simple("SELECT doc_id, 1.0::DOUBLE AS score FROM documents WHERE doc_id IN (SELECT doc_id FROM c1)", leaf_sql(1, ["the", "hand"], 2)),
      lambda i: Q.constant_score(flt.ids_in(i.docs, Q.match(i, "text", "the hand", operator="and").raw().select("doc_id"), "doc_id"), "doc_id", flt.match_all()))
-text("q23_indices", simple(f"""SELECT doc_id, round(s * {norm_sql(1)}, 6) AS score FROM c1 JOIN documents USING (doc_id) WHERE lang IN ('en', 'de')
-    UNION ALL SELECT doc_id, round(s * {norm_sql(2)}, 6) FROM c2 JOIN documents USING (doc_id) WHERE lang NOT IN ('en', 'de')""",
+text("q23_indices", simple(f"""SELECT doc_id, round(s * {norm_sql(1, 2)}, 6) AS score FROM c1 JOIN documents USING (doc_id) WHERE lang IN ('en', 'de')
+    UNION ALL SELECT doc_id, round(s * {norm_sql(1, 2)}, 6) FROM c2 JOIN documents USING (doc_id) WHERE lang NOT IN ('en', 'de')""",
     leaf_sql(1, ["the", "hand"]), leaf_sql(2, ["de", "la"])),
     lambda i: Q.indices(i.docs, ["en", "de"], the(i), Q.match(i, "text", "de la"), "lang"))
 
+text("q23_indices_none", simple(f"SELECT doc_id, round(s * {norm_sql(1)}, 6) AS score FROM c1 JOIN documents USING (doc_id) WHERE lang IN ('en', 'de')",
+    leaf_sql(1, ["the", "hand"])), lambda i: Q.indices(i.docs, ["en", "de"], the(i), "none", "lang"))
+text("q23_indices_all", simple(f"""SELECT doc_id, round(s * {norm_sql(1)}, 6) AS score FROM c1 JOIN documents USING (doc_id) WHERE lang IN ('en', 'de')
+    UNION ALL SELECT doc_id, 1.0::DOUBLE FROM documents WHERE lang NOT IN ('en', 'de')""",
+    leaf_sql(1, ["the", "hand"])), lambda i: Q.indices(i.docs, ["en", "de"], the(i), index_column="lang"))
+
 for _mode, _fold in {"avg": "avg(words)", "total": "sum(words)::DOUBLE", "max": "max(words)::DOUBLE", "none": "1.0::DOUBLE"}.items():
     @query(f"q24_nested_{_mode}", f"SELECT doc_id, round({_fold}, 6) AS score FROM {LINES_SQL} WHERE chars > 60 AND last = '.' GROUP BY doc_id")
     def _(t, mode=_mode):

@@ -4,6 +4,10 @@ A *char filter* maps a text column to a text column, a *tokenizer* maps text to
 ``array<string>``, and a *token filter* maps ``array<string>`` to
 ``array<string>``. A removed token leaves a null behind, so positions (the array
 index) keep their gaps; ``terms`` drops the nulls when positions do not matter.
+
+A filter that makes several tokens of one (synonyms, n-grams, word parts) would shift
+the index. ``placed`` runs the same chain on ``array<struct<t,p>>``, where all of them
+keep the place of the token they come from; the index and phrases use that form.
 """
 
 from __future__ import annotations
@@ -84,7 +88,10 @@ def _extract(pattern: str) -> TextFn:
 
 
 def _each(fn: TextFn) -> TextFn:
-    return lambda tokens: F.transform(tokens, fn)
+    def apply(tokens: Column) -> Column:
+        return F.transform(tokens, fn)
+    apply.each = fn
+    return apply
 
 
 def _let(value: Column, fn: TextFn) -> Column:
@@ -98,7 +105,10 @@ def _let(value: Column, fn: TextFn) -> Column:
 
 def _fan_out(fn: TextFn) -> TextFn:
     """Per-token function that yields an array; gaps yield nothing."""
-    return lambda tokens: F.flatten(F.transform(terms(tokens), fn))
+    def apply(tokens: Column) -> Column:
+        return F.flatten(F.transform(terms(tokens), fn))
+    apply.many = fn
+    return apply
 
 
 # --- char filters -----------------------------------------------------------
@@ -146,6 +156,7 @@ def tok_pattern(pattern: str = r"\W+", flags: str = "", group: int = -1) -> Text
 
 
 NO_TOKENS = "array<string>"
+PLACED = "array<struct<t:string,p:int>>"
 
 
 def _grams(text: Column, low: int, high: int) -> Column:
@@ -226,7 +237,17 @@ def tf_shingle(n: int = 2, separator: str = " ") -> TextFn:
             F.sequence(F.lit(1), F.size(t) - n + 1),
             lambda i: F.array_join(F.slice(t, i, F.lit(n)), separator),
         )).otherwise(F.array().cast(NO_TOKENS))
-    return lambda tokens: _let(terms(tokens), pairs)
+    def placed_pairs(t: Column) -> Column:
+        return F.when(F.size(t) >= n, F.transform(
+            F.sequence(F.lit(1), F.size(t) - n + 1), lambda i: F.struct(
+                F.array_join(F.transform(F.slice(t, i, F.lit(n)), lambda x: x["t"]), separator).alias("t"),
+                F.get(t, i - 1)["p"].alias("p")),
+        )).otherwise(F.array().cast(PLACED))
+
+    def apply(tokens: Column) -> Column:
+        return _let(terms(tokens), pairs)
+    apply.placed = lambda tokens: _let(tokens, placed_pairs)
+    return apply
 
 
 def tf_light_stem(language: str) -> TextFn:
@@ -281,6 +302,14 @@ def tf_unique(tokens: Column) -> Column:
     return F.array_distinct(terms(tokens))
 
 
+def _first_places(tokens: Column) -> Column:
+    """The first place of each term."""
+    return F.filter(tokens, lambda x, i: F.array_position(F.transform(tokens, lambda y: y["t"]), x["t"]) == i + 1)
+
+
+tf_unique.placed = lambda tokens: _let(tokens, _first_places)
+
+
 def tf_pattern_replace(pattern: str, replacement: str = "") -> TextFn:
     return _each(lambda t: F.regexp_replace(t, pattern, replacement))
 
@@ -308,17 +337,65 @@ TOKEN_FILTERS = {
     "word_delimiter": lambda: tf_word_delimiter, "reverse": lambda: tf_reverse,
     "elision": tf_elision, "trim": lambda: tf_trim, "truncate": tf_truncate,
     "unique": lambda: tf_unique, "pattern_replace": tf_pattern_replace,
+    "porter_stem": lambda: _by_python("tf_porter_stem"),
+    "icu_normalizer": lambda *options: _by_python("tf_unicode_normalise")(*options),
 }
 
 
+def _by_python(name: str) -> TextFn:
+    """Filters that need a Python function are loaded when they are named."""
+    from corpusgrid.functions import stemming
+    return getattr(stemming, name)
+
+
 def chain(*steps: TextFn) -> TextFn:
+    flat = [inner for step in steps for inner in getattr(step, "steps", (step,))]
+
     def apply(col: Column) -> Column:
-        for step in steps:
+        for step in flat:
+            col = step(col)
+        return col
+    apply.steps = flat
+    return apply
+
+
+def placed(analyzer_: TextFn) -> TextFn:
+    """The chain on ``array<struct<t,p>>``: terms with their place in the text.
+
+    As long as each token yields one token or a gap, the place is the array index, so
+    plain arrays are used up to the first filter that fans out.
+    """
+    steps = getattr(analyzer_, "steps", [analyzer_])
+    fans = [i for i, step in enumerate(steps) if hasattr(step, "many") or hasattr(step, "placed")]
+    first = fans[0] if fans else len(steps)
+
+    def numbered(tokens: Column) -> Column:
+        spots = F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.cast("int").alias("p")))
+        return F.filter(spots, lambda x: x["t"].isNotNull())
+
+    def apply(text: Column) -> Column:
+        col = text
+        for step in steps[:first]:
             col = step(col)
+        col = numbered(col)
+        for step in steps[first:]:
+            col = _step_placed(step)(col)
         return col
     return apply
 
 
+def _step_placed(step: TextFn) -> TextFn:
+    if hasattr(step, "placed"):
+        return step.placed
+    if hasattr(step, "many"):
+        return lambda tokens: F.flatten(F.transform(tokens, lambda x: F.transform(
+            step.many(x["t"]), lambda t: F.struct(t.alias("t"), x["p"].alias("p")))))
+    if hasattr(step, "each"):
+        return lambda tokens: F.filter(F.transform(tokens, lambda x: F.struct(
+            step.each(x["t"]).alias("t"), x["p"].alias("p"))), lambda x: x["t"].isNotNull())
+    raise ValueError("a filter of whole token arrays cannot follow one that makes several tokens of one")
+
+
 def _part(kind: str, registry: Mapping, spec) -> TextFn:
     """``spec`` is a name, a ``(name, *args)`` tuple, or a Column function."""
     if callable(spec):
@@ -377,6 +454,11 @@ def analyze_by_language(text: Column, lang: Column) -> Column:
     return out.otherwise(analyzer("standard")(text))
 
 
+def roles(spec) -> dict:
+    """The chains of a field: one for all roles, or a mapping of index, search and quote."""
+    return dict(spec) if isinstance(spec, Mapping) else {"index": spec}
+
+
 def pick_analyzer(role: str, *, index: TextFn | None = None, search: TextFn | None = None,
                   quote: TextFn | None = None, query: TextFn | None = None,
                   default: TextFn | None = None) -> TextFn:

@@ -97,7 +97,7 @@ def tf_porter_stem(tokens: pd.Series) -> pd.Series:
 
     def stem(word):
         if word not in known:
-            known[word] = porter(word)
+            known[word] = porter(word) if word is not None else None  # a gap stays one
         return known[word]
 
     return tokens.map(lambda ts: [stem(t) for t in ts], na_action="ignore")
@@ -110,3 +110,16 @@ def unicode_normalise(form: str = "NFKC", casefold: bool = True):
         return out.str.casefold() if casefold else out
 
     return normalise
+
+
+def tf_unicode_normalise(form: str = "NFKC", casefold: bool = True):
+    """The same for whole token arrays; gaps stay."""
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def normalise(tokens: pd.Series) -> pd.Series:
+        def one(word):
+            out = unicodedata.normalize(form, word)
+            return out.casefold() if casefold else out
+
+        return tokens.map(lambda ts: [None if t is None else one(t) for t in ts], na_action="ignore")
+
+    return normalise

@@ -48,12 +48,19 @@ def _entries(field: str, s: str, b: str, term: str) -> str:
         size({s}) as field_len{places}))"""
 
 
+def field_analyzer(spec, role: str = "index", query=None):
+    """The chain of a field for one role."""
+    named = {r: A.tok_keyword if c == "exact" else c for r, c in A.roles(spec).items()}
+    return A.pick_analyzer(role, query=query, **named)
+
+
 def build_postings(df: DataFrame, key: str, fields: dict, positions: bool = True) -> DataFrame:
     """Postings of several fields, in one pass over the documents.
 
-    ``fields`` maps a column to its analyzer, to ``"exact"`` for one untouched
-    term per value, or to ``None`` for a field that is not searchable. Without
-    ``positions`` only plain terms are sorted.
+    ``fields`` maps a column to its analyzer, to a mapping of analyzers by role
+    (``index``, ``search``, ``quote``), to ``"exact"`` for one untouched term per
+    value, or to ``None`` for a field that is not searchable. Tokens made of one
+    token share its position. Without ``positions`` only plain terms are sorted.
     """
     searched = {f: a for f, a in fields.items() if a is not None}
     if not searched:
@@ -62,16 +69,13 @@ def build_postings(df: DataFrame, key: str, fields: dict, positions: bool = True
     term = ".t" if positions else ""
 
     def tokens(field: str) -> Column:
+        chain = field_analyzer(searched[field])
         value = F.col(field).cast("string")
-        out = A.tok_keyword(value) if searched[field] == "exact" else searched[field](value)
-        return F.coalesce(out, F.array().cast("array<string>")).alias(names[field])
+        out = A.placed(chain)(value) if positions else A.terms(chain(value))
+        return F.coalesce(out, F.array().cast(A.PLACED if positions else A.NO_TOKENS)).alias(names[field])
 
     def ordered(field: str) -> Column:
-        if not positions:
-            return F.sort_array(A.terms(F.col(names[field]))).alias(names[field])
-        # gaps keep their place in the numbering and are dropped here
-        placed = F.transform(names[field], lambda t, i: F.struct(t.alias("t"), i.alias("p")))
-        return F.sort_array(F.filter(placed, lambda x: x["t"].isNotNull())).alias(names[field])
+        return F.sort_array(names[field]).alias(names[field])
 
     out = (df.select(key, *[tokens(f) for f in searched])
            .select(key, *[ordered(f) for f in searched])

@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 
 from corpusgrid.functions import analysis as A
 from corpusgrid.functions import filters as flt
-from corpusgrid.operators.index import TextIndex
+from corpusgrid.operators.index import TextIndex, field_analyzer
 from corpusgrid.session import literal_rows, materialise
 
 
 @dataclass(frozen=True)
 class Clause:
+    """``ssw`` is 0 for clauses that score the same whatever is asked."""
+
     key: str
     hits: Callable[[float | DataFrame], DataFrame]
     ssw: float | DataFrame = 0.0
@@ -52,6 +54,11 @@ class Clause:
         """``(qid, key, score)``, rounded so that summing order cannot show."""
         return self.raw().select("qid", self.key, F.round("score", 6).alias("score"))
 
+    def best(self, size: int) -> DataFrame:
+        """The ``size`` best of each query, ties by key; every task keeps its own best first."""
+        order = Window.partitionBy("qid").orderBy(F.desc("score"), self.key)
+        return self.scores().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
+
 
 def _union(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -70,16 +77,21 @@ def _total_ssw(clauses: list[Clause], factor: float = 1.0) -> float | DataFrame:
 
 def analyse_query(index: TextIndex, field: str, text: str, analyzer=None) -> list[str]:
     """Terms of one query text; the optimizer folds the one-row plan, no job runs."""
+    return [t for t, _ in query_places(index, field, text, analyzer, "search")]
+
+
+def query_places(index: TextIndex, field: str, text: str, analyzer=None, role: str = "quote") -> list[tuple[str, int]]:
+    """``(term, place)`` of one query text; removed words leave their places empty."""
     if text is None:
         raise ValueError("a query needs a value")
-    chain = A.pick_analyzer("search", query=analyzer, index=index.analyzers[field])
+    chain = A.placed(field_analyzer(index.analyzers[field], role, analyzer))
     one = literal_rows(index.docs.sparkSession, text=[text])
-    return one.select(A.terms(chain(F.col("text"))).alias("t")).first()["t"]
+    return [(r["t"], r["p"]) for r in one.select(chain(F.col("text")).alias("t")).first()["t"]]
 
 
 def query_terms(index: TextIndex, field: str, texts: DataFrame, analyzer=None) -> DataFrame:
     """``(qid, ord, term)`` for a table of queries ``(qid, text)``."""
-    chain = A.pick_analyzer("search", query=analyzer, index=index.analyzers[field])
+    chain = field_analyzer(index.analyzers[field], "search", analyzer)
     return (texts.select("qid", F.posexplode_outer(A.terms(chain(F.col("text")))).alias("ord", "term"))
             .filter("term is not null"))
 
@@ -178,14 +190,14 @@ def _required(operator_: str, minimum_should_match) -> Column:
 
 def match(index: TextIndex, field: str, text: str | DataFrame, operator: str = "or",
           minimum_should_match=1, boost: float = 1.0, analyzer=None, fuzziness=None,
-          prefix_length: int = 0, max_expansions: int = 50) -> Clause:
+          prefix_length: int = 0, max_expansions: int | None = None) -> Clause:
     """Analysed full-text match of one text, or of a table ``(qid, text)``."""
     if isinstance(text, DataFrame):
         qterms = query_terms(index, field, text, analyzer).withColumn("boost", F.lit(float(boost)))
         return _many_queries(index, field, qterms, _required(operator, minimum_should_match))
     words = analyse_query(index, field, text, analyzer)
     if not words:
-        raise ValueError("the query text has no terms")
+        return no_hits(index)
     need = required(len(words), operator, minimum_should_match)
     if fuzziness is not None:
         parts = [fuzzy(index, field, w, fuzziness, prefix_length, max_expansions, boost) for w in words]
@@ -223,28 +235,43 @@ def multi_match(index: TextIndex, fields: list[str], text: str, use_dis_max: boo
 
 # --- phrases ----------------------------------------------------------------
 
-def _phrase(index: TextIndex, field: str, groups: list[list[str]], slop: int, boost: float) -> Clause:
-    """Terms in order; each place of the phrase is a group of alternatives."""
-    slots = [(i, t) for i, g in enumerate(groups) for t in g]
-    idf = _idfs(index, field, [t for _, t in slots])
+def _phrase(index: TextIndex, field: str, groups: dict[int, list[str]], slop: int, boost: float,
+            tail: tuple[int, DataFrame] | None = None) -> Clause:
+    """Terms at their offsets; each offset of the phrase has a group of alternatives.
+
+    ``tail`` is one more group whose alternatives are a table ``(term, df)``.
+    """
+    if not groups and tail is None:
+        return no_hits(index)
+    slots = [(at, t) for at, g in groups.items() for t in g]
+    idf = _idfs(index, field, [t for _, t in slots]) if slots else {}
     weight = sum(idf[t] for _, t in slots)
-    n = len(groups)
+    n = len(groups) + (tail is not None)
+    if tail is not None:
+        weight += tail[1].agg(F.sum(_idf(index, F.col("df")))).first()[0] or 0.0
+    if not weight:
+        return no_hits(index)
     # places of a term in the phrase, as offsets to take off its positions
-    places = {t: F.array(*[F.lit(i) for i, u in slots if u == t]) for t in idf}
+    places = {t: F.array(*[F.lit(at) for at, u in slots if u == t]) for t in idf}
 
     def hits(qnorm: float) -> DataFrame:
-        offsets = F.element_at(F.create_map(*[x for t, p in places.items() for x in (F.lit(t), p)]), F.col("term"))
-        # start = where the phrase would begin if this occurrence is its ord-th word
-        placed = (index.lookup(field, list(idf)).select(index.key, "field_len", "positions", F.explode(offsets).alias("ord"))
-                  .select(index.key, "field_len", "ord", F.transform("positions", lambda p: p - F.col("ord")).alias("starts")))
-        if any(len(g) > 1 for g in groups):
+        parts = []
+        if idf:
+            offsets = F.element_at(F.create_map(*[x for t, p in places.items() for x in (F.lit(t), p)]), F.col("term"))
+            parts.append(index.lookup(field, list(idf)).select(index.key, "field_len", "positions", F.explode(offsets).alias("ord")))
+        if tail is not None:
+            parts.append(index.lookup(field).join(tail[1].select("term"), "term").select(
+                index.key, "field_len", "positions", F.lit(tail[0]).alias("ord")))
+        # start = where the phrase would begin if this occurrence is the one at offset ord
+        placed = _union(parts).select(index.key, "field_len", "ord", F.transform("positions", lambda p: p - F.col("ord")).alias("starts"))
+        if tail is not None or any(len(g) > 1 for g in groups.values()):
             placed = placed.groupBy(index.key, "ord").agg(
                 F.flatten(F.collect_list("starts")).alias("starts"), F.first("field_len").alias("field_len"))
         # at most one row per place of the phrase meets in a document
         docs = placed.groupBy(index.key).agg(
             F.collect_list("starts").alias("starts"), F.first("field_len").alias("field_len")).filter(F.size("starts") == n)
         if slop == 0:
-            freq = F.size(F.reduce("starts", F.col("starts")[0], F.array_intersect)).cast("double")
+            freq = F.size(F.array_distinct(F.reduce("starts", F.col("starts")[0], F.array_intersect))).cast("double")
         else:
             anchors = F.array_distinct(F.flatten("starts"))
             spreads = F.transform(anchors, lambda s: F.array_max(F.transform(
@@ -259,25 +286,50 @@ def _phrase(index: TextIndex, field: str, groups: list[list[str]], slop: int, bo
     return Clause(index.key, hits, (weight * boost) ** 2)
 
 
+def _offsets(places: list[tuple[str, int]]) -> dict[int, list[str]]:
+    """Terms by their distance from the first place; several at one place are alternatives."""
+    groups: dict[int, list[str]] = {}
+    for term_, at in places:
+        group = groups.setdefault(at - places[0][1], [])
+        if term_ not in group:
+            group.append(term_)
+    return groups
+
+
 def match_phrase(index: TextIndex, field: str, text: str, slop: int = 0, boost: float = 1.0,
                  analyzer=None) -> Clause:
-    """All terms in order; ``slop`` is the total displacement allowed."""
-    words = analyse_query(index, field, text, analyzer)
-    return _phrase(index, field, [[w] for w in words], slop, boost)
+    """All terms in order; ``slop`` is the total displacement allowed.
+
+    The text goes through the field's quote analyzer. Words that it removes keep
+    their places, in the query as in the stored text.
+    """
+    return _phrase(index, field, _offsets(query_places(index, field, text, analyzer)), slop, boost)
 
 
-def match_phrase_prefix(index: TextIndex, field: str, text: str, max_expansions: int = 50,
-                        slop: int = 0, boost: float = 1.0) -> Clause:
-    """Phrase whose last word is a prefix, expanded over the vocabulary."""
-    words = analyse_query(index, field, text)
-    found = (index.words(field).filter(F.col("term").startswith(words[-1]))
-             .orderBy("term").limit(max_expansions).select("term"))
-    tails = [r[0] for r in found.collect()] or [words[-1]]  # at most max_expansions rows
-    return _phrase(index, field, [[w] for w in words[:-1]] + [tails], slop, boost)
+def match_phrase_prefix(index: TextIndex, field: str, text: str, max_expansions: int | None = None,
+                        slop: int = 0, boost: float = 1.0, analyzer=None) -> Clause:
+    """Phrase whose last word is a prefix, expanded over the vocabulary.
+
+    The expansions stay a table; ``max_expansions`` cuts them only if it is given.
+    """
+    groups = _offsets(query_places(index, field, text, analyzer))
+    if not groups:
+        return no_hits(index)
+    last = max(groups)
+    starts = [F.col("term").startswith(t) for t in groups.pop(last)]
+    found = index.words(field).filter(reduce(operator.or_, starts)).select("term", "df")
+    if max_expansions is not None:
+        found = found.orderBy("term").limit(max_expansions)
+    return _phrase(index, field, groups, slop, boost, (last, found))
 
 
 # --- multi-term queries -----------------------------------------------------
 
+def no_hits(index: TextIndex) -> Clause:
+    """What a query text without terms finds."""
+    return _constant(index.key, index.docs.select(index.key).filter(F.lit(False)), 1.0)
+
+
 def _constant(key: str, rows: DataFrame, boost: float) -> Clause:
     scored = rows.select(F.lit(0).alias("qid"), key, F.lit(float(boost)).alias("score"))
     return Clause(key, lambda _norm: scored)
@@ -315,35 +367,49 @@ def max_edits(value: str, min_similarity: float) -> int:
 
 
 def fuzzy_terms(index: TextIndex, field: str, value: str, min_similarity: float = 0.5,
-                prefix_length: int = 0, max_expansions: int = 50) -> DataFrame:
-    """Vocabulary terms within the edit distance, nearest first."""
+                prefix_length: int = 0, max_expansions: int | None = None) -> DataFrame:
+    """Vocabulary terms within the edit distance; the nearest ones if their number is limited."""
     k = max_edits(value, min_similarity)
     words = index.words(field).filter(F.length("term").between(len(value) - k, len(value) + k))
     if prefix_length:
         words = words.filter(F.col("term").startswith(value[:prefix_length]))
     near = words.withColumn("edits", F.levenshtein(F.col("term"), F.lit(value), k)).filter("edits >= 0")
-    return near.select("term", "edits").orderBy("edits", "term").limit(max_expansions)
+    near = near.select("term", "edits", "df")
+    return near if max_expansions is None else near.orderBy("edits", "term").limit(max_expansions)
 
 
 def fuzzy(index: TextIndex, field: str, value: str, min_similarity: float = 0.5, prefix_length: int = 0,
-          max_expansions: int = 50, boost: float = 1.0) -> Clause:
-    """Score of the nearest terms, each weighed by 1 - edits / length; no coord."""
+          max_expansions: int | None = None, boost: float = 1.0) -> Clause:
+    """Score of the nearest terms, each weighed by 1 - edits / length; no coord.
+
+    The expansions stay a table that is joined to the postings.
+    """
     if value is None:
         raise ValueError("a fuzzy query needs a value")
-    near = fuzzy_terms(index, field, value, min_similarity, prefix_length, max_expansions).collect()
-    found = [r["term"] for r in near]  # at most max_expansions rows
-    if not found:
-        return _constant(index.key, index.docs.select(index.key).filter(F.lit(False)), boost)
-    boosts = [boost * (1 - r["edits"] / max(len(value), 1)) for r in near]
-    return _one_query(index, field, found, boosts, coord=False)
+    near = fuzzy_terms(index, field, value, min_similarity, prefix_length, max_expansions)
+    share = (1 - F.col("edits") / max(len(value), 1)) * float(boost)
+    weighted = materialise(near.select("term", share.alias("boost"), _idf(index, F.col("df")).alias("idf")), "expansions")
+    ssw = weighted.agg(F.sum((F.col("idf") * F.col("boost")) ** 2)).first()[0] or 0.0
+
+    def hits(qnorm: float) -> DataFrame:
+        coef = weighted.select("term", (F.col("idf") ** 2 * F.col("boost") * qnorm).alias("coef"))
+        sums = index.lookup(field).join(coef, "term").groupBy(index.key).agg(
+            F.sum(F.sqrt("tf") / F.sqrt("field_len") * F.col("coef")).alias("score"))
+        return sums.select(F.lit(0).alias("qid"), index.key, "score")
+
+    return Clause(index.key, hits, ssw)
 
 
 # --- like this --------------------------------------------------------------
 
-def pick_like_terms(index: TextIndex, field: str, seeds: DataFrame, min_term_freq: int = 2,
-                    max_query_terms: int = 25, stop_words=(), min_doc_freq: int = 5,
+def pick_like_terms(index: TextIndex, field: str, seeds: DataFrame, min_term_freq: int = 1,
+                    max_query_terms: int | None = None, stop_words=(), min_doc_freq: int = 1,
                     max_doc_freq: int | None = None, min_word_len: int = 0, max_word_len: int = 0) -> DataFrame:
-    """Best tf * idf terms of each seed text ``(qid, text)``: ``(qid, term, tf, idf, rank)``."""
+    """Terms of each seed text ``(qid, text)`` as ``(qid, term, tf, idf)``.
+
+    Nothing is left out unless the request says so; ``max_query_terms`` keeps
+    the best by tf * idf.
+    """
     counted = (query_terms(index, field, seeds).groupBy("qid", "term")
                .agg(F.count(F.lit(1)).alias("tf")).filter(F.col("tf") >= min_term_freq))
     if stop_words:
@@ -356,10 +422,11 @@ def pick_like_terms(index: TextIndex, field: str, seeds: DataFrame, min_term_fre
     if max_doc_freq is not None:
         known = known.filter(F.col("df") <= max_doc_freq)
     rated = counted.join(known, "term").withColumn("idf", _idf(index, F.col("df")))
-    # rounded, so that equal products tie the same way everywhere
-    best = Window.partitionBy("qid").orderBy(F.desc(F.round(F.col("tf") * F.col("idf"), 6)), "term")
-    return (rated.withColumn("rank", F.row_number().over(best))
-            .filter(F.col("rank") <= max_query_terms).select("qid", "term", "tf", "idf", "rank"))
+    if max_query_terms is not None:
+        # rounded, so that equal products tie the same way everywhere
+        best = Window.partitionBy("qid").orderBy(F.desc(F.round(F.col("tf") * F.col("idf"), 6)), "term")
+        rated = rated.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= max_query_terms)
+    return rated.select("qid", "term", "tf", "idf")
 
 
 def more_like_this(index: TextIndex, field: str, seeds: DataFrame, percent_terms_to_match: float = 0.3,
@@ -375,28 +442,46 @@ def more_like_this(index: TextIndex, field: str, seeds: DataFrame, percent_terms
     return _many_queries(index, field, picked.select("qid", "term", "boost"), need)
 
 
+def near_pairs(seeds: DataFrame, words: DataFrame, min_similarity: float, prefix_length: int = 0) -> DataFrame:
+    """``(seed, term, edits)`` of vocabulary terms within the edit distance of seed terms.
+
+    A seed that may differ by k edits is cut into k + 1 pieces; one of them must stand
+    unchanged in the term, at most k places from its own. So an equi-join on the piece
+    loses nothing. Seeds too short for that many pieces meet terms by length.
+    """
+    size = F.length("seed")
+    allowed = (F.floor((1 - F.lit(min_similarity)) * size) if min_similarity < 1 else F.lit(int(min_similarity))).cast("int")
+    head = lambda c: F.substring(c, 1, prefix_length) if prefix_length else F.lit("")
+    wanted = seeds.select("seed", allowed.alias("allowed"), size.alias("size"), head("seed").alias("head"))
+    known = words.select("term", F.length("term").alias("len"), head("term").alias("term_head"))
+    k = F.col("allowed")
+    cut = (wanted.filter(F.col("size") > k).select("*", F.explode(F.sequence(F.lit(0), k)).alias("i"))
+           .withColumn("at", F.floor(F.col("i") * F.col("size") / (k + 1)).cast("int"))
+           .withColumn("piece_len", (F.floor((F.col("i") + 1) * F.col("size") / (k + 1)) - F.col("at")).cast("int"))
+           .withColumn("piece", F.expr("substring(seed, at + 1, piece_len)")))
+    sizes = F.array_sort(F.array_distinct(F.array(*[F.lit(r[0]) for r in cut.select("piece_len").distinct().collect()] or [F.lit(0)])))
+    grams = (known.select("*", F.explode(F.filter(sizes, lambda n: (n > 0) & (n <= F.col("len")))).alias("n"))
+             .select("*", F.explode(F.expr("sequence(0, len - n)")).alias("place"))
+             .withColumn("piece", F.expr("substring(term, place + 1, n)")))
+    near_length = F.abs(F.col("len") - F.col("size")) <= k
+    by_piece = cut.join(grams, "piece").filter(near_length & (F.abs(F.col("place") - F.col("at")) <= k))
+    lengths = F.explode(F.sequence(F.greatest(F.col("size") - k, F.lit(1)), F.col("size") + k)).alias("len")
+    by_length = wanted.filter(F.col("size") <= k).select("*", lengths).join(known, "len")
+    keep = ["seed", "term", "allowed", "head", "term_head"]
+    pairs = by_piece.select(*keep).unionByName(by_length.select(*keep)).filter("head = term_head").distinct()
+    return (pairs.withColumn("edits", F.levenshtein("term", "seed")).filter(F.col("edits") <= k)
+            .select("seed", "term", "edits"))
+
+
 def fuzzy_like_this(index: TextIndex, field: str, seeds: DataFrame, min_similarity: float = 0.5,
-                    prefix_length: int = 1, max_query_terms: int = 25, ignore_tf: bool = False,
+                    prefix_length: int = 0, max_query_terms: int | None = None, ignore_tf: bool = False,
                     boost: float = 1.0) -> Clause:
-    """The seed's best terms, each widened to vocabulary terms within the edit
-    distance.
+    """The seed's terms, each widened to vocabulary terms within the edit distance.
 
-    Widening runs once per distinct seed term, as an equi-join on the shared
-    prefix and the admissible lengths.
+    Widening runs once per distinct seed term.
     """
-    if prefix_length < 1:
-        raise ValueError("fuzzy_like_this needs prefix_length >= 1")
-    picked = pick_like_terms(index, field, seeds, min_term_freq=1, min_doc_freq=1,
-                             max_query_terms=max_query_terms)
-    size = F.length("seed")
-    allowed = (F.floor((1 - F.lit(min_similarity)) * size) if min_similarity < 1
-               else F.lit(int(min_similarity))).cast("int")
-    wanted = (picked.select(F.col("term").alias("seed")).distinct().withColumn("allowed", allowed)
-              .withColumn("head", F.substring("seed", 1, prefix_length))
-              .withColumn("len", F.explode(F.sequence(F.greatest(size - F.col("allowed"), F.lit(1)), size + F.col("allowed")))))
-    words = index.words(field).select("term", F.substring("term", 1, prefix_length).alias("head"), F.length("term").alias("len"))
-    near = (wanted.join(words, ["head", "len"]).withColumn("edits", F.levenshtein("term", "seed"))
-            .filter(F.col("edits") <= F.col("allowed")).select("seed", "term", "edits"))
+    picked = pick_like_terms(index, field, seeds, max_query_terms=max_query_terms)
+    near = near_pairs(picked.select(F.col("term").alias("seed")).distinct(), index.words(field), min_similarity, prefix_length)
     strength = (1 - F.col("edits") / F.length("seed")) * (F.lit(1.0) if ignore_tf else F.sqrt("tf")) * boost
     widened = (picked.select("qid", F.col("term").alias("seed"), "tf").join(near, "seed")
                .groupBy("qid", "term").agg(F.max(strength).alias("boost")))
@@ -419,8 +504,12 @@ def range_(docs: DataFrame, key: str, field: str, boost: float = 1.0, include_lo
     """Range by ``gt/gte/lt/lte`` or ``from_/to`` with the include flags."""
     low, high = bounds.pop("from_", None), bounds.pop("to", None)
     if low is not None:
+        if {"gt", "gte"} & bounds.keys():
+            raise ValueError("two lower bounds")
         bounds["gte" if include_lower else "gt"] = low
     if high is not None:
+        if {"lt", "lte"} & bounds.keys():
+            raise ValueError("two upper bounds")
         bounds["lte" if include_upper else "lt"] = high
     return constant_score(docs, key, flt.range_(field, **bounds), boost)
 
@@ -484,6 +573,16 @@ def _tagged(rows: DataFrame, key: str, role: str) -> DataFrame:
     return rows.select("qid", key, "score", F.lit(role).alias("role"))
 
 
+def _of_table(clause: Clause) -> bool:
+    """Whether a clause answers a table of queries."""
+    return isinstance(clause.ssw, DataFrame)
+
+
+def _for_queries(rows: DataFrame, key: str, asked: DataFrame) -> DataFrame:
+    """Rows that hold for any query, for each query that has that document among ``asked``."""
+    return asked.join(rows.drop("qid"), key)
+
+
 def bool_(must=(), should=(), must_not=(), minimum_should_match: int | None = None,
           disable_coord: bool = False, factor: float = 1.0, docs: DataFrame | None = None) -> Clause:
     """Scores of matching clauses add up, times matched / all scoring clauses.
@@ -499,12 +598,26 @@ def bool_(must=(), should=(), must_not=(), minimum_should_match: int | None = No
     key = (must + should)[0].key
     total = len(must) + len(should)
     least = minimum_should_match if minimum_should_match is not None else (0 if must else 1)
+    many = any(_of_table(c) for c in must + should)
+    if many and not any(_of_table(c) for c in must) and not all(_of_table(c) for c in should):
+        raise ValueError("with a table of queries, a clause that holds for all of them needs a must clause of the table")
 
     def hits(norm):
-        # an excluded clause never scores, so it is normalised by itself
-        rows = _union([*[_tagged(c.hits(norm), key, "must") for c in must],
-                       *[_tagged(c.hits(norm), key, "should") for c in should],
-                       *[_tagged(c.raw(), key, "not") for c in must_not]])
+        asked = None
+        if many and any(_of_table(c) for c in must):
+            asked = reduce(lambda a, b: a.join(b, ["qid", key], "left_semi"),
+                           [c.hits(norm).select("qid", key) for c in must if _of_table(c)])
+
+        def rows_of(clause: Clause, role: str) -> DataFrame:
+            # an excluded clause never scores, so it is normalised by itself
+            rows = clause.raw() if role == "not" else clause.hits(norm)
+            if many and not _of_table(clause):
+                own = asked if asked is not None else _union([c.hits(norm).select("qid", key) for c in should]).distinct()
+                rows = _for_queries(rows, key, own)
+            return _tagged(rows, key, role)
+
+        rows = _union([*[rows_of(c, "must") for c in must], *[rows_of(c, "should") for c in should],
+                       *[rows_of(c, "not") for c in must_not]])
         scoring = F.col("role") != "not"
         folded = rows.groupBy("qid", key).agg(
             F.sum(F.when(scoring, F.col("score"))).alias("score"),
@@ -528,6 +641,8 @@ def not_(clause: Clause, docs: DataFrame) -> Clause:
 def dis_max(clauses: list[Clause], tie_breaker: float = 0.0, factor: float = 1.0) -> Clause:
     """Best clause score plus a share of the others."""
     key = clauses[0].key
+    if len({_of_table(c) for c in clauses}) > 1:
+        raise ValueError("a table of queries and a clause that holds for all of them cannot be compared")
 
     def hits(norm):
         best = _union([c.hits(norm).select("qid", key, "score") for c in clauses]).groupBy("qid", key).agg(
@@ -540,9 +655,13 @@ def dis_max(clauses: list[Clause], tie_breaker: float = 0.0, factor: float = 1.0
 
 def boosting(positive: Clause, negative: Clause, negative_boost: float) -> Clause:
     """Demote the positive hits that also match the negative query."""
+    if _of_table(negative) and not _of_table(positive):
+        raise ValueError("a table of negative queries needs a table of positive ones")
+
     def hits(norm):
-        bad = negative.raw().select("qid", negative.key, F.lit(True).alias("bad"))
-        return positive.hits(norm).join(bad, ["qid", positive.key], "left").select(
+        on = ["qid", positive.key] if _of_table(negative) == _of_table(positive) else [positive.key]
+        bad = negative.raw().select(*on, F.lit(True).alias("bad"))
+        return positive.hits(norm).join(bad, on, "left").select(
             "qid", positive.key,
             (F.col("score") * F.when(F.col("bad"), F.lit(float(negative_boost))).otherwise(1.0)).alias("score"))
     return replace(positive, hits=hits)
@@ -596,16 +715,22 @@ def filtered(clause: Clause, docs: DataFrame, predicate: Column) -> Clause:
     return replace(clause, hits=lambda norm: clause.hits(norm).join(kept, clause.key, "left_semi"))
 
 
-def indices(docs: DataFrame, names: list[str], clause: Clause, no_match: Clause | None = None,
+def indices(docs: DataFrame, names: list[str], clause: Clause, no_match: Clause | str = "all",
             index_column: str = "_index") -> Clause:
-    """One query for documents of the named indices, another for the rest."""
-    inside = filtered(clause, docs, F.col(index_column).isin(names))
-    outside = filtered(no_match, docs, ~F.col(index_column).isin(names)) if no_match is not None else None
+    """One query for documents of the named indices; for the rest another one, ``"all"`` or ``"none"``.
 
-    def hits(_norm):
-        return _union([inside.raw(), outside.raw() if outside is not None else None])
-
-    return Clause(clause.key, hits)
+    Both branches take the outer query norm, which both add to.
+    """
+    named = F.coalesce(F.col(index_column).isin(names), F.lit(False))
+    parts = [filtered(clause, docs, named)]
+    if no_match == "all":
+        parts.append(match_all(docs.filter(~named), clause.key))
+    elif isinstance(no_match, Clause):
+        parts.append(filtered(no_match, docs, ~named))
+    elif no_match != "none":
+        raise ValueError("no_match is a clause, 'all' or 'none'")
+    return Clause(clause.key, lambda norm: _union([p.hits(norm).select("qid", clause.key, "score") for p in parts]),
+                  _total_ssw(parts))
 
 
 def text_query(index: TextIndex, fields: list[str], required: str = "", optional: str = "",

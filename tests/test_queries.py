@@ -207,3 +207,77 @@ def test_highlight(spark):
     assert H.highlight(hit, ["zebra"], {"name": None}).first()["highlight"] == {}
     with pytest.raises(ValueError):
         H.highlight(hit, ["a"], {"name": None}, {"fields": ["name"]})
+
+
+def test_removed_words_keep_their_places(spark):
+    docs = spark.createDataFrame([(1, "hand god"), (2, "hand of god"), (3, "hand in god"), (4, "of the")], "id long, text string")
+    stop = build_index(docs, "id", {"text": A.analyzer("standard")})
+    assert set(found(Q.match_phrase(stop, "text", "hand of god"))) == {2, 3}
+    assert set(found(Q.match_phrase(stop, "text", "hand god"))) == {1}
+    for clause in (Q.match(stop, "text", "of the"), Q.match_phrase(stop, "text", "of the"), Q.match_phrase_prefix(stop, "text", "the"),
+                   Q.match(stop, "text", ""), Q.match_phrase(stop, "text", "")):
+        assert found(clause) == {}
+
+
+def test_tokens_made_of_one_share_its_place(spark):
+    chain = A.custom_analyzer("standard", filters=["lowercase", ("stop", ["my"]), ("synonym", {"hand": ["palm", "fist"]}), ("edge_ngram", 4, 9)])
+    row = spark.createDataFrame([("My hand hurts",)], "t string").select(A.placed(chain)(F.col("t")).alias("x")).first()["x"]
+    assert [(r["t"], r["p"]) for r in row] == [("palm", 1), ("fist", 1), ("hurt", 2), ("hurts", 2)]
+    twice = A.custom_analyzer("whitespace", filters=[("synonym", {"a": ["a", "b"]}), "unique", ("shingle", 2)])
+    row = spark.createDataFrame([("a c b a",)], "t string").select(A.placed(twice)(F.col("t")).alias("x")).first()["x"]
+    assert [(r["t"], r["p"]) for r in row] == [("a b", 0), ("b c", 0)]
+    plain = spark.createDataFrame([("Hurts",)], "t string").select(
+        A.custom_analyzer("standard", filters=["lowercase", "porter_stem", "icu_normalizer"])(F.col("t")).alias("x"))
+    assert plain.first()["x"] == ["hurt"]
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("similarity, prefix", [(1, 0), (2, 0), (0.5, 0), (3, 2)])
+def test_near_pairs_lose_nothing(spark, similarity, prefix):
+    words = ["".join(w) for n in range(1, 5) for w in itertools.product("abc", repeat=n)][::3] + ["abcabcabc", "xbcabcabc", "abcxbcab"]
+    df = spark.createDataFrame([(w,) for w in words], "term string")
+    pairs = Q.near_pairs(df.withColumnRenamed("term", "seed"), df, similarity, prefix).collect()
+    want = {(s, t) for s in words for t in words if edits(s, t) <= Q.max_edits(s, similarity) and s[:prefix] == t[:prefix]}
+    assert {(r["seed"], r["term"]) for r in pairs} == want and len(pairs) == len(want)
+
+
+def test_many_expansions_are_all_used(spark):
+    docs = spark.createDataFrame([(i, f"the t{i:03d}x") for i in range(300)], "id long, text string")
+    many = build_index(docs, "id", {"text": A.custom_analyzer("standard", filters=["lowercase"])})
+    assert len(found(Q.match_phrase_prefix(many, "text", "the t"))) == 300
+    assert len(found(Q.fuzzy(many, "text", "t000x", 3))) == 300
+    assert len(found(Q.match_phrase_prefix(many, "text", "the t", max_expansions=5))) == 5
+
+
+def test_a_table_of_queries_meets_clauses_for_all(spark, index):
+    table = spark.createDataFrame([(0, "quick fox"), (1, "lazy dog"), (2, "absent")], "qid int, text string")
+    many = Q.match(index, "text", table)
+    rows = Q.bool_(must=[many, Q.prefix(index, "text", "bro")], must_not=[Q.term(index, "text", "jumps")]).scores().collect()
+    one = {q: found(Q.bool_(must=[Q.match(index, "text", t), Q.prefix(index, "text", "bro")], must_not=[Q.term(index, "text", "jumps")]))
+           for q, t in ((0, "quick fox"), (1, "lazy dog"))}
+    assert {(r["qid"], r["id"]) for r in rows} == {(q, d) for q, hits in one.items() for d in hits}
+    demoted = Q.boosting(many, Q.term(index, "text", "lazy"), 0.5).scores().collect()
+    plain = {(r["qid"], r["id"]): r["score"] for r in many.scores().collect()}
+    assert all(abs(r["score"] - plain[r["qid"], r["id"]] * (0.5 if r["id"] == 3 else 1)) < 2e-6 for r in demoted) and len(demoted) == len(plain)
+    assert max(r["rank"] for r in many.best(2).collect()) == 2
+    with pytest.raises(ValueError):
+        Q.bool_(should=[many, Q.prefix(index, "text", "bro")])
+    with pytest.raises(ValueError):
+        Q.dis_max([many, Q.prefix(index, "text", "bro")])
+    with pytest.raises(ValueError):
+        Q.range_(index.docs, "id", "id", from_=1, gte=2)
+
+
+def test_indices_for_the_rest(index):
+    hit = Q.term(index, "text", "dog")
+    assert set(found(Q.indices(index.docs, [3], hit, "none", "id"))) == {3}
+    assert found(Q.indices(index.docs, [3], hit, index_column="id"))[1] == 1.0
+    assert len(found(Q.indices(index.docs, [3], hit, index_column="id"))) == 6
