@@ -139,13 +139,22 @@ def _(t):
 
 @query("a19_tf_porter_stem")
 def _(t):
-    """Stems of the whole vocabulary, joined back to the postings."""
-    postings = t.text_index().lookup("text")
-    stems = I.map_vocabulary(postings, porter_stem, "stem")
-    return stems.groupBy("stem").agg(F.countDistinct("term").alias("terms"), F.sum("tf").alias("uses"))
+    """Stems of the whole vocabulary, with the uses counted there."""
+    vocab = t.text_index().words("text")
+    return vocab.groupBy(porter_stem("term").alias("stem")).agg(F.count(F.lit(1)).alias("terms"), F.sum("cf").alias("uses"))
 
 
-@query("a20_tf_phonetic")
+def soundex_sql(t: str) -> str:
+    """First letter, then the codes of the rest: h and w are skipped, equal neighbours are one, vowels part them."""
+    rest = f"replace(replace(regexp_replace(substr({t}, 2), '[^a-z]', '0', 'g'), 'h', ''), 'w', '')"
+    codes = f"translate({t}[1] || {rest}, 'abcdefghijklmnopqrstuvwxyz', '01230120022455012623010202')"
+    for code in "123456":
+        codes = f"regexp_replace({codes}, '{code}+', '{code}', 'g')"
+    coded = f"upper({t}[1]) || left(replace(substr({codes}, 2), '0', '') || '000', 3)"
+    return f"CASE WHEN regexp_matches({t}, '^[a-z]') THEN {coded} ELSE {t} END"
+
+
+@query("a20_tf_phonetic", f"SELECT doc_id, array_to_string(list_transform({LOW}, lambda t: {soundex_sql('t')}), '|') AS tokens FROM documents")
 def _(t):
     return t.docs.select("doc_id", joined(A.chain(TEXT, A.tf_phonetic)(F.col("text"))).alias("tokens"))
 
@@ -185,13 +194,11 @@ def _(t):
         F.min(A.fold(F.lower("t"))).alias("term"), F.sum("df").alias("uses")).select("term", "uses")
 
 
-@query("a28_tf_dictionary_decompound", f"""WITH words AS (SELECT DISTINCT term AS word FROM (
-    SELECT unnest({LOW}) AS term FROM benchmark) WHERE length(term) >= 4),
-    vocab AS (SELECT DISTINCT term FROM (SELECT unnest({LOW}) AS term FROM documents) WHERE length(term) >= 5),
-    parts AS (SELECT DISTINCT term, unnest({grams_sql('term', 2, 15)}) AS part FROM vocab)
-    SELECT term, part FROM parts JOIN words ON part = word WHERE part <> term""")
+@query("a28_tf_dictionary_decompound", f"""WITH words AS (SELECT DISTINCT unnest({LOW}) AS word FROM benchmark),
+    vocab AS (SELECT DISTINCT unnest({LOW}) AS term FROM documents)
+    SELECT term, word AS part FROM vocab JOIN words ON contains(term, word) AND word <> term""")
 def _(t):
-    words = I.token_rows(t.benchmark, TEXT(F.col("text")), "word").distinct().filter("length(word) >= 4")
+    words = I.token_rows(t.benchmark, TEXT(F.col("text")), "word").distinct()
     return I.decompound(t.text_index().words("text"), words).select("term", "part")
 
 

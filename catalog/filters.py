@@ -28,6 +28,7 @@ keyed("f03_not_terms_with_null", "segment NOT IN ('BUILDING', 'MACHINERY') AND s
       lambda: f.not_terms("segment", ["BUILDING", "MACHINERY", None]))
 keyed("f04_missing", "segment IS NULL", lambda: f.missing("segment"))
 keyed("f04_missing_null_value", "segment IS NULL OR segment = 'FURNITURE'", lambda: f.missing("segment", null_value="FURNITURE"))
+keyed("f04_missing_stand_in", "segment = 'FURNITURE'", lambda: f.missing("segment", null_value="FURNITURE", existence=False))
 keyed("f05_exists", "segment IS NOT NULL", lambda: f.exists("segment"))
 keyed("f06_prefix_null_field", "segment LIKE 'BU%'", lambda: f.prefix("segment", "BU"))
 keyed("f09_and", "segment = 'BUILDING' AND c_acctbal > 0", lambda: f.and_({"segment": "BUILDING"}, f.range_("c_acctbal", gt=0)))

@@ -110,6 +110,27 @@ def event_stream(t: Tables):
     return t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.dir)
 
 
+def event_batches(t: Tables):
+    """The events as three files that arrive one after the other: three micro-batches."""
+    path = table_path(t.spark, "arriving")
+    last = t.events.agg(F.max("event_id")).first()[0]
+    part = F.floor(F.col("event_id") * 3 / (last + 1))
+    for k in range(3):
+        t.events.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("n01_stream_upsert_batches", "SELECT CAST(user_id AS VARCHAR) AS _id, count(*) AS _version, arg_max(value, event_id) AS value, 3::BIGINT AS batches FROM events GROUP BY user_id")
+def _(t):
+    """Each micro-batch looks up what the earlier ones stored."""
+    path = table_path(t.spark, "stream")
+    actions = event_batches(t).select(F.lit("user").alias("_type"), F.col("user_id").cast("string").alias("_id"), F.lit(0).cast("long").alias("_version"),
+                                      "value", F.col("event_id").alias("_seq"))
+    N.stream_upsert(actions, path, f"{path}/checkpoint", "overwrite").awaitTermination()
+    batches = t.spark.read.parquet(f"{path}/rows").agg(F.countDistinct("_batch")).first()[0]
+    return N.read_upserted(t.spark, path).select("_id", "_version", "value", F.lit(batches).alias("batches"))
+
+
 @query("n01_stream_upsert", "SELECT CAST(user_id AS VARCHAR) AS _id, count(*) AS _version, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def _(t):
     """Every event overwrites its user's row; the stream runs until all is read."""

@@ -147,13 +147,13 @@ def _(t):
     return scored(v.index_boosts({"en": 2, "de": 0.5}).matches())
 
 
-def marked_sql(token: str) -> str:
-    """Whole texts with the words hand and only tagged, cut at every token."""
+def marked_sql(token: str, test: str = "lower(word) IN ('hand', 'only')") -> str:
+    """Whole texts with the words that pass a test tagged, cut at every token."""
     return rf"""WITH parts AS (SELECT doc_id, text, unnest(spans) AS span, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM (
         SELECT doc_id, text, regexp_extract_all(text, '(?s)(.*?)({token})') AS spans, regexp_extract_all(text, '{token}') AS words FROM documents))
-    SELECT doc_id, string_agg(CASE WHEN lower(word) IN ('hand', 'only') THEN left(span, length(span) - length(word)) || '<em>' || word || '</em>' ELSE span END, '' ORDER BY pos)
+    SELECT doc_id, string_agg(CASE WHEN {test} THEN left(span, length(span) - length(word)) || '<em>' || word || '</em>' ELSE span END, '' ORDER BY pos)
         || substr(any_value(text), (sum(length(span)) + 1)::BIGINT) AS body
-    FROM parts GROUP BY doc_id HAVING bool_or(lower(word) IN ('hand', 'only'))"""
+    FROM parts GROUP BY doc_id HAVING bool_or({test})"""
 
 
 @query("r09_highlight", marked_sql(r"[\p{L}\p{N}]+"))
@@ -172,6 +172,17 @@ def _(t):
     return t.docs.join(places, "doc_id").select("doc_id", H.wrap_offsets(F.col("text"), F.col("spans")).alias("body"))
 
 
+@query("r09_highlight_query", marked_sql(r"[\p{L}\p{N}]+(?:[.''][\p{L}\p{N}]+)*", "lower(word) IN ('hand', 'only') OR lower(word) LIKE 'thaned%' OR levenshtein(regexp_replace(lower(word), '[^\\x00-\\x7f]', '#', 'g'), 'attion') <= 1")
+       + " ORDER BY doc_id LIMIT 50")
+def _(t):
+    """Marks taken from the query: words, expansions of a prefix and of a fuzzy word."""
+    i = t.text_index()
+    asked = Q.bool_(should=[Q.match(i, "text", "HAND only"), Q.prefix(i, "text", "thaned"), Q.fuzzy(i, "text", "attion", 1)],
+                    must_not=[Q.term(i, "text", "zzzzabsent")])
+    out = View(i.docs, "doc_id").matching(asked).sort("doc_id").page(0, 50).highlight(None, {"text": {"number_of_fragments": 0}})
+    return out.select("doc_id", F.col("highlight")["text"][0].alias("body"))
+
+
 @query("r09_highlight_fragments")
 def _(t):
     i = t.text_index()
@@ -182,7 +193,8 @@ def _(t):
 
 
 @query("r11_explain", f"""WITH {POST}, {leaf_sql(1, ['the'])}, {leaf_sql(2, ['hand'])}, {leaf_sql(3, ['the', 'hand'])},
-    d AS (SELECT doc_id, 'hand' AS name, round(s * {norm_sql(2)}, 6) AS v FROM c2 UNION ALL SELECT doc_id, 'the', round(s * {norm_sql(1)}, 6) FROM c1),
+    parts AS (SELECT doc_id, 'hand' AS name, s FROM c2 UNION ALL SELECT doc_id, 'the', s FROM c1),
+    d AS (SELECT doc_id, name, round(s * {norm_sql(3)} * count(*) OVER (PARTITION BY doc_id) / 2, 6) AS v FROM parts),
     top AS (SELECT doc_id, round(s * {norm_sql(3)}, 6) AS score FROM c3 ORDER BY score DESC, doc_id LIMIT 10)
     SELECT top.doc_id, score, name, v AS value FROM top JOIN d USING (doc_id)""")
 def _(t):
@@ -199,6 +211,8 @@ hit("r14_total", "SELECT count(*) AS total FROM hits", lambda v: v.total())
 hit("r17_max_score", "SELECT max(score) AS max_score FROM hits", lambda v: v.max_score())
 hit("r19_slice", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM hits) WHERE r BETWEEN 17 AND 19",
     lambda v: v.page(0, 20).slice(-4, 3).select("doc_id"))
+hit("r19_slice_to_the_end", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM hits) WHERE r BETWEEN 16 AND 20",
+    lambda v: v.page(0, 20).slice(15).select("doc_id"))
 
 
 @query("r15_routing", "SELECT c_custkey FROM customer WHERE c_nationkey IN (3, 5)")

@@ -48,10 +48,10 @@ def _(t):
     return failed.select(F.col("_id").cast("long").alias("id"), F.col("_seq").alias("seq"))
 
 
-@query("w01_auto_id", "SELECT count(*) AS n, count(*) AS ids FROM orders")
+@query("w01_auto_id", "SELECT count(*) AS n, count(*) AS ids, 64 AS digits FROM orders")
 def _(t):
     batch = order_batch(t, F.lit(None)).withColumn("_id", F.lit(None).cast("string"))
-    return W.assign_ids(batch).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_id").alias("ids"))
+    return W.assign_ids(batch).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_id").alias("ids"), F.min(F.length("_id")).alias("digits"))
 
 
 @query("w02_save", f"SELECT id, CASE WHEN id % 5 = 0 AND version = 1 THEN 2 ELSE version END AS version, CASE WHEN id % 5 = 0 AND version = 1 THEN balance + 100 ELSE balance END AS balance FROM {STORED}")

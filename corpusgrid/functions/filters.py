@@ -46,10 +46,15 @@ def exists(field, many: bool = False) -> Column:
     return c.isNotNull() & (F.size(F.array_compact(c)) > 0) if many else c.isNotNull()
 
 
-def missing(field, many: bool = False, null_value=None) -> Column:
-    """No value; with ``null_value`` a row holding that stand-in counts too."""
-    absent = ~exists(field, many)
-    return absent if null_value is None else absent | _any(field, lambda v: v == null_value, many)
+def missing(field, many: bool = False, null_value=None, existence: bool = True) -> Column:
+    """No value; with ``null_value`` a row holding that stand-in counts too.
+
+    Without ``existence`` only the stand-in counts.
+    """
+    if not existence and null_value is None:
+        raise ValueError("missing needs existence or a null value")
+    absent = ~exists(field, many) if existence else F.lit(False)
+    return absent if null_value is None else absent | F.coalesce(_any(field, lambda v: v == null_value, many), F.lit(False))
 
 
 not_exists, not_missing = missing, exists

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgrid.functions import analysis as A
+from corpusgrid.operators.index import field_analyzer, term_vector
+
 WORD = r"[\p{L}\p{N}]"
 
 
@@ -63,13 +67,59 @@ def fragments(text: Column, terms: list[str], options: HighlightOptions = Highli
         pieces = F.array(text)
     else:
         pieces = F.regexp_extract_all(text, F.lit(r"(?:\S+\s*){1,%d}" % options.fragment_words), F.lit(0))
-        pieces = F.transform(pieces, F.trim)
+        pieces = F.transform(pieces, lambda p: F.trim(p))
     found = F.filter(pieces, lambda p: p.rlike(_pattern(terms)))
     if options.number_of_fragments:
         found = F.slice(found, 1, options.number_of_fragments)
     return F.transform(found, lambda p: wrap_terms(p, terms, options))
 
 
+#: Stand-ins for the tags while a text is cut into fragments; private code points.
+OPEN, SHUT = "\ue000", "\ue001"
+
+
+def cut_marked(marked: Column, options: HighlightOptions) -> Column:
+    """Fragments of a text whose matches stand between the stand-ins."""
+    if options.number_of_fragments == 0:
+        pieces = F.array(marked)
+    else:
+        pieces = F.regexp_extract_all(marked, F.lit(r"(?:\S+\s*){1,%d}" % options.fragment_words), F.lit(0))
+        pieces = F.transform(pieces, lambda p: F.trim(p))
+    found = F.filter(pieces, lambda p: F.contains(p, F.lit(OPEN)))
+    if options.number_of_fragments:
+        found = F.slice(found, 1, options.number_of_fragments)
+    return F.transform(found, lambda p: F.replace(F.replace(p, F.lit(OPEN), F.lit(options.pre_tag)), F.lit(SHUT), F.lit(options.post_tag)))
+
+
+def highlight_marks(hits: DataFrame, key: str, marks: tuple, fields: dict, settings: dict | None = None) -> DataFrame:
+    """``highlight`` from the marks of a query: what its clauses matched, expansions too.
+
+    Each token of a hit goes through the field's analyzer, and is tagged if one of the
+    terms that come out is marked. Tokens and terms meet in a join, so a prefix may
+    expand to any number of terms. Only the hits are looked at.
+    """
+    if settings and "fields" in settings:
+        raise ValueError("the field list is not a global setting")
+    base, out, entries = HighlightOptions(**(settings or {})), hits, []
+    for n, (name, own) in enumerate(fields.items()):
+        options, parts = replace(base, **(own or {})), [(i, make) for i, field, make in marks if field == name]
+        if not parts:
+            continue
+        chain = field_analyzer(parts[0][0].analyzers[name])
+        wanted = reduce(DataFrame.unionByName, [make() for _, make in parts]).distinct()
+        tokens = term_vector(hits, key, name).select(key, "start", "end", F.explode(A.terms(chain(F.col("term")))).alias("term"))
+        spans = (tokens.join(wanted, "term", "left_semi").groupBy(key)
+                 .agg(F.collect_set(F.struct("start", "end")).alias(f"_spans{n}")))
+        stand_ins = replace(options, pre_tag=OPEN, post_tag=SHUT)
+        out = out.join(spans, key, "left")
+        marked = wrap_offsets(F.col(name), F.col(f"_spans{n}"), stand_ins)
+        pieces = F.when(F.col(f"_spans{n}").isNotNull(), cut_marked(marked, options)).otherwise(F.array().cast("array<string>"))
+        entries += [F.lit(name), pieces]
+    empty = F.create_map().cast("map<string,array<string>>")
+    shown = F.map_filter(F.create_map(*entries), lambda _k, v: F.size(v) > 0) if entries else empty
+    return out.withColumn("highlight", shown).select(*hits.columns, "highlight")
+
+
 def highlight(hits: DataFrame, terms: list[str], fields: dict, settings: dict | None = None) -> DataFrame:
     """Add ``highlight: map<field, array<string>>``.
 

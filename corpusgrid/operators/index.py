@@ -218,12 +218,15 @@ def join_synonyms(tokens: DataFrame, synonyms: DataFrame) -> DataFrame:
             .withColumn("term", F.coalesce("synonym", "term")).drop("synonym"))
 
 
-def decompound(vocab: DataFrame, words: DataFrame, min_word: int = 5, min_part: int = 2,
-               max_part: int = 15) -> DataFrame:
+def decompound(vocab: DataFrame, words: DataFrame, min_word: int = 1, min_part: int = 1,
+               max_part: int | None = None) -> DataFrame:
     """Dictionary parts found inside vocabulary terms: ``(term, part)``.
 
-    Every substring of a distinct term is looked up by an equi-join.
+    Every substring of a distinct term, up to the longest dictionary word, is
+    looked up by an equi-join.
     """
+    if max_part is None:
+        max_part = max(min_part, words.agg(F.max(F.length("word"))).first()[0] or 0)
     long_terms = vocab.select("term").distinct().filter(F.length("term") >= min_word)
     grams = A._grams(F.col("term"), min_part, max_part)
     parts = token_rows(long_terms, F.array_distinct(grams), "part", "term")

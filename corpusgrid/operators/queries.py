@@ -43,6 +43,7 @@ class Clause:
     key: str
     hits: Callable[[float | DataFrame], DataFrame]
     ssw: float | DataFrame = 0.0
+    marks: tuple = ()  # (index, field, terms as a table made on demand): what a highlight shows
 
     def raw(self) -> DataFrame:
         """Scored rows with the query norm applied, full precision."""
@@ -134,7 +135,11 @@ def _one_query(index: TextIndex, field: str, terms: list[str], boosts: list[floa
         score = F.col("score") * F.col("matched") / len(terms) if coord else F.col("score")
         return sums.filter(F.col("matched") >= need).select(F.lit(0).alias("qid"), index.key, score.alias("score"))
 
-    return Clause(index.key, hits, ssw)
+    return Clause(index.key, hits, ssw, _marks(index, field, list(uses)))
+
+
+def _marks(index: TextIndex, field: str, terms_: list[str]) -> tuple:
+    return ((index, field, lambda: literal_rows(index.docs.sparkSession, term=terms_)),)
 
 
 def _many_queries(index: TextIndex, field: str, qterms: DataFrame, need: Column, coord: bool = True) -> Clause:
@@ -283,7 +288,10 @@ def _phrase(index: TextIndex, field: str, groups: dict[int, list[str]], slop: in
         score = F.sqrt("freq") * (weight ** 2 * boost * qnorm) / F.sqrt("field_len")
         return found.select(F.lit(0).alias("qid"), index.key, score.alias("score"))
 
-    return Clause(index.key, hits, (weight * boost) ** 2)
+    marks = _marks(index, field, list(idf)) if idf else ()
+    if tail is not None:
+        marks += ((index, field, lambda: tail[1].select("term")),)
+    return Clause(index.key, hits, (weight * boost) ** 2, marks)
 
 
 def _offsets(places: list[tuple[str, int]]) -> dict[int, list[str]]:
@@ -339,7 +347,8 @@ def _vocab_match(index: TextIndex, field: str, test: Column, boost: float) -> Cl
     """Documents holding any term that passes ``test``; the test is pushed into
     the postings scan, no vocabulary join is needed."""
     docs = index.lookup(field).filter(test).select(index.key).distinct()
-    return _constant(index.key, docs, boost)
+    marks = ((index, field, lambda: index.words(field).filter(test).select("term")),)
+    return replace(_constant(index.key, docs, boost), marks=marks)
 
 
 def prefix(index: TextIndex, field: str, start: str, boost: float = 1.0) -> Clause:
@@ -397,7 +406,7 @@ def fuzzy(index: TextIndex, field: str, value: str, min_similarity: float = 0.5,
             F.sum(F.sqrt("tf") / F.sqrt("field_len") * F.col("coef")).alias("score"))
         return sums.select(F.lit(0).alias("qid"), index.key, "score")
 
-    return Clause(index.key, hits, ssw)
+    return Clause(index.key, hits, ssw, ((index, field, lambda: weighted.select("term")),))
 
 
 # --- like this --------------------------------------------------------------
@@ -562,7 +571,11 @@ def nested(docs: DataFrame, key: str, path: str, score: Callable[[Column], Colum
 
 def boost(clause: Clause, factor: float) -> Clause:
     """Weigh a clause inside a larger query."""
-    return Clause(clause.key, lambda norm: _times(clause.hits(norm), factor), _total_ssw([clause], factor))
+    return Clause(clause.key, lambda norm: _times(clause.hits(norm), factor), _total_ssw([clause], factor), clause.marks)
+
+
+def _all_marks(clauses: list[Clause]) -> tuple:
+    return tuple(m for c in clauses for m in c.marks)
 
 
 def _times(rows: DataFrame, factor: float) -> DataFrame:
@@ -629,7 +642,7 @@ def bool_(must=(), should=(), must_not=(), minimum_should_match: int | None = No
         coord = F.lit(1.0) if disable_coord else F.col("matched") / total
         return kept.select("qid", key, (F.col("score") * coord * float(factor)).alias("score"))
 
-    return Clause(key, hits, _total_ssw(must + should, factor))
+    return Clause(key, hits, _total_ssw(must + should, factor), _all_marks(must + should))
 
 
 def not_(clause: Clause, docs: DataFrame) -> Clause:
@@ -650,7 +663,7 @@ def dis_max(clauses: list[Clause], tie_breaker: float = 0.0, factor: float = 1.0
         score = F.col("best") + (F.col("total") - F.col("best")) * float(tie_breaker)
         return best.select("qid", key, (score * float(factor)).alias("score"))
 
-    return Clause(key, hits, _total_ssw(clauses, factor))
+    return Clause(key, hits, _total_ssw(clauses, factor), _all_marks(clauses))
 
 
 def boosting(positive: Clause, negative: Clause, negative_boost: float) -> Clause:
@@ -730,7 +743,7 @@ def indices(docs: DataFrame, names: list[str], clause: Clause, no_match: Clause
     elif no_match != "none":
         raise ValueError("no_match is a clause, 'all' or 'none'")
     return Clause(clause.key, lambda norm: _union([p.hits(norm).select("qid", clause.key, "score") for p in parts]),
-                  _total_ssw(parts))
+                  _total_ssw(parts), _all_marks(parts))
 
 
 def text_query(index: TextIndex, fields: list[str], required: str = "", optional: str = "",

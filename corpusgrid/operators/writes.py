@@ -11,7 +11,7 @@ documents only travel in the final snapshot.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -79,7 +79,7 @@ def assign_ids(df: DataFrame) -> DataFrame:
     """Give rows without ``_id`` one derived from their content and order, so a
     retried task hands out the same ids."""
     rest = F.to_json(F.struct(*[c for c in df.columns if c != "_id"]))
-    return df.withColumn("_id", F.coalesce("_id", F.substring(F.sha2(rest, 256), 1, 22)))
+    return df.withColumn("_id", F.coalesce("_id", F.sha2(rest, 256)))
 
 
 def _versions(current: DataFrame, ids: DataFrame) -> DataFrame:
@@ -115,9 +115,16 @@ def _fold(rows: DataFrame) -> DataFrame:
 
 
 def write(current: DataFrame, batch: DataFrame) -> WriteResult:
-    """Create, update and overwrite actions of one batch, in ``_seq`` order."""
+    """Create, update and overwrite actions of one batch, in ``_seq`` order.
+
+    Rows without a type or an id, and negative versions, are errors.
+    """
     _reject_partial(batch)
     docs = [c for c in batch.columns if c not in ("_seq", "_version")]
+    bad = F.when(F.col("_type").isNull() | F.col("_id").isNull(), F.lit("no type or id")).when(
+        F.col("_version") < 0, F.lit("negative version"))
+    errors = batch.select("_type", "_id", "_seq", bad.alias("error")).filter("error is not null")
+    batch = batch.filter(bad.isNull())
     asked = batch.select(*KEY, "_seq", F.col("_version").alias("_wanted"))
     per_id = asked.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
     # ids joined once with the stored version, then with the batch
@@ -130,7 +137,7 @@ def write(current: DataFrame, batch: DataFrame) -> WriteResult:
         *KEY, "_seq", F.when(fits, stored + 1).cast("long").alias("_new"))
     several = narrow.filter("_n > 1").select(*KEY, "_seq", "_wanted", "_stored")
     outcome = single.unionByName(_fold(several))
-    return _assemble(current, batch, docs, outcome)
+    return replace(_assemble(current, batch, docs, outcome), errors=errors)
 
 
 def _assemble(current: DataFrame, batch: DataFrame, docs: list[str], outcome: DataFrame) -> WriteResult:
@@ -147,7 +154,9 @@ def _assemble(current: DataFrame, batch: DataFrame, docs: list[str], outcome: Da
     rows = batch.join(last, [*KEY, "_seq"]).select(*docs, F.col("_new").alias("_version"))
     snapshot = current.join(last.select(*KEY), KEY, "left_anti").unionByName(rows, allowMissingColumns=True)
     failed = batch.join(outcome.filter("_new is null").drop("_new"), [*KEY, "_seq"])
-    stored = current.select(*KEY, F.struct(*current.columns).alias("current"))
+    # only rows that lost are looked up, so the collection is met by their few keys
+    lost = outcome.filter("_new is null").select(*KEY).distinct()
+    stored = current.join(lost, KEY, "left_semi").select(*KEY, F.struct(*current.columns).alias("current"))
     conflicts = failed.select(*KEY, "_seq", F.struct(*batch.columns).alias("attempted"),
                               F.when(F.col("_version").isNull(), F.lit("document exists"))
                               .otherwise(F.lit("version conflict")).alias("error")).join(stored, KEY, "left")

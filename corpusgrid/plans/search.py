@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusgrid.operators import queries as Q
 from corpusgrid.operators import schema
-from corpusgrid.operators.highlight import highlight
+from corpusgrid.operators.highlight import highlight, highlight_marks
 from corpusgrid.operators.queries import Clause
 from corpusgrid.session import materialise
 
@@ -130,7 +131,7 @@ class View:
 
     def _query_then_fetch(self) -> DataFrame:
         """The page is found on ids and scores alone; only its documents are
-        fetched. The page is broadcast: it has at most ``size`` rows."""
+        fetched. How the page meets the documents is left to its measured size."""
         scores = self._scores()
         if self.min_score_ is not None:
             scores = scores.filter(F.col("_score") >= self.min_score_)
@@ -140,7 +141,7 @@ class View:
         page = self._page(scores)
         if self.columns == ():
             return page
-        return self.docs.join(F.broadcast(page), self.key).orderBy(*self.order()).limit(self.size_)
+        return self.docs.join(page, self.key).orderBy(*self.order()).limit(self.size_)
 
     def fetch(self) -> DataFrame:
         """The same page, found now: its ids (at most ``size``) go into the scan as
@@ -153,8 +154,13 @@ class View:
         out = out.orderBy(F.array_position(F.array(*[F.lit(i) for i in ids]), F.col(self.key))) if page else out
         return out.select(self.key, "_score", *self.columns) if self.columns else out
 
-    def highlight(self, terms: list[str], fields: dict, settings: dict | None = None) -> DataFrame:
-        return highlight(self.hits(), terms, fields, settings)
+    def highlight(self, terms: list[str] | None, fields: dict, settings: dict | None = None) -> DataFrame:
+        """Hits with tagged snippets: of the given words, or of what the query matched."""
+        if terms is not None:
+            return highlight(self.hits(), terms, fields, settings)
+        page = self.hits()
+        shown = highlight_marks(page, self.key, self.query.marks, fields, settings)
+        return shown.orderBy(*self.order()) if "_score" in page.columns else shown
 
     def fields(self, *names: str) -> DataFrame:
         """Hits with a list of fields, every value as an array."""
@@ -200,11 +206,15 @@ class View:
         return ranked(self.matches(), self.order()).withColumn(
             "tranche", F.floor((F.col("rank") - 1) / size).cast("long"))
 
-    def slice(self, first: int, length: int) -> DataFrame:
-        """Window of the page; negative positions count from the end."""
+    def slice(self, first: int = 0, length: int | None = None) -> DataFrame:
+        """Window of the page; negative positions count from the end. Without a
+        length it goes to the end of the page."""
         hits = self.hits()
+        if length is None and first >= 0:
+            return hits.orderBy(*self.order()).offset(first) if first else hits
         n = hits.count()  # a page, bounded by size
         start = max(n + first, 0) if first < 0 else first
+        length = n if length is None else length
         stop = n + length if length < 0 else min(start + length, n)
         if start >= stop:
             return hits.limit(0)
@@ -219,20 +229,26 @@ class View:
         return kept, doomed.groupBy(*by_index).agg(F.count(F.lit(1)).alias("deleted"))
 
     def explain_scores(self, parts: list[tuple[str, Clause]]) -> DataFrame:
-        """Hits with ``explanation``: the score and one detail per given clause.
+        """Hits with ``explanation``: the score and one detail per clause of the query.
 
-        Details are kept for the page only (at most ``size`` rows, broadcast).
+        ``parts`` are the clauses whose scores the query adds up. They are computed
+        under the norm of the whole query and times the share of them that matched,
+        so the details add up to the score. Details are kept for the page only.
         """
+        norm = 1 / math.sqrt(self.query.ssw) if self.query.ssw else 1.0
         page = self.hits()
-        ids = F.broadcast(page.select(self.key))
+        ids = page.select(self.key)
         rows = None
         for name, clause in parts:
-            part = clause.scores().join(ids, self.key, "left_semi").select(self.key, F.struct(
+            part = clause.hits(norm).join(ids, self.key, "left_semi").select(self.key, F.struct(
                 F.lit(name).alias("description"), F.col("score").alias("value")).alias("detail"))
             rows = part if rows is None else rows.unionByName(part)
-        details = rows.groupBy(self.key).agg(F.array_sort(F.collect_list("detail")).alias("details"))
+        coord = F.size("found") / len(parts)
+        details = rows.groupBy(self.key).agg(F.array_sort(F.collect_list("detail")).alias("found")).select(
+            self.key, coord.alias("coord"), F.transform("found", lambda d: F.struct(
+                d["description"].alias("description"), F.round(d["value"] * coord, 6).alias("value"))).alias("details"))
         return page.join(details, self.key, "left").withColumn("explanation", F.struct(
-            F.lit("sum of:").alias("description"), F.col("_score").alias("value"), "details")).drop("details")
+            F.lit("sum of:").alias("description"), F.col("_score").alias("value"), "coord", "details")).drop("details", "coord")
 
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:

@@ -281,3 +281,25 @@ def test_indices_for_the_rest(index):
     assert set(found(Q.indices(index.docs, [3], hit, "none", "id"))) == {3}
     assert found(Q.indices(index.docs, [3], hit, index_column="id"))[1] == 1.0
     assert len(found(Q.indices(index.docs, [3], hit, index_column="id"))) == 6
+
+
+def test_explanations_add_up(index):
+    view = View(index.docs, "id").matching(Q.match(index, "text", "quick fox lazy"))
+    rows = view.explain_scores([(w, Q.term(index, "text", w)) for w in ("quick", "fox", "lazy")]).collect()
+    assert len(rows) == 5
+    for r in rows:
+        x = r["explanation"]
+        assert abs(sum(d["value"] for d in x["details"]) - x["value"]) < 5e-6
+
+
+def test_highlights_come_from_the_query(spark, index):
+    asked = Q.bool_(must=[Q.match_phrase(index, "text", "quick fox")], should=[Q.prefix(index, "text", "ju"), Q.fuzzy(index, "text", "brawn", 1)],
+                    must_not=[Q.term(index, "text", "lazy")])
+    rows = View(index.docs, "id").matching(asked).highlight(None, {"text": {"number_of_fragments": 0}}, {"pre_tag": "<", "post_tag": ">"}).collect()
+    assert {r["id"]: r["highlight"]["text"] for r in rows} == {
+        2: ["<quick> <quick> <fox>"], 4: ["<brown> dog and the <quick> <fox> <jumps>"]}
+    cut = View(index.docs, "id").matching(asked).highlight(None, {"text": {"fragment_words": 3, "number_of_fragments": 1}}).collect()
+    assert {r["id"]: r["highlight"]["text"] for r in cut}[4] == ["<em>brown</em> dog and"]
+    stemmed = build_index(spark.createDataFrame([(1, "He runs & ran.")], "id long, text string"), "id", {"text": A.analyzer("english")})
+    out = View(stemmed.docs, "id").matching(Q.match(stemmed, "text", "run")).highlight(None, {"text": None}, {"encoder": "html"}).first()
+    assert out["highlight"]["text"] == ["He <em>runs</em> &amp; ran."]
