@@ -89,6 +89,20 @@ def _(t):
     return rows(W.write(stored(t), order_batch(t, wanted)).snapshot)
 
 
+HOT = "(SELECT CASE WHEN o_orderkey % 3 = 0 THEN 5000000 ELSE o_orderkey END AS id, o_totalprice AS balance, o_orderkey AS seq, o_orderkey % 7 <> 0 AS plain FROM orders)"
+
+
+@query("s06_bulk_hot", f"""WITH a AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM {HOT}),
+    w AS (SELECT * FROM a LEFT JOIN {STORED} s USING (id) WHERE plain OR (n = 1 AND s.version IS NULL))
+    SELECT id, max(coalesce(version, 0)) + count(*) AS version, arg_max(w.balance, seq) AS balance FROM w GROUP BY id
+    UNION ALL SELECT id, version, balance FROM {STORED} WHERE id NOT IN (SELECT id FROM w)""")
+def _(t):
+    """A third of all actions hit one id: overwrites, and creates that come too late."""
+    o = F.col("o_orderkey")
+    batch = doc(t.orders, F.when(o % 3 == 0, 5000000).otherwise(o), F.when(o % 7 != 0, 0), F.col("o_totalprice"), o)
+    return rows(W.write(stored(t), batch).snapshot)
+
+
 @query("w04_delete", f"SELECT id, version, balance FROM {STORED} WHERE NOT (id % 5 = 0 AND version = 1)")
 def _(t):
     return rows(W.delete(stored(t), stale_batch(t)).snapshot)

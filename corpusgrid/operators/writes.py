@@ -13,7 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,30 +90,132 @@ def _versions(current: DataFrame, ids: DataFrame) -> DataFrame:
     return current.select(*KEY, F.col("_version").alias("_stored")).join(ids.select(*KEY), KEY, "left_semi")
 
 
+def _step(version: int, wanted) -> int | None:
+    """The version after an action that fits, None for one that does not."""
+    if wanted is None or pd.isna(wanted):
+        return 1 if version == 0 else None
+    fits = wanted == 0 or (wanted == version and version > 0)
+    return version + 1 if fits else None
+
+
+class _Effect:
+    """What a run of actions makes of any version it starts from.
+
+    Overwrites add one to every version. A create or an update moves only the start
+    that stands at its version just then, and that start runs together with the next
+    one. So the effect is one growth and a list of exceptions, no longer than the
+    creates and updates of the run.
+    """
+
+    def __init__(self):
+        self.growth, self.at, self.moved = 0, {}, set()
+
+    def add(self, wanted) -> None:
+        create = wanted is None or pd.isna(wanted)
+        if not create and wanted == 0:
+            self.growth += 1
+            return
+        if create and self.growth:
+            return  # something is stored by now
+        place = 0 if create else int(wanted) - self.growth  # the place before the growth
+        group = self.at.pop(place, [])
+        if place >= 0 and place not in self.moved:
+            group.append(place)
+            self.moved.add(place)
+        if group:
+            there = self.at.get(place + 1, [])
+            longer, shorter = (group, there) if len(group) > len(there) else (there, group)
+            longer += shorter
+            self.at[place + 1] = longer
+
+    def exceptions(self) -> tuple[list[int], list[int]]:
+        pairs = sorted((start, place + self.growth) for place, group in self.at.items() for start in group)
+        return [p[0] for p in pairs], [p[1] for p in pairs]
+
+
+_OPENED = ("_type string, _id string, _seq long, _new long, _wanted long, _stored long, _part int, _kind string, "
+           "_growth long, _from array<long>, _to array<long>")
+
+
 def _fold(rows: DataFrame) -> DataFrame:
-    """Outcome of ids with several actions, in order.
+    """Outcome of ids with several actions, in order; documents are not moved.
 
-    Sorted rows stream through each task and only one (version) state is held,
-    so a long run of actions on one id needs no memory. Documents are not moved.
+    Actions are range-partitioned by (type, id, order), so an id with very many of them
+    spans ranges. Sorted rows stream through each task and one version is held. Only
+    the first id of a range may have begun in the range before: its rows are set aside
+    with their effect as a whole, the effects of an id are chained in range order, and
+    the rows are settled once their first version is known.
     """
-    ordered = rows.repartition(*KEY).sortWithinPartitions(*KEY, "_seq")
+    order = [*KEY, "_seq"]
+    ranged = rows.select(*order, "_wanted", "_stored").repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, version = None, 0
+        part = TaskContext.get().partitionId()
+        first, key, version, effect, stored = None, None, 0, _Effect(), None
         for pdf in batches:
-            given = []
-            for t, i, wanted, stored in zip(pdf["_type"], pdf["_id"], pdf["_wanted"], pdf["_stored"]):
+            out = []
+            for t, i, q, wanted, held in pdf[[*order, "_wanted", "_stored"]].itertuples(index=False):
+                if first is None:
+                    first, stored = (t, i), held
+                if (t, i) == first:
+                    effect.add(wanted)
+                    out.append((t, i, q, None, wanted, held, part, "open", None, None, None))
+                    continue
                 if (t, i) != key:
-                    key, version = (t, i), 0 if pd.isna(stored) else int(stored)
-                fits = version == 0 if pd.isna(wanted) else wanted in (0, version)
-                fits = fits and not (version == 0 and not pd.isna(wanted) and wanted > 0)
-                if fits:
-                    version += 1
-                given.append(version if fits else None)
-            yield pd.DataFrame({"_type": pdf["_type"], "_id": pdf["_id"], "_seq": pdf["_seq"],
-                                "_new": pd.array(given, dtype="Int64")})
-
-    return ordered.mapInPandas(run, "_type string, _id string, _seq long, _new long")
+                    key, version = (t, i), 0 if pd.isna(held) else int(held)
+                new = _step(version, wanted)
+                version = version if new is None else new
+                out.append((t, i, q, new, None, None, part, "done", None, None, None))
+            yield _opened(out)
+        if first is not None:
+            ends = [(*first, None, None, None, stored, part, "effect", effect.growth, *effect.exceptions())]
+            if key is not None:  # the last id may go on in the next range
+                ends.append((*key, None, version, None, None, part, "exit", None, None, None))
+            yield _opened(ends)
+
+    found = materialise(ranged.mapInPandas(run, _OPENED), "folded")
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The version before each range of one id."""
+        out, version = [], None
+        columns = [*KEY, "_part", "_kind", "_new", "_stored", "_growth", "_from", "_to"]
+        for t, i, part, kind, new, stored, growth, starts, ends in pdf.sort_values("_part")[columns].itertuples(index=False):
+            if kind == "exit":
+                version = int(new)
+                continue
+            if version is None:
+                version = 0 if pd.isna(stored) else int(stored)
+            out.append((t, i, part, version))
+            at = int(np.searchsorted(starts, version)) if len(starts) else 0
+            hit = at < len(starts) and starts[at] == version
+            version = int(ends[at]) if hit else version + int(growth)
+        return pd.DataFrame(out, columns=[*KEY, "_part", "_entry"])
+
+    entries = found.filter("_kind in ('effect', 'exit')").groupBy(*KEY).applyInPandas(
+        chain, "_type string, _id string, _part int, _entry long")
+    waiting = found.filter("_kind = 'open'").select(*order, "_wanted", "_part").join(entries, [*KEY, "_part"])
+    waiting = waiting.repartition("_part", *KEY).sortWithinPartitions("_part", *order)
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, version = None, 0
+        for pdf in batches:
+            out = []
+            for t, i, p, q, wanted, entry in pdf[[*KEY, "_part", "_seq", "_wanted", "_entry"]].itertuples(index=False):
+                if (t, i, p) != last:
+                    last, version = (t, i, p), int(entry)
+                new = _step(version, wanted)
+                version = version if new is None else new
+                out.append((t, i, q, new))
+            frame = pd.DataFrame(out, columns=[*order, "_new"])
+            yield frame.astype({"_new": "Int64"})
+
+    settled = waiting.mapInPandas(settle, "_type string, _id string, _seq long, _new long")
+    return found.filter("_kind = 'done'").select(*order, "_new").unionByName(settled)
+
+
+def _opened(rows: list[tuple]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=[c.split()[0] for c in _OPENED.split(", ")])
+    return frame.astype({c: "Int64" for c in ("_seq", "_new", "_wanted", "_stored", "_growth")})
 
 
 def write(current: DataFrame, batch: DataFrame) -> WriteResult:

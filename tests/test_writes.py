@@ -81,6 +81,37 @@ def test_random_batches_against_a_loop(spark):
     assert state(result.snapshot) == want and result.conflicts.count() == refused
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_a_hot_id_spans_ranges(spark, seed):
+    """Most actions hit one id, which fills several ranges; every outcome equals the loop's."""
+    rng = random.Random(seed)
+    stored = {"5": 2} if seed % 2 else {}
+    actions = [("5" if rng.random() < 0.8 else str(rng.randint(0, 9)), rng.choice([None, 0, 0] if seed < 1 else [None, 0, *range(1, 60)])) for _ in range(600)]
+    versions, want = dict(stored), {}
+    for s, (i, wanted) in enumerate(actions):
+        version = versions.get(i, 0)
+        fits = version == 0 if wanted is None else wanted == 0 or (wanted == version and version > 0)
+        want[s] = versions[i] = version + 1 if fits else version
+        want[s] = want[s] if fits else None
+    rows = spark.createDataFrame([("user", i, s, w, stored.get(i)) for s, (i, w) in enumerate(actions)],
+                                 "_type string, _id string, _seq long, _wanted long, _stored long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = W._fold(rows)
+        assert {r["_seq"]: r["_new"] for r in out.collect()} == want
+        parts = rows.repartitionByRange("_type", "_id", "_seq").filter("_id = '5'").select(F.spark_partition_id()).distinct().count()
+        assert parts > 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_rows_without_an_id_are_errors(spark):
+    made = spark.createDataFrame([("user", None, None, "a", 0), (None, "1", 0, "b", 1), ("user", "2", -1, "c", 2), ("user", "3", None, "d", 3)],
+                                 DOC + ", _seq long")
+    result = W.write(docs(spark), made)
+    assert state(result.snapshot) == {"3": (1, "d")} and {r["_seq"] for r in result.errors.collect()} == {0, 1, 2}
+
+
 def test_delete(spark):
     stored = docs(spark, (1, 2, "a"), (2, 2, "b"), (3, 1, "c"))
     result = W.delete(stored, batch(spark, (1, 0, ""), (2, 1, ""), (3, 1, ""), (4, 0, ""), (1, 0, "")))
