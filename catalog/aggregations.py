@@ -44,6 +44,23 @@ def _(t):
     return G.nested_buckets(rows, ["segment", "status"], price=F.round(F.avg("o_totalprice"), 2))
 
 
+@query("g03_bucket_tree", """WITH f AS (SELECT o_orderpriority AS p, date_trunc('year', o_orderdate) AS y, o_totalprice AS v FROM orders WHERE o_totalprice > 100000),
+    t AS (SELECT p, count(*) AS n FROM f GROUP BY p ORDER BY n DESC, p LIMIT 3),
+    y AS (SELECT p, y, count(*) AS n, avg(v) AS price FROM f WHERE p IN (SELECT p FROM t) GROUP BY p, y QUALIFY row_number() OVER (PARTITION BY p ORDER BY n DESC, y) <= 2)
+    SELECT 'large=true' AS path, count(*) AS doc_count, round(max(v), 2) AS price FROM f
+    UNION ALL SELECT 'large=true/priority=' || p, n, NULL FROM t
+    UNION ALL SELECT 'large=true/priority=' || p || '/year=' || strftime(y, '%Y-%m-%d %H:%M:%S'), n, round(price, 2) FROM y
+    UNION ALL SELECT 'status=' || o_orderstatus, count(*), NULL FROM orders GROUP BY o_orderstatus""")
+def _(t):
+    """Terms of size 3 inside a filter, and years of size 2 inside those; beside them plain terms."""
+    spec = {"large": {"filter": F.col("o_totalprice") > 100000, "metrics": {"price": F.max("o_totalprice")}, "aggs": {
+                "priority": {"terms": "o_orderpriority", "size": 3, "aggs": {
+                    "year": {"date_histogram": "o_orderdate", "interval": "year", "size": 2, "metrics": {"price": F.avg("o_totalprice")}}}}}},
+            "status": {"terms": "o_orderstatus"}}
+    return G.bucket_tree(t.orders, spec).select(F.array_join("path", "/").alias("path"), "doc_count",
+                                                F.round(F.try_element_at("metrics", F.lit("price")), 2).alias("price"))
+
+
 STATS = """count(o_totalprice) AS count, min(o_totalprice) AS min, max(o_totalprice) AS max, round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice), 4) AS mean,
     round(sum(o_totalprice * o_totalprice) / 1e6, 2) AS sum_of_squares, round(var_pop(o_totalprice) / 1e6, 4) AS variance, round(stddev_pop(o_totalprice), 4) AS std_deviation"""
 

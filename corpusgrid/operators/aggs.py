@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,46 @@ def nested_buckets(df: DataFrame, levels: list[str], **metrics: Column) -> DataF
             .filter("level > 0"))
 
 
+def bucket_tree(df: DataFrame, aggs: dict[str, dict]) -> DataFrame:
+    """Buckets of any kind inside buckets of any kind, each level with its own size.
+
+    A spec has one of ``terms`` (a field), ``date_histogram`` (a field, with
+    ``interval``) or ``filter`` (a condition); ``size`` keeps the largest buckets of
+    each parent (ties by key), ``metrics`` maps names to aggregates, and ``aggs`` holds
+    the children. Returns ``path`` (``name=key`` parts, parents first), ``doc_count``
+    and ``metrics``. Children only read documents of buckets that were kept.
+    """
+    def level(rows: DataFrame, specs: dict[str, dict], parents: list[str], trail: list[Column]) -> list[DataFrame]:
+        out = []
+        for name, spec in specs.items():
+            own = f"_bucket{len(parents)}"
+            if "terms" in spec:
+                key = F.col(spec["terms"]).cast("string")
+            elif "date_histogram" in spec:
+                key = F.date_trunc(spec["interval"], spec["date_histogram"]).cast("string")
+            elif "filter" in spec:
+                rows_here, key = rows.filter(spec["filter"]), F.lit("true")
+            else:
+                raise ValueError(f"bucket '{name}' is of no known kind")
+            here = (rows_here if "filter" in spec else rows).withColumn(own, key).filter(F.col(own).isNotNull())
+            metrics = [x for m, c in spec.get("metrics", {}).items() for x in (F.lit(m), c.cast("double"))]
+            values = F.create_map(*metrics) if metrics else F.create_map().cast("map<string,double>")
+            found = here.groupBy(*parents, own).agg(F.count(F.lit(1)).alias("doc_count"), values.alias("metrics"))
+            if spec.get("size") is not None:
+                order = Window.partitionBy(*parents).orderBy(F.desc("doc_count"), own)
+                found = found.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= spec["size"]).drop("_rank")
+            steps = [*trail, F.concat(F.lit(f"{name}="), F.col(own))]
+            out.append(found.select(F.array(*steps).alias("path"), "doc_count", "metrics"))
+            if spec.get("aggs"):
+                kept = here
+                if spec.get("size") is not None:
+                    kept = here.join(found.select(*parents, own), [*parents, own], "left_semi")
+                out += level(kept, spec["aggs"], [*parents, own], steps)
+        return out
+
+    return reduce(DataFrame.unionByName, level(df, aggs, [], []))
+
+
 def statistical(df: DataFrame, field: str, by: list[str] = ()) -> DataFrame:
     c = F.col(field).cast("double")
     return df.groupBy(*by).agg(

@@ -115,8 +115,13 @@ class View:
         return [*keys, F.col(self.key)]
 
     def _page(self, df: DataFrame) -> DataFrame:
-        out = df.orderBy(*self.order())
-        return out.offset(self.from__).limit(self.size_) if self.from__ else out.limit(self.size_)
+        """Top rows of each task, merged; a later page is cut from the global ranking,
+        so that no task gathers all the rows before it."""
+        if not self.from__:
+            return df.orderBy(*self.order()).limit(self.size_)
+        last = self.from__ + self.size_
+        placed = ranked(df, self.order(), "_place").filter(F.col("_place").between(self.from__ + 1, last))
+        return placed.orderBy("_place").drop("_place").limit(self.size_)
 
     def hits(self) -> DataFrame:
         """One page, in order. Spark keeps the top ``from + size`` of each task
@@ -203,8 +208,15 @@ class View:
         rows, and the few partition totals shift the local ranks. No task sees
         more than one range.
         """
-        return ranked(self.matches(), self.order()).withColumn(
-            "tranche", F.floor((F.col("rank") - 1) / size).cast("long"))
+        rows, keys = self.matches(), self.sort_ or ("_score",)
+        tranche = F.floor((F.col("rank") - 1) / size).cast("long")
+        if any(isinstance(k, Column) for k in keys):
+            return ranked(rows, self.order()).withColumn("tranche", tranche)
+        # only keys are sorted and written; the documents come back by key
+        narrow = list(dict.fromkeys([self.key, *(k.removeprefix("-") for k in keys)]))
+        places = ranked(rows.select(*narrow), self.order()).withColumn("tranche", tranche)
+        rest = [c for c in rows.columns if c not in narrow]
+        return rows.join(places.select(self.key, "rank", "tranche"), self.key) if rest else places
 
     def slice(self, first: int = 0, length: int | None = None) -> DataFrame:
         """Window of the page; negative positions count from the end. Without a
