@@ -32,7 +32,7 @@ from corpusgrid.llm.lattice import UNKNOWN, Lattice, word_pieces
 from corpusgrid.llm.words import LETTERS, Words, text_slices
 
 SAMPLE, FOLDS, ROUNDS, UNDECIDED = 2000, 5, 4, "und"
-CACHE_LIMIT = 500_000
+CACHE_LIMIT = 200_000
 
 
 @dataclass

@@ -55,6 +55,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, json_path: str | None = No
             columns = [np.array(c, np.int64) for c in zip(*rows)] or [np.zeros(0, np.int64)] * 5
             yield pa.record_batch([ids.take(pa.array(columns[0])), pa.array(columns[1], pa.int32()),
                                    *map(pa.array, columns[2:])], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        bpe.chunks.forget()
 
     return docs.select("doc_id", "text").mapInArrow(
         encode, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

@@ -238,6 +238,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 sums = [zlib.crc32(f.astype("<u4").tobytes()) for f in found]
                 yield pa.record_batch([batch.column(0).slice(a, b - a), ids, pa.array(sums, pa.int64())],
                                       names=["doc_id", "ids", "ids_crc32"])
+        tool.stretches.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, ids_crc32 long")
 

@@ -31,7 +31,7 @@ _POWERS = {"n": 0, "up": np.zeros(0, np.uint64), "down": np.zeros(0, np.uint64)}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > _POWERS["n"]:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
         steps = np.full(size, BASE, np.uint64)
         steps[0] = 1
@@ -51,7 +51,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def text_slices(texts: pa.Array, limit: int = 2_000_000):
+def text_slices(texts: pa.Array, limit: int = 1_000_000):
     """(first row, slice) with about ``limit`` bytes each; a longer text is a slice of its own."""
     n = len(texts)
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) if n else []
