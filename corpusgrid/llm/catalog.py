@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgrid.llm.chat import format_conversations, read_back
-from corpusgrid.llm.fingerprints import fingerprint, neighbours
+from corpusgrid.llm.fingerprints import fingerprint
 from corpusgrid.llm.html_extract import extract
 from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
@@ -87,10 +87,8 @@ def minhash_near_dedup(docs: DataFrame) -> DataFrame:
 
 @query("op8_fingerprints", "documents")
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints and likenesses; ``near_doc_id`` is the least document found alike through the bands."""
-    marked = fingerprint(docs)
-    return marked.join(neighbours(marked.select("doc_id", "fingerprint")), "fingerprint", "left").select(
-        *marked.columns, "near_doc_id")
+    """Fingerprints, likenesses and band keys."""
+    return fingerprint(docs)
 
 
 @query("op9_nearest_neighbors", "embeddings")

@@ -7,15 +7,16 @@ places: edit distance becomes Hamming distance. A walk has at most three steps a
 character.
 
 A fingerprint samples the output: steps are cut into blocks of 2^k, with k such that a
-text of that length has 129 to 256 blocks, and one step of each block is kept. Which one
+text of that length has 65 to 128 blocks, and one step of each block is kept. Which one
 is drawn once for all texts, and a block keeps the choice of one of its halves, so the
 fingerprint of a shorter text can be thinned to the k of a longer one. Each kept place is
 one byte, 0 where the walk had ended. Likeness is the share of equal places among those
 where at least one walk still went on.
 
-``neighbours`` bands the fingerprints by sampled places; members of a band are proposed
-with its leader and verified by likeness. Equal fingerprints are folded first, and band
-leaders are minima aggregated before the shuffle.
+Bands are hashes of sampled places, taken at the text's own k and at the next one, so
+that near lengths meet; every row carries its band keys. ``neighbours`` proposes the
+members of a band with its leader and verifies them by likeness. Equal fingerprints are
+folded first, and band leaders are minima aggregated before the shuffle.
 
 Defined results: a null or empty text has a fingerprint without places; the likeness of
 two such is 1. Equal texts have equal fingerprints. Rows are ordered by ``doc_id``
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,10 @@ from corpusgrid.llm.tokens import blocks
 from corpusgrid.llm.words import mix
 from corpusgrid.session import materialise
 
-MOST_PLACES, STEPS_PER_CHAR = 256, 3
+MOST_PLACES, STEPS_PER_CHAR = 128, 3
 SEED = np.uint64(1618033988749894848)
 BATCH_CHARS = 8_000_000
-BANDS, BAND_PLACES, LEAST = 12, 6, 0.7
+BANDS, BAND_PLACES, LEAST = 8, 5, 0.7
 
 
 def level_of(n: int) -> int:
@@ -133,12 +135,20 @@ def parsed(fingerprint: str) -> tuple[int, np.ndarray]:
     return int(level), np.frombuffer(bytes.fromhex(places), np.uint8)
 
 
+@lru_cache(maxsize=2048)
+def kept_of(level: int, to: int) -> np.ndarray:
+    """Which places of a fingerprint at ``level`` the blocks of a coarser one keep."""
+    return choose(np.arange(-(-MOST_PLACES // (1 << (to - level)))), to, level)
+
+
 def thinned(level: int, places: np.ndarray, to: int) -> np.ndarray:
     if level == to:
         return places
-    wanted = choose(np.arange(-(-len(places) // (1 << (to - level)))), to, level)
-    padded = np.append(places, np.zeros(int(wanted.max(initial=0)) + 1 - min(len(places), int(wanted.max(initial=0)) + 1), np.uint8))
-    return padded[wanted]
+    padded = np.zeros(MOST_PLACES, np.uint8)
+    padded[:len(places)] = places
+    blocks_left = -(-len(places) // (1 << (to - level)))
+    wanted = kept_of(level, to)[:blocks_left]
+    return np.where(wanted < MOST_PLACES, padded[np.minimum(wanted, MOST_PLACES - 1)], 0).astype(np.uint8)
 
 
 def likeness(x: str, y: str) -> float:
@@ -163,8 +173,8 @@ def edit(text: str, following: str) -> str:
 
 
 FIELDS = [("doc_id", "long"), ("n_chars", "long"), ("edited_sha256", "string"), ("fingerprint", "string"),
-          ("edited_fingerprint", "string"), ("near_edited", "double"), ("near_next", "double")]
-ARROW = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32()}
+          ("edited_fingerprint", "string"), ("near_edited", "double"), ("near_next", "double"), ("bands", "array<long>")]
+ARROW = {"array<long>": pa.list_(pa.int64()), "long": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32()}
 
 
 def record(rows: list[tuple], fields: list[tuple[str, str]]) -> pa.RecordBatch:
@@ -179,7 +189,7 @@ def schema(fields: list[tuple[str, str]]) -> str:
 def finished(ids: list, texts: list[str], own: list[str], next_texts: list[str], next_own: list[str]) -> list[tuple]:
     edited = [edit(t, f) for t, f in zip(texts, next_texts)]
     marks = prints(edited)
-    return [(i, len(t), hashlib.sha256(e.encode()).hexdigest(), f, g, likeness(f, g), likeness(f, h))
+    return [(i, len(t), hashlib.sha256(e.encode()).hexdigest(), f, g, likeness(f, g), likeness(f, h), band_keys(f))
             for i, t, e, f, g, h in zip(ids, texts, edited, own, marks, next_own)]
 
 
@@ -192,7 +202,7 @@ def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, started = None, False
 
     def loose(role: str, row: tuple) -> tuple:
-        return (row[0], len(row[1]), None, row[2], None, None, None, part, role, row[1])
+        return (row[0], len(row[1]), None, row[2], None, None, None, None, part, role, row[1])
 
     for batch in batches:
         all_ids, all_texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
@@ -237,36 +247,36 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return found.where("role = 'done'").select(*names).unionByName(closed.mapInArrow(close, schema(FIELDS)))
 
 
+DRAWN = mix(np.arange(BANDS * BAND_PLACES, dtype=np.uint64) + SEED).reshape(BANDS, BAND_PLACES) % np.uint64(1000)
+WEIGHTS = np.uint64(1) << (np.uint64(8) * np.arange(BAND_PLACES, dtype=np.uint64))
+
+
 def band_keys(mark: str) -> list[int]:
     """Keys of one fingerprint at its own level and the next, so that near lengths meet."""
     level, places = parsed(mark)
-    keys = []
+    keys: list[int] = []
     for k in (level, level + 1):
         some = thinned(level, places, k)
-        if not len(some):
-            continue
-        for band in range(BANDS):
-            draw = mix(np.arange(BAND_PLACES, dtype=np.uint64) + np.uint64(band * 1000) + SEED) % np.uint64(100)
-            chosen = some[(draw.astype(np.int64) * max(1, int((some > 0).sum()))) // 100]
-            head = f"{k}|{band}|".encode() + chosen.tobytes()
-            keys.append(int.from_bytes(hashlib.blake2b(head, digest_size=8).digest(), "little", signed=True))
+        used = int(np.count_nonzero(some))
+        if used:
+            chosen = some[(DRAWN * np.uint64(used)) // np.uint64(1000)].astype(np.uint64)
+            whole = (chosen * WEIGHTS).sum(1) + (np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * k) << np.uint64(48))
+            keys += mix(whole).view(np.int64).tolist()
     return keys
 
 
 def neighbours(marked: DataFrame, least: float = LEAST) -> DataFrame:
-    """``fingerprint, near_doc_id``: the least document that leads one of its bands and is alike."""
-    def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(k, i) for f, i in zip(*(c.to_pylist() for c in batch.columns)) for k in band_keys(f)]
-            yield record(rows, [("key", "long"), ("rep", "long")])
-
+    """``fingerprint, near_doc_id`` from rows ``doc_id, fingerprint, bands``: the least document
+    that leads one of its bands and is alike."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(r["fingerprint"], r["leader"]) for r in batch.to_pylist() if likeness(r["fingerprint"], r["led"]) >= least]
             yield record(rows, [("fingerprint", "string"), ("leader", "long")])
 
-    distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
-    keys = materialise(distinct.mapInArrow(key_rows, "key long, rep long"), "fingerprint-bands")
+    distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
+                           "distinct-fingerprints")
+    keys = distinct.select(F.explode("bands").alias("key"), "rep")
+    distinct = distinct.drop("bands")
     leaders = materialise(keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("most"))
                           .where("leader <> most").select("key", "leader"), "band-leaders")
     proposed = keys.join(leaders, "key").where("rep <> leader").select("rep", "leader").distinct()

@@ -162,8 +162,8 @@ def test_fingerprints_follow_the_order_of_ids(spark):
         whole = P.edit(t, after)
         assert len(whole) == len(t) or len(after) < len(t) // 3
         f, g, h = P.prints([t, whole, after])
-        expected[i, len(t), hashlib.sha256(whole.encode()).hexdigest(), f, g, P.likeness(f, g), P.likeness(f, h)] += 1
-    assert Counter(tuple(r) for r in out) == expected
+        expected[i, len(t), hashlib.sha256(whole.encode()).hexdigest(), f, g, P.likeness(f, g), P.likeness(f, h), tuple(P.band_keys(f))] += 1
+    assert Counter((*r[:-1], tuple(r.bands)) for r in out) == expected
     single = P.fingerprint(spark.createDataFrame([(1, "only one row here")], "doc_id long, text string")).collect()
     assert single[0].near_next == 1.0 and len(single) == 1
     assert P.fingerprint(df.limit(0)).collect() == []
@@ -173,7 +173,7 @@ def test_bands_find_alike_fingerprints(spark):
     rng = random.Random(8)
     rows = [(i, "".join(rng.choice("abcdefghij k") for _ in range(rng.randint(50, 900)))) for i in range(60)]
     rows += [(100 + i, t[:len(t) // 2] + "!" + t[len(t) // 2:]) for i, t in rows[:40]]
-    marked = P.fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "fingerprint")
+    marked = P.fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "fingerprint", "bands")
     found = {r.fingerprint: r.near_doc_id for r in P.neighbours(marked).collect()}
     prints = {r.doc_id: r.fingerprint for r in marked.collect()}
     alike = [i for i in range(40) if P.likeness(prints[i], prints[100 + i]) >= P.LEAST and prints[i] != prints[100 + i]]
