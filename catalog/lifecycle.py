@@ -97,6 +97,22 @@ def _(t):
     return out.select("p_partkey", F.col("links")[0]["uid"]["index"].alias("a"), F.col("links")[1]["uid"]["index"].alias("b"), "_version")
 
 
+@query("x03_repoint_everywhere", """SELECT CAST(p_partkey AS VARCHAR) AS _id, CASE WHEN p_partkey % 3 < 2 THEN 'new' ELSE 'two' END AS own,
+    CASE WHEN (p_partkey + 1) % 3 = 2 THEN 'two' WHEN q THEN 'new' ELSE 'one' END AS next, CASE WHEN p_partkey % 3 < 2 OR ((p_partkey + 1) % 3 < 2 AND q) THEN 2 ELSE 1 END::BIGINT AS _version
+    FROM (SELECT p_partkey, p_partkey + 1 IN (SELECT p_partkey FROM part) AS q FROM part)""")
+def _(t):
+    """No path is named: one reference stands deep in an object, one in an array inside an array."""
+    def ref(k):
+        return uid_struct(F.when(k % 3 < 2, "one").otherwise("two"), F.lit("part"), k).alias("uid")
+    p = F.col("p_partkey")
+    deep = F.struct(F.struct(ref(p), F.lit(1).alias("n")).alias("inner"))
+    lists = F.array(F.struct(F.array(F.struct(ref(p + 1))).alias("list")))
+    docs = as_documents(t.part.withColumns({"deep": deep, "lists": lists}), "two", "part", "p_partkey")
+    moved = t.part.filter(p % 3 < 2).select(F.lit("one").alias("index"), F.lit("part").alias("type"), p.cast("string").alias("id"))
+    out, _changed = X.repoint_everywhere(docs, moved, "new")
+    return out.select("_id", F.col("deep.inner.uid.index").alias("own"), F.col("lists")[0]["list"][0]["uid"]["index"].alias("next"), "_version")
+
+
 @query("x05_transform", "SELECT epoch_us(min(ts)) + 1000000 AS low, epoch_us(max(ts)) + 1000000 AS high, count(*) AS n FROM events")
 def _(t):
     """A transform shifts every time stamp by 1000 ms."""

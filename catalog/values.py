@@ -229,6 +229,14 @@ def _(t):
     return out.select("doc.p_partkey", "doc.body.name", "doc.body.detail.size", "is_partial")
 
 
+@query("t23_source_filter_array", "SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda s: length(s)), ',') AS chars, 'chars,last' AS left_over, true AS is_partial FROM documents")
+def _(t):
+    """Paths inside an array of objects."""
+    out = schema.source_filter(t.lines(), ["doc_id", "lines.*"], ["lines.words"])
+    kept = ",".join(out.schema["lines"].dataType.elementType.names)
+    return out.select("doc_id", F.array_join(F.col("lines.chars").cast("array<string>"), ",").alias("chars"), F.lit(kept).alias("left_over"), "is_partial")
+
+
 @query("t24_fields", "SELECT p_partkey, p_name AS name, array_to_string(string_split(p_name, ' '), '|') AS words FROM part")
 def _(t):
     out = schema.fields(t.parts(), ["p_name", "words"], "p_partkey")
@@ -246,6 +254,23 @@ def _(t):
     return schema.expire(t.events, "10 days", F.lit("2024-01-25 12:00:00").cast("timestamp"), "ts").select("event_id")
 
 
+@query("t26_expire_by_type", """SELECT event_id FROM events WHERE CASE event_type WHEN 'click' THEN ts + INTERVAL 10 DAY > TIMESTAMP '2024-01-25 12:00:00'
+    WHEN 'view' THEN ts + INTERVAL 3 DAY > TIMESTAMP '2024-01-25 12:00:00' ELSE true END""")
+def _(t):
+    now = F.lit("2024-01-25 12:00:00").cast("timestamp")
+    return schema.expire(t.events, {"click": "10 days", "view": "3 days"}, now, "ts", "event_type").select("event_id")
+
+
+@query("t16_nested_in_root", r"""SELECT doc_id, list_max(list_transform(words, lambda w: length(w))) AS longest, len(words) AS words
+    FROM (SELECT doc_id, regexp_extract_all(text, '\S+') AS words FROM documents)""")
+def _(t):
+    """Objects inside objects, flat at the top of the row: the words of the lines."""
+    lines = F.transform(F.split("text", "\n"), lambda s: F.struct(F.transform(
+        F.regexp_extract_all(s, F.lit(r"\S+"), F.lit(0)), lambda w: F.struct(F.length(w).alias("chars"))).alias("words")))
+    flat = schema.nested_field(t.docs.select("doc_id", lines.alias("lines")), "lines", include_in_root=True)
+    return flat.select("doc_id", F.array_max("lines__words__chars").cast("long").alias("longest"), F.size("lines__words__chars").cast("long").alias("words"))
+
+
 @query("c01_uid_key", "SELECT p_partkey, replace(p_type || ';x', ';', ';;') || ';' || CAST(p_partkey AS VARCHAR) AS k FROM part")
 def _(t):
     return t.part.select("p_partkey", V.uid_key(F.concat("p_type", F.lit(";x")), F.col("p_partkey")).alias("k"))

@@ -100,6 +100,47 @@ def repoint_external_array(df: DataFrame, array: str, uid: str, moved: DataFrame
                                "_version": F.col("_version") + touched.cast("int")}).select(*df.columns)
 
 
+NO_REFS = "array<struct<index:string,type:string,id:string>>"
+
+
+def _gather(value: Column, dtype: T.DataType, name: str) -> Column | None:
+    """All references inside a value as one array; None when its type has none."""
+    if isinstance(dtype, T.ArrayType):
+        if _gather(F.lit(None), dtype.elementType, name) is None:
+            return None
+        return F.coalesce(F.flatten(F.transform(value, lambda e: _gather(e, dtype.elementType, name))), F.array().cast(NO_REFS))
+    if not isinstance(dtype, T.StructType):
+        return None
+    if name == "uid" and _is_uid(dtype):
+        one = F.struct(*[value[c].cast("string").alias(c) for c in ("index", "type", "id")])
+        return F.when(value.isNotNull(), F.array(one)).otherwise(F.array().cast(NO_REFS))
+    parts = [p for f in dtype.fields if (p := _gather(value[f.name], f.dataType, f.name)) is not None]
+    return F.concat(*parts) if parts else None
+
+
+def repoint_everywhere(df: DataFrame, moved: DataFrame, dest: str) -> tuple[DataFrame, DataFrame]:
+    """References to moved documents, wherever the schema holds one; ``(rows, changed ids)``.
+
+    Paths are found in the schema, at any depth and inside arrays. Only keys and
+    references are exploded and met with ``moved(index, type, id)`` in an equi-join; what
+    was hit comes back per row. Changed rows get version + 1.
+    """
+    found = [p for f in df.schema.fields if (p := _gather(F.col(f.name), f.dataType, f.name)) is not None]
+    if not found:
+        return df, df.select(*KEY).filter(F.lit(False))
+    refs = df.select(*KEY, F.explode(F.array_distinct(F.concat(*found))).alias("u")).select(*KEY, "u.*")
+    hits = (refs.join(moved.select("index", "type", F.col("id").cast("string").alias("id")), ["index", "type", "id"], "left_semi")
+            .groupBy(*KEY).agg(F.collect_set(F.struct("index", "type", "id")).alias("_hit")))
+
+    def move(uid: Column) -> Column:
+        hit = F.exists("_hit", lambda h: (h["index"] == uid["index"]) & (h["type"] == uid["type"]) & (h["id"] == uid["id"].cast("string")))
+        return F.when(F.coalesce(hit, F.lit(False)), uid.withField("index", F.lit(dest))).otherwise(uid)
+
+    rows = rewrite_refs(df.join(hits, KEY, "left"), move)
+    rows = rows.withColumn("_version", F.col("_version") + F.col("_hit").isNotNull().cast("int"))
+    return rows.select(*df.columns), hits.select(*KEY)
+
+
 def reindex(source: DataFrame, dest: str, existing: DataFrame | None = None,
             transform: Callable[[DataFrame], DataFrame] | None = None,
             repoint: bool = True, old_indices: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -84,12 +84,34 @@ def flatten_object(df: DataFrame, fields: list[str] | None = None, separator: st
     return df.select(*[F.col(p).alias(p.replace(".", separator)) for p in chosen])
 
 
-def nested_field(df: DataFrame, field: str, include_in_parent: bool = False) -> DataFrame:
-    """Keep the objects apart for per-element matching, also flat when asked."""
-    if not include_in_parent:
-        return df
-    element = df.schema[field].dataType.elementType
-    return df.withColumns({f"{field}__{f.name}": F.col(f"{field}.{f.name}") for f in element.fields})
+def nested_field(df: DataFrame, field: str, include_in_parent: bool = False, include_in_root: bool = False) -> DataFrame:
+    """Keep the objects apart for per-element matching, also flat when asked.
+
+    ``include_in_parent`` copies the fields of the objects beside them;
+    ``include_in_root`` also those of objects inside the objects, as one flat array per
+    leaf at the top of the row.
+    """
+    flat = {}
+
+    def walk(values: Column, element: T.StructType, path: str) -> None:
+        for f in element.fields:
+            inner = _each_field(values, f.name)
+            many = isinstance(f.dataType, T.ArrayType)
+            if many:
+                inner = F.flatten(F.filter(inner, lambda x: x.isNotNull()))
+            below = f.dataType.elementType if many else f.dataType
+            if isinstance(below, T.StructType) and include_in_root:
+                walk(inner, below, f"{path}__{f.name}")
+            elif not many or include_in_root:
+                flat[f"{path}__{f.name}"] = inner
+
+    if include_in_parent or include_in_root:
+        walk(F.col(field), df.schema[field].dataType.elementType, field)
+    return df.withColumns(flat) if flat else df
+
+
+def _each_field(values: Column, name: str) -> Column:
+    return F.transform(values, lambda e: e[name])
 
 
 def multi_field(df: DataFrame, field: str, subfields: dict) -> DataFrame:
@@ -148,8 +170,13 @@ def _matches(path: str, patterns: list[str]) -> bool:
     return any(fnmatch.fnmatchcase(p, pattern) for p in parents for pattern in patterns)
 
 
+def _each_struct(values: Column, keep, element: T.StructType, path: str) -> Column:
+    return F.transform(values, lambda e: F.struct(*keep(e, element, path)))
+
+
 def source_filter(df: DataFrame, include: list[str] = ("*",), exclude: list[str] = ()) -> DataFrame:
-    """Project nested fields by wildcard paths; the rows are marked partial.
+    """Project nested fields by wildcard paths, also inside arrays of objects; the rows
+    are marked partial.
 
     Only a schema walk: Parquet reads just the leaves that are left.
     """
@@ -158,9 +185,13 @@ def source_filter(df: DataFrame, include: list[str] = ("*",), exclude: list[str]
         for f in dtype.fields:
             path = f"{parent}{f.name}"
             value = col[f.name] if col is not None else F.col(f.name)
-            if isinstance(f.dataType, T.StructType):
-                inner = keep(value, f.dataType, f"{path}.")
-                if inner:
+            many = isinstance(f.dataType, T.ArrayType)
+            below = f.dataType.elementType if many else f.dataType
+            if isinstance(below, T.StructType):
+                inner = keep(value, below, f"{path}.")
+                if inner and many:
+                    out.append(_each_struct(value, keep, below, f"{path}.").alias(f.name))
+                elif inner:
                     out.append(F.struct(*inner).alias(f.name))
             elif _matches(path, include) and not _matches(path, exclude):
                 out.append(value.alias(f.name))
@@ -183,6 +214,13 @@ def script_fields(df: DataFrame, scripts: dict, **params) -> DataFrame:
     return df.withColumns({n: script_value(e, **params) for n, e in scripts.items()})
 
 
-def expire(df: DataFrame, ttl: str, now: Column, field: str = "timestamp") -> DataFrame:
-    """Drop documents older than their time to live, given as an interval."""
-    return df.filter(F.col(field).cast("timestamp") + F.expr(f"INTERVAL {ttl}") > now)
+def expire(df: DataFrame, ttl: str | dict[str, str], now: Column, field: str = "timestamp", type_: str = "_type") -> DataFrame:
+    """Drop documents older than their time to live, given as an interval, or as one per
+    type; types without one stay."""
+    written = F.col(field).cast("timestamp")
+    if isinstance(ttl, str):
+        return df.filter(written + F.expr(f"INTERVAL {ttl}") > now)
+    alive = F.lit(True)
+    for name, interval in ttl.items():
+        alive = F.when(F.col(type_) == name, written + F.expr(f"INTERVAL {interval}") > now).otherwise(alive)
+    return df.filter(alive)
