@@ -252,3 +252,18 @@ def _(t):
     return W.has_been_deleted(t.customers(), left).select("c_custkey")
 
 
+@query("w07_write_unique", """WITH s AS (SELECT c_custkey AS id, 1 + c_custkey % 3 AS version FROM customer),
+    b AS (SELECT id, CASE WHEN id % 2 = 0 THEN 'k' || (id + 1) ELSE 'new' || (id // 300) END AS key FROM s WHERE id % 5 = 0 AND version = 1),
+    w AS (SELECT id, key FROM b WHERE CASE WHEN id % 2 = 0 THEN id + 1 NOT IN (SELECT id FROM s) ELSE true END QUALIFY row_number() OVER (PARTITION BY key ORDER BY id) = 1)
+    SELECT s.id, version + (w.id IS NOT NULL)::INT AS version, coalesce(key, 'k' || s.id) AS key FROM s LEFT JOIN w ON w.id = s.id""")
+def _(t):
+    """Every fifth customer asks for a new key: some are stale, some ask for a held key, some for the same new one."""
+    k = F.col("c_custkey")
+    held = t.customer.select(F.lit("key").alias("key_name"), F.concat(F.lit("k"), k).alias("value"),
+                             F.lit("customer").alias("_type"), k.cast("string").alias("_id"))
+    batch = stale_batch(t)
+    i = F.col("_id").cast("long")
+    wanted = F.when(i % 2 == 0, F.concat(F.lit("k"), i + 1)).otherwise(F.concat(F.lit("new"), F.floor(i / 300)))
+    result, keys = W.write_unique(stored(t), batch, {"key": wanted}, held)
+    return result.snapshot.join(keys, ["_type", "_id"]).select(F.col("_id").cast("long").alias("id"), F.col("_version").alias("version"),
+                                                              F.col("value").alias("key"))

@@ -452,6 +452,22 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
     return UniqueResult(kept, dropped.join(failed, "_seq", "left"), table)
 
 
+def write_unique(current: DataFrame, batch: DataFrame, keys: dict[str, Column], held: DataFrame) -> tuple[WriteResult, DataFrame]:
+    """Write and unique keys as one: ``(result, key table)``. Each id occurs once in the batch.
+
+    A row is stored if its version fits and it gets all its keys. A row with a version
+    conflict claims no key and frees none; a row that loses a key is an error, its
+    document and its old keys stay. Keys are taken and freed for the stored rows alone.
+    """
+    tried = write(current, batch)
+    fitting = batch.join(tried.success.select("_seq"), "_seq", "left_semi")
+    unique = enforce_unique(fitting, keys, held)
+    stored = write(current, unique.accepted.select(*batch.columns))
+    taken = F.concat(F.lit("unique keys taken: "), F.array_join(F.map_keys("failed"), ", "))
+    lost = unique.rejected.select("_type", "_id", "_seq", taken.alias("error"))
+    return replace(stored, conflicts=tried.conflicts, errors=tried.errors.unionByName(lost)), unique.keys
+
+
 def release_keys(held: DataFrame, deleted: DataFrame) -> DataFrame:
     """Key table after documents were deleted."""
     return held.join(deleted.select(*KEY), KEY, "left_anti")

@@ -291,3 +291,16 @@ def test_stream_upsert_is_idempotent(spark, tmp_path):
     assert state(spark.read.parquet(str(tmp_path / "compact"))) == state(N.read_upserted(spark, out))
     with pytest.raises(ValueError):
         N.stream_upsert(None, out, out, mode="other")
+
+
+def test_unique_keys_follow_the_write(spark):
+    """A stale row frees nothing, a row that loses a key changes nothing."""
+    stored = docs(spark, (1, 1, "a"), (2, 2, "b"), (3, 1, "c"))
+    held = spark.createDataFrame([("name", n, "user", i) for i, n in (("1", "a"), ("2", "b"), ("3", "c"))],
+                                 "key_name string, value string, _type string, _id string")
+    rows = batch(spark, (2, 1, "x"), (1, 1, "b"), (3, 1, "d"), (4, None, "c"), (5, None, "d"))
+    result, keys = W.write_unique(stored, rows, {"name": F.col("name")}, held)
+    assert state(result.snapshot) == {"1": (1, "a"), "2": (2, "b"), "3": (2, "d"), "4": (1, "c")}
+    assert {r["_id"] for r in result.conflicts.collect()} == {"2"}
+    assert {r["_id"]: r["error"] for r in result.errors.collect()} == dict.fromkeys(("1", "5"), "unique keys taken: name")
+    assert {(r["_id"], r["value"]) for r in keys.collect()} == {("1", "a"), ("2", "b"), ("3", "d"), ("4", "c")}
