@@ -396,9 +396,15 @@ def labelled_pages(n: int = PAGES, seed: int = 5) -> list[tuple[str, set]]:
     return out
 
 
+@lru_cache(maxsize=1)
+def default_model() -> Model:
+    """Trained once per driver; it depends on the made pages alone."""
+    return train(labelled_pages())
+
+
 def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """``pages`` with the main ``text`` and its ``n_chars``."""
-    model = model or train(labelled_pages())
+    model = model or default_model()
     rows = pages.drop("text", "n_chars")
     schema = StructType(list(rows.schema)).add("text", StringType()).add("n_chars", LongType())
     shared, at = pages.sparkSession.sparkContext.broadcast((model.weights, np.log(model.ties))), rows.columns.index("html")

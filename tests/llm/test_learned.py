@@ -164,7 +164,7 @@ def test_marginals_match_brute_force():
 
 @pytest.fixture(scope="module")
 def extractor():
-    return html_extract.train(html_extract.labelled_pages())
+    return html_extract.default_model()
 
 
 def test_extraction_on_held_out_pages(extractor):
