@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.tokens import blocks
 from corpusgrid.llm.words import mix
 from corpusgrid.session import materialise
@@ -219,6 +220,7 @@ def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = (ids[-1], texts[-1], own[-1])
     if last is not None:
         yield record([loose("open", last)], OPEN)
+    tidy()
 
 
 def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructType
 
+from corpusgrid.llm.memory import small_batches
+
 PAGES, ROUNDS, RATE, RIDGE = 300, 60, 0.5, 0.0003
 
 #: Names of HTML elements by their role in the page.
@@ -416,4 +418,4 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                                              names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from corpusgrid.llm.lattice import UNKNOWN, Lattice, word_pieces
+from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.words import LETTERS, Words, text_slices
 
 SAMPLE, FOLDS, ROUNDS, UNDECIDED = 2000, 5, 4, "und"
@@ -157,8 +158,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.slice(start, len(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(languages, pa.string()), pa.array(sure)],
                                                  names=[*names, "lang_pred", "score"])
+        del scorer
+        tidy()
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE, path: str | None = None) -> DataFrame:

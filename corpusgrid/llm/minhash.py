@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgrid.llm.components import components
+from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.words import Words, mix, shingles, text_slices
 from corpusgrid.session import materialise
 
@@ -62,11 +63,12 @@ def count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     used = np.flatnonzero(counts)
     yield pa.record_batch([pa.array(np.append(used, -1), pa.int32()), pa.array(np.append(counts[used], texts))],
                           names=["bucket", "n"])
+    tidy()
 
 
 def idf(docs: DataFrame) -> np.ndarray:
     """ln(1 + N / df) of every bucket; a vector of fixed size is collected."""
-    rows = docs.select("text").mapInArrow(count_buckets, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = small_batches(docs).select("text").mapInArrow(count_buckets, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     found = rows.toPandas()
     df, texts = np.ones(1 << DF_BITS), 1
     for at, n in ((found["bucket"].to_numpy(), found["n"].to_numpy()),):
@@ -145,6 +147,8 @@ def sketches(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 same = batch.slice(start, len(part))
                 yield pa.record_batch([same.column(0), same.column(1), same.column(2), pa.array(bands, pa.list_(pa.int64())),
                                        pa.array(sig, pa.binary())], names=["doc_id", "h1", "h2", "bands", "sig"])
+        del sampler
+        tidy()
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
     return rows.mapInArrow(run, f"doc_id {kind}, h1 long, h2 long, bands array<long>, sig binary")
@@ -259,6 +263,7 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: np.ndarray) -> DataFrame
                 left, right = (weighted(part.column(c), shared.value) for c in ("a", "b"))
                 keep = [similarity(x, y) >= THRESHOLD for x, y in zip(left, right)]
                 yield pa.RecordBatch.from_arrays([part.column("u"), part.column("v")], names=["u", "v"]).filter(pa.array(keep))
+        tidy()
 
     left, right = (texts.select(F.col("node").alias(n), F.col("text").alias(t)) for n, t in (("u", "a"), ("v", "b")))
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.tokens import blocks, coder
 from corpusgrid.session import materialise
 
@@ -56,8 +57,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, json_path: str | None = No
             yield pa.record_batch([ids.take(pa.array(columns[0])), pa.array(columns[1], pa.int32()),
                                    *map(pa.array, columns[2:])], names=["doc_id", "piece", "start", "length", "ids_crc32"])
         bpe.chunks.forget()
+        tidy()
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         encode, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from corpusgrid.llm import crf
+from corpusgrid.llm.memory import small_batches, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, WINDOWS, SURE = 8000, 1200, 0.9
@@ -292,8 +293,9 @@ def find(docs: DataFrame, sample: int = SAMPLE, windows: int = WINDOWS) -> DataF
                 spans[i] = all_spans(base[i], extra)
             columns = [pa.array([[dict(zip(names, s)) for s in row] for row in found], kind) for found in (base, spans)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
+        tidy()
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 def mask(found: DataFrame) -> DataFrame:

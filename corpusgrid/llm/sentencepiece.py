@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusgrid.llm.lattice import SPACE, Lattice, code, load_pieces
+from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.tokens import ChunkIds, blocks
 
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]*", re.S)
@@ -239,8 +240,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.record_batch([batch.column(0).slice(a, b - a), ids, pa.array(sums, pa.int64())],
                                       names=["doc_id", "ids", "ids_crc32"])
         tool.stretches.forget()
+        tidy()
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, ids_crc32 long")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, ids_crc32 long")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable
+from functools import cached_property
 
 import numpy as np
 
@@ -85,8 +86,7 @@ class ByteBpe:
     def __init__(self, json_path: str | None = None, ranks_path: str | None = None):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_file(json_path or vocabulary_path("byte_bpe_50k.json"))
+        self.json_path = json_path or vocabulary_path("byte_bpe_50k.json")
         with open(ranks_path or vocabulary_path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -94,6 +94,12 @@ class ByteBpe:
         self.octets[list(ranks.values())] = [len(r) for r in ranks]
         self.chunks = ChunkIds(self.encode)
 
+    @cached_property
+    def whole(self):
+        """The library's own coder, read when a text first needs it."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.json_path)
+
     def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Chunks of a space and more are encoded in one call, for the cut before each
         holds there too; where one ends is told by the octets of the ids."""
