@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgrid.llm.memory import small_batches, tidy
@@ -205,11 +205,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, islands: int = ISLANDS, epoc
     flat = best.select("shard", F.inline(F.arrays_zip(
         F.col("s.rows").alias("row"), F.col("s.lengths").alias("length"), F.col("s.bin").alias("bin"))))
     flat = flat.toDF("shard", "row", "length", "bin")
-    bins = (flat.groupBy("shard", "bin").agg(F.array_sort(F.collect_list(F.struct("row", "length"))).alias("items"))
-            .select((F.col("shard") * (1 << 20) + F.col("bin")).alias("sequence_id"), "items",
-                    F.posexplode("items").alias("pos", "item")))
-    placed = bins.select("sequence_id", F.col("item.row").alias("row"), F.aggregate(
-        F.slice("items", F.lit(1), F.col("pos")), F.lit(0).cast("long"), lambda s, x: s + x["length"]).alias("offset"))
+    before = F.sum("length").over(Window.partitionBy("shard", "bin").orderBy("row")) - F.col("length")  # at most capacity rows
+    placed = flat.select((F.col("shard") * (1 << 20) + F.col("bin")).alias("sequence_id"), "row", before.cast("long").alias("offset"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     some = short.join(placed, "row").select(*columns, "sequence_id", "offset")
     full = cut_up.where(F.col("length") >= capacity).select(
