@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgrid.llm.chat import format_conversations, read_back
-from corpusgrid.llm.fingerprints import fingerprint
+from corpusgrid.llm.fingerprints import with_neighbours
 from corpusgrid.llm.html_extract import extract
 from corpusgrid.llm.langid import held_out, identify
 from corpusgrid.llm.line_dedup import dedup_lines
@@ -87,8 +87,8 @@ def minhash_near_dedup(docs: DataFrame) -> DataFrame:
 
 @query("op8_fingerprints", "documents")
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Fingerprints, likenesses and band keys."""
-    return fingerprint(docs)
+    """Fingerprints and likenesses; ``near_doc_id`` is the least document of the class found alike through the bands."""
+    return with_neighbours(docs)
 
 
 @query("op9_nearest_neighbors", "embeddings")

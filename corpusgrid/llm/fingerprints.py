@@ -7,16 +7,18 @@ places: edit distance becomes Hamming distance. A walk has at most three steps a
 character.
 
 A fingerprint samples the output: steps are cut into blocks of 2^k, with k such that a
-text of that length has 65 to 128 blocks, and one step of each block is kept. Which one
+text of that length has 129 to 256 blocks, and one step of each block is kept. Which one
 is drawn once for all texts, and a block keeps the choice of one of its halves, so the
 fingerprint of a shorter text can be thinned to the k of a longer one. Each kept place is
 one byte, 0 where the walk had ended. Likeness is the share of equal places among those
 where at least one walk still went on.
 
 Bands are hashes of sampled places, taken at the text's own k and at the next one, so
-that near lengths meet; every row carries its band keys. ``neighbours`` proposes the
-members of a band with its leader and verifies them by likeness. Equal fingerprints are
-folded first, and band leaders are minima aggregated before the shuffle.
+that near lengths meet.
+
+``near_classes`` folds equal fingerprints, then verifies each member of a band with the
+band's leader (a minimum aggregated before the shuffle). Classes are the connected components
+of what is alike.
 
 Defined results: a null or empty text has a fingerprint without places; the likeness of
 two such is 1. Equal texts have equal fingerprints. Rows are ordered by ``doc_id``
@@ -34,18 +36,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusgrid.llm.components import components
 from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.tokens import blocks
 from corpusgrid.llm.words import mix
 from corpusgrid.session import materialise
 
-MOST_PLACES, STEPS_PER_CHAR = 128, 3
+MOST_PLACES, STEPS_PER_CHAR = 256, 3
 SEED = np.uint64(1618033988749894848)
 BATCH_CHARS = 8_000_000
-BANDS, BAND_PLACES, LEAST = 8, 5, 0.7
+BANDS, BAND_PLACES, LEAST = 12, 6, 0.7
 
 
 def level_of(n: int) -> int:
@@ -174,7 +177,7 @@ def edit(text: str, following: str) -> str:
 
 
 FIELDS = [("doc_id", "long"), ("n_chars", "long"), ("edited_sha256", "string"), ("fingerprint", "string"),
-          ("edited_fingerprint", "string"), ("near_edited", "double"), ("near_next", "double"), ("bands", "array<long>")]
+          ("edited_fingerprint", "string"), ("near_edited", "double"), ("near_next", "double")]
 ARROW = {"array<long>": pa.list_(pa.int64()), "long": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32()}
 
 
@@ -190,7 +193,7 @@ def schema(fields: list[tuple[str, str]]) -> str:
 def finished(ids: list, texts: list[str], own: list[str], next_texts: list[str], next_own: list[str]) -> list[tuple]:
     edited = [edit(t, f) for t, f in zip(texts, next_texts)]
     marks = prints(edited)
-    return [(i, len(t), hashlib.sha256(e.encode()).hexdigest(), f, g, likeness(f, g), likeness(f, h), band_keys(f))
+    return [(i, len(t), hashlib.sha256(e.encode()).hexdigest(), f, g, likeness(f, g), likeness(f, h))
             for i, t, e, f, g, h in zip(ids, texts, edited, own, marks, next_own)]
 
 
@@ -203,7 +206,7 @@ def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, started = None, False
 
     def loose(role: str, row: tuple) -> tuple:
-        return (row[0], len(row[1]), None, row[2], None, None, None, None, part, role, row[1])
+        return (row[0], len(row[1]), None, row[2], None, None, None, part, role, row[1])
 
     for batch in batches:
         all_ids, all_texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
@@ -231,58 +234,175 @@ def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   [row["head_print"]]), FIELDS)
 
 
-def fingerprint(docs: DataFrame) -> DataFrame:
-    """One row per document, with its likeness to its edited text and to the next document."""
+def packed(mark: Column) -> Column:
+    """A written fingerprint as octets, the level first: half the size on disk."""
+    level = F.substring_index(mark, ":", 1).cast("int")
+    return F.unhex(F.concat(F.lpad(F.hex(level), 2, "0"), F.substring_index(mark, ":", -1)))
+
+
+def unpacked(octets: Column) -> Column:
+    level = F.conv(F.hex(F.substring(octets, 1, 1)), 16, 10)
+    return F.concat(level, F.lit(":"), F.lower(F.hex(F.substring(octets, 2, MOST_PLACES))))
+
+
+MARKS = ("fingerprint", "edited_fingerprint")
+
+
+def compact(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({m: packed(F.col(m)) for m in MARKS} | {"edited_sha256": F.unhex("edited_sha256")})
+
+
+def readable(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({m: unpacked(F.col(m)) for m in MARKS} | {"edited_sha256": F.lower(F.hex("edited_sha256"))})
+
+
+def compact_rows(docs: DataFrame) -> DataFrame:
+    """One row per document, with its likeness to its edited text and to the next document; hex texts as octets."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("tag")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    found = materialise(ranged.mapInArrow(stream, schema(OPEN)), "fingerprints")
+    found = materialise(compact(ranged.mapInArrow(stream, schema(OPEN))), "fingerprints")
     names = [n for n, _ in FIELDS]
-    heads = found.where("role = 'head'").select("part", "text", "fingerprint")
+    heads = found.where("role = 'head'").select("part", "text", unpacked(F.col("fingerprint")).alias("fingerprint"))
     ends = heads.select("part")  # one row per range
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     follow = ends.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")),
                                             F.first("part").over(whole)).alias("after"))
-    open_rows = found.where("role = 'open'").select("part", "doc_id", "text", "fingerprint").join(follow, "part")
+    open_rows = found.where("role = 'open'").select(
+        "part", "doc_id", "text", unpacked(F.col("fingerprint")).alias("fingerprint")).join(follow, "part")
     after = heads.select(F.col("part").alias("after"), F.col("text").alias("head_text"), F.col("fingerprint").alias("head_print"))
     closed = open_rows.join(after, "after").select("doc_id", "text", "fingerprint", "head_text", "head_print")
-    return found.where("role = 'done'").select(*names).unionByName(closed.mapInArrow(close, schema(FIELDS)))
+    return found.where("role = 'done'").select(*names).unionByName(compact(closed.mapInArrow(close, schema(FIELDS))))
 
 
-DRAWN = mix(np.arange(BANDS * BAND_PLACES, dtype=np.uint64) + SEED).reshape(BANDS, BAND_PLACES) % np.uint64(1000)
+def fingerprint(docs: DataFrame) -> DataFrame:
+    """One row per document, with its likenesses and its band keys."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array([band_keys(f) for f in batch.column("fingerprint").to_pylist()], ARROW["array<long>"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "bands"])
+
+    return readable(compact_rows(docs)).mapInArrow(add, schema([*FIELDS, ("bands", "array<long>")]))
+
+
+def with_neighbours(docs: DataFrame) -> DataFrame:
+    """Fingerprints and likenesses; ``near_doc_id`` is the least document of the class, null in that document's own row."""
+    rows = compact_rows(docs)
+    classes = near_classes(rows.select("doc_id", "fingerprint")).select("fingerprint", "class_id")
+    near = F.when(~F.col("doc_id").eqNullSafe(F.col("class_id")), F.col("class_id")).alias("near_doc_id")
+    return readable(rows.join(classes, "fingerprint", "left").select(*rows.columns, near))
+
+
+# -- bands
 WEIGHTS = np.uint64(1) << (np.uint64(8) * np.arange(BAND_PLACES, dtype=np.uint64))
+DRAWN = mix(np.arange(BANDS * BAND_PLACES, dtype=np.uint64) + SEED).reshape(BANDS, BAND_PLACES) % np.uint64(1000)
+
+
+def picks() -> tuple[np.ndarray, np.ndarray]:
+    """The places of each band by the number of places reached (-1: none), and a hash of them."""
+    out = np.full((MOST_PLACES + 1, BANDS, BAND_PLACES), -1, np.int64)
+    for used in range(1, MOST_PLACES + 1):
+        out[used] = (DRAWN * np.uint64(used)) // np.uint64(1000)
+    return out, np.zeros(out.shape[:2], np.uint64)
+
+
+PICKS, SALT = picks()
+
+
+def octets_of(marks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Levels, and places in rows padded with zeros to one more than ``MOST_PLACES``."""
+    wide = b"".join(m[1:].ljust(MOST_PLACES + 1, b"\0") for m in marks)
+    return np.array([m[0] for m in marks], np.int64), np.frombuffer(wide, np.uint8).reshape(len(marks), MOST_PLACES + 1)
+
+
+def thin_rows(places: np.ndarray, level: int, to: int) -> np.ndarray:
+    """``thinned`` for rows of ``octets_of``."""
+    if level == to:
+        return places
+    kept = kept_of(level, to)
+    out = np.zeros_like(places)
+    out[:, :len(kept)] = places[:, np.minimum(kept, MOST_PLACES)]
+    return out
+
+
+def keys_of(marks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of fingerprints: at their own level and the next, so that near lengths meet."""
+    levels, places = octets_of(marks)
+    owners, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for level in np.unique(levels).tolist():
+        mine = np.flatnonzero(levels == level)
+        for k in (level, level + 1):
+            some = thin_rows(places[mine], level, k)
+            used = np.count_nonzero(some, axis=1)
+            rows, some, used = mine[used > 0], some[used > 0], used[used > 0]
+            chosen = some[np.arange(len(rows))[:, None, None], PICKS[used]].astype(np.uint64)
+            family = np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * k + 1)
+            keys.append(mix(mix(SALT[used] + family) + (chosen * WEIGHTS).sum(2)).view(np.int64).reshape(-1))
+            owners.append(np.repeat(rows, BANDS))
+    return np.concatenate(owners), np.concatenate(keys)
 
 
 def band_keys(mark: str) -> list[int]:
-    """Keys of one fingerprint at its own level and the next, so that near lengths meet."""
+    """Keys of one fingerprint."""
     level, places = parsed(mark)
-    keys: list[int] = []
-    for k in (level, level + 1):
-        some = thinned(level, places, k)
-        used = int(np.count_nonzero(some))
-        if used:
-            chosen = some[(DRAWN * np.uint64(used)) // np.uint64(1000)].astype(np.uint64)
-            whole = (chosen * WEIGHTS).sum(1) + (np.arange(BANDS, dtype=np.uint64) + np.uint64(BANDS * k) << np.uint64(48))
-            keys += mix(whole).view(np.int64).tolist()
-    return keys
+    return keys_of([bytes([level]) + places.tobytes()])[1].tolist()
 
 
-def neighbours(marked: DataFrame, least: float = LEAST) -> DataFrame:
-    """``fingerprint, near_doc_id`` from rows ``doc_id, fingerprint, bands``: the least document
-    that leads one of its bands and is alike."""
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1000):
+            part = batch.slice(a, 1000)
+            owner, key = keys_of(part.column("fingerprint").to_pylist())
+            yield pa.record_batch([pa.array(key), part.column("node").take(pa.array(owner))], names=["key", "node"])
+
+
+# -- verification
+def shares(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Likeness of rows of places of one level."""
+    on = ((one > 0) | (many > 0)).sum(-1)
+    equal = ((one == many) & (many > 0)).sum(-1)
+    return np.where(on > 0, equal / np.maximum(on, 1), 1.0)
+
+
+def leaders_alike(least: float):
+    """The pairs ``u, v`` whose fingerprints ``a, b`` are alike."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(r["fingerprint"], r["leader"]) for r in batch.to_pylist() if likeness(r["fingerprint"], r["led"]) >= least]
-            yield record(rows, [("fingerprint", "string"), ("leader", "long")])
-
-    distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
-                           "distinct-fingerprints")
-    keys = distinct.select(F.explode("bands").alias("key"), "rep")
-    distinct = distinct.drop("bands")
-    leaders = materialise(keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("most"))
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                (la, a), (lb, b) = (octets_of(part.column(c).to_pylist()) for c in ("a", "b"))
+                keep = np.zeros(part.num_rows, bool)
+                for x, y in set(zip(la.tolist(), lb.tolist())):
+                    at = np.flatnonzero((la == x) & (lb == y))
+                    keep[at] = shares(thin_rows(a[at], x, max(x, y)), thin_rows(b[at], y, max(x, y))) >= least
+                yield pa.RecordBatch.from_arrays([part.column("u"), part.column("v")], names=["u", "v"]).filter(pa.array(keep))
+    return run
+
+
+def near_classes(marked: DataFrame, least: float = LEAST) -> DataFrame:
+    """``fingerprint, rep, class_id`` of packed fingerprints (``doc_id, fingerprint``) that are not alone:
+    the least document of the fingerprint and of its class."""
+    distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("times"))
+                           .withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
+    marks = distinct.select("node", "fingerprint")
+    keys = marks.mapInArrow(key_rows, "key long, node long")
+    leaders = materialise(keys.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("most"))
                           .where("leader <> most").select("key", "leader"), "band-leaders")
-    proposed = keys.join(leaders, "key").where("rep <> leader").select("rep", "leader").distinct()
-    led = distinct.select(F.col("rep").alias("leader"), F.col("fingerprint").alias("led"))
-    both = proposed.join(distinct, "rep").join(led, "leader").select("fingerprint", "leader", "led")
-    return both.mapInArrow(check, "fingerprint string, leader long").groupBy("fingerprint").agg(
-        F.min("leader").alias("near_doc_id"))
+    members = materialise(keys.join(leaders, "key").select("key", "node", "leader"), "band-members")
+    pairs = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
+    left, right = (marks.select(F.col("node").alias(n), F.col("fingerprint").alias(f)) for n, f in (("u", "a"), ("v", "b")))
+    links = materialise(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+                        .mapInArrow(leaders_alike(least), "u long, v long"), "led")
+    final = materialise(components(links), "components")
+    found = materialise(distinct.join(final, "node", "left").where("label IS NOT NULL OR times > 1")
+                        .select("fingerprint", "rep", F.coalesce("label", "node").alias("label")), "alike")
+    heads = found.groupBy("label").agg(F.min("rep").alias("class_id"))
+    return found.join(heads, "label").select("fingerprint", "rep", "class_id")
+
+
+def neighbours(marked: DataFrame, least: float = LEAST) -> DataFrame:
+    """``fingerprint, near_doc_id`` from rows ``doc_id, fingerprint``: the least document of the class,
+    for fingerprints other than its own."""
+    classes = near_classes(marked.select("doc_id", packed(F.col("fingerprint")).alias("fingerprint")), least)
+    return classes.where("NOT rep <=> class_id").select(unpacked(F.col("fingerprint")).alias("fingerprint"),
+                                                        F.col("class_id").alias("near_doc_id"))

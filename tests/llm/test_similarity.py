@@ -182,6 +182,19 @@ def test_bands_find_alike_fingerprints(spark):
     assert set(found) <= {prints[100 + i] for i in range(40)}
 
 
+def test_query_finds_alike_documents(spark, tmp_path):
+    from corpusgrid.llm.catalog import QUERIES
+    rng = random.Random(12)
+    rows = [(i, "".join(rng.choice("abcdefghij k") for _ in range(700))) for i in range(12)]
+    rows += [(100 + i, t[:350] + "!" + t[350:]) for i, t in rows[:8]] + [(200, rows[9][1]), (201, None), (None, rows[9][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op8_fingerprints"](spark, str(tmp_path)).collect()
+    near = [(r.doc_id, r.near_doc_id) for r in out]
+    assert len(out) == len(rows) and all(len(r.fingerprint.partition(":")[2]) > 256 for r in out if r.n_chars)
+    assert sorted(p for p in near if p[1] is not None and p[0] is not None) == [(100 + i, i) for i in range(8)] + [(200, 9)]
+    assert (None, 9) in near
+
+
 @pytest.mark.parametrize("norms", [False, True])
 def test_neighbours_match_brute_force(spark, norms):
     rng = np.random.default_rng(9)
