@@ -14,11 +14,16 @@ one byte, 0 where the walk had ended. Likeness is the share of equal places amon
 where at least one walk still went on.
 
 Bands are hashes of sampled places, taken at the text's own k and at the next one, so
-that near lengths meet.
+that near lengths meet. A band has its own fixed order of all block numbers and takes the
+first ``BAND_PLACES`` of them that the walk reached, so a text and one cut or continued at
+its end choose the same places as often as they share them: a band agrees with about
+likeness^6, and 12 of them are drawn at each k.
 
 ``near_classes`` folds equal fingerprints, then verifies each member of a band with the
-band's leader (a minimum aggregated before the shuffle). Classes are the connected components
-of what is alike.
+band's leader (a minimum aggregated before the shuffle). Bands whose members are not all
+in one component after that are settled exactly: their members meet in blocks of at most
+``2 * BLOCK``, where every pair of different components is verified. Classes are the
+connected components of what is alike; no pair that shares a band is left out.
 
 Defined results: a null or empty text has a fingerprint without places; the likeness of
 two such is 1. Equal texts have equal fingerprints. Rows are ordered by ``doc_id``
@@ -41,6 +46,7 @@ from pyspark.sql import functions as F
 
 from corpusgrid.llm.components import components
 from corpusgrid.llm.memory import small_batches, tidy
+from corpusgrid.llm.minhash import BLOCK, groups, grouped, pairs_batch
 from corpusgrid.llm.tokens import blocks
 from corpusgrid.llm.words import mix
 from corpusgrid.session import materialise
@@ -295,15 +301,19 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
 
 # -- bands
 WEIGHTS = np.uint64(1) << (np.uint64(8) * np.arange(BAND_PLACES, dtype=np.uint64))
-DRAWN = mix(np.arange(BANDS * BAND_PLACES, dtype=np.uint64) + SEED).reshape(BANDS, BAND_PLACES) % np.uint64(1000)
+ORDERS = mix(np.arange(BANDS * MOST_PLACES, dtype=np.uint64) + SEED).reshape(BANDS, MOST_PLACES).argsort(axis=1)
 
 
 def picks() -> tuple[np.ndarray, np.ndarray]:
     """The places of each band by the number of places reached (-1: none), and a hash of them."""
     out = np.full((MOST_PLACES + 1, BANDS, BAND_PLACES), -1, np.int64)
     for used in range(1, MOST_PLACES + 1):
-        out[used] = (DRAWN * np.uint64(used)) // np.uint64(1000)
-    return out, np.zeros(out.shape[:2], np.uint64)
+        n = min(used, BAND_PLACES)
+        out[used, :, :n] = ORDERS[ORDERS < used].reshape(BANDS, used)[:, :n]
+    salt = np.zeros(out.shape[:2], np.uint64)
+    for k in range(BAND_PLACES):
+        salt = mix(salt + out[:, :, k].astype(np.uint64))
+    return out, salt
 
 
 PICKS, SALT = picks()
@@ -379,6 +389,37 @@ def leaders_alike(least: float):
     return run
 
 
+def settle(least: float):
+    """Verifies all pairs of different components in each block; a pair already joined is skipped."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            node = group["node"].to_numpy()
+            keep = np.unique(node, return_index=True)[1]
+            node, root = node[keep], np.unique(group["label"].to_numpy()[keep], return_inverse=True)[1]
+            levels, places = octets_of(group["fingerprint"].take(pa.array(keep)).to_pylist())
+            at: dict[tuple[int, int], np.ndarray] = {}
+            kinds = np.unique(levels).tolist()
+            own = {k: np.flatnonzero(levels == k) for k in kinds}
+            spot = np.zeros(len(node), np.int64)
+            for k in kinds:
+                spot[own[k]] = np.arange(len(own[k]))
+                at |= {(k, to): thin_rows(places[own[k]], k, to) for to in kinds if to >= k}
+            links = []
+            for x in range(len(node) - 1):
+                for k in kinds:
+                    to, mine = max(k, int(levels[x])), own[k]
+                    rest = np.flatnonzero((mine > x) & (root[mine] != root[x]))
+                    if not len(rest):
+                        continue
+                    hits = mine[rest[shares(at[int(levels[x]), to][spot[x]], at[k, to][rest]) >= least]]
+                    for y in hits.tolist():
+                        if root[y] != root[x]:
+                            root[root == root[y]] = root[x]
+                            links.append((int(node[x]), int(node[y])))
+            yield pairs_batch(links)
+    return run
+
+
 def near_classes(marked: DataFrame, least: float = LEAST) -> DataFrame:
     """``fingerprint, rep, class_id`` of packed fingerprints (``doc_id, fingerprint``) that are not alone:
     the least document of the fingerprint and of its class."""
@@ -393,7 +434,15 @@ def near_classes(marked: DataFrame, least: float = LEAST) -> DataFrame:
     left, right = (marks.select(F.col("node").alias(n), F.col("fingerprint").alias(f)) for n, f in (("u", "a"), ("v", "b")))
     links = materialise(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
                         .mapInArrow(leaders_alike(least), "u long, v long"), "led")
-    final = materialise(components(links), "components")
+    labelled = materialise(members.select("key", "node").join(materialise(components(links), "components"), "node", "left")
+                           .select("key", "node", F.coalesce("label", "node").alias("label")), "labelled")
+    mixed = materialise(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+                        .where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("n")), "mixed-bands")
+    rest = labelled.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), "n").cast("int"))
+    rest = rest.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other"))
+    rest = rest.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label")
+    more = materialise(grouped(rest.join(marks, "node")).mapInArrow(settle(least), "u long, v long"), "settled")
+    final = materialise(components(links.unionByName(more)), "components")
     found = materialise(distinct.join(final, "node", "left").where("label IS NOT NULL OR times > 1")
                         .select("fingerprint", "rep", F.coalesce("label", "node").alias("label")), "alike")
     heads = found.groupBy("label").agg(F.min("rep").alias("class_id"))

@@ -195,6 +195,52 @@ def test_query_finds_alike_documents(spark, tmp_path):
     assert (None, 9) in near
 
 
+def test_bands_meet_texts_cut_at_their_end():
+    rng = random.Random(13)
+    met = alike = 0
+    for _ in range(60):
+        text = "".join(rng.choice("abcdefghij k") for _ in range(rng.randint(300, 3000)))
+        f, g = P.prints([text, text[:int(len(text) * 0.8)]])
+        if P.likeness(f, g) >= P.LEAST:
+            alike += 1
+            met += bool(set(P.band_keys(f)) & set(P.band_keys(g)))
+    assert alike > 40 and met >= 0.9 * alike
+
+
+def test_members_unlike_their_leader_are_settled(spark, monkeypatch):
+    """One band holds all fingerprints, the leader is unlike the others, and blocks are small."""
+    rng = random.Random(14)
+    texts = ["".join(rng.choice("abcdefghij k") for _ in range(600)) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [
+        (10 * k + i, t[:300] + "!" * k + t[300:]) for k in (1, 2, 3) for i, t in enumerate(texts) if i != 0]
+    marks = P.prints([t for _, t in rows])
+    octets = [bytes([P.parsed(f)[0]]) + P.parsed(f)[1].tobytes() for f in marks]
+    data = [(7, i, j, n, n, octets[n]) for i, j in ((0, 0),) for n in range(len(rows))]
+    df = spark.createDataFrame(data, "key long, i int, j int, node long, label long, fingerprint binary").coalesce(1)
+    links = [(r.u, r.v) for r in df.mapInArrow(P.settle(P.LEAST), "u long, v long").collect()]
+    classes = {n: n for n in range(len(rows))}
+    for u, v in links:
+        low, high = sorted((classes[u], classes[v]))
+        classes = {n: low if c == high else c for n, c in classes.items()}
+    expected = {n: n for n in range(len(rows))}
+    for u in range(len(rows)):
+        for v in range(u):
+            if P.likeness(marks[u], marks[v]) >= P.LEAST:
+                low, high = sorted((expected[u], expected[v]))
+                expected = {n: low if c == high else c for n, c in expected.items()}
+    assert classes == expected and len(links) == len(rows) - 6
+
+    def one_band(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([7] * batch.num_rows, pa.int64()), batch.column("node")], names=["key", "node"])
+
+    monkeypatch.setattr(P, "key_rows", one_band)
+    monkeypatch.setattr(P, "BLOCK", 4)
+    marked = spark.createDataFrame([(i, f) for (i, _), f in zip(rows, marks)], "doc_id long, fingerprint string")
+    near = {r.fingerprint: r.near_doc_id for r in P.neighbours(marked).collect()}
+    assert near == {f: i % 10 for (i, _), f in zip(rows, marks) if i >= 10}
+
+
 @pytest.mark.parametrize("norms", [False, True])
 def test_neighbours_match_brute_force(spark, norms):
     rng = np.random.default_rng(9)
