@@ -76,8 +76,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, path: str | None = None) -> M
     columns = []
     for language in languages:
         own = found[found["lang"] == language].sort_values("word")
-        short = own["word"].str.len() <= 40
-        words, counts = own["word"][short].tolist(), own["count"][short].to_numpy(float)
+        words, counts = own["word"].tolist(), own["count"].to_numpy(float)
         p = np.full(len(pieces) + 1, 1.0 / len(pieces))
         p[-1] = UNKNOWN
         for _ in range(ROUNDS):

@@ -2,7 +2,10 @@
 
 A word is the space mark followed by its letters. All ways to cut it into pieces are
 summed by a forward pass over positions, for many words and several languages at a time.
-A letter that no piece covers counts as a piece of a fixed small probability.
+A letter that no piece covers counts as a piece of a fixed small probability. Sums carry
+a factor ``SCALE`` per position (a power of two, so it rounds nothing), which keeps a
+word of ``LONGEST_WORD`` uncovered letters far from the least float; longer words are
+scaled position by position.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from corpusgrid.llm.words import mix
 SPACE = "▁"
 UNKNOWN = 1e-9
 LONGEST_WORD = 40
+SCALE = 2.0 ** 20
+LONG_CELLS = 200_000  # letters of long words that are fitted side by side
 BITS = 18
 _HASH = np.uint64(0x9FB21C651E98DF25)
 
@@ -46,6 +51,7 @@ class Lattice:
     def __init__(self, pieces: list[str]):
         self.pieces = pieces
         self.longest = max(map(len, pieces))
+        self.scales = SCALE ** np.array([*map(len, pieces), 1.0])
         keys = np.zeros(len(pieces), np.uint64)
         for i, p in enumerate(pieces):
             h = 0
@@ -89,7 +95,7 @@ class Lattice:
                     yield end, size, rows, piece
 
     def forward(self, edges: list, n: int, width: int, table: np.ndarray) -> np.ndarray:
-        """``alpha[position, word, language]``: summed probability of all ways to reach a position."""
+        """``alpha[position, word, language]``: summed products of ``table`` over all ways to reach a position."""
         alpha = np.zeros((width + 1, n, table.shape[1]))
         alpha[0] = 1.0
         for end, size, rows, piece in edges:
@@ -102,14 +108,15 @@ class Lattice:
         Words beyond ``LONGEST_WORD`` letters go one by one through a bounded ring of positions.
         """
         out = np.zeros((len(words), table.shape[1]))
+        scaled = table * self.scales[:, None]
         sizes = np.array([len(w) for w in words])
         for low, high in ((0, 6), (6, 10), (10, 16), (16, LONGEST_WORD)):
             group = np.flatnonzero((sizes > low) & (sizes <= high) if low else sizes <= high)
             for a in range(0, len(group), 8192):
                 some = group[a:a + 8192]
                 codes, lengths = code([words[i] for i in some])
-                alpha = self.forward(list(self.edges(codes, lengths)), len(some), codes.shape[1], table)
-                out[some] = np.log(alpha[lengths, np.arange(len(some))])
+                alpha = self.forward(list(self.edges(codes, lengths)), len(some), codes.shape[1], scaled)
+                out[some] = np.log(alpha[lengths, np.arange(len(some))]) - (lengths * np.log(SCALE))[:, None]
         for i in np.flatnonzero(sizes > LONGEST_WORD):
             out[i] = self.long_word(words[i], table)
         return out
@@ -134,7 +141,17 @@ class Lattice:
     def expected(self, words: list[str], counts: np.ndarray, probability: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece over all segmentations (forward and backward)."""
         total = np.zeros(len(self.pieces) + 1)
-        table = probability[:, None]
+        sizes = np.array([len(w) for w in words])
+        order = np.argsort(sizes, kind="stable")
+        long = order[sizes[order] > LONGEST_WORD]
+        while len(long):
+            some = long[:max(1, int(((sizes[long] + 1) * np.arange(1, len(long) + 1) <= LONG_CELLS).sum()))]
+            total += self.expected_long([words[i] for i in some], counts[some], probability)
+            long = long[len(some):]
+        short = np.flatnonzero(sizes <= LONGEST_WORD)
+        words, counts = [words[i] for i in short], counts[short]
+        scaled = probability * self.scales
+        table = scaled[:, None]
         for a in range(0, len(words), 8192):
             codes, lengths = code(words[a:a + 8192])
             n, edges = len(lengths), list(self.edges(codes, lengths))
@@ -142,9 +159,40 @@ class Lattice:
             beta = np.zeros_like(alpha)
             beta[lengths, np.arange(n)] = 1.0
             for end, size, rows, piece in reversed(edges):
-                beta[end - size, rows] += beta[end, rows] * probability[piece]
+                beta[end - size, rows] += beta[end, rows] * scaled[piece]
             weight = counts[a:a + 8192] / alpha[lengths, np.arange(n)]
             for end, size, rows, piece in edges:
-                use = alpha[end - size, rows] * probability[piece] * beta[end, rows] * weight[rows]
+                use = alpha[end - size, rows] * scaled[piece] * beta[end, rows] * weight[rows]
                 total += np.bincount(piece, use, len(total))
         return total
+
+    def expected_long(self, words: list[str], counts: np.ndarray, probability: np.ndarray) -> np.ndarray:
+        """``expected`` of words of any length: each position is scaled to 1, and the way back
+        follows the share of each last piece, so nothing under- or overflows."""
+        codes, lengths = code(words)
+        n, width = codes.shape
+        none = len(self.pieces)
+        pieces = np.full((width + 1, n, self.longest), none, np.int32)
+        shares = np.zeros((width + 1, n, self.longest))
+        for size in range(1, min(self.longest, width) + 1):
+            key = np.zeros((n, width - size + 1), np.uint64)
+            for k in range(size):
+                key = (key + codes[:, k:width - size + 1 + k]) * _HASH
+            found = self.find(key.reshape(-1)).reshape(key.shape).T
+            pieces[size:, :, size - 1] = found
+            shares[size:, :, size - 1] = probability[found] if size == 1 else np.where(found < none, probability[found], 0.0)
+        last = np.zeros((n, self.longest))  # earlier sums beside that of the position before, which is 1
+        last[:, 0] = 1.0
+        for end in range(1, width + 1):
+            shares[end] *= last
+            whole = shares[end].sum(1, keepdims=True)
+            shares[end] /= whole
+            last[:, 1:] = last[:, :-1] / whole
+            last[:, 0] = 1.0
+        use = np.zeros((width + 1, n))  # how often a position ends a piece
+        use[lengths, np.arange(n)] = counts
+        for end in range(width, 0, -1):
+            shares[end] *= use[end][:, None]
+            reach = min(self.longest, end)
+            use[end - reach:end] += shares[end][:, :reach][:, ::-1].T
+        return np.bincount(pieces.reshape(-1), shares.reshape(-1), none + 1)

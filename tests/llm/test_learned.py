@@ -51,6 +51,32 @@ def test_expected_counts_add_up():
     assert abs((used * sizes).sum() - 3 * 4) < 1e-9  # every use covers its letters once
 
 
+def test_long_symbol_runs_keep_finite_sums():
+    pieces = word_pieces()
+    lattice = Lattice(pieces)
+    p = np.full(len(pieces) + 1, 1 / len(pieces))
+    p[-1] = UNKNOWN
+    for rule in ("\u2500" * 38, "\u2500" * 40, "\u2500" * 70, "information" * 9, "the\u2500" * 30):
+        scores = lattice.log_likelihood([rule], np.stack([p, p], 1))[0]
+        assert np.isfinite(scores).all() and np.allclose(scores, lattice.long_word(rule, np.stack([p, p], 1)))
+        used = lattice.expected([rule, "the"], np.array([2.0, 1.0]), p)
+        assert np.isfinite(used).all() and abs((used * np.array([*map(len, pieces), 1])).sum() - 2 * (len(rule) + 1) - 4) < 1e-6
+    words, counts = ["the", "information", "\u2500abc"], np.array([1.0, 3.0, 2.0])
+    assert np.allclose(lattice.expected(words, counts, p), lattice.expected_long(words, counts, p))
+
+
+def test_symbol_runs_in_training_and_in_scored_texts(spark):
+    from corpusgrid.llm.langid import Scorer, fit
+    import pyarrow as pa
+    rule = "\u2500" * 38
+    texts = {"en": "the and of that with this ", "fr": "le la des une que dans "}
+    rows = [(i, texts[lang] * 5 + rule + " " + "\u2500" * 60, lang) for i, lang in enumerate(["en", "fr"] * 20)]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert np.isfinite(model.table).all()
+    got, sure = Scorer(model).score(pa.array([texts["fr"] + rule, texts["en"] + rule, texts["fr"]]))
+    assert got == ["fr", "en", "fr"] and np.isfinite(sure).all() and (sure > 0.9).all()
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = langid.identify(docs).where(langid.held_out(F.col("doc_id"))).collect()
