@@ -1,9 +1,11 @@
 """Near duplicates by consistent weighted sampling of TF-IDF shingles.
 
 A shingle is five successive words (see ``words``); a shorter text has one. Its weight in
-a text is tf * ln(1 + N / df), with document frequencies over all texts, counted in
-``2**DF_BITS`` hashed buckets: a vector of fixed size whatever the corpus, and the only
-thing that is broadcast. Two texts are near duplicates if their weighted Jaccard
+a text is tf * ln(1 + N / df), with document frequencies over all texts, counted
+exactly by shingle. Those of the most frequent shingles, ``KEPT`` at most, are broadcast;
+the least frequency among them is the lowest for which they fit. All shingles below it
+have the idf of their mean frequency, which is exact while only those met once are below.
+Two texts are near duplicates if their weighted Jaccard
 similarity, computed on the whole texts, is at least ``THRESHOLD``; classes are the
 connected components.
 
@@ -32,6 +34,7 @@ repeated are in one class. An empty table gives no class. Extra columns are igno
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -46,46 +49,123 @@ from corpusgrid.session import materialise
 THRESHOLD, SAMPLES, ROWS = 0.8, 64, 4
 BANDS = SAMPLES // ROWS
 DF_BITS, POOL_BITS, GRID = 18, 16, 8
+KEPT, PART_BITS, HELD, MOST_AT_ONCE = 1 << 20, 12, 2_000_000, (1 << 16) - 1
 LOW_LEVEL, HIGH_LEVEL = -2 * GRID, 30 * GRID
 BLOCK, AGREE = 1024, 38
 
 
 # -- weights
-def count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts per bucket, and under -1 the number of texts with words."""
-    counts, texts = np.zeros(1 << DF_BITS, np.int64), 0
+@dataclass
+class Idf:
+    """ln(1 + N / df) of the frequent shingles (sorted), and of all others."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    below: float
+
+
+def count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts per shingle, by leading bits of the shingle: octets of (shingle, number); under -1 the number of texts with words."""
+    held: list[np.ndarray] = []
+    size = texts = 0
+    edges = np.arange((1 << PART_BITS) + 1, dtype=np.uint64) << np.uint64(48 - PART_BITS)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        key, n = np.unique(np.concatenate(held), return_counts=True)
+        while len(key):
+            now = np.minimum(n, MOST_AT_ONCE)
+            coded, cuts = (key << np.uint64(16)) | now.astype(np.uint64), np.searchsorted(key, edges)
+            used = np.flatnonzero(np.diff(cuts))
+            yield pa.record_batch([pa.array(used, pa.int32()), pa.array([coded[cuts[i]:cuts[i + 1]].tobytes() for i in used.tolist()], pa.binary())],
+                                  names=["part", "counts"])
+            n = n - now
+            key, n = key[n > 0], n[n > 0]
+
     for batch in batches:
         for _, part in text_slices(batch.column(0)):
             words = Words(part)
             _, key, _ = shingles(words)
-            counts += np.bincount((key & np.uint64((1 << DF_BITS) - 1)).astype(np.int64), minlength=1 << DF_BITS)
             texts += int((np.diff(words.bounds) > 0).sum())
-    used = np.flatnonzero(counts)
-    yield pa.record_batch([pa.array(np.append(used, -1), pa.int32()), pa.array(np.append(counts[used], texts))],
-                          names=["bucket", "n"])
+            held.append(key)
+            size += len(key)
+            if size >= HELD:
+                yield from flush()
+                held, size = [], 0
+    if size:
+        yield from flush()
+    yield pa.record_batch([pa.array([-1], pa.int32()), pa.array([np.uint64(texts).tobytes()], pa.binary())], names=["part", "counts"])
     tidy()
 
 
-def idf(docs: DataFrame) -> np.ndarray:
-    """ln(1 + N / df) of every bucket; a vector of fixed size is collected."""
-    rows = small_batches(docs).select("text").mapInArrow(count_buckets, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    found = rows.toPandas()
-    df, texts = np.ones(1 << DF_BITS), 1
-    for at, n in ((found["bucket"].to_numpy(), found["n"].to_numpy()),):
-        df[at[at >= 0]] = n[at >= 0]
-        texts = max(1, int(n[at < 0].sum()))
-    return np.log1p(texts / df)
+def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``df, n, keys``: how many shingles have a frequency, and which, if over 1; under -1 the number of texts."""
+    def summed(part: int, held: list[bytes]) -> pa.RecordBatch:
+        coded = np.frombuffer(b"".join(held), np.uint64)
+        if part < 0:
+            rows = [(-1, int(coded.sum()), None)]
+        else:
+            coded = np.sort(coded)
+            key = coded >> np.uint64(16)
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            df = np.add.reduceat((coded & np.uint64(MOST_AT_ONCE)).astype(np.int64), first)
+            order = np.argsort(df, kind="stable")
+            key, df = key[first][order], df[order]
+            values, at = np.unique(df, return_index=True)
+            ends = [*at[1:].tolist(), len(df)]
+            rows = [(v, b - a, key[a:b].tobytes() if v > 1 else None) for v, a, b in zip(values.tolist(), at.tolist(), ends)]
+        return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                                pa.array([r[2] for r in rows], pa.binary())], names=["df", "n", "keys"])
+
+    last, held = None, []
+    for batch in batches:
+        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if held and part != last:
+                yield summed(last, held)
+                held = []
+            last = part
+            held.append(counts)
+    if held:
+        yield summed(last, held)
+    tidy()
 
 
-def weigh(key: np.ndarray, times: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    return times * weights[(key & np.uint64((1 << DF_BITS) - 1)).astype(np.int64)]
+def idf(docs: DataFrame) -> Idf:
+    """Frequencies are counted exactly; ``KEPT`` of them at most are collected."""
+    rows = small_batches(docs).select("text").mapInArrow(count_shingles, "part int, counts binary")
+    found = materialise(rows.repartition("part").sortWithinPartitions("part").mapInArrow(add_up, "df long, n long, keys binary"),
+                        "frequencies")
+    sizes = {r["df"]: r["n"] for r in found.groupBy("df").agg(F.sum("n").alias("n")).collect()}  # a row per frequency
+    texts = max(1, sizes.pop(-1, 0))
+    least, room = max(sizes, default=1) + 1, KEPT
+    for df in sorted(sizes, reverse=True):
+        room -= sizes[df]
+        if room < 0 or df == 1:
+            break
+        least = df
+    rare = {df: n for df, n in sizes.items() if df < least}
+    mean = sum(df * n for df, n in rare.items()) / max(1, sum(rare.values()))
+    kept = found.where((F.col("df") >= least) & F.col("keys").isNotNull()).select("df", "keys").collect()
+    keys = np.frombuffer(b"".join(r["keys"] for r in kept), np.uint64)
+    df = np.repeat(np.array([r["df"] for r in kept], float), [len(r["keys"]) // 8 for r in kept])
+    order = np.argsort(keys)
+    return Idf(keys[order], np.log1p(texts / df[order]), float(np.log1p(texts / max(1.0, mean))))
+
+
+def weigh(key: np.ndarray, times: np.ndarray, weights: Idf | np.ndarray) -> np.ndarray:
+    """tf times idf; a plain vector has one idf for each value of the last ``DF_BITS`` bits."""
+    if isinstance(weights, np.ndarray):
+        return times * weights[(key & np.uint64((1 << DF_BITS) - 1)).astype(np.int64)]
+    if not len(weights.keys):
+        return times * weights.below
+    at = np.minimum(np.searchsorted(weights.keys, key), len(weights.keys) - 1)
+    return times * np.where(weights.keys[at] == key, weights.values[at], weights.below)
 
 
 # -- sampling
 class Sampler:
     """Consistent weighted samples of the texts of a slice."""
 
-    def __init__(self, weights: np.ndarray):
+    def __init__(self, weights: Idf | np.ndarray):
         self.weights = weights
         rng = np.random.default_rng(2010)
         size = 1 << POOL_BITS
@@ -128,7 +208,7 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return mix(keys + np.arange(BANDS, dtype=np.uint64))
 
 
-def sketches(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+def sketches(docs: DataFrame, weights: Idf) -> DataFrame:
     """``doc_id, h1, h2, bands, sig``; ``bands`` and ``sig`` are null for a text without words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(weights)
@@ -241,7 +321,7 @@ def similarity(x: tuple, y: tuple) -> float:
     return common / max(1e-300, x[1].sum() + y[1].sum() - common)
 
 
-def weighted(texts: pa.Array, weights: np.ndarray) -> list[tuple]:
+def weighted(texts: pa.Array, weights: Idf | np.ndarray) -> list[tuple]:
     """Sorted shingles and weights of each text."""
     out: list[tuple] = []
     for _, part in text_slices(texts):
@@ -252,7 +332,7 @@ def weighted(texts: pa.Array, weights: np.ndarray) -> list[tuple]:
     return out
 
 
-def verify(pairs: DataFrame, texts: DataFrame, weights: np.ndarray) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, weights: Idf) -> DataFrame:
     """The pairs ``u, v`` whose texts are similar enough."""
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
@@ -296,7 +376,7 @@ def open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from group.take(pa.array(rows)).to_batches()
 
 
-def settle(weights: np.ndarray):
+def settle(weights: Idf):
     """Verifies the crossing pairs of each block on its texts; a pair already joined is skipped."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches):

@@ -96,6 +96,24 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert M.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_document_frequencies_are_exact(spark, monkeypatch):
+    rng = random.Random(21)
+    common = text_of(rng, 30)
+    texts = [common + " " + text_of(rng, 300, 10 ** 6) for _ in range(900)] + [common] * 3 + [None, "", "one", "one"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    words = Words(pa.array(texts, pa.string()))
+    _, key, times = shingles(words)
+    distinct, counts = np.unique(key, return_counts=True)
+    assert len(distinct) > 1 << M.DF_BITS  # more shingles than the hashed vector had places
+    expected = np.log1p(905 / counts)
+    assert np.allclose(M.weigh(distinct, np.ones(len(distinct)), M.idf(df)), expected)
+    monkeypatch.setattr(M, "KEPT", 26)  # the 26 shingles of the common start
+    found = M.weigh(distinct, np.ones(len(distinct)), M.idf(df))
+    frequent = counts > 800
+    assert frequent.sum() == 26 and np.allclose(found[frequent], expected[frequent])
+    assert np.allclose(found[~frequent], np.log1p(905 / counts[~frequent].mean()))
+
+
 def test_blocks_of_a_large_group_lose_no_pair(spark, monkeypatch):
     monkeypatch.setattr(M, "BLOCK", 8)
     nodes = spark.createDataFrame([(n, [11, 100 + n]) for n in range(50)] + [(60, [7, 8])], "node long, bands array<long>")
