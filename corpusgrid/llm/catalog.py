@@ -15,7 +15,9 @@ from corpusgrid.llm.neighbors import search
 from corpusgrid.llm.packing import pack
 from corpusgrid.llm.pii import KINDS, find
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
+from corpusgrid.llm.runs import detect_runs
 from corpusgrid.llm.sentencepiece import decode, encode
+from corpusgrid.llm.token_counts import count_tokens
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -99,3 +101,18 @@ def nearest_neighbors(embeddings: DataFrame) -> DataFrame:
 @query("op3_html_extraction", "pages")
 def html_extraction(pages: DataFrame) -> DataFrame:
     return extract(pages.select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op11_periodic_runs", "documents")
+def periodic_runs(docs: DataFrame) -> DataFrame:
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return detect_runs(docs, replace=True).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", "exponent_milli",
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op13_token_counts", "documents")
+def token_counts(docs: DataFrame) -> DataFrame:
+    """Counts through a new cache, so that every distinct text of the table is a miss once."""
+    return count_tokens(docs)
