@@ -13,6 +13,7 @@ from corpusgrid.llm.line_dedup import dedup_lines
 from corpusgrid.llm.minhash import near_duplicates
 from corpusgrid.llm.neighbors import search
 from corpusgrid.llm.packing import pack
+from corpusgrid.llm.phrases import collocations
 from corpusgrid.llm.pii import KINDS, find
 from corpusgrid.llm.registry import ORACLE, QUERIES, query
 from corpusgrid.llm.runs import detect_runs
@@ -112,6 +113,30 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@query("op12_phrase_collocations", "documents", r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    parted AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM parted GROUP BY lang),
+    starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM parted),
+    grams AS (SELECT lang, i, w, unnest([1, 2, 3, 4, 5]) AS k FROM starts),
+    counted AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM grams WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+    listed AS (SELECT *, string_split(phrase, ' ') AS w FROM counted),
+    longer AS (SELECT lang, array_to_string(w[2:], ' ') AS phrase, f FROM listed WHERE k > 1
+        UNION SELECT lang, array_to_string(w[:k - 1], ' '), f FROM listed WHERE k > 1),
+    kept AS (SELECT * FROM listed ANTI JOIN longer USING (lang, phrase, f) WHERE k > 1),
+    cuts AS (SELECT lang, phrase, w, k, f AS a, unnest(range(1, k)) AS c FROM kept),
+    scored AS (SELECT cuts.lang, cuts.phrase, a, c, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts JOIN counted x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.w[:c], ' ')
+            JOIN counted y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.w[c + 1:], ' ') JOIN totals ON totals.lang = cuts.lang),
+    weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM weakest QUALIFY rank <= 2000""")
+def phrase_collocations(docs: DataFrame) -> DataFrame:
+    return collocations(docs).drop("cut")
+
+
 @query("op13_token_counts", "documents")
 def token_counts(docs: DataFrame) -> DataFrame:
     """Counts through a new cache, so that every distinct text of the table is a miss once."""
