@@ -16,24 +16,31 @@ from dataclasses import dataclass
 
 import numpy as np
 
-DEPTH = 6
+DEPTH, BLOCK = 6, 1 << 18
 
 
 def dense(keys: np.ndarray) -> np.ndarray:
     """Ranks of the distinct keys."""
-    order = np.argsort(keys)
+    order = np.argsort(keys).astype(np.int32)
     ordered = keys[order]
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]), dtype=np.int32)
     return rank
 
 
+def pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Keys in the order of (first, second)."""
+    key = first.astype(np.int64)
+    key *= int(second.max(initial=0)) + 1
+    key += second
+    return key
+
+
 def transform(symbols: np.ndarray) -> np.ndarray:
     """The symbols before the rotations, which are sorted by their first ``DEPTH`` symbols."""
-    one = symbols.astype(np.int64)
-    two = dense(one * (int(one.max(initial=0)) + 1) + np.roll(one, -1))
-    four = dense(two * (int(two.max(initial=0)) + 1) + np.roll(two, -2))
-    order = np.argsort(four * (int(two.max(initial=0)) + 1) + np.roll(two, -4))
+    two = dense(pairs(symbols, np.roll(symbols, -1)))
+    four = dense(pairs(two, np.roll(two, -2)))
+    order = np.argsort(pairs(four, np.roll(two, -4)))
     return symbols[order - 1]
 
 
@@ -88,18 +95,23 @@ class FmIndex:
         """All phrases one symbol longer on that side, of those whose other part is among ``phrases`` too."""
         bwt = self.forward if left else self.backward
         lo, back = (phrases.lo, phrases.back) if left else (phrases.back, phrases.lo)
-        counts = np.bincount(bwt)
-        to_first = np.empty(len(bwt), np.int64)  # the last-to-first mapping
-        to_first[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
-        which, place = spans(lo, phrases.size)
-        key = which * len(counts) + bwt[place]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        size = np.diff(np.append(first, len(key)))
-        base, symbol = key[first] // len(counts), key[first] % len(counts)
-        began = np.cumsum(phrases.size) - phrases.size
-        new_lo, new_back = to_first[place[order[first]]], back[base] + first - began[base]
-        kept = (symbol > 0) & inside(lo, phrases.size, new_lo)
+        to_first = np.empty(len(bwt), np.int32)  # the last-to-first mapping
+        to_first[np.argsort(bwt, kind="stable")] = np.arange(len(bwt), dtype=np.int32)
+        kinds, ends, found, start = int(bwt.max(initial=0)) + 1, np.cumsum(phrases.size), [], 0
+        while start < len(phrases):  # some intervals at a time, for bounded memory
+            done = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+            which, place = spans(lo[start:stop], phrases.size[start:stop])
+            key = which * kinds + bwt[place]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            base, symbol = key[first] // kinds + start, key[first] % kinds
+            new_lo, smaller = to_first[place[order[first]]], first + done - (ends - phrases.size)[base]
+            kept = (symbol > 0) & inside(lo, phrases.size, new_lo)
+            columns = new_lo, back[base] + smaller, np.diff(np.append(first, len(key))), base, symbol
+            found.append([c[kept] for c in columns])
+            start = stop
+        new_lo, new_back, size, base, symbol = map(np.concatenate, zip(*found)) if found else np.zeros((5, 0), np.int64)
         new_lo, new_back = (new_lo, new_back) if left else (new_back, new_lo)
-        return Phrases(new_lo[kept], new_back[kept], size[kept], base[kept], symbol[kept])
+        return Phrases(new_lo, new_back, size, base, symbol)

@@ -39,7 +39,7 @@ from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.tokens import blocks
 from corpusgrid.session import materialise, table_path
 
-SHARD, LEAST, LONGEST, TOP = 1 << 21, 100, 5, 2000
+SHARD, LEAST, LONGEST, TOP = 1 << 20, 100, 5, 2000
 BREAK = b"\xff"  # no byte of UTF-8
 AS_READ = bytes(ord(BREAK) if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -153,7 +153,8 @@ def build(joined: DataFrame) -> DataFrame:
                                       names=names_of(INDEX, FOUND))
                 found = index.extend(index.single(), left=False)
                 yield from gram_rows(shard, found, ids[index.single().symbol - 1][found.base], ids[found.symbol - 1])
-        tidy()
+                del index, found, codes, known
+                tidy()
 
     return joined.select("shard", "size", "text", "known").mapInArrow(run, f"shard long, {INDEX}, {FOUND}")
 
@@ -169,7 +170,8 @@ def grow(joined: DataFrame, left: bool) -> DataFrame:
                 index = FmIndex(unpacked(forward, size), unpacked(backward, size))
                 found = index.extend(Phrases(lo, back, n, phrase, phrase), left)
                 yield from gram_rows(shard, found, phrase[found.base], np.frombuffer(ids, "<i8")[found.symbol - 1])
-        tidy()
+                del index, found, state
+                tidy()
 
     return joined.select(*names_of(INDEX), "state").mapInArrow(run, f"shard long, {INDEX}, {FOUND}")
 
@@ -194,7 +196,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     parts = materialise(shards(docs, shard_words), "shards")
     n_parts = parts.count()
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, min(n_parts, 4 * cores), n_parts // 64)
+    tasks = max(1, min(n_parts, 16 * cores), n_parts // 16)
     local = parts.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
         "shard", "lang", F.col("pos").alias("place"), F.col("col.words").alias("phrase"), F.col("col.counts").alias("n"))
     totals = local.groupBy("lang").agg(F.sum("n").alias("n"))
