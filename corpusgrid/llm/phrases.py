@@ -9,9 +9,10 @@ transforms compressed.
 Phrases grow by one word a round, to the right and to the left in turn: each shard extends
 the intervals of the phrases that are frequent over all shards, where both the phrase
 without its first word and that without its last word are, and sums across shards tell
-which of the new ones are frequent. They go back to the shards that hold them, with their
-intervals, so a round moves the transforms and the frequent intervals, never texts. The
-rounds are as many as the longest phrase has words, whatever the size of the corpus.
+which of the new ones are frequent. These go back to the shards that hold them, which find
+their intervals again. The transforms stay in buckets of shards, so a round moves phrases
+with their counts, never texts. The rounds are as many as the longest phrase has words,
+whatever the size of the corpus.
 
 A shard is bounded (or is one longer text), so its rows in one group are too; a language or
 a phrase with a third of all rows is spread over its shards and summed before the shuffle.
@@ -25,6 +26,7 @@ without frequent words, gives no phrase.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -40,6 +42,7 @@ from corpusgrid.llm.tokens import blocks
 from corpusgrid.session import materialise, table_path
 
 SHARD, LEAST, LONGEST, TOP = 1 << 20, 100, 5, 2000
+FEW = 1 << 20  # rows of three numbers that are broadcast at most
 BREAK = b"\xff"  # no byte of UTF-8
 AS_READ = bytes(ord(BREAK) if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -115,22 +118,26 @@ def shards(docs: DataFrame, shard_words: int = SHARD) -> DataFrame:
         number, "shard long, lang string, words array<string>, counts array<long>, size long, text binary")
 
 
+FOUND = "base long, word long, n int"  # a phrase of this shard, as one word more on a frequent phrase
 INDEX = "forward binary, backward binary, size long, ids binary"
-FOUND = "base long, word long, lo int, back int, n int"
+KINDS = "shard long, base long, word long, n int, id long, lo int, back int, forward binary, backward binary, size long, ids binary, kind string"
 
 
-def gram_rows(shard: int, found: Phrases, base: np.ndarray, word: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of ``FOUND``, with nulls in place of an index, in batches of bounded size."""
-    columns = [pa.array(base), pa.array(word), *[pa.array(c.astype(np.int32)) for c in (found.lo, found.back, found.size)]]
-    none = [pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-    for a in range(0, len(found), 1 << 16):
-        some = [c.slice(a, 1 << 16) for c in columns]
-        n = len(some[0])
-        yield pa.record_batch([pa.array(np.full(n, shard)), *[pa.nulls(n, t) for t in none], *some], names=names_of(INDEX, FOUND))
+def names_of(schema: str) -> list[str]:
+    return re.findall(r"(\w+) \w+", schema)
 
 
-def names_of(*schemas: str) -> list[str]:
-    return ["shard", *re.findall(r"(\w+) \w+", ", ".join(schemas))]
+def rows_of(kind: str, shard: int, **columns) -> Iterator[pa.RecordBatch]:
+    """Rows of ``KINDS`` in batches of bounded size, null where ``columns`` has nothing."""
+    types = dict(re.findall(r"(\w+) (\w+)", KINDS))
+    arrow = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+    n = len(next(iter(columns.values())))
+    for a in range(0, n, 1 << 16):
+        some = {c: v[a:a + (1 << 16)] for c, v in columns.items()}
+        m = min(n - a, 1 << 16)
+        some |= {"shard": np.full(m, shard), "kind": [kind] * m}
+        yield pa.record_batch([pa.array(some[c], arrow[t]) if c in some else pa.nulls(m, arrow[t]) for c, t in types.items()],
+                              names=list(types))
 
 
 def build(joined: DataFrame) -> DataFrame:
@@ -141,47 +148,71 @@ def build(joined: DataFrame) -> DataFrame:
                 shard, size, text = (batch.column(k)[row].as_py() for k in range(3))
                 known = batch.column(3)[row].values
                 place, ids = (known.field(k).to_numpy() for k in range(2))
-                order = np.argsort(place)
-                place, ids = place[order], ids[order]
                 codes = unpacked(text, size)
                 symbol = np.zeros(int(codes.max(initial=0)) + 1, np.int32)
-                symbol[place + 1] = np.arange(1, len(place) + 1)
-                index = FmIndex.of(single_breaks(symbol[codes]))
-                blobs = [packed(index.forward), packed(index.backward), len(index.forward), ids.astype("<i8").tobytes()]
-                yield pa.record_batch([pa.array([shard]), *[pa.array([b]) for b in blobs],
-                                       *[pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())]],
-                                      names=names_of(INDEX, FOUND))
+                order = np.argsort(ids)  # symbols are in the order of ids
+                symbol[place[order] + 1] = np.arange(1, len(place) + 1)
+                index, ids = FmIndex.of(single_breaks(symbol[codes])), ids[order]
+                yield from rows_of("index", shard, forward=[packed(index.forward)], backward=[packed(index.backward)],
+                                   size=[len(index.forward)], ids=[ids.astype("<i8").tobytes()])
                 found = index.extend(index.single(), left=False)
-                yield from gram_rows(shard, found, ids[index.single().symbol - 1][found.base], ids[found.symbol - 1])
+                yield from rows_of("found", shard, base=ids[found.base], word=ids[found.symbol - 1], n=found.size)
                 del index, found, codes, known
                 tidy()
 
-    return joined.select("shard", "size", "text", "known").mapInArrow(run, f"shard long, {INDEX}, {FOUND}")
+    return joined.select("shard", "size", "text", "known").mapInArrow(run, KINDS)
 
 
-def grow(joined: DataFrame, left: bool) -> DataFrame:
-    """The phrases one word longer, from an index and its ``state`` of frequent intervals."""
+def grow(joined: DataFrame, grown_left: bool, left: bool) -> DataFrame:
+    """The frequent phrases of each shard with their intervals, and the phrases one word longer.
+
+    A row has an index, the phrases ``wanted`` as ``(base, word, id)`` and the intervals of
+    their bases in ``state``, or null where the bases are words.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
                 shard, forward, backward, size, ids = (batch.column(k)[row].as_py() for k in range(5))
-                state = batch.column(5)[row].values
-                phrase, lo, back, n = (state.field(k).to_numpy().astype(np.int64) for k in range(4))
-                index = FmIndex(unpacked(forward, size), unpacked(backward, size))
-                found = index.extend(Phrases(lo, back, n, phrase, phrase), left)
-                yield from gram_rows(shard, found, phrase[found.base], np.frombuffer(ids, "<i8")[found.symbol - 1])
-                del index, found, state
+                ids, index = np.frombuffer(ids, "<i8"), FmIndex(unpacked(forward, size), unpacked(backward, size))
+                base, word, new = (batch.column(5)[row].values.field(k).to_numpy() for k in range(3))
+                if batch.column(6)[row].is_valid:
+                    old, *held = (batch.column(6)[row].values.field(k).to_numpy().astype(np.int64) for k in range(4))
+                    order = np.argsort(old)
+                    old, held = old[order], [c[order] for c in held]
+                    bases = Phrases(*held, old, old)
+                else:
+                    bases = index.single()
+                    old = ids[bases.symbol - 1]
+                longer = index.extend(bases, grown_left)
+                key = np.searchsorted(old, base) * (len(ids) + 1) + np.searchsorted(ids, word) + 1
+                order = np.argsort(key)
+                at = np.searchsorted(key[order], longer.base * (len(ids) + 1) + longer.symbol)
+                at = np.minimum(at, len(key) - 1)
+                frequent = key[order][at] == longer.base * (len(ids) + 1) + longer.symbol
+                name = new[order][at[frequent]]
+                phrases = Phrases(*(c[frequent] for c in (longer.lo, longer.back, longer.size)), name, name)
+                yield from rows_of("state", shard, id=name, lo=phrases.lo, back=phrases.back, n=phrases.size)
+                found = index.extend(phrases, left)
+                yield from rows_of("found", shard, base=name[found.base], word=ids[found.symbol - 1], n=found.size)
+                del index, found, longer, phrases
                 tidy()
 
-    return joined.select(*names_of(INDEX), "state").mapInArrow(run, f"shard long, {INDEX}, {FOUND}")
+    return joined.select("shard", *names_of(INDEX), "wanted", "state").mapInArrow(run, KINDS)
+
+
+def written(rows: DataFrame, parts: int) -> tuple[str, DataFrame]:
+    """Rows of ``KINDS`` as an external table of the shared folder, by kind and in buckets of shards.
+
+    An index then meets the phrases of its shard without being shuffled again.
+    """
+    name = f"phrase_shards_{uuid.uuid4().hex}"
+    (rows.write.partitionBy("kind").bucketBy(parts, "shard").option("path", table_path(rows.sparkSession, "phrase-shards"))
+     .format("parquet").saveAsTable(name))
+    return name, rows.sparkSession.table(name)
 
 
-def written_by_kind(built: DataFrame) -> DataFrame:
-    """The rows of ``build`` in the shared folder, indexes apart from phrases."""
-    spark, kinds = built.sparkSession, built.withColumn("kind", F.when(F.col("forward").isNull(), "found").otherwise("index"))
-    path = table_path(spark, "fm-index")
-    kinds.write.partitionBy("kind").parquet(path)
-    return spark.read.schema(kinds.schema).parquet(path)
+def of_shards(rows: DataFrame, tasks: int, name: str, *columns: str) -> DataFrame:
+    return rows.repartition(tasks, "shard").groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD) -> tuple[DataFrame, DataFrame]:
@@ -202,27 +233,37 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     totals = local.groupBy("lang").agg(F.sum("n").alias("n"))
     words = materialise(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
                         .withColumn("id", F.monotonically_increasing_id()), "words")
-    known = (local.select("shard", "lang", "place", "phrase").join(words.select("lang", "phrase", "id"), ["lang", "phrase"])
-             .repartition(tasks, "shard").groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("known")))
-    built = written_by_kind(build(parts.select("shard", "size", "text").repartition(tasks, "shard").join(known, "shard")))
-    index = built.where("kind = 'index'").select(*names_of(INDEX))
-    found = built.where("kind = 'found'").select(*names_of(FOUND))
+    known = of_shards(local.select("shard", "lang", "place", "phrase").join(words.select("lang", "phrase", "id"), ["lang", "phrase"]),
+                      tasks, "known", "place", "id")
+    name, rows = written(build(parts.select("shard", "size", "text").repartition(tasks, "shard").join(known, "shard")), tasks)
+    tables, index, state = [name], rows.where("kind = 'index'").select("shard", *names_of(INDEX)), None
     levels, word = [words], words.select(F.col("id").alias("word"), F.col("phrase").alias("added"))
     for length in range(2, longest + 1):
-        left = length % 2 == 1
+        found, left = rows.where("kind = 'found'").select("shard", *names_of(FOUND)), length % 2 == 1
         sums = found.groupBy("base", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         parents = levels[-1].select(F.col("id").alias("base"), "lang", "phrase")
         longer = F.concat_ws(" ", *(["added", "phrase"] if left else ["phrase", "added"]))
         level = materialise(sums.join(parents, "base").join(word, "word").select(
             "lang", longer.alias("phrase"), "f", "base", "word").withColumn("id", F.monotonically_increasing_id()), "phrases")
         levels.append(level)
-        if length == longest or level.isEmpty():
+        n_frequent = level.count()
+        if length == longest or not n_frequent:
             break
-        state = (found.join(level.select("base", "word", "id"), ["base", "word"]).select("shard", "id", "lo", "back", "n")
-                 .repartition(tasks, "shard").groupBy("shard").agg(F.collect_list(F.struct("id", "lo", "back", "n")).alias("state")))
-        found = materialise(grow(index.repartition(tasks, "shard").join(state, "shard"), length % 2 == 0)
-                            .select(*names_of(FOUND)), "found")
+        frequent = level.select("base", "word", "id")
+        if n_frequent <= FEW:  # else both are shuffled
+            frequent = F.broadcast(frequent)
+        wanted = of_shards(found.select("shard", "base", "word").join(frequent, ["base", "word"]), tasks, "wanted", "base", "word", "id")
+        met = index.join(wanted, "shard")
+        if state is None:
+            met = met.withColumn("state", F.lit(None).cast("array<struct<id: long, lo: int, back: int, n: int>>"))
+        else:
+            met = met.join(of_shards(state, tasks, "state", "id", "lo", "back", "n"), "shard")
+        name, rows = written(grow(met, left, not left), tasks)
+        tables.append(name)
+        state = rows.where("kind = 'state'").select("shard", "id", "lo", "back", "n")
     phrases = reduce(DataFrame.unionByName, [t.select("lang", "phrase", F.lit(k).alias("n_words"), "f") for k, t in enumerate(levels, 1)])
+    for name in tables:  # the files stay in the shared folder
+        docs.sparkSession.sql(f"DROP TABLE {name}")
     return with_extensions(phrases), totals
 
 
