@@ -1,10 +1,10 @@
 """Frequent phrases and their extensions, mined from an FM-index per shard over word ids.
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends and numbered word
-by word into shards of one language and about ``SHARD`` words, without moving a text.
-Words met ``least`` times over all shards get an id; the others part pieces, as no frequent
-phrase holds them. Every shard then builds a two-way FM-index once, written with its
-transforms compressed.
+by word into shards of one language and about ``SHARD`` words, without moving a text. Every
+word gets an id, and every shard builds a two-way FM-index of ids once, written with its
+transforms compressed. Rare words stay in it: taking them out first saves less the larger
+the corpus is.
 
 Phrases grow by one word a round, to the right and to the left in turn: each shard extends
 the intervals of the phrases that are frequent over all shards, where both the phrase
@@ -20,7 +20,7 @@ Every table between rounds is written to the shared folder.
 
 Defined results: a null text is empty, a null language is ``und``; repeated rows count each;
 extra columns are ignored; a null ``doc_id`` has no influence; an empty table, or one
-without frequent words, gives no phrase.
+without frequent phrases, gives no phrase.
 """
 
 from __future__ import annotations
@@ -231,13 +231,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     local = parts.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
         "shard", "lang", F.col("pos").alias("place"), F.col("col.words").alias("phrase"), F.col("col.counts").alias("n"))
     totals = local.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = materialise(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    words = materialise(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
                         .withColumn("id", F.monotonically_increasing_id()), "words")
     known = of_shards(local.select("shard", "lang", "place", "phrase").join(words.select("lang", "phrase", "id"), ["lang", "phrase"]),
                       tasks, "known", "place", "id")
     name, rows = written(build(parts.select("shard", "size", "text").repartition(tasks, "shard").join(known, "shard")), tasks)
     tables, index, state = [name], rows.where("kind = 'index'").select("shard", *names_of(INDEX)), None
-    levels, word = [words], words.select(F.col("id").alias("word"), F.col("phrase").alias("added"))
+    levels = [words.where(F.col("f") >= least)]
+    word = levels[0].select(F.col("id").alias("word"), F.col("phrase").alias("added"))
     for length in range(2, longest + 1):
         found, left = rows.where("kind = 'found'").select("shard", *names_of(FOUND)), length % 2 == 1
         sums = found.groupBy("base", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
