@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from corpusgrid.functions import analysis as A
 from corpusgrid.functions import geo
 from corpusgrid.operators.index import TextIndex, build_index
-from corpusgrid.session import spread
+from corpusgrid.session import spread, table_path
 from corpusgrid.sources.domain import as_documents, union_all
+from corpusgrid.sources.snapshots import BucketStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 _INDEXES: dict[tuple, TextIndex] = {}
+_STORES: dict[tuple, BucketStore] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -53,6 +55,13 @@ class Tables:
             _INDEXES[memo] = build_index(make(), key, fields, name)
         return _INDEXES[memo]
 
+    def stored_docs(self) -> BucketStore:
+        """``documents`` in buckets of their id; stored once per application and folder."""
+        memo = (self.spark.sparkContext.applicationId, self.dir)
+        if memo not in _STORES:
+            _STORES[memo] = BucketStore.create(self.documents, table_path(self.spark, "documents"), ["doc_id"])
+        return _STORES[memo]
+
     # -- derived documents
     def people(self) -> DataFrame:
         """Customers and suppliers as two types of two indices."""

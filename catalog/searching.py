@@ -117,6 +117,19 @@ def _(t):
 
 
 hit("r03_page", "SELECT doc_id, score FROM hits ORDER BY score DESC, doc_id LIMIT 15 OFFSET 20", lambda v: scored(v.page(20, 15).hits()))
+
+
+def stored_hit(name: str, sql: str, make) -> None:
+    """Whole documents of a page, from a collection stored by key bucket."""
+    @query(name, f"{HITS} SELECT doc_id, text, lang, source, n_chars, score FROM hits {sql}")
+    def _(t: Tables):
+        view = View.of_store(t.stored_docs()).matching(Q.match(t.text_index(), "text", "the hand"))
+        return make(view).withColumnRenamed("_score", "score").select("doc_id", "text", "lang", "source", "n_chars", "score")
+
+
+stored_hit("r01_search_stored", f"{EN} ORDER BY score DESC, doc_id LIMIT 10", lambda v: v.where(F.col("lang") == "en").hits())
+stored_hit("r03_page_stored", "ORDER BY score DESC, doc_id LIMIT 15 OFFSET 20", lambda v: v.page(20, 15).hits())
+stored_hit("r13_first_stored", "ORDER BY score DESC, doc_id LIMIT 1", lambda v: v.first())
 hit("r04_sort", "SELECT doc_id, lang, n_chars FROM hits ORDER BY lang, n_chars DESC, doc_id LIMIT 40",
     lambda v: v.sort("lang", "-n_chars").page(0, 40).hits().select("doc_id", "lang", "n_chars"))
 hit("r05_sort_script", "SELECT doc_id FROM hits ORDER BY n_chars % 97 DESC, doc_id LIMIT 25",

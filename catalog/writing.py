@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from catalog.base import Tables, query
 from corpusgrid.operators import writes as W
+from corpusgrid.session import table_path
+from corpusgrid.sources.snapshots import BucketStore
 
 STORED = "(SELECT c_custkey AS id, 1 + c_custkey % 3 AS version, c_acctbal AS balance FROM customer)"
 
@@ -123,6 +125,37 @@ def _(t):
     return rows(result.snapshot.join(result.errors, ["_type", "_id"], "left_anti"))
 
 
+def in_buckets(t: Tables) -> BucketStore:
+    return BucketStore.create(stored(t), table_path(t.spark, "customers"), W.KEY)
+
+
+@query("w03_overwrite_stored", f"""SELECT id, coalesce(s.version, 0) + coalesce(n, 0) AS version, coalesce(l.balance, s.balance) AS balance
+    FROM {STORED} s FULL JOIN {LAST} l USING (id)""")
+def _(t):
+    """In a collection by key bucket: the buckets of the batch are replaced, by one publication."""
+    store, _ = in_buckets(t).update(order_batch(t, F.lit(0)), W.overwrite)
+    return rows(store.read())
+
+
+@query("w02_save_stored", f"SELECT id, CASE WHEN id % 5 = 0 AND version = 1 THEN 2 ELSE version END AS version, CASE WHEN id % 5 = 0 AND version = 1 THEN balance + 100 ELSE balance END AS balance FROM {STORED}")
+def _(t):
+    store, _ = in_buckets(t).update(stale_batch(t), W.save)
+    return rows(BucketStore.open(t.spark, store.path).read())
+
+
+@query("w04_delete_stored", f"SELECT id, version, balance FROM {STORED} WHERE NOT (id % 5 = 0 AND version = 1)")
+def _(t):
+    store, _ = in_buckets(t).update(stale_batch(t), W.delete)
+    return rows(store.read())
+
+
+@query("s04_get_stored", f"SELECT id, version, balance, seq FROM {STORED} JOIN (SELECT c_custkey AS id, c_custkey AS seq FROM customer WHERE c_custkey % 5 = 0) USING (id)")
+def _(t):
+    """Look-up of a table of keys by bucket and key."""
+    found = in_buckets(t).find(stale_batch(t).select("_type", "_id", F.col("_seq").alias("seq")))
+    return found.select(F.col("_id").cast("long").alias("id"), F.col("_version").alias("version"), "balance", "seq")
+
+
 @query("w05_conflicts", f"SELECT id, balance + 100 AS attempted, balance AS current, version FROM {STORED} WHERE id % 5 = 0 AND version <> 1")
 def _(t):
     c = W.save(stored(t), stale_batch(t)).conflicts

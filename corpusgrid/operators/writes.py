@@ -323,7 +323,8 @@ def delete(current: DataFrame, batch: DataFrame, ignore_missing: bool = False) -
     if ignore_missing:
         missing = missing.filter(F.lit(False))
     stale = seen.filter(~gone & ((F.col("_seq") != F.col("_won")) | F.col("_won").isNull()))
-    stored = current.select(*KEY, F.struct(*current.columns).alias("current"))
+    # the few rows that failed are looked up; the collection is not packed or shuffled for them
+    stored = current.join(stale.select(*KEY).distinct(), KEY, "left_semi").select(*KEY, F.struct(*current.columns).alias("current"))
     conflicts = stale.select(*KEY, "_seq", F.struct("_type", "_id", F.col("_wanted").alias("_version")).alias("attempted"),
                              F.lit("version conflict").alias("error")).join(stored, KEY, "left")
     return WriteResult(current.join(winner.select(*KEY), KEY, "left_anti"), success, conflicts, missing)

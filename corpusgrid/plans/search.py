@@ -13,6 +13,7 @@ from corpusgrid.operators import schema
 from corpusgrid.operators.highlight import highlight, highlight_marks
 from corpusgrid.operators.queries import Clause
 from corpusgrid.session import materialise
+from corpusgrid.sources.snapshots import BucketStore
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,12 @@ class View:
     routing_: tuple = ()
     track_scores_: bool = False
     columns: tuple | None = None
+    store: BucketStore | None = None
+
+    @classmethod
+    def of_store(cls, store: BucketStore) -> "View":
+        """A view of a stored collection, whose pages read the buckets of their rows only."""
+        return cls(store.read(), store.key[0], store=store)
 
     # -- setters
     def where(self, filter_: Column) -> "View":
@@ -146,6 +153,8 @@ class View:
         page = self._page(scores)
         if self.columns == ():
             return page
+        if self.store is not None:
+            return self.store.find(page, few=self.size_).orderBy(*self.order()).limit(self.size_)
         return self.docs.join(page, self.key).orderBy(*self.order()).limit(self.size_)
 
     def fetch(self) -> DataFrame:
