@@ -62,6 +62,32 @@ def _(t):
     return page(Q.match(t.text_index(), "text", asked(t)))
 
 
+# One byte per letter, so that the byte-wise distance counts letters.
+LETTERS, BYTES = "àâäáçéèêëîïíôöóùûüúñßœæ", "ABCDEFGHIJKLMNOPQRSTUVW"
+
+
+def plain_sql(c: str) -> str:
+    return f"translate({c}, '{LETTERS}', '{BYTES}')"
+
+
+WORDS_SQL = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+(?:[.''][\\p{L}\\p{N}]+)*')"
+
+
+@query("q01_match_batch_fuzzy", f"""WITH {POST}, q AS (SELECT item_id, unnest(s) AS seed, generate_subscripts(s, 1) AS ord FROM (SELECT item_id, {WORDS_SQL} AS s FROM benchmark)),
+    b AS (SELECT DISTINCT seed, {plain_sql('seed')} AS sl, length(seed) AS n FROM q),
+    near AS (SELECT seed, term, df, 1 - levenshtein(sl, tl) / b.n::DOUBLE AS boost FROM b
+        JOIN (SELECT term, df, {plain_sql('term')} AS tl, unnest([length(term) - 1, length(term), length(term) + 1]) AS m FROM vocab) v ON v.m = b.n AND levenshtein(sl, tl) <= 1),
+    w AS (SELECT item_id, ord, term, boost, 1 + ln({N_SQL} / (df + 1)) AS idf FROM q JOIN near USING (seed)),
+    n AS (SELECT item_id, count(DISTINCT ord) AS n_terms FROM q GROUP BY item_id),
+    m AS (SELECT item_id, 1 / sqrt(sum(idf * boost * idf * boost)) AS qnorm FROM w GROUP BY item_id),
+    words AS (SELECT item_id, ord, doc_id, sum(sqrt(tf) / sqrt(field_len) * idf * idf * boost) AS s FROM post JOIN w USING (term) GROUP BY ALL)
+    SELECT item_id, doc_id, round(sum(s) * any_value(qnorm) * count(*) / any_value(n_terms), 6) AS score
+    FROM words JOIN n USING (item_id) JOIN m USING (item_id) GROUP BY item_id, doc_id {PAGE}""")
+def _(t):
+    """Every word of every query widened to terms within one edit."""
+    return page(Q.match(t.text_index(), "text", asked(t), fuzziness=1))
+
+
 @query("q15_bool_batch", f"""WITH {BATCH}, m AS ({SCORED.replace('round(', '(').replace(', 6)', ')')}), x AS (SELECT DISTINCT doc_id FROM post WHERE term LIKE 'thaned%'),
     y AS (SELECT DISTINCT doc_id FROM post WHERE term = 'tionsh')
     SELECT * FROM (SELECT item_id, doc_id, round((score + 1) * 2 / 2, 6) AS score FROM m WHERE doc_id IN (FROM x) AND doc_id NOT IN (FROM y)) {PAGE}""")
@@ -174,6 +200,8 @@ def any_term(name: str, test: str, make, boost: float = 1.0) -> None:
 
 any_term("q08_prefix", "term LIKE 'thaned%'", lambda i: Q.prefix(i, "text", "thaned", 2.5), 2.5)
 any_term("q09_wildcard", "regexp_matches(term, '^th.n.*e$')", lambda i: Q.wildcard(i, "text", "th?n*e"))
+any_term("q09_wildcard_middle", "term LIKE '%ttio%'", lambda i: Q.wildcard(i, "text", "*ttio*"))
+any_term("q09_wildcard_end", "term LIKE '%er_nd'", lambda i: Q.wildcard(i, "text", "*er?nd"))
 
 EDITS = "levenshtein('attion', regexp_replace(term, '[^\\x00-\\x7f]', '#', 'g'))"
 text("q10_fuzzy", f"""WITH {POST}, near AS (SELECT term, {EDITS} AS edits FROM vocab WHERE {EDITS} <= 2),
@@ -219,12 +247,6 @@ def _(t):
     return page(Q.more_like_this(t.text_index(), "text", asked(t), 0.3, min_word_len=3, min_doc_freq=5, max_query_terms=25))
 
 
-# One byte per letter, so that the byte-wise distance counts letters.
-LETTERS, BYTES = "àâäáçéèêëîïíôöóùûüúñßœæ", "ABCDEFGHIJKLMNOPQRSTUVW"
-def plain_sql(c: str) -> str:
-    return f"translate({c}, '{LETTERS}', '{BYTES}')"
-
-
 @query("q13_fuzzy_like_this", like_sql(f"""b AS (SELECT DISTINCT term AS seed, {plain_sql('term')} AS sl, length(term) AS n FROM rated),
     v2 AS (SELECT term, df, {plain_sql('term')} AS tl, length(term) AS n FROM vocab),
     near AS (SELECT seed, term, df, 1 - levenshtein(sl, tl) / b.n::DOUBLE AS share FROM b JOIN (SELECT *, unnest([n - 1, n, n + 1]) AS m FROM v2) v

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusgrid.functions import analysis as A
+from corpusgrid.operators import dictionary
 from corpusgrid.session import spread, table_path
 
 
@@ -111,6 +113,16 @@ class TextIndex:
     analyzers: dict
     docs: DataFrame
 
+    @cached_property
+    def grams(self) -> DataFrame:
+        """Pieces of the terms, stored when first needed."""
+        return dictionary.gram_table(self.vocab, self.n_buckets)
+
+    @cached_property
+    def deletions(self) -> DataFrame:
+        """Terms with letters left out, stored when first needed."""
+        return dictionary.deletion_table(self.vocab, self.n_buckets)
+
     def lookup(self, field: str, terms: list[str] | None = None) -> DataFrame:
         """Postings of a field, cut down to the buckets of known terms."""
         return self._cut(self.postings, field, terms)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusgrid.functions import analysis as A
 from corpusgrid.functions import filters as flt
+from corpusgrid.operators import dictionary
 from corpusgrid.operators.index import TextIndex, field_analyzer
 from corpusgrid.session import literal_rows, materialise
 
@@ -199,6 +200,9 @@ def match(index: TextIndex, field: str, text: str | DataFrame, operator: str = "
     """Analysed full-text match of one text, or of a table ``(qid, text)``."""
     if isinstance(text, DataFrame):
         qterms = query_terms(index, field, text, analyzer).withColumn("boost", F.lit(float(boost)))
+        if fuzziness is not None:
+            return _fuzzy_queries(index, field, qterms, _required(operator, minimum_should_match), fuzziness,
+                                  prefix_length, max_expansions, boost)
         return _many_queries(index, field, qterms, _required(operator, minimum_should_match))
     words = analyse_query(index, field, text, analyzer)
     if not words:
@@ -367,7 +371,24 @@ def wildcard(index: TextIndex, field: str, pattern: str, boost: float = 1.0) ->
         raise ValueError("a wildcard query needs a value")
     test = F.col("term").rlike(glob_regex(pattern))
     start = re.match(r"[^?*]*", pattern)[0]
-    return _vocab_match(index, field, F.col("term").startswith(start) & test if start else test, boost)
+    if start:  # the terms are sorted, so the scan skips those before and after
+        return _vocab_match(index, field, F.col("term").startswith(start) & test, boost)
+    found = dictionary.pattern_terms(index.grams, index.words(field), field, pattern, test, index.n_buckets)
+    return _of_terms(index, field, materialise(found, "pattern-terms"), boost)
+
+
+FEW_TERMS = 1000
+
+
+def _of_terms(index: TextIndex, field: str, found: DataFrame, boost: float) -> Clause:
+    """Documents holding any term of a written table: up to ``FEW_TERMS`` are looked up in
+    their buckets, more are joined."""
+    some = [r["term"] for r in found.limit(FEW_TERMS + 1).collect()]
+    if len(some) <= FEW_TERMS:
+        rows = index.lookup(field, some) if some else index.lookup(field).filter(F.lit(False))
+    else:
+        rows = index.lookup(field).join(found, "term", "left_semi")
+    return replace(_constant(index.key, rows.select(index.key).distinct(), boost), marks=((index, field, lambda: found),))
 
 
 def max_edits(value: str, min_similarity: float) -> int:
@@ -379,11 +400,14 @@ def fuzzy_terms(index: TextIndex, field: str, value: str, min_similarity: float
                 prefix_length: int = 0, max_expansions: int | None = None) -> DataFrame:
     """Vocabulary terms within the edit distance; the nearest ones if their number is limited."""
     k = max_edits(value, min_similarity)
-    words = index.words(field).filter(F.length("term").between(len(value) - k, len(value) + k))
-    if prefix_length:
-        words = words.filter(F.col("term").startswith(value[:prefix_length]))
-    near = words.withColumn("edits", F.levenshtein(F.col("term"), F.lit(value), k)).filter("edits >= 0")
-    near = near.select("term", "edits", "df")
+    head = F.col("term").startswith(value[:prefix_length]) if prefix_length else F.lit(True)
+    if k <= dictionary.MOST:
+        pairs = dictionary.near_word(index.deletions, field, value, k, index.n_buckets).filter(head)
+        near = pairs.join(index.words(field).select("term", "df"), "term").select("term", "edits", "df")
+    else:
+        words = index.words(field).filter(F.length("term").between(len(value) - k, len(value) + k)).filter(head)
+        near = words.withColumn("edits", F.levenshtein(F.col("term"), F.lit(value), k)).filter("edits >= 0")
+        near = near.select("term", "edits", "df")
     return near if max_expansions is None else near.orderBy("edits", "term").limit(max_expansions)
 
 
@@ -482,6 +506,46 @@ def near_pairs(seeds: DataFrame, words: DataFrame, min_similarity: float, prefix
             .select("seed", "term", "edits"))
 
 
+def near_seeds(index: TextIndex, field: str, seeds: DataFrame, min_similarity: float, prefix_length: int = 0) -> DataFrame:
+    """``near_pairs`` for an index: seeds that may differ by few edits meet the stored deletions."""
+    size = F.length("seed")
+    allowed = F.floor((1 - F.lit(min_similarity)) * size) if min_similarity < 1 else F.lit(int(min_similarity))
+    seeds = seeds.select("seed", allowed.cast("int").alias("allowed")).distinct()
+    few = dictionary.near_words(index.deletions, field, seeds.filter(F.col("allowed") <= dictionary.MOST))
+    if prefix_length:
+        few = few.filter(F.substring("seed", 1, prefix_length) == F.substring("term", 1, prefix_length))
+    if 1 <= min_similarity < dictionary.MOST + 1:
+        return few
+    far = seeds.filter(F.col("allowed") > dictionary.MOST).select("seed")
+    return few.unionByName(near_pairs(far, index.words(field), min_similarity, prefix_length))
+
+
+def _fuzzy_queries(index: TextIndex, field: str, qterms: DataFrame, need: Column, similarity: float,
+                   prefix_length: int, max_expansions: int | None, boost: float) -> Clause:
+    """A table of queries whose words are widened: what ``fuzzy`` per word in a bool gives for one text."""
+    near = near_seeds(index, field, qterms.select(F.col("term").alias("seed")), similarity, prefix_length)
+    if max_expansions is not None:
+        nearest = Window.partitionBy("seed").orderBy("edits", "term")
+        near = near.withColumn("_place", F.row_number().over(nearest)).filter(F.col("_place") <= max_expansions).drop("_place")
+    share = (1 - F.col("edits") / F.greatest(F.length("seed"), F.lit(1))) * float(boost)
+    known = near.join(index.words(field).select("term", "df"), "term").select(
+        "seed", "term", share.alias("boost"), _idf(index, F.col("df")).alias("idf"))
+    weighted = materialise(qterms.select("qid", "ord", F.col("term").alias("seed")).join(known, "seed", "left"), "widened")
+    totals = weighted.groupBy("qid").agg(F.countDistinct("ord").alias("n_terms"))
+    # a query none of whose words is widened finds nothing, and has no norm
+    ssw = weighted.groupBy("qid").agg(F.sum((F.col("idf") * F.col("boost")) ** 2).alias("ssw")).filter("ssw > 0")
+
+    def hits(norm: DataFrame) -> DataFrame:
+        w = weighted.filter("term is not null").join(norm, "qid").select(
+            "qid", "ord", "term", (F.col("idf") ** 2 * F.col("boost") * F.col("qnorm")).alias("coef"))
+        words = index.lookup(field).join(w, "term").groupBy("qid", "ord", index.key).agg(
+            F.sum(F.sqrt("tf") / F.sqrt("field_len") * F.col("coef")).alias("score"))
+        sums = words.groupBy("qid", index.key).agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("matched")).join(totals, "qid")
+        return sums.filter(F.col("matched") >= need).select("qid", index.key, (F.col("score") * F.col("matched") / F.col("n_terms")).alias("score"))
+
+    return Clause(index.key, hits, ssw)
+
+
 def fuzzy_like_this(index: TextIndex, field: str, seeds: DataFrame, min_similarity: float = 0.5,
                     prefix_length: int = 0, max_query_terms: int | None = None, ignore_tf: bool = False,
                     boost: float = 1.0) -> Clause:
@@ -490,7 +554,7 @@ def fuzzy_like_this(index: TextIndex, field: str, seeds: DataFrame, min_similari
     Widening runs once per distinct seed term.
     """
     picked = pick_like_terms(index, field, seeds, max_query_terms=max_query_terms)
-    near = near_pairs(picked.select(F.col("term").alias("seed")).distinct(), index.words(field), min_similarity, prefix_length)
+    near = near_seeds(index, field, picked.select(F.col("term").alias("seed")), min_similarity, prefix_length)
     strength = (1 - F.col("edits") / F.length("seed")) * (F.lit(1.0) if ignore_tf else F.sqrt("tf")) * boost
     widened = (picked.select("qid", F.col("term").alias("seed"), "tf").join(near, "seed")
                .groupBy("qid", "term").agg(F.max(strength).alias("boost")))
