@@ -275,11 +275,26 @@ def _(t):
     return I.terms_indexed(t.text_index(), "text", [3, 5, 8])
 
 
-@query("a36_term_vector", rf"""SELECT doc_id, lower(term) AS term, pos, (ends - length(term))::INTEGER AS "start", ends::INTEGER AS "end" FROM (
+def vector_sql(token: str, term: str) -> str:
+    """Tokens of a pattern with their places and offsets, from running sums of lengths."""
+    return rf"""SELECT doc_id, {term} AS term, pos, (ends - length(term))::INTEGER AS "start", ends::INTEGER AS "end" FROM (
     SELECT doc_id, term, pos, sum(length(span)) OVER (PARTITION BY doc_id ORDER BY pos) AS ends FROM (
     SELECT doc_id, unnest(spans) AS span, unnest(terms) AS term, (generate_subscripts(terms, 1) - 1)::INTEGER AS pos FROM (
-    SELECT doc_id, regexp_extract_all(text, '(?s)(.*?)([\p{{L}}\p{{N}}]+(?:[.''][\p{{L}}\p{{N}}]+)*)') AS spans, {STD} AS terms FROM documents)))""")
+    SELECT doc_id, regexp_extract_all(text, '(?s)(.*?)({token})') AS spans, regexp_extract_all(text, '{token}') AS terms FROM documents)))"""
+
+
+@query("a36_term_vector", vector_sql(r"[\p{L}\p{N}]+(?:[.''][\p{L}\p{N}]+)*", "lower(term)"))
 def _(t):
     return I.term_vector(t.docs, "doc_id", "text")
 
 
+@query("a36_term_vector_whitespace", vector_sql(r"\S+", "term"))
+def _(t):
+    return I.term_vector(t.docs, "doc_id", "text", A.analyzer("whitespace"))
+
+
+@query("a36_term_vector_simple", vector_sql(r"\p{L}+", "lower(term)"))
+def _(t):
+    return I.term_vector(t.docs, "doc_id", "text", A.analyzer("simple"))
+
+

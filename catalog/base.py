@@ -49,6 +49,10 @@ class Tables:
             "doc_id", "lang", "source", "n_chars", title_column().alias("title"), "text"), "doc_id",
             {"text": TEXT, "title": TEXT, "source": "exact"})
 
+    def words_index(self) -> TextIndex:
+        """Stored index of ``documents`` with the text cut at white space."""
+        return self._index("words", lambda: self.documents.select("doc_id", "text"), "doc_id", {"text": A.analyzer("whitespace")})
+
     def _index(self, name, make, key, fields) -> TextIndex:
         memo = (self.spark.sparkContext.applicationId, self.dir, name)
         if memo not in _INDEXES:

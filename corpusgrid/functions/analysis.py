@@ -83,8 +83,14 @@ def terms(tokens: Column) -> Column:
     return F.array_compact(tokens)
 
 
+def _told(fn: TextFn, *offsets) -> TextFn:
+    """A tokenizer with what ``offsets`` needs to know to place its tokens in the text."""
+    fn.offsets = offsets
+    return fn
+
+
 def _extract(pattern: str) -> TextFn:
-    return lambda text: F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return _told(lambda text: F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), "matches", pattern)
 
 
 def _each(fn: TextFn) -> TextFn:
@@ -118,19 +124,25 @@ def cf_mapping(mapping: Mapping[str, str]) -> TextFn:
         for src in sorted(mapping, key=len, reverse=True):
             text = F.replace(text, F.lit(src), F.lit(mapping[src]))
         return text
+    apply.edits = [(re.escape(src), mapping[src]) for src in sorted(mapping, key=len, reverse=True)]
     return apply
 
 
+MARKUP = (r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", r"(?s)<[^>]*>")
+
+
 def cf_html_strip(text: Column) -> Column:
     """Scripts, styles, comments and tags become a blank; entities are decoded."""
-    for pattern in (r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>",
-                    r"(?s)<!--.*?-->", r"(?s)<[^>]*>"):
+    for pattern in MARKUP:
         text = F.regexp_replace(text, pattern, " ")
     for entity, char in HTML_ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
 
+cf_html_strip.edits = [*((p, " ") for p in MARKUP), *((re.escape(e), c) for e, c in HTML_ENTITIES.items())]
+
+
 # --- tokenizers -------------------------------------------------------------
 
 tok_whitespace = _extract(r"\S+")
@@ -147,12 +159,17 @@ def tok_keyword(text: Column) -> Column:
     return F.array(text)
 
 
+_told(tok_lowercase, "lower matches", LETTERS)
+_told(tok_keyword, "starts")
+
+
 def tok_pattern(pattern: str = r"\W+", flags: str = "", group: int = -1) -> TextFn:
     """Split on ``pattern``; with ``group`` >= 0 the matches are the tokens."""
     regex = f"(?{flags}){pattern}" if flags else pattern
     if group >= 0:
-        return lambda text: F.regexp_extract_all(text, F.lit(regex), F.lit(group))
-    return lambda text: F.filter(F.split(text, regex, -1), lambda t: t != "")
+        found = lambda text: F.regexp_extract_all(text, F.lit(regex), F.lit(group))
+        return found if group else _told(found, "matches", regex)
+    return _told(lambda text: F.filter(F.split(text, regex, -1), lambda t: t != ""), "split", regex)
 
 
 NO_TOKENS = "array<string>"
@@ -183,18 +200,18 @@ def _edge_grams(text: Column, low: int, high: int) -> Column:
 
 
 def tok_ngram(low: int = 1, high: int = 2) -> TextFn:
-    return lambda text: _grams(text, low, high)
+    return _told(lambda text: _grams(text, low, high), "grams", low, high)
 
 
 def tok_edge_ngram(low: int = 1, high: int = 1) -> TextFn:
-    return lambda text: _edge_grams(text, low, high)
+    return _told(lambda text: _edge_grams(text, low, high), "starts")
 
 
 def tok_path_hierarchy(delimiter: str = "/") -> TextFn:
     def levels(parts: Column) -> Column:
         paths = F.transform(parts, lambda _p, i: F.array_join(F.slice(parts, F.lit(1), i + 1), delimiter))
         return F.filter(paths, lambda t: t != "")
-    return lambda text: _let(F.split(text, re.escape(delimiter), -1), levels)
+    return _told(lambda text: _let(F.split(text, re.escape(delimiter), -1), levels), "starts")
 
 
 # --- token filters ----------------------------------------------------------
@@ -247,6 +264,7 @@ def tf_shingle(n: int = 2, separator: str = " ") -> TextFn:
     def apply(tokens: Column) -> Column:
         return _let(terms(tokens), pairs)
     apply.placed = lambda tokens: _let(tokens, placed_pairs)
+    apply.width = (n, separator)
     return apply
 
 

@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusgrid.functions import analysis as A
 from corpusgrid.operators.index import field_analyzer, term_vector
 
 WORD = r"[\p{L}\p{N}]"
@@ -43,6 +42,17 @@ def wrap_terms(text: Column, terms: list[str], options: HighlightOptions = Highl
     return F.regexp_replace(text, _pattern(terms), tagged)
 
 
+def apart(spans: Column) -> Column:
+    """Places in order, those that overlap as one; n-grams and synonyms share characters."""
+    def add(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] > s["start"])
+        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:int,end:int>>"), add)
+
+
 def wrap_offsets(text: Column, spans: Column, options: HighlightOptions = HighlightOptions()) -> Column:
     """Whole text with stored ``array<struct<start,end>>`` places tagged, for
     fields that were analysed beforehand."""
@@ -52,7 +62,7 @@ def wrap_offsets(text: Column, spans: Column, options: HighlightOptions = Highli
         return encode(F.substring(text, start + 1, end - start))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate(F.array_sort(spans), start, lambda acc, s: F.struct(
+    done = F.aggregate(apart(spans), start, lambda acc, s: F.struct(
         F.concat(acc["out"], cut(acc["at"], s["start"]), F.lit(options.pre_tag), cut(s["start"], s["end"]),
                  F.lit(options.post_tag)).alias("out"), s["end"].alias("at")))
     return F.concat(done["out"], cut(done["at"], F.length(text)))
@@ -94,21 +104,23 @@ def cut_marked(marked: Column, options: HighlightOptions) -> Column:
 def highlight_marks(hits: DataFrame, key: str, marks: tuple, fields: dict, settings: dict | None = None) -> DataFrame:
     """``highlight`` from the marks of a query: what its clauses matched, expansions too.
 
-    Each token of a hit goes through the field's analyzer, and is tagged if one of the
-    terms that come out is marked. Tokens and terms meet in a join, so a prefix may
-    expand to any number of terms. Only the hits are looked at.
+    A hit's text goes through the field's analyzer with offsets; what a marked term comes
+    from is tagged, and of a phrase only the places where it stands. Terms and marks meet
+    in a join, so a prefix may expand to any number of terms. Only the hits are looked at.
     """
     if settings and "fields" in settings:
         raise ValueError("the field list is not a global setting")
     base, out, entries = HighlightOptions(**(settings or {})), hits, []
     for n, (name, own) in enumerate(fields.items()):
-        options, parts = replace(base, **(own or {})), [(i, make) for i, field, make in marks if field == name]
+        options, parts = replace(base, **(own or {})), [m for m in marks if m[1] == name]
         if not parts:
             continue
-        chain = field_analyzer(parts[0][0].analyzers[name])
-        wanted = reduce(DataFrame.unionByName, [make() for _, make in parts]).distinct()
-        tokens = term_vector(hits, key, name).select(key, "start", "end", F.explode(A.terms(chain(F.col("term")))).alias("term"))
-        spans = (tokens.join(wanted, "term", "left_semi").groupBy(key)
+        tokens = term_vector(hits, key, name, field_analyzer(parts[0][0].analyzers[name]))
+        shown = [places(tokens) for _, _, _, *rest in parts for places in rest]
+        wanted = [make() for _, _, make, *rest in parts if not rest]
+        if wanted:
+            shown.append(tokens.join(reduce(DataFrame.unionByName, wanted).distinct(), "term", "left_semi"))
+        spans = (reduce(DataFrame.unionByName, [t.select(key, "start", "end") for t in shown]).groupBy(key)
                  .agg(F.collect_set(F.struct("start", "end")).alias(f"_spans{n}")))
         stand_ins = replace(options, pre_tag=OPEN, post_tag=SHUT)
         out = out.join(spans, key, "left")

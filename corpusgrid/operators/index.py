@@ -8,18 +8,14 @@ bucket of the term, so a query with known terms reads only their buckets.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusgrid.functions import analysis as A
+from corpusgrid.functions.offsets import with_tokens
 from corpusgrid.operators import dictionary
 from corpusgrid.session import spread, table_path
 
@@ -180,33 +176,13 @@ def terms_indexed(index: TextIndex, field: str, doc_ids: list, size: int = 20) -
             .orderBy(F.desc("count"), "term").limit(size))
 
 
-def term_vector(df: DataFrame, key: str, text: str, pattern: str = A.STANDARD) -> DataFrame:
-    """Per document: terms with position and character offsets on the raw text.
-
-    Spark's regular expressions return no offsets, so the text is cut in an Arrow
-    map that emits flat columns.
-    """
-    # the letter and digit classes in the spelling of the Python engine
-    regex = pattern.replace(r"[\p{L}\p{N}]", r"[^\W_]")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(regex).finditer
-        for batch in batches:
-            rows, terms, places, spans = [], [], [], []
-            for row, value in enumerate(batch.column(1).to_pylist()):
-                found = [(m.group(), m.span()) for m in find(value or "")]
-                rows += [row] * len(found)
-                terms += [t for t, _ in found]
-                spans += [s for _, s in found]
-                places += range(len(found))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(rows, pa.int64())), pc.utf8_lower(pa.array(terms, pa.string())),
-                pa.array(places, pa.int32()), pa.array([s for s, _ in spans], pa.int32()),
-                pa.array([e for _, e in spans], pa.int32())], names=[key, "term", "pos", "start", "end"])
-
-    schema = T.StructType([df.schema[key], T.StructField("term", T.StringType()),
-                           *[T.StructField(c, T.IntegerType()) for c in ("pos", "start", "end")]])
-    return df.select(key, text).mapInArrow(cut, schema)
+def term_vector(df: DataFrame, key: str, text: str, analyzer=None) -> DataFrame:
+    """Per document: terms with position and character offsets in the raw text, by any
+    analyzer of the library; all words in lower case by default."""
+    chain = analyzer or A.custom_analyzer("standard", filters=["lowercase"])
+    tokens = with_tokens(df.select(key, text), text, chain, "_spanned")
+    return token_rows(tokens, F.col("_spanned"), "x", key).select(
+        key, F.col("x.t").alias("term"), F.col("x.p").alias("pos"), F.col("x.s").alias("start"), F.col("x.e").alias("end"))
 
 
 # --- work on the vocabulary instead of the text -----------------------------

@@ -292,12 +292,31 @@ def _phrase(index: TextIndex, field: str, groups: dict[int, list[str]], slop: in
         score = F.sqrt("freq") * (weight ** 2 * boost * qnorm) / F.sqrt("field_len")
         return found.select(F.lit(0).alias("qid"), index.key, score.alias("score"))
 
-    marks = _marks(index, field, list(idf)) if idf else ()
-    if tail is not None:
-        marks += ((index, field, lambda: tail[1].select("term")),)
+    def wanted() -> DataFrame:
+        """``(term, ord)``: the words of the phrase and their offsets in it."""
+        told = [literal_rows(index.docs.sparkSession, term=[t for _, t in slots], ord=[at for at, _ in slots])] if slots else []
+        return _union(told + ([tail[1].select("term", F.lit(tail[0]).cast("long").alias("ord"))] if tail is not None else []))
+
+    marks = ((index, field, lambda: wanted().select("term").distinct(),
+              lambda tokens: phrase_places(tokens, index.key, wanted(), n, slop)),)
     return Clause(index.key, hits, (weight * boost) ** 2, marks)
 
 
+def phrase_places(tokens: DataFrame, key: str, wanted: DataFrame, n: int, slop: int) -> DataFrame:
+    """The tokens ``(key, term, pos, start, end)`` of a page that make up a phrase of ``n`` words.
+
+    A token at offset ord would begin the phrase at ``pos - ord``; a beginning counts where
+    every word has a token that begins there or up to ``slop`` places later.
+    """
+    found = tokens.join(wanted, "term").withColumn("at", F.col("pos") - F.col("ord"))
+    first = found.select(key, F.col("at").alias("begin")).distinct()
+    near = found.join(first, key).filter(F.col("at").between(F.col("begin"), F.col("begin") + slop))
+    chosen = near.groupBy(key, "begin", "ord").agg(F.min("at").alias("at"))
+    whole = chosen.groupBy(key, "begin").agg(F.count(F.lit(1)).alias("words")).filter(F.col("words") == n)
+    kept = chosen.join(whole, [key, "begin"]).select(key, "ord", "at").distinct()
+    return found.join(kept, [key, "ord", "at"], "left_semi")
+
+
 def _offsets(places: list[tuple[str, int]]) -> dict[int, list[str]]:
     """Terms by their distance from the first place; several at one place are alternatives."""
     groups: dict[int, list[str]] = {}
