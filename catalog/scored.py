@@ -204,10 +204,19 @@ any_term("q09_wildcard_middle", "term LIKE '%ttio%'", lambda i: Q.wildcard(i, "t
 any_term("q09_wildcard_end", "term LIKE '%er_nd'", lambda i: Q.wildcard(i, "text", "*er?nd"))
 
 EDITS = "levenshtein('attion', regexp_replace(term, '[^\\x00-\\x7f]', '#', 'g'))"
-text("q10_fuzzy", f"""WITH {POST}, near AS (SELECT term, {EDITS} AS edits FROM vocab WHERE {EDITS} <= 2),
+FUZZY_SQL = f"""WITH {POST}, near AS (SELECT term, {EDITS} AS edits FROM vocab WHERE {EDITS} <= 2),
     w1 AS (SELECT near.term, 1 - edits / 6.0::DOUBLE AS boost, 1 + ln({N_SQL} / (df + 1)) AS idf FROM near JOIN vocab v ON v.term = near.term)
     SELECT doc_id, round(sum(sqrt(tf) / sqrt(field_len) * idf * idf * boost) * {norm_sql(1)}, 6) AS score
-    FROM post JOIN w1 ON w1.term = post.term GROUP BY doc_id""", lambda i: Q.fuzzy(i, "text", "attion", 2))
+    FROM post JOIN w1 ON w1.term = post.term GROUP BY doc_id"""
+text("q10_fuzzy", FUZZY_SQL, lambda i: Q.fuzzy(i, "text", "attion", 2))
+
+
+def with_deletions(i):
+    """The index, with the deletions of its terms stored."""
+    return i if i.deletions is not None else None
+
+
+text("q10_fuzzy_stored", FUZZY_SQL, lambda i: Q.fuzzy(with_deletions(i), "text", "attion", 2))
 text("q10_fuzzy_prefix", f"""WITH {POST}, near AS (SELECT term, {EDITS} AS edits FROM vocab WHERE term LIKE 'a%' AND {EDITS} <= 2 ORDER BY edits, term LIMIT 20),
     w1 AS (SELECT near.term, 1 - edits / 6.0::DOUBLE AS boost, 1 + ln({N_SQL} / (df + 1)) AS idf FROM near JOIN vocab v ON v.term = near.term)
     SELECT doc_id, round(sum(sqrt(tf) / sqrt(field_len) * idf * idf * boost) * {norm_sql(1)}, 6) AS score

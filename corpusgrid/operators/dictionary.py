@@ -80,21 +80,22 @@ def pattern_terms(grams: DataFrame, words: DataFrame, field: str, pattern: str,
 
 # --- terms with letters left out --------------------------------------------
 
-def left_out(word: Column, most: int = MOST) -> Column:
-    """Array of ``(variant, deleted)``: the word with 0 to ``most`` letters left out."""
-    def shorter(words: Column) -> Column:
-        one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(
-            F.substring(w, 1, i - 1), F.substring(w, i + 1, F.length(w))))
-        return F.array_distinct(F.flatten(F.transform(F.filter(words, lambda w: F.length(w) > 0), one)))
+def left_out(words: DataFrame, word: str, most: int = MOST) -> DataFrame:
+    """Adds ``variant, deleted``: the word with 0 to ``most`` letters left out.
 
-    levels = [F.array(word)]
-    for _ in range(most):
-        levels.append(shorter(levels[-1]))
-
-    def told(words: Column, d: int) -> Column:
-        return F.transform(words, lambda v: F.struct(v.alias("variant"), F.lit(d).alias("deleted")))
-
-    return F.flatten(F.array(*[told(words, d) for d, words in enumerate(levels)]))
+    Letters are left out from left to right, so a set of places is met once; words with
+    equal letters in a row give a few rows twice.
+    """
+    own = words.columns
+    level = words.select(*own, F.col(word).alias("variant"), F.lit(0).alias("deleted"), F.lit(1).alias("_from"))
+    out = level
+    for d in range(1, most + 1):
+        longer = level.filter(F.length("variant") >= F.col("_from"))
+        placed = longer.select(*own, "variant", F.explode(F.expr("sequence(_from, length(variant))")).alias("_from"))
+        level = placed.select(*own, F.expr("concat(substring(variant, 1, _from - 1), substring(variant, _from + 1))").alias("variant"),
+                              F.lit(d).alias("deleted"), "_from")
+        out = out.unionByName(level)
+    return out.drop("_from")
 
 
 def variants_of(word: str, most: int) -> list[str]:
@@ -105,7 +106,7 @@ def variants_of(word: str, most: int) -> list[str]:
 
 def deletion_table(vocab: DataFrame, n_buckets: int) -> DataFrame:
     """``field, variant, deleted, term`` for the variants of all terms."""
-    rows = vocab.select("field", "term", F.explode(left_out(F.col("term"))).alias("v")).select("field", "term", "v.*")
+    rows = left_out(vocab.select("field", "term"), "term")
     return stored(rows, "variant", n_buckets, "deletions")
 
 
@@ -118,8 +119,8 @@ def near_word(deletions: DataFrame, field: str, word: str, k: int, n_buckets: in
 
 def near_words(deletions: DataFrame, field: str, seeds: DataFrame) -> DataFrame:
     """``seed, term, edits`` for a table ``(seed, allowed)`` with ``allowed <= MOST``."""
-    asked = seeds.select("seed", "allowed", F.explode(left_out(F.col("seed"))).alias("v")).filter(F.col("v.deleted") <= F.col("allowed"))
+    asked = left_out(seeds.select("seed", "allowed"), "seed").filter(F.col("deleted") <= F.col("allowed")).drop("deleted")
     known = deletions.filter(F.col("field") == field).select("variant", "term", "deleted")
-    pairs = asked.select("seed", "allowed", "v.variant").join(known, "variant").filter(F.col("deleted") <= F.col("allowed"))
+    pairs = asked.join(known, "variant").filter(F.col("deleted") <= F.col("allowed"))
     return (pairs.select("seed", "allowed", "term").distinct().withColumn("edits", F.levenshtein("term", "seed"))
             .filter(F.col("edits") <= F.col("allowed")).select("seed", "term", "edits"))

@@ -119,6 +119,10 @@ class TextIndex:
         """Terms with letters left out, stored when first needed."""
         return dictionary.deletion_table(self.vocab, self.n_buckets)
 
+    @property
+    def has_deletions(self) -> bool:
+        return "deletions" in self.__dict__
+
     def lookup(self, field: str, terms: list[str] | None = None) -> DataFrame:
         """Postings of a field, cut down to the buckets of known terms."""
         return self._cut(self.postings, field, terms)

@@ -417,10 +417,15 @@ def max_edits(value: str, min_similarity: float) -> int:
 
 def fuzzy_terms(index: TextIndex, field: str, value: str, min_similarity: float = 0.5,
                 prefix_length: int = 0, max_expansions: int | None = None) -> DataFrame:
-    """Vocabulary terms within the edit distance; the nearest ones if their number is limited."""
+    """Vocabulary terms within the edit distance; the nearest ones if their number is limited.
+
+    One word is looked up in the stored deletions of the index where they have been made
+    (``index.deletions`` makes them, a table of queries needs them), else the terms of
+    fitting lengths are tested.
+    """
     k = max_edits(value, min_similarity)
     head = F.col("term").startswith(value[:prefix_length]) if prefix_length else F.lit(True)
-    if k <= dictionary.MOST:
+    if k <= dictionary.MOST and index.has_deletions:
         pairs = dictionary.near_word(index.deletions, field, value, k, index.n_buckets).filter(head)
         near = pairs.join(index.words(field).select("term", "df"), "term").select("term", "edits", "df")
     else:
