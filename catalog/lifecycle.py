@@ -5,8 +5,12 @@ from pyspark.sql import functions as F
 from catalog.base import TEXT, Tables, query
 from corpusgrid.operators import lifecycle as X
 from corpusgrid.operators.schema import uid_struct
+from corpusgrid.operators.writes import KEY
 from corpusgrid.session import table_path
+from corpusgrid.sources.aliases import Aliases
 from corpusgrid.sources.domain import as_documents, union_all
+from corpusgrid.sources.snapshots import BucketStore
+from corpusgrid.streaming import levels as L
 from corpusgrid.streaming import upsert as N
 
 
@@ -33,6 +37,16 @@ def _(t):
     return X.reindex(both, "three")[0].select("_index", "_id", "_version", "c_name")
 
 
+@query("x01_reindex_published", """SELECT 'three' AS _index, CAST(c_custkey AS VARCHAR) AS _id, 1 + c_custkey % 4 AS _version, c_name, count(*) OVER () AS before FROM customer""")
+def _(t):
+    """Read through an alias, which names the destination once that is written and published."""
+    path, aliases = table_path(t.spark, "collections"), Aliases(t.spark, table_path(t.spark, "aliases"))
+    aliases.point("people", {name: BucketStore.create(users(t, name, rest), f"{path}/{name}", KEY) for name, rest in (("one", [0, 1]), ("two", [2]))})
+    before = aliases.read("people").filter("_index <> 'three'").count()
+    aliases.reindex("people", "three", f"{path}/three")
+    return aliases.read("people").select("_index", "_id", "_version", "c_name", F.lit(before).alias("before"))
+
+
 EXISTING = "(SELECT c_custkey AS id, 3 AS version, upper(c_name) AS name FROM customer WHERE c_custkey % 10 = 0)"
 
 
@@ -147,6 +161,18 @@ def _(t):
     return N.read_upserted(t.spark, path).select("_id", "_version", "value", F.lit(batches).alias("batches"))
 
 
+@query("n01_stream_levels", """SELECT CAST(user_id AS VARCHAR) AS _id, count(*) AS _version, arg_max(value, event_id) AS value, 3::BIGINT AS version
+    FROM events GROUP BY user_id HAVING arg_max(event_id, event_id) % 7 <> 0""")
+def _(t):
+    """Every event overwrites its user's row, every seventh deletes it; folded into the buckets after the second batch."""
+    path = table_path(t.spark, "levels")
+    actions = event_batches(t).select(F.lit("user").alias("_type"), F.col("user_id").cast("string").alias("_id"), F.lit(0).cast("long").alias("_version"),
+                                      "value", F.col("event_id").alias("_seq"), (F.col("event_id") % 7 == 0).alias("_deleted"))
+    L.stream_levels(actions, path, f"{path}/checkpoint", "overwrite", compact_every=2).awaitTermination()
+    base = BucketStore.open(t.spark, f"{path}/base").version
+    return L.read_levels(t.spark, path).select("_id", "_version", "value", F.lit(base).cast("long").alias("version"))
+
+
 @query("n01_stream_upsert", "SELECT CAST(user_id AS VARCHAR) AS _id, count(*) AS _version, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def _(t):
     """Every event overwrites its user's row; the stream runs until all is read."""
