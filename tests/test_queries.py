@@ -297,7 +297,7 @@ def test_highlights_come_from_the_query(spark, index):
                     must_not=[Q.term(index, "text", "lazy")])
     rows = View(index.docs, "id").matching(asked).highlight(None, {"text": {"number_of_fragments": 0}}, {"pre_tag": "<", "post_tag": ">"}).collect()
     assert {r["id"]: r["highlight"]["text"] for r in rows} == {
-        2: ["<quick> <quick> <fox>"], 4: ["<brown> dog and the <quick> <fox> <jumps>"]}
+        2: ["quick <quick> <fox>"], 4: ["<brown> dog and the <quick> <fox> <jumps>"]}
     cut = View(index.docs, "id").matching(asked).highlight(None, {"text": {"fragment_words": 3, "number_of_fragments": 1}}).collect()
     assert {r["id"]: r["highlight"]["text"] for r in cut}[4] == ["<em>brown</em> dog and"]
     stemmed = build_index(spark.createDataFrame([(1, "He runs & ran.")], "id long, text string"), "id", {"text": A.analyzer("english")})
