@@ -38,7 +38,9 @@ from corpusgrid.llm.memory import small_batches
 PAGES, ROUNDS, RATE, RIDGE = 300, 60, 0.5, 0.0003
 
 #: Names of HTML elements by their role in the page.
-SKIPPED = {"head", "title", "script", "style", "template", "noscript", "iframe", "svg", "math", "object", "canvas", "audio", "video"}
+SKIPPED = {"head", "title", "script", "style", "template", "noscript", "iframe", "svg", "canvas", "audio", "video"}
+#: Elements that may stand in a head; any other one ends it.
+IN_HEAD = {"base", "link", "meta", "title", "style", "script", "noscript", "template"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir",
@@ -126,7 +128,7 @@ def parse(page: str) -> list[Node]:
         flush()
         del stack[depth:]
 
-    at, end = 0, len(page)
+    at, end, inside = 0, len(page), []  # inside: blocks open within what is skipped
     while at < end:
         found = TOKEN.search(page, at)
         if not found:
@@ -154,12 +156,32 @@ def parse(page: str) -> list[Node]:
                 if tag in skipped:
                     del skipped[skipped.index(tag):]
             elif not found[3].rstrip().endswith("/"):
+                if skipped in ([], ["head"]):
+                    inside = []
+                if skipped == ["head"] and tag not in IN_HEAD and tag != "head":
+                    skipped = []
                 skipped.append(tag)
             continue
-        if skipped:
-            if tag != "body":
+        if skipped == ["head"]:
+            if closing or tag in IN_HEAD or tag == "html":
+                continue
+            skipped = []  # a head without an end stops at the first element that cannot stand in it
+        elif skipped:
+            if tag not in BLOCK or tag in ("html", "body"):
+                if tag == "body":
+                    skipped = []
+                else:
+                    continue
+            elif not closing:
+                inside.append(tag)
+                continue
+            elif tag in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(tag):]
+                continue
+            elif any(name == tag for name, _ in stack[1:]):
+                skipped = []  # one without an end stops where the element around it ends
+            else:
                 continue
-            skipped = []  # a head without an end stops at the body
         if tag in ("br", "hr"):
             run.append(" ")
             if tag == "hr":

@@ -210,6 +210,18 @@ def test_extraction_of_the_given_pages(spark, extractor):
         assert r.text == expected and r.n_chars == len(expected)
 
 
+def test_unclosed_heads_and_skips_lose_no_text(extractor):
+    body = "<article><h1>A title</h1>{}<p>" + "One sentence of the article, and one more of it. " * 6 + "</p></article><footer>Imprint</footer>"
+    whole = extractor.text(f"<html><head><title>t</title></head><body>{body.format('')}</body></html>")
+    assert whole.startswith("A title\n\nOne sentence") and "Imprint" not in whole
+    for start in ("<head><title>t</title>", "<head><meta charset=utf-8><script>x()</script>", "<html><head>", ""):
+        assert extractor.text(start + body.format("")) == whole
+    for part in ("<div><svg><path d=x></div>", "<div><svg><g><text>no</text></svg></div>", "<div><svg><foreignObject><div>no</div></foreignObject></svg></div>"):
+        assert extractor.text(f"<html><head></head><body>{body.format(part)}</body></html>") == whole
+    assert "E = mc" in extractor.text(body.format("<p>Here is <math><mi>E</mi> = <mi>mc</mi></math> in a sentence of the article.</p>"))
+    assert "fallback words" in extractor.text(body.format("<p>An <object data=x>fallback words</object> in a sentence of the article.</p>"))
+
+
 def test_extraction_of_odd_pages(spark, extractor):
     pages = [None, "", "   ", "<", "a < b & c &amp; d. This is plain text.", "<div>" * 8 + "<p>Deep text stands here.</p>" + "</div>" * 8, "<script>var a='<p>x</p>'",
              "<p>one<p>two &eacute;&#x1F600;<br>three</p></p></div>", "<article><p>Body  of\n the text.</p><p>More of it.</p><ul class='comments'><li>Nice one.</li></ul></article>",
