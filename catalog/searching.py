@@ -207,7 +207,7 @@ def _(t):
 @query("r09_highlight_phrase", rf"""WITH cut AS (SELECT doc_id, text, regexp_extract_all(text, '(?s)(.*?)([\p{{L}}\p{{N}}]+(?:[.''][\p{{L}}\p{{N}}]+)*)') AS spans,
         regexp_extract_all(text, '[\p{{L}}\p{{N}}]+(?:[.''][\p{{L}}\p{{N}}]+)*') AS words FROM documents),
     parts AS (SELECT doc_id, text, unnest(spans) AS span, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM cut),
-    near AS (SELECT *, lower(word) = 'of' AND lag(lower(word)) OVER w = 'hand' AS last_, lower(word) = 'hand' AND lead(lower(word)) OVER w = 'of' AS first_
+    near AS (SELECT *, lower(word) = 'the' AND lag(lower(word)) OVER w = 'of' AS last_, lower(word) = 'of' AND lead(lower(word)) OVER w = 'the' AS first_
         FROM parts WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
     SELECT doc_id, string_agg(CASE WHEN first_ OR last_ THEN left(span, length(span) - length(word)) || '<em>' || word || '</em>' ELSE span END, '' ORDER BY pos)
         || substr(any_value(text), (sum(length(span)) + 1)::BIGINT) AS body
@@ -215,7 +215,7 @@ def _(t):
 def _(t):
     """Only the places where the words stand one after the other."""
     i = t.text_index()
-    out = View(i.docs, "doc_id").matching(Q.match_phrase(i, "text", "hand of")).page(0, 1 << 30).highlight(None, {"text": {"number_of_fragments": 0}})
+    out = View(i.docs, "doc_id").matching(Q.match_phrase(i, "text", "of the")).page(0, 1 << 30).highlight(None, {"text": {"number_of_fragments": 0}})
     return out.select("doc_id", F.col("highlight")["text"][0].alias("body"))
 
 
