@@ -45,18 +45,19 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, json_path: str | None = No
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(json_path, ranks_path)
+        bpe, end = coder(json_path, ranks_path), np.array([END_ID], "<u4")
         for batch in batches:
-            rows, ids = [], batch.column(0)
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in blocks(texts):
-                for at, tokens in enumerate(bpe.many(texts[a:b]), a):
-                    raw = np.append(tokens, np.uint32(END_ID)).astype("<u4")
-                    rows += [(at, k, s, n, zlib.crc32(raw[s:s + n].tobytes())) for k, (s, n) in enumerate(cut(len(raw), capacity))]
-            columns = [np.array(c, np.int64) for c in zip(*rows)] or [np.zeros(0, np.int64)] * 5
-            yield pa.record_batch([ids.take(pa.array(columns[0])), pa.array(columns[1], pa.int32()),
-                                   *map(pa.array, columns[2:])], names=["doc_id", "piece", "start", "length", "ids_crc32"])
-        bpe.chunks.forget()
+                lists = [np.append(tokens, end) for tokens in bpe.many(texts[a:b])]
+                places = [cut(len(raw), capacity) for raw in lists]
+                counts = np.array([len(p) for p in places], np.int64)
+                row, total = np.repeat(np.arange(a, b), counts), int(counts.sum())
+                start, length = np.array([sn for p in places for sn in p], np.int64).reshape(total, 2).T
+                sums = np.fromiter((zlib.crc32(raw[s:s + n]) for raw, p in zip(lists, places) for s, n in p), np.int64, total)
+                piece = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
+                yield pa.record_batch([ids.take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
+                                       pa.array(sums)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
         tidy()
 
     return small_batches(docs).select("doc_id", "text").mapInArrow(

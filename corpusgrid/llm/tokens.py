@@ -1,9 +1,8 @@
 """Token ids of whole texts with a public byte-level BPE vocabulary.
 
-A space whose neighbours are not both white space always starts a token of the word
-pattern, so a text is cut before such spaces and every chunk is encoded once per
-worker. Texts where the cut would not hold, and texts with a special token's string,
-are encoded whole by the ``tokenizers`` library, which defines the ids.
+A whole text goes through one call of a coder with the vocabulary's ranks and word
+pattern. Texts with a special token's string or with a long run of white space, which the
+pattern would search back and forth, go to the ``tokenizers`` library, which defines the ids.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from functools import cached_property
 import numpy as np
 
 CACHE_LIMIT = 200_000
-UNSAFE = re.compile(r"\s (?:\s|\Z)|<\|endoftext\|>")
+SPECIAL, LONG_SPACE = "<|endoftext|>", re.compile(r"\s{200}")
 
 
 def vocabulary_path(name: str) -> str:
@@ -90,44 +89,22 @@ class ByteBpe:
         with open(ranks_path or vocabulary_path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.words = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.octets = np.zeros(len(ranks), np.int64)
-        self.octets[list(ranks.values())] = [len(r) for r in ranks]
-        self.chunks = ChunkIds(self.encode)
 
     @cached_property
-    def whole(self):
+    def library(self):
         """The library's own coder, read when a text first needs it."""
         from tokenizers import Tokenizer
         return Tokenizer.from_file(self.json_path)
 
-    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Chunks of a space and more are encoded in one call, for the cut before each
-        holds there too; where one ends is told by the octets of the ids."""
-        first = [c[:2] for c in chunks]
-        alone = np.array([len(f) < 2 or f[0] != " " or f[1].isspace() for f in first], bool)
-        joined, single = ([chunks[i] for i in np.flatnonzero(kind).tolist()] for kind in (~alone, alone))
-        flat = np.array(self.words.encode_ordinary("".join(joined)), np.uint32)
-        stops = np.searchsorted(np.cumsum(self.octets[flat]), np.cumsum([len(c.encode()) for c in joined])) + 1
-        found = [self.words.encode_ordinary(c) for c in single]
-        sizes = np.zeros(len(chunks), np.int64)
-        sizes[~alone], sizes[alone] = np.diff(stops, prepend=0), [len(f) for f in found]
-        flat = np.concatenate([flat, *[np.array(f, np.uint32) for f in found]])
-        start = np.zeros(len(chunks), np.int64)
-        placed = np.concatenate([np.flatnonzero(~alone), np.flatnonzero(alone)])
-        start[placed] = np.cumsum(sizes[placed]) - sizes[placed]
-        return flat[np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(flat))], sizes
+    def ids(self, text: str) -> np.ndarray:
+        if SPECIAL in text or LONG_SPACE.search(text):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.words.encode_ordinary(text), np.uint32)
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
-        whole = [bool(UNSAFE.search(t)) for t in texts]
-        cut = iter(self.chunks.gather([chunks_of(t) for t, w in zip(texts, whole) if not w]))
-        return [np.array(self.whole.encode(t, add_special_tokens=False).ids, np.uint32) if w else next(cut)
-                for t, w in zip(texts, whole)]
-
-
-def chunks_of(text: str) -> list[str]:
-    first, *rest = text.split(" ")
-    chunks = [" " + r for r in rest]
-    return [first, *chunks] if first else chunks
+        """The ids of each text; equal texts of one call are encoded once and share an array."""
+        known = {t: self.ids(t) for t in dict.fromkeys(texts)}
+        return [known[t] for t in texts]
 
 
 _CODERS: dict[tuple, ByteBpe] = {}

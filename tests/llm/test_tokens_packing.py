@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from corpusgrid.llm import packing
 from corpusgrid.llm import sentencepiece as S
 from corpusgrid.llm.packing import best_fit, crossover, cut, evolve, fill, pack
 from corpusgrid.llm.tokens import coder
@@ -63,6 +64,18 @@ def test_genetic_search_keeps_bins_within_capacity_and_is_not_worse_than_best_fi
         assert (child >= 0).all() and fill(child, lengths).max() <= 2048 and fill(child, lengths).sum() == lengths.sum()
 
 
+def test_crossover_finds_fewer_bins_than_best_fit(monkeypatch):
+    """Best fit leaves a bin too many here; mutation is switched off."""
+    monkeypatch.setattr(packing, "mutate", lambda people, *rest: people)
+    for lengths, best_possible in (([47, 28, 32, 59, 24, 43, 32, 37, 57, 27, 51, 49], 5),
+                                   ([50, 46, 37, 37, 54, 23, 47, 28, 23, 41, 59, 49, 50, 48], 6)):
+        lengths = np.array(lengths)
+        plain = best_fit(np.zeros(0, np.int64), np.argsort(-lengths, kind="stable"), lengths, 100)[1]
+        found = evolve(lengths, [], 100, np.random.default_rng(0))
+        assert len(fill(found[0], lengths)) == best_possible == -(-lengths.sum() // 100) < plain
+        assert fill(found[0], lengths).max() <= 100
+
+
 def brute_score(v, text):
     """The best sum of scores, by the plain recursion over all pieces."""
     text = S.SPACE + text.replace(S.SPACE, S.HELD).replace(" ", S.SPACE)
