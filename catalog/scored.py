@@ -154,6 +154,42 @@ text("q04_not_phrase", simple("SELECT doc_id, 1.0::DOUBLE AS score FROM document
      lambda i: Q.not_(Q.match_phrase(i, "text", "of the"), i.docs))
 text("q05_phrase_prefix", phrase_sql(["of"], 0, "th"), lambda i: Q.match_phrase_prefix(i, "text", "of th"))
 
+
+
+def phrase_batch_sql(slop: int = 0, prefix: bool = False) -> str:
+    """Every benchmark text as a phrase, whose last word may be a prefix."""
+    more = "UNION SELECT item_id, ord, v.term FROM q JOIN k USING (item_id) JOIN vocab v ON starts_with(v.term, q.term) WHERE ord = n"
+    return f"""WITH {POST},
+    q AS (SELECT item_id, unnest(s) AS term, generate_subscripts(s, 1) AS ord FROM (SELECT item_id, {WORDS_SQL} AS s FROM benchmark)),
+    k AS (SELECT item_id, max(ord) AS n FROM q GROUP BY item_id),
+    g AS (SELECT item_id, ord, term FROM q {f"JOIN k USING (item_id) WHERE ord < n {more}" if prefix else ""}),
+    i AS (SELECT item_id, sum(1 + ln({N_SQL} / (coalesce(df, 0) + 1))) AS idf FROM g LEFT JOIN vocab v ON v.term = g.term GROUP BY item_id),
+    h AS (SELECT item_id, doc_id FROM g JOIN post USING (term) JOIN k USING (item_id) GROUP BY item_id, doc_id, n HAVING count(DISTINCT ord) = n),
+    s AS (SELECT DISTINCT item_id, doc_id, ord, pos - ord AS start, field_len FROM g JOIN tok USING (term) JOIN h USING (item_id, doc_id)),
+    a AS (SELECT DISTINCT item_id, doc_id, start FROM s),
+    m AS (SELECT a.item_id, a.doc_id, a.start, s.ord, min(s.start) AS reach, any_value(field_len) AS field_len FROM a JOIN s
+        ON s.item_id = a.item_id AND s.doc_id = a.doc_id AND s.start BETWEEN a.start AND a.start + {slop} GROUP BY ALL),
+    d AS (SELECT item_id, doc_id, start, max(reach) - start AS d, any_value(field_len) AS field_len FROM m JOIN k USING (item_id)
+        GROUP BY item_id, doc_id, start, n HAVING count(*) = n)
+    SELECT item_id, doc_id, round(sqrt(sum(1.0 / (1 + d))) * idf / sqrt(any_value(field_len)), 6) AS score
+    FROM d JOIN i USING (item_id) GROUP BY item_id, doc_id, idf {PAGE}"""
+
+
+@query("q04_phrase_batch", phrase_batch_sql())
+def _(t):
+    return page(Q.match_phrase(t.text_index(), "text", asked(t)))
+
+
+@query("q04_phrase_batch_slop", phrase_batch_sql(2))
+def _(t):
+    return page(Q.match_phrase(t.text_index(), "text", asked(t), slop=2))
+
+
+@query("q05_phrase_prefix_batch", phrase_batch_sql(prefix=True))
+def _(t):
+    return page(Q.match_phrase_prefix(t.text_index(), "text", asked(t)))
+
+
 STOPPED = f"""{POST}, tok_s AS (SELECT doc_id, term, pos, count(*) OVER (PARTITION BY doc_id) AS field_len FROM tok
         WHERE term NOT IN ({", ".join(f"'{w}'" for w in A.ENGLISH_STOP)})),
     vocab_s AS (SELECT term, count(DISTINCT doc_id) AS df FROM tok_s GROUP BY term)"""

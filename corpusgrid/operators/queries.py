@@ -244,6 +244,17 @@ def multi_match(index: TextIndex, fields: list[str], text: str, use_dis_max: boo
 
 # --- phrases ----------------------------------------------------------------
 
+def _phrase_freq(slop: int) -> Column:
+    """How often a phrase stands in a document, from the ``starts`` that each of its words asks for."""
+    if slop == 0:
+        return F.size(F.array_distinct(F.reduce("starts", F.col("starts")[0], F.array_intersect))).cast("double")
+    anchors = F.array_distinct(F.flatten("starts"))
+    spreads = F.transform(anchors, lambda s: F.array_max(F.transform(
+        "starts", lambda a: F.coalesce(
+            F.array_min(F.filter(a, lambda x: x >= s)), s + F.lit(slop + 1)))) - s)
+    return F.aggregate(F.filter(spreads, lambda d: d <= slop), F.lit(0.0), lambda acc, d: acc + 1 / (1 + d))
+
+
 def _phrase(index: TextIndex, field: str, groups: dict[int, list[str]], slop: int, boost: float,
             tail: tuple[int, DataFrame] | None = None) -> Clause:
     """Terms at their offsets; each offset of the phrase has a group of alternatives.
@@ -279,16 +290,7 @@ def _phrase(index: TextIndex, field: str, groups: dict[int, list[str]], slop: in
         # at most one row per place of the phrase meets in a document
         docs = placed.groupBy(index.key).agg(
             F.collect_list("starts").alias("starts"), F.first("field_len").alias("field_len")).filter(F.size("starts") == n)
-        if slop == 0:
-            freq = F.size(F.array_distinct(F.reduce("starts", F.col("starts")[0], F.array_intersect))).cast("double")
-        else:
-            anchors = F.array_distinct(F.flatten("starts"))
-            spreads = F.transform(anchors, lambda s: F.array_max(F.transform(
-                "starts", lambda a: F.coalesce(
-                    F.array_min(F.filter(a, lambda x: x >= s)), s + F.lit(slop + 1)))) - s)
-            freq = F.aggregate(F.filter(spreads, lambda d: d <= slop), F.lit(0.0),
-                               lambda acc, d: acc + 1 / (1 + d))
-        found = docs.select(index.key, "field_len", freq.alias("freq")).filter("freq > 0")
+        found = docs.select(index.key, "field_len", _phrase_freq(slop).alias("freq")).filter("freq > 0")
         score = F.sqrt("freq") * (weight ** 2 * boost * qnorm) / F.sqrt("field_len")
         return found.select(F.lit(0).alias("qid"), index.key, score.alias("score"))
 
@@ -302,6 +304,51 @@ def _phrase(index: TextIndex, field: str, groups: dict[int, list[str]], slop: in
     return Clause(index.key, hits, (weight * boost) ** 2, marks)
 
 
+def _phrase_slots(index: TextIndex, field: str, texts: DataFrame, analyzer=None) -> DataFrame:
+    """``(qid, ord, term)`` of a table of phrases: every term at its distance from the first place."""
+    chain = A.placed(field_analyzer(index.analyzers[field], "quote", analyzer))
+    words = texts.select("qid", chain(F.col("text")).alias("words"))
+    return words.select("qid", F.inline(F.transform("words", lambda w: F.struct(
+        (w["p"] - F.col("words")[0]["p"]).cast("long").alias("ord"), w["t"].alias("term"))))).distinct()
+
+
+def _many_phrases(index: TextIndex, field: str, slots: DataFrame, slop: int, boost: float, tail: DataFrame | None = None) -> Clause:
+    """``_phrase`` for rows ``(qid, ord, term)``; ``tail`` has such rows for expanded last places.
+
+    Documents are found by the rarest place of each phrase first, so the postings of
+    frequent words are kept only where that one stands too; of a query with a word that no
+    document holds, nothing is kept. A group is one phrase in one document; alternatives of a
+    place are put together before its places are counted.
+    """
+    n_places = slots.groupBy("qid").agg(F.count_distinct("ord").alias("n"))
+    if tail is not None:
+        last = slots.groupBy("qid").agg(F.max("ord").alias("ord"))
+        slots = slots.join(last, ["qid", "ord"], "left_anti").unionByName(tail)
+    weighed = materialise(slots.join(n_places, "qid").join(index.words(field).select("term", "df"), "term", "left")
+                          .withColumn("idf", _idf(index, F.col("df"))), "phrase-words")
+    places = weighed.groupBy("qid", "ord").agg(
+        F.sum(F.coalesce("df", F.lit(0))).alias("df"), F.sum("idf").alias("idf"), F.first("n").alias("n"))
+    asked = (places.groupBy("qid").agg(F.min(F.struct("df", "ord")).alias("rarest"), F.sum("idf").alias("weight"),
+                                       F.first("n").alias("n"), F.count(F.lit(1)).alias("found"))
+             .withColumn("able", (F.col("found") == F.col("n")) & (F.col("rarest.df") > 0)))
+
+    def hits(norm: DataFrame) -> DataFrame:
+        able = asked.filter("able")
+        rare = weighed.join(able.select("qid", F.col("rarest.ord").alias("ord")), ["qid", "ord"], "left_semi")
+        near = index.lookup(field).join(rare.select("qid", "term"), "term").select("qid", index.key).distinct()
+        rows = index.lookup(field).join(weighed.join(able, "qid", "left_semi").select("qid", "ord", "term"), "term").select(
+            "qid", index.key, "ord", "field_len", F.transform("positions", lambda p: p - F.col("ord")).alias("starts"))
+        placed = rows.join(near, ["qid", index.key], "left_semi").groupBy("qid", index.key, "ord").agg(
+            F.flatten(F.collect_list("starts")).alias("starts"), F.first("field_len").alias("field_len"))
+        docs = placed.groupBy("qid", index.key).agg(F.collect_list("starts").alias("starts"), F.first("field_len").alias("field_len"))
+        told = able.join(norm, "qid").select("qid", "n", (F.col("weight") ** 2 * boost * F.col("qnorm")).alias("coef"))
+        found = (docs.join(told, "qid").filter(F.size("starts") == F.col("n"))
+                 .withColumn("freq", _phrase_freq(slop)).filter("freq > 0"))
+        return found.select("qid", index.key, (F.sqrt("freq") * F.col("coef") / F.sqrt("field_len")).alias("score"))
+
+    return Clause(index.key, hits, asked.select("qid", ((F.col("weight") * boost) ** 2).alias("ssw")))
+
+
 def phrase_places(tokens: DataFrame, key: str, wanted: DataFrame, n: int, slop: int) -> DataFrame:
     """The tokens ``(key, term, pos, start, end)`` of a page that make up a phrase of ``n`` words.
 
@@ -327,22 +374,28 @@ def _offsets(places: list[tuple[str, int]]) -> dict[int, list[str]]:
     return groups
 
 
-def match_phrase(index: TextIndex, field: str, text: str, slop: int = 0, boost: float = 1.0,
+def match_phrase(index: TextIndex, field: str, text: str | DataFrame, slop: int = 0, boost: float = 1.0,
                  analyzer=None) -> Clause:
-    """All terms in order; ``slop`` is the total displacement allowed.
+    """All terms in order, of one text or of each of a table ``(qid, text)``; ``slop`` is the
+    total displacement allowed.
 
     The text goes through the field's quote analyzer. Words that it removes keep
     their places, in the query as in the stored text.
     """
+    if isinstance(text, DataFrame):
+        return _many_phrases(index, field, _phrase_slots(index, field, text, analyzer), slop, float(boost))
     return _phrase(index, field, _offsets(query_places(index, field, text, analyzer)), slop, boost)
 
 
-def match_phrase_prefix(index: TextIndex, field: str, text: str, max_expansions: int | None = None,
+def match_phrase_prefix(index: TextIndex, field: str, text: str | DataFrame, max_expansions: int | None = None,
                         slop: int = 0, boost: float = 1.0, analyzer=None) -> Clause:
-    """Phrase whose last word is a prefix, expanded over the vocabulary.
+    """Phrase whose last word is a prefix, expanded over the vocabulary; a table gives many phrases.
 
     The expansions stay a table; ``max_expansions`` cuts them only if it is given.
     """
+    if isinstance(text, DataFrame):
+        slots = materialise(_phrase_slots(index, field, text, analyzer), "phrase-slots")
+        return _many_phrases(index, field, slots, slop, float(boost), _expanded_tails(index, field, slots, max_expansions))
     groups = _offsets(query_places(index, field, text, analyzer))
     if not groups:
         return no_hits(index)
@@ -354,6 +407,22 @@ def match_phrase_prefix(index: TextIndex, field: str, text: str, max_expansions:
     return _phrase(index, field, groups, slop, boost, (last, found))
 
 
+def _expanded_tails(index: TextIndex, field: str, slots: DataFrame, max_expansions: int | None) -> DataFrame:
+    """``(qid, ord, term)``: the terms that begin as the last words of phrases do.
+
+    All beginnings of the vocabulary's terms meet the words in an equi-join.
+    """
+    last = slots.groupBy("qid").agg(F.max("ord").alias("ord"))
+    starts = slots.join(last, ["qid", "ord"]).withColumnRenamed("term", "start")
+    begun = index.words(field).select("term", F.explode(F.sequence(F.lit(1), F.length("term"))).alias("size")).select(
+        "term", F.substr("term", F.lit(1), F.col("size")).alias("start"))
+    found = begun.join(starts, "start").select("qid", "ord", "term").distinct()
+    if max_expansions is not None:
+        order = Window.partitionBy("qid").orderBy("term")
+        found = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_expansions).drop("place")
+    return found
+
+
 # --- multi-term queries -----------------------------------------------------
 
 def no_hits(index: TextIndex) -> Clause:

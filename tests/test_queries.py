@@ -83,6 +83,43 @@ def test_phrase_against_all_placements(index, phrase, slop):
     assert set(found(Q.match_phrase(index, "text", phrase, slop))) == want
 
 
+def many(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "qid long, text string")
+
+
+def by_query(clause):
+    out = {}
+    for r in clause.scores().collect():
+        out.setdefault(r["qid"], {})[r["id"]] = r["score"]
+    return out
+
+
+@pytest.mark.parametrize("slop", [0, 2])
+def test_a_table_of_phrases_equals_its_phrases_one_by_one(spark, index, slop):
+    texts = ["quick fox", "brown quick", "the fox", "quick quick", "fox", "the zzz", "", None, "jumps quick fox", "the quick brown fox"]
+    want = {q: found(Q.match_phrase(index, "text", t, slop)) for q, t in enumerate(texts) if t}
+    assert by_query(Q.match_phrase(index, "text", many(spark, texts), slop)) == {q: hits for q, hits in want.items() if hits}
+    assert by_query(Q.match_phrase(index, "text", many(spark, texts).limit(0), slop)) == {}
+
+
+def test_a_table_of_phrase_prefixes_equals_its_phrases_one_by_one(spark, index):
+    texts = ["quick f", "the q", "f", "brown d", "the x", "zzz q", "", None, "the lazy dog", "quick fo"]
+    for most in (None, 1):
+        want = {q: found(Q.match_phrase_prefix(index, "text", t, most)) for q, t in enumerate(texts) if t}
+        table = Q.match_phrase_prefix(index, "text", many(spark, texts), most)
+        assert by_query(table) == {q: hits for q, hits in want.items() if hits}
+
+
+def test_a_table_of_phrases_keeps_places_of_alternatives_and_removed_words(spark):
+    docs = spark.createDataFrame([(1, "hand god"), (2, "hand of god"), (3, "fist of god"), (4, "god hand")], "id long, text string")
+    chain = A.custom_analyzer("standard", filters=["lowercase", ("stop", ["of"]), ("synonym", {"hand": ["hand", "palm"]})])
+    stop = build_index(docs, "id", {"text": chain})
+    texts = ["hand of god", "palm god", "god hand", "of"]
+    for slop in (0, 1):
+        want = {q: found(Q.match_phrase(stop, "text", t, slop)) for q, t in enumerate(texts)}
+        assert by_query(Q.match_phrase(stop, "text", many(spark, texts), slop)) == {q: hits for q, hits in want.items() if hits}
+
+
 def test_phrase_prefix_and_terms(index):
     assert set(found(Q.match_phrase_prefix(index, "text", "quick f"))) == {2, 4}
     assert set(found(Q.prefix(index, "text", "ju"))) == {4}
