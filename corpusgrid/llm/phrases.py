@@ -206,7 +206,7 @@ def written(rows: DataFrame, parts: int) -> tuple[str, DataFrame]:
     An index then meets the phrases of its shard without being shuffled again.
     """
     name = f"phrase_shards_{uuid.uuid4().hex}"
-    (rows.write.partitionBy("kind").bucketBy(parts, "shard").option("path", table_path(rows.sparkSession, "phrase-shards"))
+    (rows.write.partitionBy("kind").bucketBy(parts, "shard").option("compression", "zstd").option("path", table_path(rows.sparkSession, "phrase-shards"))
      .format("parquet").saveAsTable(name))
     return name, rows.sparkSession.table(name)
 
