@@ -110,10 +110,16 @@ def codes_of(text: str) -> np.ndarray:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches within ``CONTEXT`` of a digit or ``@``, joined where they touch."""
+    """Stretches within ``CONTEXT`` of a digit or ``@``, joined where they touch.
+
+    A stretch does not begin inside a run of characters of a local part, but at its start.
+    """
     found: list[list[int]] = []
     for m in ANCHOR.finditer(text):
         a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        met = found[-1][1] if found else 0
+        while a > met and LOCAL.match(text, a - 1):
+            a -= 1
         if found and a <= found[-1][1]:
             found[-1][1] = b
         else:

@@ -152,6 +152,14 @@ def test_tagger_on_held_out_stretches(tagger):
     assert hits / total >= 0.8
 
 
+def test_regions_reach_over_whole_local_parts():
+    text = "write to firstname.middlename.lastname.department @ example.com soon, " + "plain words " * 9 + "or call 5"
+    (a, b), (c, d) = pii.regions(text)
+    assert text[a:b].startswith("firstname.") and text[c:d].startswith("words ") and d == len(text)
+    assert pii.regions("a" * 200_000 + "@" + "b" * 200_000 + "1" * 50) == [(0, 400_051)]
+    assert pii.regions("7") == [(0, 1)] and pii.regions("") == []
+
+
 def test_windows_are_joined_over_the_whole_text(tagger):
     text = "word " * 50 + "mail joe.smith12@mail.example.com here " + "word " * 30 + "+1 (487) 555-7209 end"
     found = pii.all_spans(pii.base_spans(text), pii.model_spans(tagger, [text])[0])
