@@ -155,7 +155,7 @@ def test_tagger_on_held_out_stretches(tagger):
 def test_regions_reach_over_whole_local_parts():
     text = "write to firstname.middlename.lastname.department @ example.com soon, " + "plain words " * 9 + "or call 5"
     (a, b), (c, d) = pii.regions(text)
-    assert text[a:b].startswith("firstname.") and text[c:d].startswith("words ") and d == len(text)
+    assert text[a:b].startswith("firstname.") and text[c:d] == "plain words or call 5" and d == len(text)
     assert pii.regions("a" * 200_000 + "@" + "b" * 200_000 + "1" * 50) == [(0, 400_051)]
     assert pii.regions("7") == [(0, 1)] and pii.regions("") == []
 
