@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusgrid.functions import analysis as A
 from corpusgrid.functions import geo
+from corpusgrid.operators.elements import ELEMENT, element_rows
 from corpusgrid.operators.index import TextIndex, build_index
 from corpusgrid.session import spread, table_path
 from corpusgrid.sources.domain import as_documents, union_all
@@ -53,6 +54,12 @@ class Tables:
         """Stored index of ``documents`` with the text cut at white space."""
         return self._index("words", lambda: self.documents.select("doc_id", "text"), "doc_id", {"text": A.analyzer("whitespace")})
 
+    def line_index(self) -> TextIndex:
+        """Stored index of the lines of ``documents``, as elements of their document."""
+        return self._index("lines", lambda: element_rows(self.documents.select("doc_id", F.transform(
+            F.split("text", "\n"), lambda s: F.struct(s.alias("line"), F.length(s).alias("chars"))).alias("lines")), "doc_id", "lines"),
+            ELEMENT, {"line": TEXT})
+
     def _index(self, name, make, key, fields) -> TextIndex:
         memo = (self.spark.sparkContext.applicationId, self.dir, name)
         if memo not in _INDEXES:

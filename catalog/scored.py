@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import (LINES_SQL, N_SQL, TEXT, TITLE_SQL, Tables, leaf_sql, norm_sql, postings_sql, query)
+from catalog.base import (LINES_SQL, N_SQL, TEXT, TITLE_SQL, Tables, leaf_sql, norm_sql, postings_sql, query, standard_sql)
 from catalog.filters import PEOPLE_SQL, customer_refs, failed_orders
 from corpusgrid.functions import analysis as A
 from corpusgrid.functions import filters as flt
 from corpusgrid.operators import queries as Q
+from corpusgrid.operators.elements import fold_elements
 
 POST = postings_sql()
 
@@ -386,6 +387,35 @@ for _mode, _fold in {"avg": "avg(words)", "total": "sum(words)::DOUBLE", "max":
                                lambda e: (e["chars"] > 60) & (e["last"] == "."), mode))
 
 
+ELEMENTS = f"""WITH el AS MATERIALIZED (SELECT row_number() OVER () AS el, doc_id, {standard_sql('lower(s)')} AS t
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s FROM documents)),
+    tok AS (SELECT el, doc_id, len(t) AS field_len, unnest(t) AS term, generate_subscripts(t, 1) AS pos FROM el),
+    post AS (SELECT el, doc_id, term, count(*) AS tf, any_value(field_len) AS field_len FROM tok WHERE term IN ('the', 'hand') GROUP BY ALL),
+    w AS (SELECT q.term, 1 + ln((SELECT count(*)::DOUBLE FROM el) / (count(el) + 1)) AS idf
+        FROM (VALUES ('the'), ('hand')) q(term) LEFT JOIN post USING (term) GROUP BY q.term),
+    scored AS (SELECT el, doc_id, count(*) AS matched,
+            sum(sqrt(tf) / sqrt(field_len) * idf * idf) / sqrt((SELECT sum(idf * idf) FROM w)) * count(*) / 2 AS s
+        FROM post JOIN w USING (term) GROUP BY el, doc_id)"""
+
+for _mode, _fold in {"avg": "avg(s)", "max": "max(s)", "total": "sum(s)", "none": "1.0::DOUBLE"}.items():
+    @query(f"q24_nested_text_{_mode}", f"{ELEMENTS} SELECT doc_id, round({_fold}, 6) AS score FROM scored GROUP BY doc_id")
+    def _(t, mode=_mode):
+        """Documents by the scores of those of their lines that match a text."""
+        return scores(fold_elements(Q.match(t.line_index(), "line", "the hand"), "doc_id", mode))
+
+
+@query("q24_nested_text_and", f"{ELEMENTS} SELECT doc_id, round(max(s), 6) AS score FROM scored WHERE matched = 2 GROUP BY doc_id")
+def _(t):
+    """Both words in one line."""
+    return scores(fold_elements(Q.match(t.line_index(), "line", "the hand", operator="and"), "doc_id", "max"))
+
+
+@query("q24_not_nested_text", f"{ELEMENTS} SELECT doc_id, 1.0::DOUBLE AS score FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM scored WHERE matched = 2)")
+def _(t):
+    """Documents without a line that holds both words."""
+    return scores(Q.not_(fold_elements(Q.match(t.line_index(), "line", "the hand", operator="and"), "doc_id"), t.documents))
+
+
 @query("q25_has_child", """SELECT c_custkey, 2.0::DOUBLE AS score FROM customer
     WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000)""")
 def _(t):

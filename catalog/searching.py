@@ -240,6 +240,43 @@ def _(t):
         "doc_id", "score", F.col("d.description").alias("name"), F.col("d.value").alias("value"))
 
 
+TREE = f"""WITH {POST}, {leaf_sql(1, ['the'])}, {leaf_sql(2, ['hand'])}, {leaf_sql(3, ['only'])},
+    leaf AS (SELECT doc_id, 'text:the' AS name, s * {norm_sql(1, 2, 3)} AS v FROM c1 UNION ALL SELECT doc_id, 'text:hand', s * {norm_sql(1, 2, 3)} FROM c2
+        UNION ALL SELECT doc_id, 'text:only', s * {norm_sql(1, 2, 3)} FROM c3),
+    must AS (SELECT doc_id, sum(v) * count(*) / 2 AS v, count(*) / 2 AS coord FROM leaf
+        WHERE name <> 'text:only' AND doc_id IN (SELECT doc_id FROM c1) GROUP BY doc_id),
+    best AS (SELECT doc_id, max(v) + 0.3 * (sum(v) - max(v)) AS v FROM (SELECT doc_id, v FROM must
+        UNION ALL SELECT doc_id, v FROM leaf WHERE name = 'text:only') GROUP BY doc_id),
+    bad AS (SELECT DISTINCT doc_id FROM post WHERE term = 'more'),
+    whole AS (SELECT doc_id, v * CASE WHEN doc_id IN (FROM bad) THEN 0.2 ELSE 1 END AS v FROM best),
+    top AS (SELECT doc_id, round(v, 6) AS score FROM whole ORDER BY score DESC, doc_id LIMIT 10),
+    terms AS (SELECT doc_id, 'text:' || p.term AS name, sqrt(tf) AS tf, idf * idf AS idf2, 1 / sqrt(field_len) AS field_norm
+        FROM post p JOIN (FROM w1 UNION ALL FROM w2 UNION ALL FROM w3) w USING (term)),
+    placed AS (SELECT doc_id, name, v, CASE name WHEN 'text:the' THEN '0.0.0' WHEN 'text:hand' THEN '0.0.1' ELSE '0.1' END AS path
+        FROM leaf WHERE name <> 'text:hand' OR doc_id IN (SELECT doc_id FROM must)),
+    nodes AS (SELECT doc_id, '' AS path, 'product of:' AS name, v FROM whole
+        UNION ALL SELECT doc_id, '1', 'negative boost', 0.2 FROM bad
+        UNION ALL SELECT doc_id, '0', 'max plus 0.3 times the others of:', v FROM best
+        UNION ALL SELECT doc_id, '0.0', 'sum of:', v FROM must UNION ALL SELECT doc_id, '0.0.2', 'coord of 2', coord FROM must
+        UNION ALL SELECT doc_id, path, name, v FROM placed
+        UNION ALL SELECT doc_id, path || '.0', 'tf', tf FROM placed JOIN terms USING (doc_id, name)
+        UNION ALL SELECT doc_id, path || '.1', 'idf squared', idf2 FROM placed JOIN terms USING (doc_id, name)
+        UNION ALL SELECT doc_id, path || '.2', 'field norm', field_norm FROM placed JOIN terms USING (doc_id, name)
+        UNION ALL SELECT doc_id, path || '.3', 'query norm', {norm_sql(1, 2, 3)} FROM placed)"""
+
+
+@query("r11_explain_tree", f"{TREE} SELECT doc_id, score, path, name, round(v, 6) AS value FROM top JOIN nodes USING (doc_id)")
+def _(t):
+    """A bool in a dis_max in a boosting, told node by node."""
+    i = t.text_index()
+    the_, hand, only, more = (Q.term(i, "text", w) for w in ("the", "hand", "only", "more"))
+    asked = Q.boosting(Q.dis_max([Q.bool_(must=[the_], should=[hand]), only], tie_breaker=0.3), more, 0.2)
+    page = View(i.docs, "doc_id").matching(asked).explain()
+    return page.select("doc_id", F.col("_score").alias("score"), F.explode("explanation").alias("n")).select(
+        "doc_id", "score", F.array_join(F.col("n.path").cast("array<string>"), ".").alias("path"),
+        F.col("n.description").alias("name"), F.round("n.value", 6).alias("value"))
+
+
 hit("r12_track_scores", "SELECT doc_id, score FROM hits ORDER BY n_chars, doc_id LIMIT 20", lambda v: scored(v.sort("n_chars").track_scores().page(0, 20).hits()))
 hit("r12_untracked_scores", "SELECT doc_id, NULL::DOUBLE AS score FROM hits ORDER BY n_chars, doc_id LIMIT 20", lambda v: scored(v.sort("n_chars").page(0, 20).hits()))
 hit("r13_first", "SELECT doc_id, score FROM hits ORDER BY score DESC, doc_id LIMIT 1", lambda v: scored(v.first()))

@@ -37,6 +37,18 @@ from corpusgrid.operators.index import TextIndex, field_analyzer
 from corpusgrid.session import literal_rows, materialise
 
 
+@dataclass(frozen=True)
+class Made:
+    """What an explanation tells of a clause: its value is what ``how`` makes of those clauses
+    ``of`` it that matched, times its factors. ``coord`` is the number of clauses of which the
+    matched share is a factor."""
+
+    how: str
+    of: Callable[[], list[Clause]] = list
+    factors: Callable[[float, DataFrame], DataFrame] | None = None  # (key, ord, description, value)
+    coord: int = 0
+
+
 @dataclass(frozen=True)
 class Clause:
     """``ssw`` is 0 for clauses that score the same whatever is asked."""
@@ -45,6 +57,7 @@ class Clause:
     hits: Callable[[float | DataFrame], DataFrame]
     ssw: float | DataFrame = 0.0
     marks: tuple = ()  # (index, field, terms as a table made on demand): what a highlight shows
+    made: Made = Made("score")
 
     def raw(self) -> DataFrame:
         """Scored rows with the query norm applied, full precision."""
@@ -66,6 +79,16 @@ def _union(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _factors(*told: tuple[str, Column]) -> Column:
+    """Generator of factor rows ``(ord, description, value)``."""
+    return F.inline(F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(name).alias("description"), value.cast("double").alias("value"))
+                              for i, (name, value) in enumerate(told)]))
+
+
+def _constant_factor(key: str, name: str, value: float) -> Callable[[float, DataFrame], DataFrame] | None:
+    return None if value == 1 else lambda _norm, ids_: ids_.select(key, _factors((name, F.lit(float(value)))))
+
+
 def _total_ssw(clauses: list[Clause], factor: float = 1.0) -> float | DataFrame:
     tables = [c.ssw for c in clauses if isinstance(c.ssw, DataFrame)]
     if not tables:
@@ -115,9 +138,9 @@ def _by_term(values: dict[str, float]) -> Column:
 
 
 def _one_query(index: TextIndex, field: str, terms: list[str], boosts: list[float],
-               need: int = 1, coord: bool = True) -> Clause:
+               need: int = 1, coord: bool = True, idf: dict[str, float] | None = None) -> Clause:
     """Sum of term scores for one query; at least ``need`` clauses must match."""
-    idf = _idfs(index, field, terms)
+    idf = idf or _idfs(index, field, terms)
     ssw = sum((idf[t] * b) ** 2 for t, b in zip(terms, boosts))
     uses = Counter(terms)
 
@@ -136,7 +159,18 @@ def _one_query(index: TextIndex, field: str, terms: list[str], boosts: list[floa
         score = F.col("score") * F.col("matched") / len(terms) if coord else F.col("score")
         return sums.filter(F.col("matched") >= need).select(F.lit(0).alias("qid"), index.key, score.alias("score"))
 
-    return Clause(index.key, hits, ssw, _marks(index, field, list(uses)))
+    def factors(qnorm: float, ids_: DataFrame) -> DataFrame:
+        rows = index.lookup(field, terms).join(ids_, index.key, "left_semi")
+        told = [("tf", F.sqrt("tf")), ("idf squared", F.lit(idf[terms[0]] ** 2)), ("field norm", 1 / F.sqrt("field_len")),
+                ("query norm", F.lit(float(qnorm)))]
+        return rows.select(index.key, _factors(*told, *([("boost", F.lit(boosts[0]))] if boosts[0] != 1 else [])))
+
+    if len(terms) == 1:
+        made = Made(f"{field}:{terms[0]}", factors=factors)
+    else:
+        made = Made("sum of:", lambda: [_one_query(index, field, [t], [b], idf=idf) for t, b in zip(terms, boosts)],
+                    coord=len(terms) if coord else 0)
+    return Clause(index.key, hits, ssw, _marks(index, field, list(uses)), made)
 
 
 def _marks(index: TextIndex, field: str, terms_: list[str]) -> tuple:
@@ -301,7 +335,8 @@ def _phrase(index: TextIndex, field: str, groups: dict[int, list[str]], slop: in
 
     marks = ((index, field, lambda: wanted().select("term").distinct(),
               lambda tokens: phrase_places(tokens, index.key, wanted(), n, slop)),)
-    return Clause(index.key, hits, (weight * boost) ** 2, marks)
+    words = " ".join(t for _, t in sorted(slots)) + ("*" if tail is not None else "")
+    return Clause(index.key, hits, (weight * boost) ** 2, marks, Made(f'{field}:"{words}"'))
 
 
 def _phrase_slots(index: TextIndex, field: str, texts: DataFrame, analyzer=None) -> DataFrame:
@@ -432,7 +467,7 @@ def no_hits(index: TextIndex) -> Clause:
 
 def _constant(key: str, rows: DataFrame, boost: float) -> Clause:
     scored = rows.select(F.lit(0).alias("qid"), key, F.lit(float(boost)).alias("score"))
-    return Clause(key, lambda _norm: scored)
+    return Clause(key, lambda _norm: scored, made=Made("constant"))
 
 
 def _vocab_match(index: TextIndex, field: str, test: Column, boost: float) -> Clause:
@@ -728,7 +763,8 @@ def nested(docs: DataFrame, key: str, path: str, score: Callable[[Column], Colum
 
 def boost(clause: Clause, factor: float) -> Clause:
     """Weigh a clause inside a larger query."""
-    return Clause(clause.key, lambda norm: _times(clause.hits(norm), factor), _total_ssw([clause], factor), clause.marks)
+    made = Made("product of:", lambda: [clause], _constant_factor(clause.key, "boost", factor))
+    return Clause(clause.key, lambda norm: _times(clause.hits(norm), factor), _total_ssw([clause], factor), clause.marks, made)
 
 
 def _all_marks(clauses: list[Clause]) -> tuple:
@@ -799,7 +835,8 @@ def bool_(must=(), should=(), must_not=(), minimum_should_match: int | None = No
         coord = F.lit(1.0) if disable_coord else F.col("matched") / total
         return kept.select("qid", key, (F.col("score") * coord * float(factor)).alias("score"))
 
-    return Clause(key, hits, _total_ssw(must + should, factor), _all_marks(must + should))
+    made = Made("sum of:", lambda: must + should, _constant_factor(key, "boost", factor), 0 if disable_coord else total)
+    return Clause(key, hits, _total_ssw(must + should, factor), _all_marks(must + should), made)
 
 
 def not_(clause: Clause, docs: DataFrame) -> Clause:
@@ -820,7 +857,9 @@ def dis_max(clauses: list[Clause], tie_breaker: float = 0.0, factor: float = 1.0
         score = F.col("best") + (F.col("total") - F.col("best")) * float(tie_breaker)
         return best.select("qid", key, (score * float(factor)).alias("score"))
 
-    return Clause(key, hits, _total_ssw(clauses, factor), _all_marks(clauses))
+    how = "max of:" if not tie_breaker else f"max plus {float(tie_breaker)} times the others of:"
+    made = Made(how, lambda: list(clauses), _constant_factor(key, "boost", factor))
+    return Clause(key, hits, _total_ssw(clauses, factor), _all_marks(clauses), made)
 
 
 def boosting(positive: Clause, negative: Clause, negative_boost: float) -> Clause:
@@ -834,12 +873,18 @@ def boosting(positive: Clause, negative: Clause, negative_boost: float) -> Claus
         return positive.hits(norm).join(bad, on, "left").select(
             "qid", positive.key,
             (F.col("score") * F.when(F.col("bad"), F.lit(float(negative_boost))).otherwise(1.0)).alias("score"))
-    return replace(positive, hits=hits)
+
+    def factors(_norm, ids_):
+        rows = ids_.join(negative.raw().select(positive.key), positive.key, "left_semi")
+        return rows.select(positive.key, _factors(("negative boost", F.lit(float(negative_boost)))))
+
+    return replace(positive, hits=hits, made=Made("product of:", lambda: [positive], factors))
 
 
 def custom_boost(clause: Clause, factor: float) -> Clause:
     """Multiply the final score (not part of the query norm)."""
-    return replace(clause, hits=lambda norm: _times(clause.hits(norm), factor))
+    made = Made("product of:", lambda: [clause], _constant_factor(clause.key, "boost", factor))
+    return replace(clause, hits=lambda norm: _times(clause.hits(norm), factor), made=made)
 
 
 def custom_score(clause: Clause, docs: DataFrame, expression, **params) -> Clause:
@@ -848,7 +893,7 @@ def custom_score(clause: Clause, docs: DataFrame, expression, **params) -> Claus
         rows = clause.hits(norm).withColumnRenamed("score", "_score").join(docs, clause.key)
         value = flt.script_value(expression, **params).cast("double")
         return rows.select("qid", clause.key, value.alias("score"))
-    return replace(clause, hits=hits)
+    return replace(clause, hits=hits, made=Made("script over:", lambda: [clause]))
 
 
 def custom_filters_score(clause: Clause, docs: DataFrame, filters: list[tuple[Column, object]],
@@ -858,7 +903,7 @@ def custom_filters_score(clause: Clause, docs: DataFrame, filters: list[tuple[Co
     Each filter comes with a number or a script Column. ``first`` takes the
     first match; min, max, total, avg and multiply fold all matches.
     """
-    def hits(norm):
+    def weighed(norm):
         rows = clause.hits(norm).withColumnRenamed("score", "_score").join(docs, clause.key)
         factors = F.array_compact(F.array(*[
             F.when(p, v.cast("double") if isinstance(v, Column) else F.lit(float(v))) for p, v in filters]))
@@ -871,8 +916,16 @@ def custom_filters_score(clause: Clause, docs: DataFrame, filters: list[tuple[Co
         factor = F.when(F.size(f) == 0, F.lit(1.0)).otherwise(folded)
         if max_boost is not None:
             factor = F.least(factor, F.lit(float(max_boost)))
-        return rows.select("qid", clause.key, (F.col("_score") * factor).alias("score"))
-    return replace(clause, hits=hits)
+        return rows.select("qid", clause.key, "_score", factor.alias("_factor"))
+
+    def hits(norm):
+        return weighed(norm).select("qid", clause.key, (F.col("_score") * F.col("_factor")).alias("score"))
+
+    def factors(norm, ids_):
+        rows = weighed(norm).join(ids_, clause.key, "left_semi")
+        return rows.select(clause.key, _factors(("filters", F.col("_factor"))))
+
+    return replace(clause, hits=hits, made=Made("product of:", lambda: [clause], factors))
 
 
 def filtered(clause: Clause, docs: DataFrame, predicate: Column) -> Clause:
@@ -900,7 +953,7 @@ def indices(docs: DataFrame, names: list[str], clause: Clause, no_match: Clause
     elif no_match != "none":
         raise ValueError("no_match is a clause, 'all' or 'none'")
     return Clause(clause.key, lambda norm: _union([p.hits(norm).select("qid", clause.key, "score") for p in parts]),
-                  _total_ssw(parts), _all_marks(parts))
+                  _total_ssw(parts), _all_marks(parts), Made("sum of:", lambda: parts))
 
 
 def text_query(index: TextIndex, fields: list[str], required: str = "", optional: str = "",

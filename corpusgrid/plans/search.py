@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusgrid.operators import queries as Q
 from corpusgrid.operators import schema
+from corpusgrid.operators.explain import explanation
 from corpusgrid.operators.highlight import highlight, highlight_marks
 from corpusgrid.operators.queries import Clause
 from corpusgrid.session import materialise
@@ -249,6 +250,14 @@ class View:
         by_index = ["_index"] if "_index" in self.docs.columns else []
         return kept, doomed.groupBy(*by_index).agg(F.count(F.lit(1)).alias("deleted"))
 
+    def explain(self) -> DataFrame:
+        """Hits with ``explanation``, derived from the query itself: the nodes of its tree,
+        see ``operators.explain``. The page is written once and only its rows are explained;
+        weights of indices are no part of the query and not shown."""
+        page = materialise(self.hits(), "page")
+        query = self.query or Q.match_all(self.docs, self.key)
+        return page.join(explanation(query, page.select(self.key)), self.key, "left")
+
     def explain_scores(self, parts: list[tuple[str, Clause]]) -> DataFrame:
         """Hits with ``explanation``: the score and one detail per clause of the query.
 
