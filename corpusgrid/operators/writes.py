@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusgrid.session import materialise
+from corpusgrid.operators.components import components
+from corpusgrid.session import materialise, table_path
 
 KEY = ["_type", "_id"]
 
@@ -393,8 +395,10 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
     rows after it. Each id occurs once in the batch.
 
     Every round accepts the rows that come first for all their keys and drops the
-    rows that lost one, until nothing is open. A round is a partial minimum per
-    key, so a key shared by a third of all rows is settled at once.
+    rows that lost one. A round is a partial minimum per key, so a key shared by a
+    third of all rows is settled at once. What is open after ``FIRST_ROUNDS`` is rows
+    chained by several keys: components of up to ``COMPONENT_ROWS`` are settled whole, each
+    in one pass by ``_seq``; larger ones go on by rounds until nothing is open.
     """
     waits = held is not None
     if held is None:
@@ -412,31 +416,24 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
         F.when(F.col("freed_by") < F.col("_seq"), F.col("freed_by")).alias("wait_for"),
         (F.coalesce("is_held", F.lit(False)) & ~F.coalesce(F.col("freed_by") < F.col("_seq"), F.lit(False))).alias("lost")))
     open_ = materialise(open_, "unique-open")
-    # rows with nothing to check are in
-    accepted = materialise(batch.select("_seq").join(open_.select("_seq"), "_seq", "left_anti"), "unique-ok")
-    decided = accepted.withColumn("ok", F.lit(True))
+    # rows with nothing to check are in; every round adds a folder, the plan stays one scan
+    root = table_path(batch.sparkSession, "unique-decided")
+    seq = batch.schema["_seq"].dataType.simpleString()
+    batch.select("_seq").join(open_.select("_seq"), "_seq", "left_anti").withColumn("ok", F.lit(True)).write.parquet(f"{root}/round=0")
+
+    def decided() -> DataFrame:
+        return batch.sparkSession.read.schema(f"_seq {seq}, ok boolean, round int").parquet(root).drop("round")
+
+    round_ = 0
     while not open_.isEmpty():
-        first = open_.groupBy(*pair).agg(F.min("_seq").alias("first"))
-        verdict = open_.join(first, pair)
-        if waits:
-            verdict = verdict.join(decided.withColumnRenamed("_seq", "wait_for"), "wait_for", "left")
-        else:
-            verdict = verdict.withColumn("ok", F.lit(None).cast("boolean"))
-        waiting = F.col("wait_for").isNotNull() & F.col("ok").isNull()
-        lost = F.col("lost") | F.coalesce(~F.col("ok"), F.lit(False))
-        settled = verdict.groupBy("_seq").agg(
-            F.bool_or(lost).alias("lost"),
-            F.bool_and((F.col("_seq") == F.col("first")) & ~waiting).alias("ready")).select(
-            "_seq", "lost", (F.col("ready") & ~F.col("lost")).alias("win"))
-        # a row whose key goes to a winner is out
-        winners = settled.filter("win").select(F.col("_seq").alias("first"))
-        robbed = (verdict.filter("first <> _seq").join(winners, "first", "left_semi")
-                  .select("_seq", F.lit(True).alias("lost"), F.lit(False).alias("win")))
-        new = materialise(settled.filter("win or lost").unionByName(robbed)
-                          .groupBy("_seq").agg(F.bool_or("win").alias("ok")), "unique-new")
-        accepted = accepted.unionByName(new.filter("ok").select("_seq"))
-        decided = decided.unionByName(new)
-        open_ = materialise(open_.join(new, "_seq", "left_anti"), "unique-open")
+        round_ += 1
+        known = decided().withColumnRenamed("_seq", "wait_for")
+        told = open_.join(known, "wait_for", "left") if waits else open_.withColumn("ok", F.lit(None).cast("boolean"))
+        new = _settle_components(open_, told, seq) if round_ == FIRST_ROUNDS + 1 else _settle_firsts(told)
+        new.write.parquet(f"{root}/round={round_}")
+        settled = batch.sparkSession.read.schema(f"_seq {seq}, ok boolean").parquet(f"{root}/round={round_}")
+        open_ = materialise(open_.join(settled, "_seq", "left_anti"), "unique-open")
+    accepted = decided().filter("ok").select("_seq")
     kept = batch.join(accepted, "_seq", "left_semi")
     dropped = batch.join(accepted, "_seq", "left_anti")
     won = wanted.join(accepted, "_seq", "left_semi")
@@ -453,6 +450,63 @@ def enforce_unique(batch: DataFrame, keys: dict[str, Column], held: DataFrame |
     return UniqueResult(kept, dropped.join(failed, "_seq", "left"), table)
 
 
+def _settle_firsts(told: DataFrame) -> DataFrame:
+    """``(_seq, ok)`` of open rows that come first for all their keys or lose one."""
+    first = told.groupBy("key_name", "value").agg(F.min("_seq").alias("first"))
+    verdict = told.join(first, ["key_name", "value"])
+    waiting = F.col("wait_for").isNotNull() & F.col("ok").isNull()
+    lost = F.col("lost") | F.coalesce(~F.col("ok"), F.lit(False))
+    settled = verdict.groupBy("_seq").agg(
+        F.bool_or(lost).alias("lost"),
+        F.bool_and((F.col("_seq") == F.col("first")) & ~waiting).alias("ready")).select(
+        "_seq", "lost", (F.col("ready") & ~F.col("lost")).alias("win"))
+    # a row whose key goes to a winner is out
+    winners = settled.filter("win").select(F.col("_seq").alias("first"))
+    robbed = (verdict.filter("first <> _seq").join(winners, "first", "left_semi")
+              .select("_seq", F.lit(True).alias("lost"), F.lit(False).alias("win")))
+    return settled.filter("win or lost").unionByName(robbed).groupBy("_seq").agg(F.bool_or("win").alias("ok"))
+
+
+FIRST_ROUNDS = 4
+COMPONENT_ROWS = 100_000  # rows (_seq, key) of a component that one task settles
+
+
+def _settle_components(open_: DataFrame, told: DataFrame, seq: str) -> DataFrame:
+    """``(_seq, ok)`` of all open rows in components of a bounded size.
+
+    Rows are linked to the first row of each of their keys and to the open row that is to
+    free one, so what a row depends on is in its component.
+    """
+    first = open_.groupBy("key_name", "value").agg(F.min("_seq").alias("b"))
+    links = open_.join(first, ["key_name", "value"]).select(F.col("_seq").alias("a"), "b")
+    frees = open_.filter("wait_for is not null").select(F.col("_seq").alias("a"), F.col("wait_for").alias("b"))
+    frees = frees.join(open_.select(F.col("_seq").alias("b")), "b", "left_semi").select("a", "b")
+    named = components(links.unionByName(frees)).withColumnRenamed("node", "_seq")
+    sizes = open_.join(named, "_seq").groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    small = named.join(sizes.filter(F.col("n") <= COMPONENT_ROWS), "component").select("_seq", "component")
+    # no nulls, so that numbers stay whole ones
+    rows = told.join(small, "_seq").select(
+        "component", "_seq", "key_name", "value", "lost", F.col("wait_for").isNotNull().alias("waits"),
+        F.coalesce("wait_for", "_seq").alias("wait_for"), F.coalesce("ok", F.lit(False)).alias("ok"))
+    return rows.groupBy("component").applyInPandas(_settle_in_order, f"_seq {seq}, ok boolean")
+
+
+def _settle_in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    """Greedy by ``_seq`` inside one component; what a row waits for comes before it."""
+    taken, out = set(), {}
+    columns = ("_seq", "key_name", "value", "lost", "waits", "wait_for", "ok")
+    wants = zip(*(rows.sort_values("_seq")[c].tolist() for c in columns))
+    for seq, group in groupby(wants, key=lambda w: w[0]):
+        pairs, ok = set(), True
+        for _, name, value, lost, waits, wait_for, freed in group:
+            pairs.add((name, value))
+            ok = ok and not lost and (name, value) not in taken and (not waits or out.get(wait_for, freed))
+        out[seq] = ok
+        if ok:
+            taken |= pairs
+    return pd.DataFrame({"_seq": list(out), "ok": list(out.values())})
+
+
 def write_unique(current: DataFrame, batch: DataFrame, keys: dict[str, Column], held: DataFrame) -> tuple[WriteResult, DataFrame]:
     """Write and unique keys as one: ``(result, key table)``. Each id occurs once in the batch.
 

@@ -3,10 +3,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusgrid.operators import components as C
 from corpusgrid.operators import lifecycle as X
 from corpusgrid.operators import schema as S
 from corpusgrid.operators import writes as W
 from corpusgrid.operators.refs import resolve_refs
+from corpusgrid.session import materialise
 from corpusgrid.sources import domain as D
 from corpusgrid.streaming import upsert as N
 
@@ -196,6 +198,59 @@ def test_unique_against_a_loop(spark):
     assert sorted(r["_id"] for r in got.collect()) == sorted(want)
 
 
+def chain(n, first=0):
+    """Each row shares a key with the one before and a key with the one after it."""
+    return [(f"{first + i}", f"m{first}-{(i + 1) // 2}", f"a{first}-{i // 2}") for i in range(n)]
+
+
+def two_keys():
+    return {"key_email": F.col("email"), "key_account": F.col("account")}
+
+
+def test_a_long_chain_takes_few_writes(spark, monkeypatch):
+    written = []
+    for module in (W, C):
+        monkeypatch.setattr(module, "materialise", lambda df, name: written.append(name) or materialise(df, name))
+    batch = users(spark, *chain(10_000))
+    got = W.enforce_unique(batch, two_keys()).accepted
+    assert sorted(int(r["_id"]) for r in got.select("_id").collect()) == list(range(0, 10_000, 2))
+    assert len(written) < 80
+
+
+def test_chains_by_components_and_by_rounds_agree(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [r for i, n in enumerate([30, 1, 13, 22]) for r in chain(n, 1000 * i)]
+    rows += [(f"x{i}", f"m0-{rng.randint(0, 20)}", rng.choice([None, f"a1000-{i}", f"a2000-{rng.randint(0, 9)}"])) for i in range(30)]
+    rng.shuffle(rows)
+    used, want = set(), set()
+    for i, e, a in rows:
+        mine = {("e", e)} | ({("a", a)} if a else set())
+        if not mine & used:
+            used |= mine
+            want.add(i)
+    for bound in (100_000, 25, 0):
+        monkeypatch.setattr(W, "COMPONENT_ROWS", bound)
+        assert {r["_id"] for r in W.enforce_unique(users(spark, *rows), two_keys()).accepted.collect()} == want
+
+
+def test_a_chain_of_freed_keys(spark, monkeypatch):
+    """Each user takes the mail that the one before gives up; the first gets a new one or a taken one."""
+    for first, kept in (("fresh", 12), ("taken", 0)):
+        rows = [(i, first if i == 0 else f"m{i - 1}", None) for i in range(12)]
+        mine = held(spark, *[("key_email", f"m{i}", i) for i in range(12)], ("key_email", "taken", 99))
+        assert W.enforce_unique(users(spark, *rows), two_keys(), mine).accepted.count() == kept
+
+
+def test_components(spark):
+    links = [(1, 2), (2, 3), (3, 2), (9, 9), (5, 7), (7, 6), (6, 5), (20, 3)] + [(i, i + 1) for i in range(100, 200)] + [(300, i) for i in range(301, 340)]
+    rows = C.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len(rows) == len({r["node"] for r in rows})
+    by = {r["node"]: r["component"] for r in rows}
+    assert {n: c for n, c in by.items() if n < 100} == {1: 1, 2: 1, 3: 1, 20: 1, 9: 9, 5: 5, 6: 5, 7: 5}
+    assert {by[i] for i in range(100, 201)} == {100} and {by[i] for i in range(300, 340)} == {300}
+    assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 # --- lifecycle
 def collection(spark, n=196):
     i = F.col("id")
