@@ -204,6 +204,17 @@ def _(t):
     return W.enforce_unique(sign_ups(t), user_keys()).accepted.select("_id", "name", "account")
 
 
+@query("w07_unique_chain", """SELECT id FROM (SELECT c_custkey AS id, row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey) AS n FROM customer)
+    WHERE n % 2 = 1""")
+def _(t):
+    """Every customer wants a key of the one before and a key of the one after, in chains of up to 1000."""
+    chain, link = F.floor(F.col("c_custkey") / 1000), F.col("c_custkey") % 1000
+    batch = t.customer.select(F.lit("user").alias("_type"), F.col("c_custkey").cast("string").alias("_id"), F.col("c_custkey").cast("long").alias("_seq"),
+                              F.concat_ws("-", chain, F.floor((link + 1) / 2)).alias("name"), F.concat_ws("-", chain, F.floor(link / 2)).alias("account"))
+    kept = W.enforce_unique(batch, {"key_name": F.col("name"), "key_account": F.col("account")}).accepted
+    return kept.select(F.col("_seq").alias("id"))
+
+
 @query("w07_unique_single_key", "SELECT min(c_custkey) AS id, 'u' || c_custkey % 700 AS name FROM customer GROUP BY 2")
 def _(t):
     """With one key the greedy order keeps the first row of each value."""
