@@ -60,6 +60,9 @@ class Phrases:
     def __len__(self) -> int:
         return len(self.lo)
 
+    def of(self, kept: np.ndarray) -> Phrases:
+        return Phrases(*(c[kept] for c in (self.lo, self.back, self.size, self.base, self.symbol)))
+
 
 def spans(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of the interval, place) of every place of the intervals."""

@@ -4,7 +4,7 @@ Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends and nu
 by word into shards of one language and about ``SHARD`` words, without moving a text. Every
 word gets an id, and every shard builds a two-way FM-index of ids once, written with its
 transforms compressed. Rare words stay in it: taking them out first saves less the larger
-the corpus is.
+the corpus is. Their intervals are not extended, as no phrase is met more often than its words.
 
 Phrases grow by one word a round, to the right and to the left in turn: each shard extends
 the intervals of the phrases that are frequent over all shards, where both the phrase
@@ -141,13 +141,13 @@ def rows_of(kind: str, shard: int, **columns) -> Iterator[pa.RecordBatch]:
 
 
 def build(joined: DataFrame) -> DataFrame:
-    """The index of every shard, and its phrases of two words, from ``shard, size, text, known``."""
+    """The index of every shard, and its phrases of two frequent words, from ``shard, size, text, known``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
                 shard, size, text = (batch.column(k)[row].as_py() for k in range(3))
                 known = batch.column(3)[row].values
-                place, ids = (known.field(k).to_numpy() for k in range(2))
+                place, ids, often = (known.field(k).to_numpy(zero_copy_only=False) for k in range(3))
                 codes = unpacked(text, size)
                 symbol = np.zeros(int(codes.max(initial=0)) + 1, np.int32)
                 order = np.argsort(ids)  # symbols are in the order of ids
@@ -155,9 +155,11 @@ def build(joined: DataFrame) -> DataFrame:
                 index, ids = FmIndex.of(single_breaks(symbol[codes])), ids[order]
                 yield from rows_of("index", shard, forward=[packed(index.forward)], backward=[packed(index.backward)],
                                    size=[len(index.forward)], ids=[ids.astype("<i8").tobytes()])
-                found = index.extend(index.single(), left=False)
-                yield from rows_of("found", shard, base=ids[found.base], word=ids[found.symbol - 1], n=found.size)
-                del index, found, codes, known
+                single = index.single()
+                single = single.of(often[order][single.symbol - 1])
+                found = index.extend(single, left=False)
+                yield from rows_of("found", shard, base=ids[single.symbol[found.base] - 1], word=ids[found.symbol - 1], n=found.size)
+                del index, single, found, codes, known
                 tidy()
 
     return joined.select("shard", "size", "text", "known").mapInArrow(run, KINDS)
@@ -182,6 +184,7 @@ def grow(joined: DataFrame, grown_left: bool, left: bool) -> DataFrame:
                     bases = Phrases(*held, old, old)
                 else:
                     bases = index.single()
+                    bases = bases.of(np.isin(ids[bases.symbol - 1], np.concatenate([base, word])))
                     old = ids[bases.symbol - 1]
                 longer = index.extend(bases, grown_left)
                 key = np.searchsorted(old, base) * (len(ids) + 1) + np.searchsorted(ids, word) + 1
@@ -233,8 +236,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     totals = local.groupBy("lang").agg(F.sum("n").alias("n"))
     words = materialise(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
                         .withColumn("id", F.monotonically_increasing_id()), "words")
-    known = of_shards(local.select("shard", "lang", "place", "phrase").join(words.select("lang", "phrase", "id"), ["lang", "phrase"]),
-                      tasks, "known", "place", "id")
+    known = of_shards(local.select("shard", "lang", "place", "phrase").join(
+        words.select("lang", "phrase", "id", (F.col("f") >= least).alias("often")), ["lang", "phrase"]), tasks, "known", "place", "id", "often")
     name, rows = written(build(parts.select("shard", "size", "text").repartition(tasks, "shard").join(known, "shard")), tasks)
     tables, index, state = [name], rows.where("kind = 'index'").select("shard", *names_of(INDEX)), None
     levels = [words.where(F.col("f") >= least)]
