@@ -11,6 +11,7 @@ from corpusgrid.functions import analysis as A
 from corpusgrid.functions import geo
 from corpusgrid.operators.elements import ELEMENT, element_rows
 from corpusgrid.operators.index import TextIndex, build_index
+from corpusgrid.operators.schema import all_field
 from corpusgrid.session import spread, table_path
 from corpusgrid.sources.domain import as_documents, union_all
 from corpusgrid.sources.snapshots import BucketStore
@@ -54,6 +55,11 @@ class Tables:
         """Stored index of ``documents`` with the text cut at white space."""
         return self._index("words", lambda: self.documents.select("doc_id", "text"), "doc_id", {"text": A.analyzer("whitespace")})
 
+    def all_index(self) -> TextIndex:
+        """Stored index of ``documents`` with one field made of language, source and text."""
+        return self._index("all", lambda: all_field(self.documents.select("doc_id", "lang", "source", "text"), include=["lang", "source", "text"]),
+                           "doc_id", {"_all": TEXT})
+
     def line_index(self) -> TextIndex:
         """Stored index of the lines of ``documents``, as elements of their document."""
         return self._index("lines", lambda: element_rows(self.documents.select("doc_id", F.transform(

@@ -36,6 +36,21 @@ text("q01_match_and", match_sql(["the", "hand"], need=2), lambda i: Q.match(i, "
 text("q01_match_minimum", match_sql(["attion", "hand", "only", "zzzzabsent"], need=2),
      lambda i: Q.match(i, "text", "attion hand only zzzzabsent", minimum_should_match="50%"))
 
+EVERYWHERE = postings_sql(expression="concat_ws(' ', lang, source, text)")
+
+
+@query("q01_match_anywhere", f"WITH {EVERYWHERE}, {leaf_sql(1, ['en', 'hand', 'only'])} SELECT doc_id, round(s * {norm_sql(1)}, 6) AS score FROM c1")
+def _(t):
+    """No field: any of language, source and text."""
+    return scores(Q.anywhere(t.all_index(), "EN hand only"))
+
+
+@query("q01_match_anywhere_and", f"WITH {EVERYWHERE}, {leaf_sql(1, ['en', 'hand'], 2)} SELECT doc_id, round(s * {norm_sql(1)}, 6) AS score FROM c1")
+def _(t):
+    """Both words, which may stand in different fields."""
+    return scores(Q.anywhere(t.all_index(), "en hand", operator="and"))
+
+
 BATCH = f"""{POST},
     q AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+(?:[.''][\\p{{L}}\\p{{N}}]+)*')) AS term FROM benchmark),
     w AS (SELECT q.item_id, q.term, 1 + ln({N_SQL} / (coalesce(df, 0) + 1)) AS idf FROM q LEFT JOIN vocab v ON v.term = q.term),

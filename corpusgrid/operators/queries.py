@@ -248,6 +248,17 @@ def match(index: TextIndex, field: str, text: str | DataFrame, operator: str = "
     return _one_query(index, field, words, [float(boost)] * len(words), need)
 
 
+ALL = "_all"
+
+
+def anywhere(index: TextIndex, text: str | DataFrame, **options) -> Clause:
+    """Query text without a field: a match on the field that ``schema.all_field`` makes of
+    the others; options and tables of queries as for ``match``."""
+    if ALL not in index.analyzers:
+        raise ValueError(f"the index has no field {ALL}")
+    return match(index, ALL, text, **options)
+
+
 def term(index: TextIndex, field: str, value: str, boost: float = 1.0) -> Clause:
     """Exact term, not analysed."""
     return terms(index, field, [value], 1, boost)

@@ -8,6 +8,7 @@ from corpusgrid.functions import analysis as A
 from corpusgrid.operators import highlight as H
 from corpusgrid.operators import queries as Q
 from corpusgrid.operators.index import build_index
+from corpusgrid.operators.schema import all_field
 from corpusgrid.plans.search import View, ranked
 
 TEXTS = {1: "the quick brown fox", 2: "quick quick fox", 3: "the lazy dog", 4: "brown dog and the quick fox jumps", 5: "fox brown quick", 6: ""}
@@ -320,6 +321,15 @@ def test_indices_for_the_rest(index):
     assert len(found(Q.indices(index.docs, [3], hit, index_column="id"))) == 6
 
 
+def test_words_of_any_field(spark, index):
+    rows = spark.createDataFrame([(1, "red", "fox"), (2, None, "red dog"), (3, "fox", None), (4, None, None)], "id long, title string, text string")
+    whole = build_index(all_field(rows, include=["title", "text"]), "id", {"_all": A.analyzer("whitespace")})
+    assert set(found(Q.anywhere(whole, "red fox", operator="and"))) == {1}
+    assert set(found(Q.anywhere(whole, "red fox"))) == {1, 2, 3}
+    with pytest.raises(ValueError):
+        Q.anywhere(index, "fox")
+
+
 def test_explanations_add_up(index):
     view = View(index.docs, "id").matching(Q.match(index, "text", "quick fox lazy"))
     rows = view.explain_scores([(w, Q.term(index, "text", w)) for w in ("quick", "fox", "lazy")]).collect()
