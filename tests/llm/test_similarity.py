@@ -96,6 +96,38 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert M.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_near_duplicates_of_few_agreeing_samples_are_verified(spark):
+    rng = random.Random(25001)  # of its 64 samples 37 agree, one band among them, though the similarity is 0.804
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(18)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1] + ["other"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = M.idf(df)
+    assert brute_classes(rows, weights) == {frozenset([0, 1])}
+    _, samples = M.Sampler(weights).samples(*shingles(Words(pa.array([t for _, t in rows]))))
+    assert (samples[0] == samples[1]).sum() < M.AGREE
+    assert {r.class_id for r in M.near_duplicates(df).collect()} == {1}
+
+
+def test_pairs_ruled_out_by_their_masses_are_below_the_threshold():
+    rng = random.Random(31)
+    weights = np.random.default_rng(2).uniform(1e-3, 9, 1 << M.DF_BITS)
+    texts = ["one", "one", "two"]
+    for n in (6, 40, 300, 3000):
+        base = text_of(rng, n)
+        texts += [base, base + " more"] + [edited(rng, base, max(1, n * k // 200)) for k in range(1, 12)] + [" ".join([base] * 2)]
+    column = pa.array(texts)
+    text, key, times = shingles(Words(column))
+    rows = M.masses(text, key, M.weigh(key, times, weights))
+    mass, sets = M.read_masses(pa.array(rows, pa.binary())), M.weighted(column, weights)
+    above = ruled_out = 0
+    for a in range(len(texts)):
+        open_ = M.possible(mass, a, np.arange(len(texts)))
+        near = np.array([M.similarity(sets[a], s) >= M.THRESHOLD for s in sets])
+        assert open_[near].all()
+        above, ruled_out = above + near.sum() - 1, ruled_out + (~open_).sum()
+    assert above > 30 and ruled_out > 1000
+
+
 def test_document_frequencies_are_exact(spark, monkeypatch):
     rng = random.Random(21)
     common = text_of(rng, 30)
