@@ -8,9 +8,10 @@ the corpus is. Their intervals are not extended, as no phrase is met more often
 
 Phrases grow by one word a round, to the right and to the left in turn: each shard extends
 the intervals of the phrases that are frequent over all shards, where both the phrase
-without its first word and that without its last word are, and sums across shards tell
-which of the new ones are frequent. These go back to the shards that hold them, which find
-their intervals again. The transforms stay in buckets of shards, so a round moves phrases
+without its first word and that without its last word are. One shuffle brings the rows of
+a new phrase together, one for each shard that holds it: their sum tells whether it is
+frequent, and if so the same rows go back to their shards, which find the intervals again.
+So nothing is joined to learn where a phrase is, and no list of phrases is broadcast. The transforms stay in buckets of shards, so a round moves phrases
 with their counts, never texts. The rounds are as many as the longest phrase has words,
 whatever the size of the corpus.
 
@@ -42,7 +43,6 @@ from corpusgrid.llm.tokens import blocks
 from corpusgrid.session import materialise, table_path
 
 SHARD, LEAST, LONGEST, TOP = 1 << 20, 100, 5, 2000
-FEW = 1 << 20  # rows of three numbers that are broadcast at most
 BREAK = b"\xff"  # no byte of UTF-8
 AS_READ = bytes(ord(BREAK) if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -218,6 +218,33 @@ def of_shards(rows: DataFrame, tasks: int, name: str, *columns: str) -> DataFram
     return rows.repartition(tasks, "shard").groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
+def settled(found: DataFrame, least: int, tasks: int) -> DataFrame:
+    """The rows ``shard, base, word`` of the phrases met ``least`` times over all shards, with their ``id`` and sum ``f``.
+
+    One row of each phrase is its ``first``. A task holds the numbers of some phrases.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [[c.to_numpy() for c in batch.columns] for batch in batches if batch.num_rows]
+        if held:
+            shard, base, word, n = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            order = np.lexsort((word, base))
+            shard, base, word, n = (c[order] for c in (shard, base, word, n))
+            new = np.concatenate([[True], (base[1:] != base[:-1]) | (word[1:] != word[:-1])])
+            phrase, f = np.cumsum(new) - 1, np.add.reduceat(n.astype(np.int64), np.flatnonzero(new))
+            rows = np.flatnonzero((f >= least)[phrase])
+            task = TaskContext.get().partitionId() << 33
+            for a in range(0, len(rows), 1 << 16):
+                some = rows[a:a + (1 << 16)]
+                yield pa.record_batch([pa.array(c) for c in (shard[some], base[some], word[some], phrase[some] + task, f[phrase[some]], new[some])],
+                                      names=["shard", "base", "word", "id", "f", "first"])
+            del shard, base, word, n, order, new, phrase, f, rows
+        tidy()
+
+    return found.select("shard", "base", "word", "n").repartition(tasks, "base", "word").mapInArrow(
+        run, "shard long, base long, word long, id long, f long, first boolean")
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(phrases, words per language).
 
@@ -244,19 +271,15 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     word = levels[0].select(F.col("id").alias("word"), F.col("phrase").alias("added"))
     for length in range(2, longest + 1):
         found, left = rows.where("kind = 'found'").select("shard", *names_of(FOUND)), length % 2 == 1
-        sums = found.groupBy("base", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        frequent = materialise(settled(found, least, max(tasks, n_parts // 2)), "settled")
         parents = levels[-1].select(F.col("id").alias("base"), "lang", "phrase")
         longer = F.concat_ws(" ", *(["added", "phrase"] if left else ["phrase", "added"]))
-        level = materialise(sums.join(parents, "base").join(word, "word").select(
-            "lang", longer.alias("phrase"), "f", "base", "word").withColumn("id", F.monotonically_increasing_id()), "phrases")
+        level = materialise(frequent.where("first").join(parents, "base").join(word, "word").select(
+            "lang", longer.alias("phrase"), "f", "id"), "phrases")
         levels.append(level)
-        n_frequent = level.count()
-        if length == longest or not n_frequent:
+        if length == longest or not level.count():
             break
-        frequent = level.select("base", "word", "id")
-        if n_frequent <= FEW:  # else both are shuffled
-            frequent = F.broadcast(frequent)
-        wanted = of_shards(found.select("shard", "base", "word").join(frequent, ["base", "word"]), tasks, "wanted", "base", "word", "id")
+        wanted = of_shards(frequent, tasks, "wanted", "base", "word", "id")
         met = index.join(wanted, "shard")
         if state is None:
             met = met.withColumn("state", F.lit(None).cast("array<struct<id: long, lo: int, back: int, n: int>>"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from corpusgrid.llm.fm_index import FmIndex, Phrases
-from corpusgrid.llm.phrases import Shard, collocations, frequent_phrases, shards, unpacked
+from corpusgrid.llm.phrases import Shard, collocations, frequent_phrases, settled, shards, unpacked
 
 
 @pytest.mark.parametrize("kinds", [1, 2, 5])
@@ -105,6 +105,25 @@ def test_sums_over_shards_alone_reach_the_threshold(spark):
     assert [r.phrase for r in collocations(docs, least=12, shard_words=1).collect()] == ["rare pair"]
 
 
+def test_rows_of_frequent_phrases_are_settled_without_a_join(spark):
+    rng = random.Random(8)
+    rows = [(shard, base << 33, word, rng.randint(1, 9)) for shard in range(20) for base in range(9) for word in range(9) if rng.random() < 0.6]
+    out = settled(spark.createDataFrame(rows, "shard long, base long, word long, n int").repartition(7), 60, 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    sums = Counter()
+    for _, base, word, n in rows:
+        sums[base, word] += n
+    got = out.collect()
+    assert 0 < sum(f >= 60 for f in sums.values()) < len(sums)
+    assert sorted((r.shard, r.base, r.word) for r in got) == sorted(r[:3] for r in rows if sums[r[1], r[2]] >= 60)
+    assert all(r.f == sums[r.base, r.word] for r in got)
+    named = {(r.base, r.word): r.id for r in got}
+    assert len(set(named.values())) == len(named) and all(named[r.base, r.word] == r.id for r in got)
+    assert sorted((r.base, r.word) for r in got if r.first) == sorted(named)
+    assert settled(out.limit(0).selectExpr("shard", "base", "word", "cast(f AS int) AS n"), 60, 3).count() == 0
+
+
 def test_no_phrases(spark):
     assert collocations(frame(spark, [("en", "a b")]).limit(0)).count() == 0
     assert collocations(frame(spark, [("en", "a b"), (None, None)])).count() == 0
