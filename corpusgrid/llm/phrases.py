@@ -2,20 +2,25 @@
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends and numbered word
 by word into shards of one language and about ``SHARD`` words, without moving a text. Every
-word gets an id, and every shard builds a two-way FM-index of ids once, written with its
-transforms compressed. Rare words stay in it: taking them out first saves less the larger
-the corpus is. Their intervals are not extended, as no phrase is met more often than its words.
+frequent word gets an id, and every shard builds a two-way FM-index of ids once, written with
+its transforms compressed. Other words part pieces there, as no phrase is met more often than
+its words.
 
 Phrases grow by one word a round, to the right and to the left in turn: each shard extends
 the intervals of the phrases that are frequent over all shards, where both the phrase
 without its first word and that without its last word are, and sums across shards tell
-which of the new ones are frequent. These go back to the shards that hold them, which find
-their intervals again. The transforms stay in buckets of shards, so a round moves phrases
+which of the new ones are frequent. A shard deals the phrases it finds, with their counts,
+to parts by their hash, as one row of packed numbers for each part. A part has all counts of
+its phrases; it sums them and answers every row by a row of numbers in the same order, 0 for
+rare phrases. The shard finds the same intervals in the same order again and reads off which
+are frequent, so no row is made for a phrase and a shard that holds it, and what goes back
+grows as what was sent. The transforms stay in buckets of shards, so a round moves phrases
 with their counts, never texts. The rounds are as many as the longest phrase has words,
 whatever the size of the corpus.
 
-A shard is bounded (or is one longer text), so its rows in one group are too; a language or
-a phrase with a third of all rows is spread over its shards and summed before the shuffle.
+A shard is bounded (or is one longer text), and a part has the phrases of ``OF_PART`` shards
+on average, whatever they are: a phrase has one count from each shard in it. Ids have 31 bits,
+which is enough for 2^31 frequent phrases of one length, so for 2 * 10^11 words at least.
 Every table between rounds is written to the shared folder.
 
 Defined results: a null text is empty, a null language is ``und``; repeated rows count each;
@@ -39,20 +44,24 @@ from pyspark.sql import functions as F
 from corpusgrid.llm.fm_index import DEPTH, FmIndex, Phrases
 from corpusgrid.llm.memory import small_batches, tidy
 from corpusgrid.llm.tokens import blocks
+from corpusgrid.llm.words import mix
 from corpusgrid.session import materialise, table_path
 
 SHARD, LEAST, LONGEST, TOP = 1 << 20, 100, 5, 2000
-FEW = 1 << 20  # rows of three numbers that are broadcast at most
+OF_PART = 4  # shards
+FEW = 1 << 18  # words that are broadcast at most
 BREAK = b"\xff"  # no byte of UTF-8
 AS_READ = bytes(ord(BREAK) if chr(b) in ".,;:!?\n\v\f\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def packed(a: np.ndarray) -> bytes:
-    return pa.compress(a.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+    """Compressed numbers of 32 bits, all their first bytes before all second ones, as high bytes are alike."""
+    return pa.compress(a.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
 
 
 def unpacked(blob: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(blob, 4 * size, codec="zstd", asbytes=True), "<i4")
+    planes = np.frombuffer(pa.decompress(blob, 4 * size, codec="zstd", asbytes=True), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4")[:, 0]
 
 
 def single_breaks(codes: np.ndarray) -> np.ndarray:
@@ -118,104 +127,156 @@ def shards(docs: DataFrame, shard_words: int = SHARD) -> DataFrame:
         number, "shard long, lang string, words array<string>, counts array<long>, size long, text binary")
 
 
-FOUND = "base long, word long, n int"  # a phrase of this shard, as one word more on a frequent phrase
-INDEX = "forward binary, backward binary, size long, ids binary"
-KINDS = "shard long, base long, word long, n int, id long, lo int, back int, forward binary, backward binary, size long, ids binary, kind string"
+INDEX, PACKED = "forward binary, backward binary, size long, ids binary", "part int, packed binary, size long"
+KINDS = "shard long, part int, packed binary, forward binary, backward binary, size long, ids binary, kind string"
+SETTLED = "shard long, part int, packed binary, size long, base long, word long, id long, f long, kind string"
+ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
 
 
 def names_of(schema: str) -> list[str]:
     return re.findall(r"(\w+) \w+", schema)
 
 
-def rows_of(kind: str, shard: int, **columns) -> Iterator[pa.RecordBatch]:
-    """Rows of ``KINDS`` in batches of bounded size, null where ``columns`` has nothing."""
-    types = dict(re.findall(r"(\w+) (\w+)", KINDS))
-    arrow = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+def rows_of(schema: str, kind: str, **columns) -> pa.RecordBatch:
+    """Rows of ``schema``, null where ``columns`` has nothing."""
+    types = dict(re.findall(r"(\w+) (\w+)", schema))
     n = len(next(iter(columns.values())))
-    for a in range(0, n, 1 << 16):
-        some = {c: v[a:a + (1 << 16)] for c, v in columns.items()}
-        m = min(n - a, 1 << 16)
-        some |= {"shard": np.full(m, shard), "kind": [kind] * m}
-        yield pa.record_batch([pa.array(some[c], arrow[t]) if c in some else pa.nulls(m, arrow[t]) for c, t in types.items()],
-                              names=list(types))
+    columns["kind"] = [kind] * n
+    return pa.record_batch([pa.array(columns[c], ARROW[t]) if c in columns else pa.nulls(n, ARROW[t]) for c, t in types.items()],
+                           names=list(types))
 
 
-def build(joined: DataFrame) -> DataFrame:
-    """The index of every shard, and its phrases of two frequent words, from ``shard, size, text, known``."""
+def dealt(base: np.ndarray, word: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of phrases by the part of their hash, and where the parts begin and end in it."""
+    part = (mix(base.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def sent(shard: int, base: np.ndarray, word: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each part with phrases, ``size`` of them packed as steps between bases, words and counts."""
+    order, ends = dealt(base, word, parts)
+    columns = [c[order] for c in (base, word, n)]
+    full = np.flatnonzero(np.diff(ends))
+    packs = []
+    for p in full:
+        bases, words, counts = (c[ends[p]:ends[p + 1]] for c in columns)
+        packs.append(packed(np.concatenate([np.diff(bases, prepend=0), words, counts])))
+    return rows_of(KINDS, "found", shard=[shard] * len(full), part=full, packed=packs, size=np.diff(ends)[full])
+
+
+def build(joined: DataFrame, parts: int) -> DataFrame:
+    """The index of every shard, and its phrases of two frequent words, from ``shard, size, text, known``.
+
+    ``known`` has the place of each frequent word in the upper and its id in the lower 32 bits.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
                 shard, size, text = (batch.column(k)[row].as_py() for k in range(3))
-                known = batch.column(3)[row].values
-                place, ids, often = (known.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                known = batch.column(3)[row].values.to_numpy()
+                place, ids = known >> 32, known & 0xFFFFFFFF
                 codes = unpacked(text, size)
                 symbol = np.zeros(int(codes.max(initial=0)) + 1, np.int32)
                 order = np.argsort(ids)  # symbols are in the order of ids
                 symbol[place[order] + 1] = np.arange(1, len(place) + 1)
                 index, ids = FmIndex.of(single_breaks(symbol[codes])), ids[order]
-                yield from rows_of("index", shard, forward=[packed(index.forward)], backward=[packed(index.backward)],
-                                   size=[len(index.forward)], ids=[ids.astype("<i8").tobytes()])
+                yield rows_of(KINDS, "index", shard=[shard], forward=[packed(index.forward)], backward=[packed(index.backward)],
+                              size=[len(index.forward)], ids=[ids.astype("<i8").tobytes()])
                 single = index.single()
-                single = single.of(often[order][single.symbol - 1])
                 found = index.extend(single, left=False)
-                yield from rows_of("found", shard, base=ids[single.symbol[found.base] - 1], word=ids[found.symbol - 1], n=found.size)
+                yield sent(shard, ids[single.symbol[found.base] - 1], ids[found.symbol - 1], found.size, parts)
                 del index, single, found, codes, known
                 tidy()
 
     return joined.select("shard", "size", "text", "known").mapInArrow(run, KINDS)
 
 
-def grow(joined: DataFrame, grown_left: bool, left: bool) -> DataFrame:
+def settled(found: DataFrame, least: int, parts: int, last: bool) -> DataFrame:
+    """Rows ``frequent`` with ``base, word, id, f`` of the phrases met ``least`` times over all shards, and the answers.
+
+    An answer has a number for each phrase of the row of a shard, in its order: 0 if it is
+    rare, else 1 more than its id. After the ``last`` round there is none.
+    """
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        part, sizes = key[0].as_py(), rows["size"].to_numpy()
+        held = [unpacked(blob.as_py(), 3 * size).reshape(3, size) for blob, size in zip(rows["packed"], sizes)]
+        phrase = np.concatenate([np.cumsum(h[0], dtype=np.int64) << 32 | h[1] for h in held])
+        n = np.concatenate([h[2] for h in held]).astype(np.int64)
+        order = np.argsort(phrase)
+        phrase = phrase[order]
+        first = np.flatnonzero(np.concatenate([[True], phrase[1:] != phrase[:-1]]))
+        f = np.add.reduceat(n[order], first)
+        frequent = f >= least
+        name = (np.cumsum(frequent) - 1) * parts + part
+        if name[-1] >= (1 << 31) - 1:
+            raise OverflowError("more frequent phrases of one length than ids of 31 bits")
+        phrase = phrase[first][frequent]
+        out = [rows_of(SETTLED, "frequent", base=phrase >> 32, word=phrase & 0xFFFFFFFF, id=name[frequent], f=f[frequent])]
+        if not last:
+            answer = np.empty(len(order), np.int32)
+            answer[order] = np.repeat(np.where(frequent, name + 1, 0), np.diff(np.append(first, len(order))))
+            packs = [packed(a) for a in np.split(answer, np.cumsum(sizes)[:-1])]
+            out.append(rows_of(SETTLED, "answer", shard=rows["shard"].to_numpy(), part=[part] * len(packs), packed=packs, size=sizes))
+        return pa.Table.from_batches(out)
+
+    rows = found.groupBy("part").applyInArrow(run, SETTLED)
+    path = table_path(found.sparkSession, "settled")
+    rows.write.partitionBy("kind").parquet(path)
+    return found.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def grow(joined: DataFrame, grown_left: bool, left: bool, parts: int) -> DataFrame:
     """The frequent phrases of each shard with their intervals, and the phrases one word longer.
 
-    A row has an index, the phrases ``wanted`` as ``(base, word, id)`` and the intervals of
-    their bases in ``state``, or null where the bases are words.
+    A row has an index, the ``answers`` on the phrases it was extended to last and the
+    intervals of their bases in ``state``, or null where the bases are words.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
-                shard, forward, backward, size, ids = (batch.column(k)[row].as_py() for k in range(5))
+                shard, forward, backward, size, ids, answers, state = (c[row].as_py() for c in batch.columns)
                 ids, index = np.frombuffer(ids, "<i8"), FmIndex(unpacked(forward, size), unpacked(backward, size))
-                base, word, new = (batch.column(5)[row].values.field(k).to_numpy() for k in range(3))
-                if batch.column(6)[row].is_valid:
-                    old, *held = (batch.column(6)[row].values.field(k).to_numpy().astype(np.int64) for k in range(4))
-                    order = np.argsort(old)
-                    old, held = old[order], [c[order] for c in held]
-                    bases = Phrases(*held, old, old)
-                else:
+                if state is None:
                     bases = index.single()
-                    bases = bases.of(np.isin(ids[bases.symbol - 1], np.concatenate([base, word])))
                     old = ids[bases.symbol - 1]
+                else:
+                    old, *held = unpacked(state["packed"], 4 * state["size"]).reshape(4, -1).astype(np.int64)
+                    bases = Phrases(*held, old, old)
                 longer = index.extend(bases, grown_left)
-                key = np.searchsorted(old, base) * (len(ids) + 1) + np.searchsorted(ids, word) + 1
-                order = np.argsort(key)
-                at = np.searchsorted(key[order], longer.base * (len(ids) + 1) + longer.symbol)
-                at = np.minimum(at, len(key) - 1)
-                frequent = key[order][at] == longer.base * (len(ids) + 1) + longer.symbol
-                name = new[order][at[frequent]]
-                phrases = Phrases(*(c[frequent] for c in (longer.lo, longer.back, longer.size)), name, name)
-                yield from rows_of("state", shard, id=name, lo=phrases.lo, back=phrases.back, n=phrases.size)
+                order, _ = dealt(old[longer.base], ids[longer.symbol - 1], parts)
+                answers.sort(key=lambda a: a["part"])
+                name = np.empty(len(longer), np.int64)
+                name[order] = np.concatenate([unpacked(a["packed"], a["size"]) for a in answers])
+                phrases, name = longer.of(name > 0), name[name > 0] - 1
+                yield rows_of(KINDS, "state", shard=[shard], size=[len(name)],
+                              packed=[packed(np.concatenate([name, phrases.lo, phrases.back, phrases.size]))])
                 found = index.extend(phrases, left)
-                yield from rows_of("found", shard, base=name[found.base], word=ids[found.symbol - 1], n=found.size)
+                yield sent(shard, name[found.base], ids[found.symbol - 1], found.size, parts)
                 del index, found, longer, phrases
                 tidy()
 
-    return joined.select("shard", *names_of(INDEX), "wanted", "state").mapInArrow(run, KINDS)
+    return joined.select("shard", *names_of(INDEX), "answers", "state").mapInArrow(run, KINDS)
 
 
-def written(rows: DataFrame, parts: int) -> tuple[str, DataFrame]:
+def written(rows: DataFrame, tasks: int) -> tuple[str, DataFrame]:
     """Rows of ``KINDS`` as an external table of the shared folder, by kind and in buckets of shards.
 
     An index then meets the phrases of its shard without being shuffled again.
     """
     name = f"phrase_shards_{uuid.uuid4().hex}"
-    (rows.write.partitionBy("kind").bucketBy(parts, "shard").option("compression", "zstd").option("path", table_path(rows.sparkSession, "phrase-shards"))
+    (rows.write.partitionBy("kind").bucketBy(tasks, "shard").option("compression", "zstd").option("path", table_path(rows.sparkSession, "phrase-shards"))
      .format("parquet").saveAsTable(name))
     return name, rows.sparkSession.table(name)
 
 
-def of_shards(rows: DataFrame, tasks: int, name: str, *columns: str) -> DataFrame:
-    return rows.repartition(tasks, "shard").groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias(name))
+def frequent_words(local: DataFrame, least: int) -> DataFrame:
+    """``lang, phrase, f, id`` of the words met ``least`` times, with small ids."""
+    words = materialise(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+                        .withColumn("id", F.monotonically_increasing_id()), "words")
+    tasks = ((words.agg(F.max("id")).first()[0] or 0) >> 33) + 1
+    small = F.expr(f"(id & {(1 << 33) - 1}) * {tasks} + shiftright(id, 33)")  # the rows of a task are counted in its low bits
+    return words.withColumn("id", F.when(small < (1 << 31) - 1, small).otherwise(F.raise_error(F.lit("more frequent words than ids of 31 bits"))))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD) -> tuple[DataFrame, DataFrame]:
@@ -227,44 +288,45 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     """
     if not 2 <= longest < DEPTH:
         raise ValueError(f"the longest phrase has 2 to {DEPTH - 1} words")
-    parts = materialise(shards(docs, shard_words), "shards")
-    n_parts = parts.count()
+    texts = materialise(shards(docs, shard_words), "shards", compression="zstd")
+    n_shards = texts.count()
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, min(n_parts, 16 * cores), n_parts // 16)
-    local = parts.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
+    tasks = max(1, min(n_shards, 16 * cores), n_shards // 16)
+    parts = max(tasks, n_shards // OF_PART)
+    local = texts.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts"))).select(
         "shard", "lang", F.col("pos").alias("place"), F.col("col.words").alias("phrase"), F.col("col.counts").alias("n"))
-    totals = local.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = materialise(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-                        .withColumn("id", F.monotonically_increasing_id()), "words")
-    known = of_shards(local.select("shard", "lang", "place", "phrase").join(
-        words.select("lang", "phrase", "id", (F.col("f") >= least).alias("often")), ["lang", "phrase"]), tasks, "known", "place", "id", "often")
-    name, rows = written(build(parts.select("shard", "size", "text").repartition(tasks, "shard").join(known, "shard")), tasks)
+    totals = texts.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (a, n) -> a + n)")).alias("n")).where("n > 0")
+    words = frequent_words(local, least)
+    ids = words.select("lang", "phrase", "id")
+    if words.count() <= FEW:  # else both are shuffled
+        ids = F.broadcast(ids)
+    place_and_id = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("id"))  # null for rare words, which a list leaves out
+    known = (local.select("shard", "lang", "place", "phrase").join(ids, ["lang", "phrase"], "left")
+             .groupBy("shard").agg(F.collect_list(place_and_id).alias("known")).repartition(tasks, "shard"))
+    name, rows = written(build(texts.select("shard", "size", "text").repartition(tasks, "shard").join(known, "shard"), parts), tasks)
     tables, index, state = [name], rows.where("kind = 'index'").select("shard", *names_of(INDEX)), None
-    levels = [words.where(F.col("f") >= least)]
-    word = levels[0].select(F.col("id").alias("word"), F.col("phrase").alias("added"))
+    levels = [words]
+    word = words.select(F.col("id").alias("word"), F.col("phrase").alias("added"))
     for length in range(2, longest + 1):
-        found, left = rows.where("kind = 'found'").select("shard", *names_of(FOUND)), length % 2 == 1
-        sums = found.groupBy("base", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        found, left = rows.where("kind = 'found'").select("shard", *names_of(PACKED)), length % 2 == 1
+        sums = settled(found, least, parts, length == longest)
         parents = levels[-1].select(F.col("id").alias("base"), "lang", "phrase")
         longer = F.concat_ws(" ", *(["added", "phrase"] if left else ["phrase", "added"]))
-        level = materialise(sums.join(parents, "base").join(word, "word").select(
-            "lang", longer.alias("phrase"), "f", "base", "word").withColumn("id", F.monotonically_increasing_id()), "phrases")
+        level = materialise(sums.where("kind = 'frequent'").select("base", "word", "id", "f").join(parents, "base").join(word, "word").select(
+            "lang", longer.alias("phrase"), "f", "id"), "phrases")
         levels.append(level)
-        n_frequent = level.count()
-        if length == longest or not n_frequent:
+        if length == longest or not level.count():
             break
-        frequent = level.select("base", "word", "id")
-        if n_frequent <= FEW:  # else both are shuffled
-            frequent = F.broadcast(frequent)
-        wanted = of_shards(found.select("shard", "base", "word").join(frequent, ["base", "word"]), tasks, "wanted", "base", "word", "id")
-        met = index.join(wanted, "shard")
+        answers = (sums.where("kind = 'answer'").select("shard", *names_of(PACKED)).repartition(tasks, "shard")
+                   .groupBy("shard").agg(F.collect_list(F.struct(*names_of(PACKED))).alias("answers")))
+        met = index.join(answers, "shard")
         if state is None:
-            met = met.withColumn("state", F.lit(None).cast("array<struct<id: long, lo: int, back: int, n: int>>"))
+            met = met.withColumn("state", F.lit(None).cast("struct<packed: binary, size: long>"))
         else:
-            met = met.join(of_shards(state, tasks, "state", "id", "lo", "back", "n"), "shard")
-        name, rows = written(grow(met, left, not left), tasks)
+            met = met.join(state, "shard")
+        name, rows = written(grow(met, left, not left, parts), tasks)
         tables.append(name)
-        state = rows.where("kind = 'state'").select("shard", "id", "lo", "back", "n")
+        state = rows.where("kind = 'state'").select("shard", F.struct("packed", "size").alias("state"))
     phrases = reduce(DataFrame.unionByName, [t.select("lang", "phrase", F.lit(k).alias("n_words"), "f") for k, t in enumerate(levels, 1)])
     for name in tables:  # the files stay in the shared folder
         docs.sparkSession.sql(f"DROP TABLE {name}")

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 
 from corpusgrid.llm.fm_index import FmIndex, Phrases
-from corpusgrid.llm.phrases import Shard, collocations, frequent_phrases, shards, unpacked
+from corpusgrid.llm import phrases as mining
+from corpusgrid.llm.phrases import Shard, collocations, frequent_phrases, packed, shards, unpacked
 
 
 @pytest.mark.parametrize("kinds", [1, 2, 5])
@@ -117,3 +118,45 @@ def test_large_counts_do_not_overflow(spark):
     row = spark.sql("SELECT 4000000000000L AS a, 9000000000000L AS n, 5000000000000L AS l, 4000000000000L AS r")
     exact = row.select(F.expr("cast(1000 AS decimal(38, 0)) * a * n div (cast(l AS decimal(38, 0)) * r)").alias("s")).first().s
     assert exact == 1000 * 4000000000000 * 9000000000000 // (5000000000000 * 4000000000000)
+
+
+def test_a_shard_sends_a_row_for_each_part_whatever_phrases_it_holds(spark, monkeypatch):
+    sent, written = [], mining.written
+
+    def counted(*args):
+        name, rows = written(*args)
+        found = rows.where("kind = 'found'")
+        sent.append((found.count(), found.select("shard").distinct().count()))
+        return name, rows
+
+    monkeypatch.setattr(mining, "written", counted)
+    rows = corpus()
+    docs = frame(spark, rows)
+    n_shards = shards(docs, 300).count()
+    assert sorted(map(tuple, collocations(docs, least=8, top=12, shard_words=300).drop("cut").collect())) == loop(rows, 8, 12)
+    assert len(sent) == 4 and n_shards > 5
+    assert all(n <= senders * n_shards for n, senders in sent)  # as many parts as shards here
+
+
+def test_parts_have_each_phrase_of_a_shard_once():
+    rng = np.random.default_rng(3)
+    base, word = np.divmod(np.unique(rng.integers(0, 1 << 40, 5000)), 1 << 20)
+    n = rng.integers(1, 1 << 20, len(base))
+    rows = mining.sent(7, base, word, n, 9).to_pylist()
+    assert sorted(r["part"] for r in rows) == list(range(9)) and {r["kind"] for r in rows} == {"found"}
+    got = []
+    for r in rows:
+        steps, words, counts = unpacked(r["packed"], 3 * r["size"]).reshape(3, -1)
+        got += zip(np.cumsum(steps, dtype=np.int64).tolist(), words.tolist(), counts.tolist())
+    assert sorted(got) == sorted(zip(base.tolist(), word.tolist(), n.tolist()))
+
+
+def test_packed_numbers():
+    for a in ([], [0], [-1, 1 << 30, -(1 << 31), (1 << 31) - 1, 255, 256]):
+        assert unpacked(packed(np.array(a, np.int64)), len(a)).tolist() == a
+
+
+def test_words_that_are_too_many_for_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(mining, "FEW", 0)
+    rows = corpus()
+    assert sorted(map(tuple, collocations(frame(spark, rows), least=8, top=12, shard_words=300).drop("cut").collect())) == loop(rows, 8, 12)
