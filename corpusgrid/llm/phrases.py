@@ -18,8 +18,8 @@ grows as what was sent. The transforms stay in buckets of shards, so a round mov
 with their counts, never texts. The rounds are as many as the longest phrase has words,
 whatever the size of the corpus.
 
-A shard is bounded (or is one longer text), and a part has the phrases of ``OF_PART`` shards
-on average, whatever they are: a phrase has one count from each shard in it. Ids have 31 bits,
+A shard is bounded (or is one longer text), and parts are so many that one has about as many
+counts as ``OF_PART`` shards have phrases: a shard sends one count of a phrase. Ids have 31 bits,
 which is enough for 2^31 frequent phrases of one length, so for 2 * 10^11 words at least.
 Every table between rounds is written to the shared folder.
 
