@@ -108,6 +108,20 @@ def test_near_duplicates_of_few_agreeing_samples_are_verified(spark):
     assert {r.class_id for r in M.near_duplicates(df).collect()} == {1}
 
 
+def test_copies_in_a_large_group_are_found_whatever_its_size(spark):
+    rng = random.Random(77)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(150)]
+    base = " ".join(words)
+    others = [" ".join([*words[:a], *(f"e{a}x{k}" for k in range(8)), *words[a + 8:]]) for a in (20, 60, 100)]
+    rows = list(enumerate([base] * 400 + others + [text_of(rng, 60, 10 ** 6) for _ in range(200)]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    x, *near = M.weighted(pa.array([base, *others]), M.idf(df))
+    for y in near:  # 134 of 158 shingles are common; their idf is that of 400 copies
+        common = np.isin(x[0], y[0])
+        assert x[1][common].sum() / (x[1].sum() + y[1].sum() - x[1][common].sum()) < 0.6 and M.similarity(x, y) >= M.THRESHOLD
+    assert [r.class_id for r in M.near_duplicates(df).collect() if 400 <= r.doc_id < 403] == [0, 0, 0]
+
+
 def test_pairs_ruled_out_by_their_masses_are_below_the_threshold():
     rng = random.Random(31)
     weights = np.random.default_rng(2).uniform(1e-3, 9, 1 << M.DF_BITS)
