@@ -1,5 +1,6 @@
 import itertools
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusgrid.functions import analysis as A
 from corpusgrid.operators import highlight as H
 from corpusgrid.operators import queries as Q
+from corpusgrid.operators import tables
 from corpusgrid.operators.index import build_index
 from corpusgrid.operators.schema import all_field
 from corpusgrid.plans.search import View, ranked
@@ -350,3 +352,33 @@ def test_highlights_come_from_the_query(spark, index):
     stemmed = build_index(spark.createDataFrame([(1, "He runs & ran.")], "id long, text string"), "id", {"text": A.analyzer("english")})
     out = View(stemmed.docs, "id").matching(Q.match(stemmed, "text", "run")).highlight(None, {"text": None}, {"encoder": "html"}).first()
     assert out["highlight"]["text"] == ["He <em>runs</em> &amp; ran."]
+
+
+def test_a_table_of_queries_is_scored_document_by_document(spark, index, monkeypatch):
+    texts = ["quick fox", "the lazy absent", "quick quick dog", None, "", "zzz", "brown dog and the quick fox jumps"]
+    table = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(texts)], "qid string, text string")
+    want = {f"q{i}": found(Q.match(index, "text", t)) for i, t in enumerate(texts) if t}
+    monkeypatch.setattr(tables, "HELD", 3)
+    monkeypatch.setattr(tables, "CELLS", 8)
+    for rows in (1 << 18, 2):  # one pass, and a few
+        monkeypatch.setattr(tables, "ROWS", rows)
+        got = by_query(Q.match(index, "text", table))
+        assert got.keys() == {q for q, hits in want.items() if hits}
+        for q, hits in got.items():
+            same(hits, want[q])
+        for size in (1, 2, 9):
+            best = {(r["qid"], r["rank"]): r["id"] for r in Q.match(index, "text", table).best(size).collect()}
+            assert best == {(q, k + 1): i for q, hits in want.items() for k, i in enumerate(sorted(hits, key=lambda i: (-hits[i], i))[:size])}
+    plan = Q.match(index, "text", table).best(2)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(qid#\d+, id#", plan)  # no pair of a query and a document is shuffled
+
+
+def test_documents_of_one_key_are_one_document(spark):
+    rows = [(1, "quick fox"), (1, "quick dog dog"), (None, "quick"), (None, "fox fox"), (2, "fox")]
+    twice = build_index(spark.createDataFrame(rows, "id long, text string"), "id", {"text": A.tok_whitespace})
+    texts = ["quick fox dog", "quick fox"]
+    got = by_query(Q.match(twice, "text", many(spark, texts)))
+    for q, t in enumerate(texts):
+        same(got[q], found(Q.match(twice, "text", t)))
+    want = {(q, r["id"]): r["score"] for q, t in enumerate(texts) for r in Q.match(twice, "text", t).best(2).collect()}
+    assert {(r["qid"], r["id"]): r["score"] for r in Q.match(twice, "text", many(spark, texts)).best(2).collect()} == pytest.approx(want)
