@@ -382,3 +382,15 @@ def test_documents_of_one_key_are_one_document(spark):
         same(got[q], found(Q.match(twice, "text", t)))
     want = {(q, r["id"]): r["score"] for q, t in enumerate(texts) for r in Q.match(twice, "text", t).best(2).collect()}
     assert {(r["qid"], r["id"]): r["score"] for r in Q.match(twice, "text", many(spark, texts)).best(2).collect()} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("make", [Q.match_phrase, lambda i, f, t: Q.match_phrase(i, f, t, 2), Q.match_phrase_prefix])
+def test_positions_are_read_where_all_words_of_a_phrase_stand(spark, index, monkeypatch, make):
+    written, plain = {}, Q.materialise
+    monkeypatch.setattr(Q, "materialise", lambda df, name: written.setdefault(name, plain(df, name)))
+    rows = by_query(make(index, "text", many(spark, ["quick brown fox", "the dog", "lazy lazy"])))
+    assert set(rows[0]) >= {1}
+    holds = {(0, 1), (0, 4), (0, 5), (1, 3), (1, 4), (2, 3)}
+    got = {tuple(r) for r in written["phrase-documents"].select("qid", "id").collect()}
+    # the last word of a phrase with a prefix is looked for afterwards
+    assert got == (holds if make is not Q.match_phrase_prefix else {(0, 1), (0, 4), (0, 5), (1, 1), (1, 3), (1, 4), (2, 3)})
