@@ -394,3 +394,10 @@ def test_positions_are_read_where_all_words_of_a_phrase_stand(spark, index, monk
     got = {tuple(r) for r in written["phrase-documents"].select("qid", "id").collect()}
     # the last word of a phrase with a prefix is looked for afterwards
     assert got == (holds if make is not Q.match_phrase_prefix else {(0, 1), (0, 4), (0, 5), (1, 1), (1, 3), (1, 4), (2, 3)})
+
+
+def test_a_table_of_fuzzy_words_stores_no_deletions(spark):
+    own = build_index(spark.createDataFrame(list(TEXTS.items()), "id long, text string"), "id", {"text": A.tok_whitespace})
+    asked = many(spark, ["quik fx", "lasy"])
+    like, fuzzy = Q.fuzzy_like_this(own, "text", asked, 1), Q.match(own, "text", asked, fuzziness=1)
+    assert set(by_query(fuzzy)) == {0, 1} and not by_query(like) and not own.has_deletions
