@@ -401,3 +401,16 @@ def test_a_table_of_fuzzy_words_stores_no_deletions(spark):
     asked = many(spark, ["quik fx", "lasy"])
     like, fuzzy = Q.fuzzy_like_this(own, "text", asked, 1), Q.match(own, "text", asked, fuzziness=1)
     assert set(by_query(fuzzy)) == {0, 1} and not by_query(like) and not own.has_deletions
+
+
+def test_what_holds_for_a_table_of_queries_is_met_by_document(spark, index):
+    q, p, texts = (lambda t: Q.match(index, "text", t)), (lambda t: Q.prefix(index, "text", t)), ["quick fox", "the lazy", "brown"]
+    for options in ({"must": [p("bro")], "must_not": [q("jumps")]}, {"should": [p("do"), p("la")]},
+                    {"should": [p("do")], "minimum_should_match": 1}, {"must": [p("bro")], "should": [p("do")], "disable_coord": True}):
+        others = options.pop("must", [])
+        table = by_query(Q.bool_(must=[Q.match(index, "text", many(spark, texts)), *others], **options))
+        for k, t in enumerate(texts):
+            same(table.get(k, {}), found(Q.bool_(must=[q(t), *others], **options)))
+    clause = Q.bool_(must=[Q.match(index, "text", many(spark, texts)), p("bro")], must_not=[q("jumps")])
+    plan = clause.best(2)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(qid#\d+, id#", plan)
